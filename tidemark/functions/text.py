@@ -106,15 +106,19 @@ def chunk_starts(n_tokens: Column, size: int = CHUNK_TOKENS, overlap: int = CHUN
     )
 
 
-def chunk_texts(text: Column | str, size: int = CHUNK_TOKENS, overlap: int = CHUNK_OVERLAP) -> Column:
-    """Array of chunk strings: windows of ``size`` tokens overlapping by ``overlap``."""
-    toks = tokens(text)
+def token_windows(toks: Column, size: int = CHUNK_TOKENS, overlap: int = CHUNK_OVERLAP) -> Column:
+    """Windows of ``size`` tokens overlapping by ``overlap``, joined by a space."""
     return F.transform(
         chunk_starts(F.size(toks), size, overlap),
         lambda s: F.array_join(F.slice(toks, s + 1, size), " "),
     )
 
 
+def chunk_texts(text: Column | str, size: int = CHUNK_TOKENS, overlap: int = CHUNK_OVERLAP) -> Column:
+    """Array of chunk strings: windows of ``size`` tokens overlapping by ``overlap``."""
+    return token_windows(tokens(text), size, overlap)
+
+
 def strip_pdf_artifacts(text: Column | str) -> Column:
     """Remove soft hyphen line breaks (``¬`` + newline) and backslashes, then strip."""
     t = F.replace(_c(text), F.lit("¬\n"), F.lit(""))

@@ -22,32 +22,32 @@ def _c(col: Column | str) -> Column:
 
 
 def strip_suffix(col: Column, suffix: str) -> Column:
-    """Remove ``suffix`` once when ``col`` ends with it."""
-    n = len(suffix)
-    return F.when(col.endswith(suffix), F.substring(col, F.lit(1), F.length(col) - n)).otherwise(col)
+    """Remove ``suffix`` once when ``col`` ends with it (one reference to ``col``)."""
+    import re
 
+    return F.regexp_replace(col, re.escape(suffix) + "$", "")
 
+
+# Every helper below is a linear chain: each step reads the previous one once,
+# so expression trees (and generated code) stay small however they are nested.
 def base_site(url: Column | str) -> Column:
     """Base site of a URL: host without scheme, port, path, ``dns:``/``mailto:``,
     a leading ``www``/``wwwN.`` label and one trailing dot.  Empty result -> null.
 
     ``http://http://x`` style URLs use the part after the second ``//``.
     """
-    u = _c(url)
-    pos = F.instr(u, "//")
-    s1 = F.when(pos == 0, u).otherwise(F.substring(u, pos + 2, 1 << 30))
-    s2 = F.when(s1.startswith("http://"), F.substring(s1, 8, 1 << 30)).otherwise(s1)
-    s3 = F.replace(F.replace(s2, F.lit("dns:"), F.lit("")), F.lit("mailto:"), F.lit(""))
-    s4 = F.regexp_replace(s3, r"^www[0-9]*\.", "")
-    s5 = F.split_part(F.split_part(s4, F.lit(":"), F.lit(1)), F.lit("/"), F.lit(1))
-    s6 = strip_suffix(s5, ".")
-    return F.nullif(s6, F.lit(""))
+    s = F.regexp_replace(_c(url), r"^(?s).*?//", "")
+    s = F.regexp_replace(s, r"^http://", "")
+    s = F.replace(F.replace(s, F.lit("dns:"), F.lit("")), F.lit("mailto:"), F.lit(""))
+    s = F.regexp_replace(s, r"^www[0-9]*\.", "")
+    s = F.split_part(F.split_part(s, F.lit(":"), F.lit(1)), F.lit("/"), F.lit(1))
+    return F.nullif(F.regexp_replace(s, r"\.$", ""), F.lit(""))
 
 
 def base_url(url: Column | str) -> Column:
     """Scheme + ``//`` + host part of a URL; a URL without ``//`` is returned as is."""
     u = _c(url)
-    return F.when(F.instr(u, "//") == 0, u).otherwise(F.regexp_extract(u, r"^(.*?//[^/]*)", 1))
+    return F.coalesce(F.nullif(F.regexp_extract(u, r"^(?s)(.*?//[^/]*)", 1), F.lit("")), u)
 
 
 def url_host(url: Column | str) -> Column:
@@ -72,22 +72,15 @@ def normalize_url(url: Column | str) -> Column:
     then one of ``.html .htm .pdf .md``.  Blank -> null.
     """
     u = F.trim(_c(url))
-    scheme = F.regexp_extract(u, _RFC3986, 1)
-    auth = F.regexp_extract(u, _RFC3986, 3)
-    path = F.regexp_extract(u, _RFC3986, 5)
-    path = F.regexp_replace(path, r";[^/]*$", "")
-    s = F.lower(F.concat(scheme, auth, path))
-    s = strip_suffix(s, "/")
-    s = F.when(s.endswith(NORMALIZE_STRIP_INDEX[0]), F.substring(s, F.lit(1), F.length(s) - 11)).when(
-        s.endswith(NORMALIZE_STRIP_INDEX[1]), F.substring(s, F.lit(1), F.length(s) - 10)
-    ).otherwise(s)
-    chain = None
-    for ext in NORMALIZE_STRIP_SUFFIXES:
-        cond = s.endswith(ext)
-        val = F.substring(s, F.lit(1), F.length(s) - len(ext))
-        chain = F.when(cond, val) if chain is None else chain.when(cond, val)
-    s = chain.otherwise(s)
-    return F.when(F.length(u) == 0, F.lit(None).cast("string")).otherwise(F.nullif(s, F.lit("")))
+    s = F.concat(
+        F.regexp_extract(u, _RFC3986, 1),
+        F.regexp_extract(u, _RFC3986, 3),
+        F.regexp_replace(F.regexp_extract(u, _RFC3986, 5), r";[^/]*$", ""),
+    )
+    s = F.regexp_replace(F.lower(s), r"/$", "")
+    s = F.regexp_replace(s, r"/index\.html?$", "")
+    s = F.regexp_replace(s, r"\.(html|htm|pdf|md)$", "")
+    return F.nullif(s, F.lit(""))
 
 
 def urls_match(a_norm: Column, b_norm: Column) -> Column:
@@ -119,17 +112,11 @@ def archive_dir_and_file(url: Column | str) -> tuple[Column, Column, Column]:
     decoded = F.coalesce(F.try_url_decode(u), _c(url))
     host = strip_first_www(F.lower(F.regexp_extract(decoded, r"^(([^:/?#]+):)?(//([^/?#:]*))", 4)))
     path = F.regexp_extract(decoded, _RFC3986, 5)
-    cut = F.length(path) - F.locate("/", F.reverse(path)) + 1  # index of last '/' (1-based), 0 if none
-    last_slash = F.when(F.instr(path, "/") == 0, F.lit(0)).otherwise(cut)
-    file0 = F.substring(path, last_slash + 1, 1 << 30)
-    dir0 = F.substring(path, F.lit(1), last_slash)
+    file0 = F.regexp_extract(path, r"([^/]*)$", 1)
     no_dot = F.instr(file0, ".") == 0
-    dir1 = F.when(no_dot, F.when(F.concat(dir0, file0).endswith("/"), F.concat(dir0, file0)).otherwise(
-        F.concat(dir0, file0, F.lit("/")))).otherwise(dir0)
+    as_dir = F.regexp_replace(F.concat(path, F.lit("#")), r"/?#$", "/")   # path + '/' unless it ends with '/'
+    directory = F.replace(F.when(no_dot, as_dir).otherwise(F.regexp_extract(path, r"^(.*/)?", 1)), F.lit("."), F.lit("-"))
     file1 = F.when(no_dot, F.lit(INDEX_FILE)).otherwise(file0)
-    dir2 = F.replace(dir1, F.lit("."), F.lit("-"))
     # dots except the last one in the file name -> '-'
-    stem = F.regexp_replace(F.regexp_extract(file1, r"^(.*)\.[^.]*$", 1), r"\.", "-")
-    ext = F.regexp_extract(file1, r"\.([^.]*)$", 1)
-    file2 = F.concat(stem, F.lit("."), ext)
-    return host, dir2, file2
+    file2 = F.regexp_replace(file1, r"\.(?=[^.]*\.)", "-")
+    return host, directory, file2

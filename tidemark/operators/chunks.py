@@ -33,7 +33,10 @@ def chunk_tokens(docs: DataFrame, key_col: str = "file_path", text_col: str = "t
     ``overlap``; ``chunk_id = key#pos``.  Narrow (no shuffle): every document is
     chunked where it is read."""
     keep = [c for c in docs.columns if c != text_col]
-    exploded = docs.select(*keep, F.posexplode(T.chunk_texts(F.col(text_col), size, overlap)).alias("pos", "text"))
+    # tokens are a column of their own: referenced twice (count and windows), so
+    # the optimizer keeps one split per document instead of one per window
+    toks = docs.select(*keep, T.tokens(F.col(text_col)).alias("_toks"))
+    exploded = toks.select(*keep, F.posexplode(T.token_windows(F.col("_toks"), size, overlap)).alias("pos", "text"))
     return exploded.withColumn("chunk_id", F.concat(F.col(key_col).cast("string"), F.lit("#"), F.col("pos").cast("string")))
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import vectors as V
-from tidemark.session import DEFAULT_BROADCAST_LIMIT_BYTES
+from tidemark.session import DEFAULT_BROADCAST_LIMIT_BYTES, cut_lineage
 
 SCORE_DECIMALS = 6
 MAX_SCORE_CELLS = 4_000_000  # scores materialized per Arrow batch (rows x queries)
@@ -256,7 +256,10 @@ def batch_search(questions: DataFrame, expansions: DataFrame | None, corpus: Dat
         variants = variants.unionByName(q.select("qid", "question", F.lit(True).alias("expanded"), "search_text"))
     variants = variants.withColumn("vkey", F.concat(F.col("qid").cast("string"), F.when(F.col("expanded"), F.lit(":x")).otherwise(F.lit(":o"))))
     qvec = variants.select(F.col("vkey").alias("qid"), V.hashed_term_vector(F.col("search_text"), dim).alias("embedding"))
-    hits = knn_exact(qvec, corpus, k, payload=payload).withColumnRenamed("qid", "vkey")
+    # one search for all scenarios; the (small: queries x k rows) result is written to
+    # the shared checkpoint folder so every scenario branch reads it back instead of
+    # re-running the corpus scan, and a lost executor does not re-trigger the search
+    hits = cut_lineage(knn_exact(qvec, corpus, k, payload=payload)).withColumnRenamed("qid", "vkey")
     hits = hits.join(F.broadcast(variants.select("vkey", "qid", "question", "expanded")), "vkey").drop("vkey")
     sc = hits.sparkSession.createDataFrame([(n, e, r) for n, e, r in scenarios], "scenario string, use_expansion boolean, use_rerank boolean")
     joined = hits.join(F.broadcast(sc), F.col("expanded") == F.col("use_expansion"))

@@ -23,6 +23,7 @@ from tidemark.operators import records as Rec
 from tidemark.operators import search as R
 from tidemark.plans import indexing as I
 from tidemark.sources import derived as S
+from tidemark.session import cut_lineage
 from tidemark.sources.tables import table
 
 EVAL_K = 100
@@ -222,7 +223,8 @@ def q_expanded_queries(spark, sf):
 def _hits(spark, sf):
     qs, rel, ex, inp = _questions(spark, sf)
     corpus = I.page_chunks(spark, sf, inp)
-    return R.batch_search(qs, ex, corpus, EVAL_K), qs, rel
+    hits = cut_lineage(R.batch_search(qs, ex, corpus, EVAL_K))
+    return hits, qs, rel
 
 
 def q_batch_search(spark, sf):
