@@ -145,7 +145,7 @@ def html_text(html: Column | str) -> Column:
         t = F.replace(t, F.lit(ent), F.lit(ch))
     t = F.regexp_replace(t, r"[ \t\r]+", " ")
     t = F.regexp_replace(t, r" ?\n[ \n]*", "\n")
-    return F.trim(t)
+    return F.regexp_replace(t, r"^[ \n]+|[ \n]+$", "")
 
 
 def html_title(html: Column | str) -> Column:

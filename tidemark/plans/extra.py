@@ -1,13 +1,146 @@
-"""Registered queries without an SQL oracle (rows-only checks)."""
+"""Registered queries without an SQL oracle (rows-only checks).
+
+These run Python stages (archive codec, HTML parser, user model hooks),
+approximate search, or streaming jobs; pytest checks them against small
+hand-made fixtures and brute-force answers.
+"""
 
 from __future__ import annotations
 
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.operators import chunks as K
+from tidemark.operators import markdown as M
+from tidemark.operators import records as Rec
+from tidemark.operators import search as R
 from tidemark.plans import catalog as Q
+from tidemark.plans import indexing as I
+from tidemark.session import scratch_path
+from tidemark.sources import archives as A
+from tidemark.sources import derived as S
+from tidemark.sources.tables import table
+from tidemark.streaming import incremental as ST
+
+ARCHIVES_PER_JOB = 4
+
+
+def _written_archives(spark: SparkSession, sf: str) -> str:
+    """Archive files of all crawls of the pages, written by a Spark job into a
+    fresh folder under the shared checkpoint folder."""
+    out = scratch_path(spark, "archives")
+    recs = S.warc_records(table(spark, sf, "pages"))
+    n_arch = recs.select("archive").distinct().count()
+    A.write_archives(recs, out, max(1, n_arch)).collect()
+    return out
+
+
+def q_archive_files(spark, sf):
+    return A.archive_files(spark, _written_archives(spark, sf))
+
+
+def q_records(spark, sf):
+    recs = A.read_records(spark, _written_archives(spark, sf))
+    return recs.select("archive", "offset", "warc_type", "target_uri", "http_status", "media_type",
+                       F.length("body").alias("body_bytes"), "error")
+
+
+def q_records_filtered(spark, sf):
+    """Filtered dump: response records of HTML pages, not 404, written as archives."""
+    recs = A.read_records(spark, _written_archives(spark, sf))
+    kept = Rec.header_filter(recs, Q.HEADER_FILTERS)
+    out = scratch_path(spark, "filtered")
+    A.write_archives(kept, out, 4).collect()
+    return A.read_records(spark, out).select("offset", "warc_type", "target_uri", "http_status")
+
+
+def q_record_errors(spark, sf):
+    recs = A.read_records(spark, _written_archives(spark, sf))
+    return Rec.record_errors(recs).select("archive", "offset", "error")
+
+
+def q_pages_markdown(spark, sf):
+    latest = I.latest_pages(spark, sf)
+    return M.pages_markdown(latest).select("domain", "rel_path", "status", "n_chars")
+
+
+def _limited_model(max_chars: int = 6000):
+    """Stand-in for a remote model with a request size limit (hashed counts of
+    the first 64 term buckets); raises a size error for oversized batches."""
+    import hashlib
+
+    def fn(texts):
+        if sum(len(t) for t in texts) > max_chars:
+            raise ValueError("413 request too large: input length exceeds limit")
+        out = []
+        for t in texts:
+            v = [0.0] * 64
+            for w in t.lower().split():
+                v[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 64] += 1.0
+            out.append(v)
+        return out
+
+    return fn
+
+
+def q_adaptive_embed(spark, sf):
+    chunks = K.chunk_tokens(K.clean_documents(I.corpus_documents(spark, sf)))
+    vecs = K.embed_with(chunks, _limited_model(), batch_rows=64)
+    return K.drop_failed_documents(chunks, vecs).select("chunk_id", "file_path", F.size("embedding").alias("dim"))
+
+
+def q_lsh_recall(spark, sf):
+    e = table(spark, sf, "embeddings")
+    q = e.select(F.col("vec_id").alias("qid"), "embedding")
+    exact = R.knn_exact(q, e, Q.SELF_SEARCH_K, id_col="vec_id")
+    approx = R.knn_lsh(q, e, Q.SELF_SEARCH_K, dim=64, id_col="vec_id")
+    return R.recall_vs_exact(approx, exact, id_col="vec_id")
+
+
+def q_lookup_export(spark, sf):
+    """Domain map as one JSON object (small by construction: one row per site)."""
+    dm = I.inputs(spark, sf).domains
+    return dm.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("domain", "base_url"))))).alias("json"))
+
+
+def q_index_stream(spark, sf):
+    """Two incremental runs over the documents file: the second finds nothing new."""
+    base = scratch_path(spark, "index")
+    table_path, ckpt = f"{base}/chunks", f"{base}/_checkpoint"
+    schema = table(spark, sf, "documents").schema
+
+    def to_docs(df):
+        return df.select(
+            F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_path"),
+            F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"),
+            F.col("source").alias("domain"), "text")
+
+    for _ in range(2):
+        ST.index_stream(spark, sf, "documents.parquet", table_path, ckpt, schema, to_docs)
+    return spark.read.parquet(table_path).select("chunk_id", "file_path", "pos", "domain")
+
+
+def q_ingest_stream(spark, sf):
+    arch = _written_archives(spark, sf)
+    base = scratch_path(spark, "ingest")
+    table_path, ckpt = f"{base}/records", f"{base}/_checkpoint"
+    for _ in range(2):
+        ST.ingest_stream(spark, arch, table_path, ckpt)
+    return spark.read.parquet(table_path).select("archive", "offset", "warc_type", "target_uri")
+
 
 EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "knn_lsh": Q.q_knn_lsh,
+    "lsh_recall": q_lsh_recall,
+    "archive_files": q_archive_files,
+    "records": q_records,
+    "records_filtered": q_records_filtered,
+    "record_errors": q_record_errors,
+    "pages_markdown": q_pages_markdown,
+    "adaptive_embed": q_adaptive_embed,
+    "lookup_export": q_lookup_export,
+    "index_stream": q_index_stream,
+    "ingest_stream": q_ingest_stream,
 }

@@ -77,7 +77,7 @@ def html_text(h: str) -> str:
         t = f"replace({t}, {_lit(ent)}, {_lit(ch)})"
     t = f"regexp_replace({t}, '[ \\t\\r]+', ' ', 'g')"
     t = f"regexp_replace({t}, ' ?' || {NL} || '[ ' || {NL} || ']*', {NL}, 'g')"
-    return f"trim({t})"
+    return f"regexp_replace({t}, '^[ ' || {NL} || ']+|[ ' || {NL} || ']+$', '', 'g')"
 
 
 def html_title(h: str) -> str:
