@@ -17,6 +17,9 @@ from tidemark.operators import chunks as K
 from tidemark.sources import archives as A
 
 
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -50,7 +53,7 @@ def ingest_stream(spark: SparkSession, archive_dir: str, table_path: str, checkp
                   files_per_batch: int = 16) -> None:
     """New archive files -> records table.  The stream carries only file names
     (contents are opened by path in the parse tasks)."""
-    stream = (spark.readStream.format("binaryFile").option("pathGlobFilter", A.ARCHIVE_GLOB)
+    stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", A.ARCHIVE_GLOB)
               .option("maxFilesPerTrigger", files_per_batch).load(archive_dir).select("path"))
 
     def batch(df: DataFrame, epoch_id: int) -> None:
