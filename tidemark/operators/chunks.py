@@ -20,11 +20,12 @@ def clean_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Drop lines over 1000 characters (counted in ``dropped_lines``), remove
     garbage runs and repeats, drop documents left blank."""
     t = F.col(text_col)
-    return (
-        docs.withColumn("dropped_lines", T.count_long_lines(t))
-        .withColumn(text_col, T.clean_garbage(T.drop_long_lines(t)))
-        .where(~T.is_blank(F.col(text_col)))
-    )
+    others = [c for c in docs.columns if c != text_col]
+    cleaned = T.clean_garbage(T.drop_long_lines(t))
+    # the blank test runs on the computed value inside one generator, so the
+    # optimizer cannot push it below the projection and clean every text twice
+    kept = F.explode(F.filter(F.array(cleaned), lambda x: ~T.is_blank(x)))
+    return docs.select(*others, T.count_long_lines(t).alias("dropped_lines"), kept.alias(text_col))
 
 
 def chunk_tokens(docs: DataFrame, key_col: str = "file_path", text_col: str = "text",
