@@ -100,23 +100,41 @@ def strip_first_www(host: Column) -> Column:
     )
 
 
-def archive_dir_and_file(url: Column | str) -> tuple[Column, Column, Column]:
-    """Split a target URI the way captures are laid out on disk.
-
-    Returns ``(host, directory, file)``: URL-decoded (``+`` kept), query and
-    fragment dropped; a last segment without a dot becomes a directory holding
-    ``index.html``; dots in the directory become ``-``; the host loses its first
-    ``www.``; dots in the file name except the last become ``-``.
+def with_archive_path_parts(df, url_col: str, prefix: str = "_u"):
+    """Add ``{prefix}host``, ``{prefix}dir`` and ``{prefix}file``: the on-disk layout
+    of a target URI.  URL-decoded (``+`` kept), query and fragment dropped; a last
+    segment without a dot becomes a directory holding ``index.html``; dots in the
+    directory become ``-``; the host loses its first ``www.``; dots in the file
+    name except the last become ``-``.
+
+    Each intermediate is its own column, so every regex runs once per row (the
+    optimizer does not inline an expensive expression into several consumers).
     """
+    p = prefix
+    u = F.col(url_col)
+    out = df.withColumn(f"{p}dec", F.coalesce(F.try_url_decode(F.replace(u, F.lit("+"), F.lit("%2B"))), u))
+    out = out.withColumn(f"{p}h0", F.lower(F.regexp_extract(f"{p}dec", r"^(([^:/?#]+):)?(//([^/?#:]*))", 4)))
+    out = out.withColumn(f"{p}path", F.regexp_extract(f"{p}dec", _RFC3986, 5))
+    out = out.withColumn(f"{p}f0", F.regexp_extract(f"{p}path", r"([^/]*)$", 1))
+    no_dot = F.instr(F.col(f"{p}f0"), ".") == 0
+    as_dir = F.regexp_replace(F.concat(F.col(f"{p}path"), F.lit("#")), r"/?#$", "/")
+    out = out.withColumn(f"{p}host", strip_first_www(F.col(f"{p}h0")))
+    out = out.withColumn(f"{p}dir", F.replace(
+        F.when(no_dot, as_dir).otherwise(F.regexp_extract(f"{p}path", r"^(.*/)?", 1)), F.lit("."), F.lit("-")))
+    out = out.withColumn(f"{p}file", F.regexp_replace(
+        F.when(no_dot, F.lit(INDEX_FILE)).otherwise(F.col(f"{p}f0")), r"\.(?=[^.]*\.)", "-"))
+    return out.drop(f"{p}dec", f"{p}h0", f"{p}path", f"{p}f0")
+
+
+def archive_dir_and_file(url: Column | str) -> tuple[Column, Column, Column]:
+    """Column form of :func:`with_archive_path_parts` for small inputs and tests."""
     u = F.replace(_c(url), F.lit("+"), F.lit("%2B"))
     decoded = F.coalesce(F.try_url_decode(u), _c(url))
     host = strip_first_www(F.lower(F.regexp_extract(decoded, r"^(([^:/?#]+):)?(//([^/?#:]*))", 4)))
     path = F.regexp_extract(decoded, _RFC3986, 5)
     file0 = F.regexp_extract(path, r"([^/]*)$", 1)
     no_dot = F.instr(file0, ".") == 0
-    as_dir = F.regexp_replace(F.concat(path, F.lit("#")), r"/?#$", "/")   # path + '/' unless it ends with '/'
+    as_dir = F.regexp_replace(F.concat(path, F.lit("#")), r"/?#$", "/")
     directory = F.replace(F.when(no_dot, as_dir).otherwise(F.regexp_extract(path, r"^(.*/)?", 1)), F.lit("."), F.lit("-"))
-    file1 = F.when(no_dot, F.lit(INDEX_FILE)).otherwise(file0)
-    # dots except the last one in the file name -> '-'
-    file2 = F.regexp_replace(file1, r"\.(?=[^.]*\.)", "-")
+    file2 = F.regexp_replace(F.when(no_dot, F.lit(INDEX_FILE)).otherwise(file0), r"\.(?=[^.]*\.)", "-")
     return host, directory, file2

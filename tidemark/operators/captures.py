@@ -126,24 +126,27 @@ def fingerprint(body: Column | str, size: Column | str, chunk: int = 8192) -> Co
     return F.when(n < 3 * chunk, F.md5(b)).otherwise(F.md5(sampled))
 
 
+def default_suffix(media: Column) -> Column:
+    """Default suffix of a media type from a constant map (no join: the table is
+    fixed and small, so it is folded into the plan as one literal)."""
+    pairs = [F.lit(x) for kv in suffix_table_rows() for x in kv]
+    return F.try_element_at(F.create_map(*pairs), media) if pairs else F.lit(None).cast("string")
+
+
 def with_archive_path(records: DataFrame, url_col: str = "target_uri", media_col: str = "media_type",
                       encoding_col: str = "content_encoding") -> DataFrame:
-    """Add ``domain`` and ``rel_path`` (before collision numbering) to response records."""
-    spark = records.sparkSession
-    host, directory, file_ = U.archive_dir_and_file(F.col(url_col))
-    stem = F.regexp_extract(file_, r"^(.*)\.[^.]*$", 1)
-    ext = F.regexp_extract(file_, r"\.([^.]*)$", 1)
-    st = F.broadcast(suffix_table(spark))
+    """Add ``domain``, ``rel_path`` (before collision numbering) and ``suffix_known``."""
+    parts = U.with_archive_path_parts(records, url_col, "_u")
+    stem = F.regexp_extract("_ufile", r"^(.*)\.[^.]*$", 1)
+    ext = F.regexp_extract("_ufile", r"\.([^.]*)$", 1)
     out = (
-        records.withColumn("domain", host)
-        .withColumn("_dir", F.regexp_replace(directory, "^/", ""))
-        .withColumn("_stem", stem).withColumn("_ext", ext)
-        .join(st, F.col(media_col) == st.st_media_type, "left")
-        .withColumn("suffix_known", F.col("st_suffix").isNotNull())
-        .withColumn("_file", repaired_file(F.col("_stem"), F.col("_ext"), F.col("st_suffix")))
+        parts.withColumn("_suffix", default_suffix(F.col(media_col)))
+        .withColumn("suffix_known", F.col("_suffix").isNotNull())
+        .withColumn("_file", repaired_file(stem, ext, F.col("_suffix")))
         .withColumn("_file", F.when(F.col(encoding_col) == "gzip", F.concat("_file", F.lit(".gz"))).otherwise(F.col("_file")))
-        .withColumn("rel_path", F.concat("_dir", "_file"))
-        .drop("_dir", "_stem", "_ext", "_file", "st_media_type", "st_suffix")
+        .withColumn("domain", F.col("_uhost"))
+        .withColumn("rel_path", F.concat(F.regexp_replace("_udir", "^/", ""), F.col("_file")))
+        .drop("_uhost", "_udir", "_ufile", "_file", "_suffix")
     )
     return out
 
