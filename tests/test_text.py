@@ -79,3 +79,13 @@ def test_html_text_and_title(spark):
     text, title = df.select(T.html_text("h"), T.html_title("h")).first()
     assert title == "A &amp; B"
     assert text == "A & B\nHead\nOne two\nx"
+
+
+def test_fast_whitespace_class_equals_python(spark):
+    """Every code point: Java's (?U) class agrees with Python's str.isspace."""
+    import sys
+
+    chars = "".join(chr(c) for c in range(0, 0x3100) if not 0xD800 <= c <= 0xDFFF)
+    df = spark.createDataFrame([(chars,)], "t string")
+    kept = df.select(F.regexp_replace("t", f"(?U){T.FAST_NON_WS}", "")).first()[0]
+    assert kept == "".join(c for c in chars if c.isspace())

@@ -38,6 +38,10 @@ def _whitespace_class() -> str:
 WS = _whitespace_class()            # class body (no brackets), Python whitespace
 NON_WS = f"[^{WS}]"
 IS_WS = f"[{WS}]"
+# Same set for Java with one property lookup per character: under (?U) ``\s`` is
+# Unicode White_Space, which is Python's set without U+001C..U+001F.
+FAST_NON_WS = r"[^\s\x{1C}-\x{1F}]"
+FAST_WS = r"[\s\x{1C}-\x{1F}]"
 
 # Fixed values of the cleaning and chunking rules.
 MAX_LINE_CHARS = 1000
@@ -70,18 +74,19 @@ def clean_garbage(text: Column | str) -> Column:
     # A run can only start where the previous character is whitespace (or at the
     # start), so anchoring there with a lookbehind gives the same matches while
     # each word is scanned once instead of once per start position.
-    no_runs = F.regexp_replace(_c(text), f"(?<!{NON_WS}){NON_WS}{{{GARBAGE_RUN}}}{NON_WS}*+", "")
+    nw = FAST_NON_WS
+    no_runs = F.regexp_replace(_c(text), f"(?U)(?<!{nw}){nw}{{{GARBAGE_RUN}}}{nw}*+", "")
     return F.regexp_replace(no_runs, f"(?d)(.)\\1{{{REPEAT_MIN - 1},}}", "$1" * REPEAT_KEEP)
 
 
 def is_blank(text: Column | str) -> Column:
     """True when the text holds nothing but (Unicode) whitespace."""
-    return _c(text).rlike(f"^{IS_WS}*$")
+    return _c(text).rlike(f"(?U)^{FAST_WS}*$")
 
 
 def py_strip(text: Column | str) -> Column:
     """``str.strip()``: remove leading and trailing Unicode whitespace."""
-    return F.regexp_replace(_c(text), f"^{IS_WS}+|{IS_WS}+$", "")
+    return F.regexp_replace(_c(text), f"(?U)^{FAST_WS}+|{FAST_WS}+$", "")
 
 
 def heading_title(text: Column | str, fallback: Column | str) -> Column:
@@ -98,7 +103,7 @@ def preview(text: Column | str, n: int = PREVIEW_CHARS) -> Column:
 
 def tokens(text: Column | str) -> Column:
     """Whitespace tokens (the chunker's unit)."""
-    return F.filter(F.split(_c(text), f"{IS_WS}+"), lambda t: t != "")
+    return F.filter(F.split(_c(text), f"(?U){FAST_WS}+"), lambda t: t != "")
 
 
 def chunk_starts(n_tokens: Column, size: int = CHUNK_TOKENS, overlap: int = CHUNK_OVERLAP) -> Column:

@@ -76,3 +76,13 @@ def fits_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT_BYT
     """True when the optimizer's estimate of ``df`` is below ``limit_bytes``."""
     size = estimated_bytes(df)
     return size is not None and size <= limit_bytes
+
+
+def spread_for_cpu(df: DataFrame) -> DataFrame:
+    """Round-robin rows over the cluster when a scan yields fewer partitions than
+    cores (e.g. one big row group) ahead of CPU-heavy per-row work.  At scale the
+    file splits already exceed the parallelism and nothing is added."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

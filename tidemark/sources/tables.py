@@ -11,9 +11,18 @@ TABLES = [
 ]
 
 
+# tables whose rows carry long texts: spread before per-row CPU work
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; column pruning and filters reach the parquet scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLES:
+        from tidemark.session import spread_for_cpu
+
+        df = spread_for_cpu(df)
+    return df
 
 
 def read_sheet(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
