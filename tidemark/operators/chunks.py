@@ -1,6 +1,6 @@
 """Cleaning, chunking, embedding and incremental index bookkeeping."""
 
-from __future__ import annotations
+
 
 from typing import Callable, Iterator, Sequence
 
@@ -150,3 +150,61 @@ def write_chunks(chunks: DataFrame, path: str, mode: str = "append", write_sprea
     # salt the domain so one huge domain is written by many tasks, not one
     salt = F.pmod(F.xxhash64("chunk_id"), F.lit(write_spread))
     chunks.repartition(F.col("domain"), salt).write.mode(mode).partitionBy("domain").parquet(path)
+
+
+# Fixed value: sentence ends for the sentence-aware chunker.
+SENTENCE_END = r"(?<=[.!?])\s+|\n+"
+
+
+def pack_sentences(text: str, size: int = T.CHUNK_TOKENS, overlap: int = T.CHUNK_OVERLAP) -> list[str]:
+    """Greedy sentence packing: whole sentences up to ``size`` tokens per chunk;
+    the next chunk starts with the previous chunk's trailing sentences that fit
+    in ``overlap`` tokens; a sentence longer than ``size`` is cut into windows."""
+    import re
+
+    sents: list[list[str]] = []
+    for s in re.split(SENTENCE_END, text or ""):
+        toks = s.split()
+        step = max(1, size - overlap)
+        for i in range(0, len(toks), step if len(toks) > size else max(1, len(toks))):
+            piece = toks[i:i + size]
+            if piece:
+                sents.append(piece)
+            if i + size >= len(toks):
+                break
+    chunks: list[str] = []
+    cur: list[list[str]] = []
+    n = 0
+    for s in sents:
+        if cur and n + len(s) > size:
+            chunks.append(" ".join(t for x in cur for t in x))
+            tail: list[list[str]] = []
+            m = 0
+            for x in reversed(cur):
+                if m + len(x) > overlap:
+                    break
+                tail.insert(0, x)
+                m += len(x)
+            cur, n = tail, m
+        cur.append(s)
+        n += len(s)
+    if cur:
+        chunks.append(" ".join(t for x in cur for t in x))
+    return chunks
+
+
+def chunk_sentences(docs: DataFrame, key_col: str = "file_path", text_col: str = "text",
+                    size: int = T.CHUNK_TOKENS, overlap: int = T.CHUNK_OVERLAP) -> DataFrame:
+    """Sentence-aware chunks (one row each, ``chunk_id = key#pos``).
+
+    The packing is a sequential fold per document, done by a small vectorized
+    pandas helper on Arrow batches (linear in the text, unlike an array fold in
+    SQL whose state is copied per sentence)."""
+
+    @F.pandas_udf("array<string>")
+    def _pack(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: pack_sentences(t, size, overlap))
+
+    keep = [c for c in docs.columns if c != text_col]
+    out = docs.select(*keep, F.posexplode(_pack(F.col(text_col))).alias("pos", "text"))
+    return out.withColumn("chunk_id", F.concat(F.col(key_col).cast("string"), F.lit("#"), F.col("pos").cast("string")))

@@ -218,3 +218,27 @@ def document_export(docs: DataFrame, order_col: str = "file_path") -> DataFrame:
         F.coalesce(F.date_format("retrieval_date", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("")).alias("retrieval_date"),
         F.col("text").alias("content"), F.coalesce(F.col("source"), F.lit(DEFAULT_SOURCE)).alias("source"),
     )
+
+
+def pdf_to_documents(pdf_docs: DataFrame, domain: str = "pdf") -> DataFrame:
+    """Converted PDF texts in the document shape (key ``domain/name.md``, kind ``pdf``)."""
+    ok = pdf_docs.where(F.col("status") == "converted")
+    md = F.regexp_replace("file_name", r"\.pdf(\.gz)?$", ".md")
+    return ok.select(
+        F.concat(F.lit(domain + "/"), md).alias("file_path"), md.alias("file_name"), F.lit(domain).alias("domain"),
+        F.regexp_replace(md, r"\.md$", "").alias("title"), F.lit(DEFAULT_SOURCE).alias("source"),
+        F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("url_preview"),
+        F.lit(None).cast("timestamp_ntz").alias("retrieval_date"), F.lit("pdf").alias("kind"), "text")
+
+
+def all_documents(html_docs: DataFrame, pdf_docs: DataFrame) -> DataFrame:
+    """HTML and PDF documents in one table; ``kind`` is part of the identity, so
+    ``a.html`` and ``a.pdf`` never overwrite each other."""
+    return html_docs.unionByName(pdf_docs, allowMissingColumns=True)
+
+
+def write_captures(captures: DataFrame, path: str, spread: int = 16) -> None:
+    """Capture sink: files partitioned by domain; the domain is salted by path
+    hash so one huge site is written by several tasks."""
+    salt = F.pmod(F.xxhash64("rel_path"), F.lit(spread))
+    captures.repartition(F.col("domain"), salt).write.mode("overwrite").partitionBy("domain").parquet(path)

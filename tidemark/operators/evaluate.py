@@ -120,3 +120,16 @@ def accuracy_report(acc: DataFrame, ks: list[int] | None = None) -> DataFrame:
     pct = F.format_string("%.1f%%", F.round(F.col("accuracy") * 100, 1))
     return acc.groupBy("scenario").pivot("k", ks).agg(F.first(pct)).select(
         "scenario", *[F.col(str(k)).alias(f"k_{k}") for k in ks])
+
+
+def eval_export(evals: DataFrame, metrics: DataFrame, acc: DataFrame, path: str, config: dict) -> None:
+    """Evaluation export: config, per-scenario metrics with accuracy at k, and
+    per-question results as JSON lines under ``path``."""
+    spark = evals.sparkSession
+    import json
+
+    spark.createDataFrame([(json.dumps(config, sort_keys=True),)], "config string").write.mode("overwrite").text(f"{path}/config")
+    per_k = acc.groupBy("scenario").agg(F.map_from_entries(F.collect_list(
+        F.struct(F.concat(F.lit("k_"), F.col("k").cast("string")), F.col("accuracy")))).alias("accuracy_at_k"))
+    metrics.join(per_k, "scenario", "left").write.mode("overwrite").json(f"{path}/metrics")
+    evals.write.mode("overwrite").json(f"{path}/results")

@@ -128,6 +128,12 @@ def q_html_documents(spark, sf):
                                               "url_preview", "retrieval_date", "kind", "text")
 
 
+def q_documents_union(spark, sf):
+    html = I.page_documents(spark, sf)
+    pdf = D.pdf_to_documents(D.pdf_documents(_pdf_pages(spark, sf)))
+    return D.all_documents(html, pdf).select("file_path", "kind", "title", "text")
+
+
 def q_conversion_summary(spark, sf):
     inp = I.inputs(spark, sf)
     conv = D.html_documents(I.latest_pages(spark, sf, inp), inp.domains)
@@ -339,6 +345,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_text": q_page_text,
     "html_documents": q_html_documents,
     "conversion_summary": q_conversion_summary,
+    "documents_union": q_documents_union,
     "pdf_documents": q_pdf_documents,
     "pdf_summary": q_pdf_summary,
     "long_lines_dropped": q_long_lines_dropped,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import chunks as K
+from tidemark.operators import documents as D
 from tidemark.operators import markdown as M
 from tidemark.operators import records as Rec
 from tidemark.operators import search as R
@@ -131,6 +132,31 @@ def q_ingest_stream(spark, sf):
     return spark.read.parquet(table_path).select("archive", "offset", "warc_type", "target_uri")
 
 
+def q_chunk_sentences(spark, sf):
+    docs = K.clean_documents(I.corpus_documents(spark, sf))
+    return K.chunk_sentences(docs).select("chunk_id", "file_path", "pos", F.size(F.split("text", " ")).alias("n_tokens"))
+
+
+def q_capture_sink(spark, sf):
+    out = scratch_path(spark, "captures")
+    D.write_captures(I.latest_pages(spark, sf), out)
+    return spark.read.parquet(out).select("domain", "rel_path", "archive", "size")
+
+
+def q_eval_export(spark, sf):
+    from tidemark.operators import evaluate as E
+
+    hits, qs, rel = Q._hits(spark, sf)
+    ev = E.eval_questions(hits, qs, rel, Q._scenarios(spark))
+    out = scratch_path(spark, "evaluation")
+    E.eval_export(ev, E.scenario_metrics(ev), E.accuracy_at_k(ev), out, {"top_k": Q.EVAL_K, "scenarios": [s[0] for s in R.SCENARIOS]})
+    return spark.read.json(f"{out}/metrics").select("scenario", "successful", "failed", "accuracy", "recall")
+
+
+def q_ingest_summary(spark, sf):
+    return Rec.ingest_summary(A.read_records(spark, _written_archives(spark, sf)))
+
+
 EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "knn_lsh": Q.q_knn_lsh,
     "lsh_recall": q_lsh_recall,
@@ -143,4 +169,8 @@ EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_export": q_lookup_export,
     "index_stream": q_index_stream,
     "ingest_stream": q_ingest_stream,
+    "chunk_sentences": q_chunk_sentences,
+    "capture_sink": q_capture_sink,
+    "eval_export": q_eval_export,
+    "ingest_summary": q_ingest_summary,
 }

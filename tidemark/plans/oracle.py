@@ -394,6 +394,10 @@ pdocs AS (SELECT file, file_name, n_pages,
         f" (SELECT status, string_agg(file || '  [' || coalesce(reason, '') || ']', {NL} ORDER BY file) AS examples FROM"
         f" (SELECT *, row_number() OVER (PARTITION BY status ORDER BY file) AS rn FROM pdocs WHERE status <> 'converted')"
         f" WHERE rn <= {D.EXAMPLES_PER_STATUS} GROUP BY 1) l ON c.status = l.status")
+    q["documents_union"] = _with(RECORDS, PATHS, SITES, LATEST, HTMLDOCS, pdf) + (
+        " SELECT file_path, kind, title, text FROM hdocs UNION ALL"
+        " SELECT 'pdf/' || regexp_replace(file_name, '\\.pdf(\\.gz)?$', '.md') AS file_path, 'pdf' AS kind,"
+        " regexp_replace(regexp_replace(file_name, '\\.pdf(\\.gz)?$', '.md'), '\\.md$', '') AS title, text FROM pdocs WHERE status = 'converted'")
     q["long_lines_dropped"] = (f"SELECT doc_id, {count_long_lines('text')} AS dropped_lines, length({drop_long_lines('text')}) AS chars_kept FROM documents")
     q["garbage_cleaned"] = _with("gsrc AS (SELECT doc_id, text FROM documents)", clean_ctes("gsrc", "gc", "doc_id").replace(
         f"WHERE NOT regexp_matches(coalesce(t.text, ''), '^[{WS}]*$')", "")) + " SELECT doc_id, text FROM gc"
