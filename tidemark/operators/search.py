@@ -164,6 +164,18 @@ def lsh_keys(vec_col: str, dim: int, bits: int = 8, tables: int = 4, seed: int =
     return _keys(F.col(vec_col))
 
 
+def _cosine_rows(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Row-wise cosine on Arrow batches (same formula as the exact search)."""
+    if len(a) == 0:
+        return pd.Series([], dtype="float64")
+    A_ = np.vstack([np.asarray(v, dtype=np.float64) for v in a])
+    B_ = np.vstack([np.asarray(v, dtype=np.float64) for v in b])
+    dots = np.einsum("ij,ij->i", A_, B_)
+    den = np.einsum("ij,ij->i", A_, A_) * np.einsum("ij,ij->i", B_, B_)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return pd.Series(np.where(den > 0, dots / np.sqrt(den), 0.0))
+
+
 def knn_lsh(queries: DataFrame, corpus: DataFrame, k: int, dim: int, qid_col: str = "qid",
             qvec_col: str = "embedding", id_col: str = "chunk_id", vec_col: str = "embedding",
             payload: list[str] | None = None, bits: int = 8, tables: int = 4, seed: int = 7) -> DataFrame:
@@ -178,8 +190,10 @@ def knn_lsh(queries: DataFrame, corpus: DataFrame, k: int, dim: int, qid_col: st
     c = corpus.select(id_col, vec_col, *payload)
     c = c.withColumn("_k", lsh_keys(vec_col, dim, bits, tables, seed)).select(
         id_col, vec_col, *payload, F.posexplode("_k").alias("t", "b"))
-    pairs = c.join(q, ["t", "b"]).select("qid", id_col, vec_col, "qv", *payload).dropDuplicates(["qid", id_col])
-    scored = pairs.withColumn("score", V.cosine(F.col("qv"), F.col(vec_col)))
+    # score right after the bucket join (narrow), so only (qid, id, score, payload)
+    # travel through the de-duplication shuffle, never the vectors
+    pairs = c.join(q, ["t", "b"]).select("qid", id_col, *payload, F.pandas_udf(_cosine_rows, "double")(F.col("qv"), F.col(vec_col)).alias("score"))
+    scored = pairs.dropDuplicates(["qid", id_col])
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col(id_col).asc())
     ranked = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked.select("qid", "rank", F.round("score", SCORE_DECIMALS).alias("score"), id_col, *payload)

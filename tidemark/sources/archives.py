@@ -234,7 +234,9 @@ def read_records(spark: SparkSession, root: str, name_regex: str | None = None,
     """
     files = archive_files(spark, root, name_regex, recursive)
     n = max(1, files.count())
-    spread = files.repartition(n, "path")
+    # range partitioning on the path gives each archive its own task (hash
+    # partitioning would pile colliding archives into one task)
+    spread = files.repartitionByRange(n, "path")
     return spread.mapInPandas(_parse_partition, RECORD_SCHEMA)
 
 
@@ -297,5 +299,5 @@ def write_archives(records: DataFrame, out_dir: str, archives: int) -> DataFrame
             yield pd.DataFrame({"path": [path], "records": [count]})
 
     cols = ["archive", "offset", "warc_type", "warc_headers", "http_status", "http_headers", "body"]
-    spread = records.select(*cols).repartition(archives, "archive").sortWithinPartitions("archive", "offset")
+    spread = records.select(*cols).repartitionByRange(archives, "archive").sortWithinPartitions("archive", "offset")
     return spread.mapInPandas(write, "path string, records bigint")

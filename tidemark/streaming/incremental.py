@@ -62,7 +62,7 @@ def ingest_stream(spark: SparkSession, archive_dir: str, table_path: str, checkp
             done = spark.read.parquet(table_path).select(F.col("archive").alias("name")).distinct()
             files = files.join(done, "name", "left_anti")
         n = max(1, files.count())
-        recs = files.repartition(n, "path").mapInPandas(A._parse_partition, A.RECORD_SCHEMA)
+        recs = files.repartitionByRange(n, "path").mapInPandas(A._parse_partition, A.RECORD_SCHEMA)
         recs.write.mode("append").parquet(table_path)
 
     q = (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
