@@ -158,7 +158,8 @@ def q_pdf_summary(spark, sf):
 def q_long_lines_dropped(spark, sf):
     d = table(spark, sf, "documents")
     kept = T.drop_long_lines("text")
-    return d.select("doc_id", T.count_long_lines("text").alias("dropped_lines"), F.length(kept).alias("chars_kept"))
+    return d.select("doc_id", T.count_long_lines("text").cast("bigint").alias("dropped_lines"),
+                    F.length(kept).cast("bigint").alias("chars_kept"))
 
 
 def q_garbage_cleaned(spark, sf):
@@ -178,14 +179,14 @@ def _corpus_chunks(spark, sf):
 
 def q_chunk_tokens(spark, sf):
     ch = _corpus_chunks(spark, sf)
-    return ch.select("chunk_id", "file_path", "pos", F.size(T.tokens("text")).alias("n_tokens"), "text")
+    return ch.select("chunk_id", "file_path", "pos", F.size(T.tokens("text")).cast("bigint").alias("n_tokens"), "text")
 
 
 def q_chunk_embeddings(spark, sf):
     ch = K.embed_default(_corpus_chunks(spark, sf))
     ints = F.transform("embedding", lambda x: x.cast("int").cast("string"))
     return ch.select("chunk_id", F.array_join(ints, ",").alias("vec"),
-                     F.size(F.filter("embedding", lambda x: x > 0)).alias("nnz"))
+                     F.size(F.filter("embedding", lambda x: x > 0)).cast("bigint").alias("nnz"))
 
 
 # ---------------------------------------------------------------- search
@@ -193,7 +194,7 @@ def q_knn_exact(spark, sf):
     e = table(spark, sf, "embeddings")
     q = e.select(F.col("vec_id").alias("qid"), "embedding")
     hits = R.knn_exact(q, e, SELF_SEARCH_K, id_col="vec_id")
-    return hits.select("qid", "rank", "score", "vec_id")
+    return hits.select("qid", F.col("rank").cast("bigint").alias("rank"), "score", "vec_id")
 
 
 def q_knn_lsh(spark, sf):
@@ -234,12 +235,15 @@ def _hits(spark, sf):
 
 
 def q_batch_search(spark, sf):
-    return _hits(spark, sf)[0].select("scenario", "qid", "rank", "retrieval_rank", "score", "chunk_id", "url")
+    return _hits(spark, sf)[0].select("scenario", "qid", F.col("rank").cast("bigint").alias("rank"),
+                                      F.col("retrieval_rank").cast("bigint").alias("retrieval_rank"), "score", "chunk_id", "url")
 
 
 def q_reranked(spark, sf):
     h = _hits(spark, sf)[0]
-    return h.where(F.col("scenario") == R.SCENARIOS[2][0]).select("qid", "rank", "retrieval_rank", "rerank_score", "chunk_id")
+    return h.where(F.col("scenario") == R.SCENARIOS[2][0]).select(
+        "qid", F.col("rank").cast("bigint").alias("rank"), F.col("retrieval_rank").cast("bigint").alias("retrieval_rank"),
+        "rerank_score", "chunk_id")
 
 
 def _scenarios(spark):
@@ -248,7 +252,7 @@ def _scenarios(spark):
 
 def q_relevance_ranks(spark, sf):
     hits, _, rel = _hits(spark, sf)
-    return E.relevance_ranks(hits, rel)
+    return E.relevance_ranks(hits, rel).withColumn("match_rank", F.col("match_rank").cast("bigint"))
 
 
 def _evals(spark, sf):
@@ -261,7 +265,8 @@ def q_eval_questions(spark, sf):
     j = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), "|")
     return ev.select("scenario", "qid", "retrieved_count", "n_relevant", j("found_docs").alias("found_docs"),
                      j("missing_docs").alias("missing_docs"), j("all_ranks").alias("all_ranks"), "success",
-                     "rank_of_first_match", "best_rank")
+                     F.col("rank_of_first_match").cast("double").alias("rank_of_first_match"),
+                     F.col("best_rank").cast("double").alias("best_rank"))
 
 
 def q_scenario_metrics(spark, sf):

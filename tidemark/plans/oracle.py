@@ -423,7 +423,8 @@ pdocs AS (SELECT file, file_name, n_pages,
     base_eval = _with(RECORDS, PATHS, SITES, LATEST, HTMLDOCS, QUESTIONS, HITS, EVAL)
     q["relevance_ranks"] = base_eval + " SELECT scenario, qid, pos, relevant_url, match_rank FROM ranks"
     q["eval_questions"] = base_eval + (
-        " SELECT scenario, qid, retrieved_count, n_relevant, found_docs, missing_docs, all_ranks, success, rank_of_first_match, best_rank FROM ev")
+        " SELECT scenario, qid, retrieved_count, n_relevant, found_docs, missing_docs, all_ranks, success,"
+        " CAST(rank_of_first_match AS DOUBLE) AS rank_of_first_match, CAST(best_rank AS DOUBLE) AS best_rank FROM ev")
     q["scenario_metrics"] = base_eval + (
         " SELECT scenario, count(*) FILTER (WHERE success) AS successful, count(*) - count(*) FILTER (WHERE success) AS failed,"
         " (count(*) FILTER (WHERE success))::DOUBLE / count(*) AS accuracy, sum(n_found)::DOUBLE / sum(n_relevant) AS recall,"
