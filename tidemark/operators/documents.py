@@ -242,3 +242,34 @@ def write_captures(captures: DataFrame, path: str, spread: int = 16) -> None:
     hash so one huge site is written by several tasks."""
     salt = F.pmod(F.xxhash64("rel_path"), F.lit(spread))
     captures.repartition(F.col("domain"), salt).write.mode("overwrite").partitionBy("domain").parquet(path)
+
+
+def write_markdown_tree(docs: DataFrame, root: str) -> DataFrame:
+    """Markdown sink: one ``root/<file_path>`` file per document, written by the
+    task holding the row (``pyarrow.fs``, so cluster storage works).  A path is
+    a pure function of the key, so a retried task rewrites the same files.
+    Returns ``(file_path, bytes)`` per written file."""
+    import pandas as pd
+
+    root = root.rstrip("/")
+
+    def write(it):
+        import pyarrow.fs as pafs
+
+        for pdf in it:
+            paths, sizes = [], []
+            for key, text in zip(pdf["file_path"], pdf["text"]):
+                target = f"{root}/{key}"
+                if "://" in target and not target.startswith("file:"):
+                    fs, p = pafs.FileSystem.from_uri(target)
+                else:
+                    fs, p = pafs.LocalFileSystem(), target.replace("file://", "").replace("file:", "")
+                fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+                data = (text or "").encode("utf-8")
+                with fs.open_output_stream(p, compression=None) as fh:
+                    fh.write(data)
+                paths.append(key)
+                sizes.append(len(data))
+            yield pd.DataFrame({"file_path": paths, "bytes": sizes})
+
+    return docs.select("file_path", "text").mapInPandas(write, "file_path string, bytes bigint")

@@ -6,7 +6,6 @@ Output columns carry the same names as the oracle SQL in ``tidemark.plans.oracle
 
 from __future__ import annotations
 
-from functools import partial
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -167,6 +166,11 @@ def q_garbage_cleaned(spark, sf):
     return d.select("doc_id", T.clean_garbage(T.drop_long_lines("text")).alias("text"))
 
 
+def q_text_preview(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", T.preview("text").alias("preview"))
+
+
 def q_doc_titles(spark, sf):
     docs = I.corpus_documents(spark, sf)
     stem = F.regexp_replace("file_name", r"\.md$", "")
@@ -356,6 +360,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "long_lines_dropped": q_long_lines_dropped,
     "garbage_cleaned": q_garbage_cleaned,
     "doc_titles": q_doc_titles,
+    "text_preview": q_text_preview,
     "chunk_tokens": q_chunk_tokens,
     "chunk_embeddings": q_chunk_embeddings,
     "knn_exact": q_knn_exact,

@@ -157,6 +157,25 @@ def q_ingest_summary(spark, sf):
     return Rec.ingest_summary(A.read_records(spark, _written_archives(spark, sf)))
 
 
+def q_markdown_tree(spark, sf):
+    """Markdown sink + scan round trip: documents written as ``domain/path.md``
+    files, then read back as a tree (domain = first path segment)."""
+    from tidemark.sources.tables import markdown_tree
+
+    root = scratch_path(spark, "markdown")
+    D.write_markdown_tree(I.page_documents(spark, sf), root).collect()
+    return markdown_tree(spark, root).select("file_path", "domain", F.length("text").alias("chars"))
+
+
+def q_lookup_import(spark, sf):
+    """Domain map exported as a JSON object file, imported back as rows."""
+    from tidemark.sources.tables import read_json_map
+
+    out = scratch_path(spark, "lookup")
+    q_lookup_export(spark, sf).coalesce(1).write.text(out)
+    return read_json_map(spark, out, "domain", "base_url")
+
+
 EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "knn_lsh": Q.q_knn_lsh,
     "lsh_recall": q_lsh_recall,
@@ -173,4 +192,6 @@ EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "capture_sink": q_capture_sink,
     "eval_export": q_eval_export,
     "ingest_summary": q_ingest_summary,
+    "markdown_tree": q_markdown_tree,
+    "lookup_import": q_lookup_import,
 }

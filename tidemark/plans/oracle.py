@@ -398,6 +398,7 @@ pdocs AS (SELECT file, file_name, n_pages,
         " SELECT file_path, kind, title, text FROM hdocs UNION ALL"
         " SELECT 'pdf/' || regexp_replace(file_name, '\\.pdf(\\.gz)?$', '.md') AS file_path, 'pdf' AS kind,"
         " regexp_replace(regexp_replace(file_name, '\\.pdf(\\.gz)?$', '.md'), '\\.md$', '') AS title, text FROM pdocs WHERE status = 'converted'")
+    q["text_preview"] = f"SELECT doc_id, substr(text, 1, {T.PREVIEW_CHARS}) || '...' AS preview FROM documents"
     q["long_lines_dropped"] = (f"SELECT doc_id, {count_long_lines('text')} AS dropped_lines, length({drop_long_lines('text')}) AS chars_kept FROM documents")
     q["garbage_cleaned"] = _with("gsrc AS (SELECT doc_id, text FROM documents)", clean_ctes("gsrc", "gc", "doc_id").replace(
         f"WHERE NOT regexp_matches(coalesce(t.text, ''), '^[{WS}]*$')", "")) + " SELECT doc_id, text FROM gc"
