@@ -4,7 +4,6 @@ import gzip
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from tidemark.operators import records as Rec
 from tidemark.sources import archives as A

@@ -83,7 +83,6 @@ def test_html_text_and_title(spark):
 
 def test_fast_whitespace_class_equals_python(spark):
     """Every code point: Java's (?U) class agrees with Python's str.isspace."""
-    import sys
 
     chars = "".join(chr(c) for c in range(0, 0x3100) if not 0xD800 <= c <= 0xDFFF)
     df = spark.createDataFrame([(chars,)], "t string")

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
 from tidemark.functions import urls as U
-from tidemark.functions import vectors as V
 from tidemark.operators import captures as C
 from tidemark.operators import chunks as K
 from tidemark.operators import documents as D
