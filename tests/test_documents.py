@@ -71,3 +71,15 @@ def test_adaptive_embed_halves_and_truncates():
     out = K.adaptive_embed(fn, ["a", "b", "c", "d", "e" * 6000])
     assert [v[0] for v in out] == [1.0, 1.0, 1.0, 1.0, 5000.0]
     assert calls[0] == 5
+
+
+def test_write_chunks_dynamic_overwrite(spark):
+    import tempfile
+
+    path = tempfile.mkdtemp(prefix="chunks-test-") + "/t"
+    a = spark.createDataFrame([("a#0", "x", "d1"), ("b#0", "y", "d2")], "chunk_id string, text string, domain string")
+    K.write_chunks(a, path, mode="overwrite")
+    b = spark.createDataFrame([("c#0", "z", "d1")], "chunk_id string, text string, domain string")
+    K.write_chunks(b, path, mode="overwrite")   # replaces domain d1 only
+    got = sorted((r.domain, r.chunk_id) for r in spark.read.parquet(path).collect())
+    assert got == [("d1", "c#0"), ("d2", "b#0")]

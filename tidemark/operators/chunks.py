@@ -145,11 +145,10 @@ def index_summary(docs: DataFrame, new_chunks: DataFrame, chunks_table: DataFram
 def write_chunks(chunks: DataFrame, path: str, mode: str = "append", write_spread: int = 16) -> None:
     """Store chunks partitioned by domain; ``overwrite`` replaces only the domains
     present (dynamic partition overwrite), ``append`` adds."""
-    spark = chunks.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     # salt the domain so one huge domain is written by many tasks, not one
     salt = F.pmod(F.xxhash64("chunk_id"), F.lit(write_spread))
-    chunks.repartition(F.col("domain"), salt).write.mode(mode).partitionBy("domain").parquet(path)
+    (chunks.repartition(F.col("domain"), salt).write.mode(mode)
+     .option("partitionOverwriteMode", "dynamic").partitionBy("domain").parquet(path))
 
 
 # Fixed value: sentence ends for the sentence-aware chunker.

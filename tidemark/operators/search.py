@@ -103,6 +103,7 @@ def knn_exact(queries: DataFrame, corpus: DataFrame, k: int, qid_col: str = "qid
         numbered = qdf.withColumn("_b", F.pmod(F.xxhash64("qid"), F.lit(blocks)))
         for b in range(blocks):
             parts.append(_knn_block(numbered.where(F.col("_b") == b).drop("_b"), corpus, k, id_col, vec_col, payload))
+    qdf.unpersist()  # every block has been collected and broadcast by now
     cands = parts[0]
     for p in parts[1:]:
         cands = cands.unionByName(p)
