@@ -79,3 +79,14 @@ def test_census_counts_nulls(spark, sf):
     n_pages = spark.read.parquet(f"{sf}/pages.parquet").count()
     assert c[("records", None)] == 6 * n_pages
     assert c[("types", "response")] == c[("types", "request")] == 3 * n_pages
+
+
+def test_warc_data_source_matches_reader(spark):
+    d = tempfile.mkdtemp(prefix="warc-ds-")
+    plain = _http(b"hello", "Content-Type: text/html\r\nContent-Length: 5\r\n")
+    _write(d, "a.warc.gz", b"".join(gzip.compress(_record(f"http://a.ch/{i}", plain)) for i in range(3)))
+    _write(d, "b.warc", _record("http://b.ch/", plain))
+    A.register_warc_source(spark)
+    via_ds = sorted((r.archive, r.offset, r.body) for r in spark.read.format("warc").load(d).collect())
+    via_job = sorted((r.archive, r.offset, r.body) for r in A.read_records(spark, d).collect())
+    assert via_ds == via_job and len(via_ds) == 4

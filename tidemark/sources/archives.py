@@ -301,3 +301,59 @@ def write_archives(records: DataFrame, out_dir: str, archives: int) -> DataFrame
     cols = ["archive", "offset", "warc_type", "warc_headers", "http_status", "http_headers", "body"]
     spread = records.select(*cols).repartitionByRange(archives, "archive").sortWithinPartitions("archive", "offset")
     return spread.mapInPandas(write, "path string, records bigint")
+
+
+# ---------------------------------------------------------------- data source API
+def _list_archives(root: str) -> list[str]:
+    import fnmatch
+
+    import pyarrow.fs as pafs
+
+    if "://" in root and not root.startswith("file:"):
+        fs, base = pafs.FileSystem.from_uri(root)
+        prefix = root[: len(root) - len(base)] if root.endswith(base) else ""
+    else:
+        fs, base, prefix = pafs.LocalFileSystem(), root.replace("file://", "").replace("file:", ""), ""
+    info = fs.get_file_info(base)
+    if info.type == pafs.FileType.File:
+        return [prefix + base]
+    sel = pafs.FileSelector(base, recursive=False)
+    names = [f for f in fs.get_file_info(sel) if f.type == pafs.FileType.File and f.size > 0]
+    return sorted(prefix + f.path for f in names
+                  if fnmatch.fnmatch(f.base_name, "*.warc") or fnmatch.fnmatch(f.base_name, "*.warc.gz"))
+
+
+def register_warc_source(spark: SparkSession) -> None:
+    """Register ``spark.read.format("warc").load(path)``: one input partition per
+    archive file, records streamed by the same parser as :func:`read_records`."""
+    from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+    class _ArchivePartition(InputPartition):
+        def __init__(self, path: str):
+            super().__init__(path)
+            self.path = path
+
+    class _Reader(DataSourceReader):
+        def __init__(self, options):
+            self.root = options.get("path")
+
+        def partitions(self):
+            return [_ArchivePartition(p) for p in _list_archives(self.root)]
+
+        def read(self, partition):
+            name = partition.path.rsplit("/", 1)[-1]
+            for rec in iter_records(partition.path, name):
+                yield tuple(rec.get(c) for c in _COLS)
+
+    class WarcDataSource(DataSource):
+        @classmethod
+        def name(cls):
+            return "warc"
+
+        def schema(self):
+            return RECORD_SCHEMA
+
+        def reader(self, schema):
+            return _Reader(self.options)
+
+    spark.dataSource.register(WarcDataSource)
