@@ -112,12 +112,12 @@ def q_keyword_excluded(spark, sf):
 
 # ---------------------------------------------------------------- documents
 def q_page_titles(spark, sf):
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", spread=True)
     return p.select("page_id", T.html_title("html").alias("title"))
 
 
 def q_page_text(spark, sf):
-    p = table(spark, sf, "pages")
+    p = table(spark, sf, "pages", spread=True)
     return p.select("page_id", T.html_text("html").alias("text"))
 
 
@@ -139,7 +139,7 @@ def q_conversion_summary(spark, sf):
 
 
 def _pdf_pages(spark, sf):
-    c = table(spark, sf, "conversations")
+    c = table(spark, sf, "conversations", spread=True)
     return c.select(F.col("conv_id").alias("file"),
                     F.concat(F.lit("doc"), F.col("conv_id").cast("string"), F.lit(".pdf")).alias("file_name"),
                     F.col("turn").alias("page_no"), "text")
@@ -154,19 +154,19 @@ def q_pdf_summary(spark, sf):
 
 
 def q_long_lines_dropped(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     kept = T.drop_long_lines("text")
     return d.select("doc_id", T.count_long_lines("text").cast("bigint").alias("dropped_lines"),
                     F.length(kept).cast("bigint").alias("chars_kept"))
 
 
 def q_garbage_cleaned(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", T.clean_garbage(T.drop_long_lines("text")).alias("text"))
 
 
 def q_text_preview(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", spread=True)
     return d.select("doc_id", T.preview("text").alias("preview"))
 
 

@@ -53,7 +53,7 @@ def page_chunks(spark: SparkSession, sf_dir: str, inp: Inputs | None = None) ->
 
 def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The driver's markdown documents with index keys ``source/doc_id.md``."""
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", spread=True)
     return d.select(
         F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_path"),
         F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"),

@@ -49,11 +49,13 @@ def response_records(pages: DataFrame) -> DataFrame:
 
     Body grows by a marker per version so sizes differ between crawls.
     """
+    from tidemark.session import spread_for_cpu
+
     crawl = F.col("crawl")
     job = F.col("page_id") % 4
     k = F.col("page_id") + crawl
     return (
-        pages.select("page_id", "url", "html", F.explode(F.array(*[F.lit(c) for c in CRAWLS])).alias("crawl"))
+        spread_for_cpu(pages).select("page_id", "url", "html", F.explode(F.array(*[F.lit(c) for c in CRAWLS])).alias("crawl"))
         .select(
             archive_name(job, crawl).alias("archive"),
             (F.col("page_id") * 3 + crawl).alias("seq"),

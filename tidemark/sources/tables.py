@@ -15,10 +15,13 @@ TABLES = [
 TEXT_TABLES = {"documents", "pages", "conversations"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table; column pruning and filters reach the parquet scan."""
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One driver table; column pruning and filters reach the parquet scan.
+
+    ``spread=True`` for text tables feeding CPU-heavy per-row work: rows are
+    spread over the cluster when the scan yields fewer partitions than cores."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in TEXT_TABLES:
+    if spread and name in TEXT_TABLES:
         from tidemark.session import spread_for_cpu
 
         df = spread_for_cpu(df)
