@@ -24,7 +24,15 @@ def questions_long(sheet: DataFrame, order_col: str | None = "row") -> tuple[Dat
     rel_cols = [c for c in renamed.columns if "relevant" in c and "doc" in c]
     if not rel_cols:
         raise ValueError("sheet needs at least one relevant doc column")
-    qid = F.col(order_col.lower()) if order_col and order_col.lower() in renamed.columns else F.monotonically_increasing_id()
+    if order_col and order_col.lower() in renamed.columns:
+        qid = F.col(order_col.lower())
+    else:
+        # generated ids must not change if a task is recomputed: pin them in the
+        # shared checkpoint folder
+        from tidemark.session import cut_lineage
+
+        renamed = cut_lineage(renamed.withColumn("_qid", F.monotonically_increasing_id()))
+        qid = F.col("_qid")
     base = renamed.select(qid.alias("qid"), F.trim(F.col("question").cast("string")).alias("question"),
                           *[F.col(f"`{c}`").cast("string").alias(f"rel_{i}") for i, c in enumerate(rel_cols)])
     base = base.where(F.col("question").isNotNull() & (F.col("question") != ""))

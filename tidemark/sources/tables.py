@@ -39,7 +39,8 @@ def read_sheet(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 def read_json_map(spark: SparkSession, path: str, key: str = "key", value: str = "value") -> DataFrame:
     """A JSON object file ``{k: v, ...}`` as rows ``(key, value)`` (domain map, timestamp map)."""
     raw = spark.read.option("multiLine", "true").option("primitivesAsString", "true").json(path)
-    m = F.from_json(F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns])), "map<string,string>")
+    as_json = F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns]), {"ignoreNullFields": "false"})
+    m = F.from_json(as_json, "map<string,string>")
     return raw.select(F.explode(m).alias(key, value))
 
 
