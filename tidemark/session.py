@@ -11,6 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 DEFAULT_BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
+# Settings this library expects on a cluster (the session owner sets them):
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.shuffle.partitions": "auto-sized by AQE from a high start, e.g. 20000 at 100 TB",
+    "spark.checkpoint.dir": "a shared folder (HDFS/S3) for lineage cuts and written intermediates",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tidemark") -> SparkSession:
     """Session for tests and the local bench (UI off, AQE on, small shuffles)."""
     spark = (
@@ -24,6 +37,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # page bodies and chunk texts are wide: keep Arrow batches to Python small
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
