@@ -275,7 +275,9 @@ def batch_search(questions: DataFrame, expansions: DataFrame | None, corpus: Dat
     # the shared checkpoint folder so every scenario branch reads it back instead of
     # re-running the corpus scan, and a lost executor does not re-trigger the search
     hits = cut_lineage(knn_exact(qvec, corpus, k, payload=payload)).withColumnRenamed("qid", "vkey")
-    hits = hits.join(F.broadcast(variants.select("vkey", "qid", "question", "expanded")), "vkey").drop("vkey")
+    # no broadcast hint: the question set may be large; the optimizer picks the
+    # join from size statistics (the hits side is queries x k rows)
+    hits = hits.join(variants.select("vkey", "qid", "question", "expanded"), "vkey").drop("vkey")
     sc = hits.sparkSession.createDataFrame([(n, e, r) for n, e, r in scenarios], "scenario string, use_expansion boolean, use_rerank boolean")
     joined = hits.join(F.broadcast(sc), F.col("expanded") == F.col("use_expansion"))
     plain = joined.where(~F.col("use_rerank")).withColumn("retrieval_rank", F.col("rank")).withColumn("rerank_score", F.lit(None).cast("double"))
