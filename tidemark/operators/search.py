@@ -27,6 +27,7 @@ from tidemark.session import DEFAULT_BROADCAST_LIMIT_BYTES, cut_lineage
 
 SCORE_DECIMALS = 6
 MAX_SCORE_CELLS = 4_000_000  # scores materialized per Arrow batch (rows x queries)
+MAX_KERNEL_ROWS = 1_000_000  # candidate rows a task keeps (queries x k) per block
 
 
 def _score_block(C: np.ndarray, cc: np.ndarray, Q: np.ndarray, qq: np.ndarray) -> np.ndarray:
@@ -86,33 +87,42 @@ def knn_exact(queries: DataFrame, corpus: DataFrame, k: int, qid_col: str = "qid
     Output: ``qid, rank, score, id_col, *payload``.  ``rank`` is 1-based.
     """
     payload = [c for c in (payload or []) if c not in (id_col, vec_col)]
-    # the query side is small by contract; keep it cached so sizing and shipping read it once
+    # The kernel ranks on (qid, score, id) only, so its memory per task is
+    # queries x k small rows whatever the payload; payload columns are joined
+    # back to the final queries x k hits.
+    # The query side is small by contract; keep it cached so sizing and shipping read it once.
     qdf = queries.select(F.col(qid_col).alias("qid"), F.col(qvec_col).alias("qv")).persist(StorageLevel.MEMORY_AND_DISK)
     dim_row = qdf.select(F.max(F.size("qv")).alias("d"), F.count("*").alias("n")).first()
     n_q, dim = int(dim_row["n"] or 0), int(dim_row["d"] or 0)
     if n_q == 0:
         return _empty_hits(corpus, id_col, payload)
     per_query = max(1, dim) * 8 + 64
-    block = max(1, broadcast_limit // per_query)
+    # bounded broadcast (query matrix) and bounded kernel state (queries x k rows)
+    block = max(1, min(broadcast_limit // per_query, MAX_KERNEL_ROWS // max(1, k)))
     parts = []
     blocks = math.ceil(n_q / block)
     if blocks == 1:
-        parts.append(_knn_block(qdf, corpus, k, id_col, vec_col, payload))
+        parts.append(_knn_block(qdf, corpus, k, id_col, vec_col))
     else:
-        # deterministic query blocks of bounded broadcast size
-        numbered = qdf.withColumn("_b", F.pmod(F.xxhash64("qid"), F.lit(blocks)))
-        for b in range(blocks):
-            parts.append(_knn_block(numbered.where(F.col("_b") == b).drop("_b"), corpus, k, id_col, vec_col, payload))
+        # deterministic query blocks; twice as many hash groups as needed so a
+        # group stays under the bound despite hash variation
+        groups = 2 * blocks
+        numbered = qdf.withColumn("_b", F.pmod(F.xxhash64("qid"), F.lit(groups)))
+        for b in range(groups):
+            parts.append(_knn_block(numbered.where(F.col("_b") == b).drop("_b"), corpus, k, id_col, vec_col))
     qdf.unpersist()  # every block has been collected and broadcast by now
     cands = parts[0]
     for p in parts[1:]:
         cands = cands.unionByName(p)
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col(id_col).asc())
     ranked = cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return ranked.select("qid", "rank", F.round("score", SCORE_DECIMALS).alias("score"), id_col, *payload)
+    ranked = ranked.select("qid", "rank", F.round("score", SCORE_DECIMALS).alias("score"), id_col)
+    if payload:
+        ranked = ranked.join(corpus.select(id_col, *payload), id_col)
+    return ranked.select("qid", "rank", "score", id_col, *payload)
 
 
-def _knn_block(qdf: DataFrame, corpus: DataFrame, k: int, id_col: str, vec_col: str, payload: list[str]) -> DataFrame:
+def _knn_block(qdf: DataFrame, corpus: DataFrame, k: int, id_col: str, vec_col: str) -> DataFrame:
     spark = corpus.sparkSession
     rows = qdf.collect()  # bounded: the caller sized the block under the broadcast limit
     qids = [r["qid"] for r in rows]
@@ -123,15 +133,14 @@ def _knn_block(qdf: DataFrame, corpus: DataFrame, k: int, id_col: str, vec_col:
         Q[i, : len(v)] = v
     bq = spark.sparkContext.broadcast((qids, Q))
     qid_type = qdf.schema["qid"].dataType
-    fields = [T.StructField("qid", qid_type), T.StructField("score", T.DoubleType()),
-              corpus.schema[id_col]] + [corpus.schema[c] for c in payload]
+    fields = [T.StructField("qid", qid_type), T.StructField("score", T.DoubleType()), corpus.schema[id_col]]
     schema = T.StructType(fields)
 
     def run(it):
         qids_, Q_ = bq.value
-        return _knn_partition_fn(qids_, Q_, k, id_col, vec_col, payload)(it)
+        return _knn_partition_fn(qids_, Q_, k, id_col, vec_col, [])(it)
 
-    return corpus.select(id_col, vec_col, *payload).mapInPandas(run, schema)
+    return corpus.select(id_col, vec_col).mapInPandas(run, schema)
 
 
 def _empty_hits(corpus: DataFrame, id_col: str, payload: list[str]) -> DataFrame:
@@ -274,6 +283,9 @@ def batch_search(questions: DataFrame, expansions: DataFrame | None, corpus: Dat
     # one search for all scenarios; the (small: queries x k rows) result is written to
     # the shared checkpoint folder so every scenario branch reads it back instead of
     # re-running the corpus scan, and a lost executor does not re-trigger the search
+    # the corpus is the index table: materialize it once so the search pass and
+    # the payload join-back read the written chunks instead of recomputing them
+    corpus = cut_lineage(corpus.select("chunk_id", "embedding", *payload))
     hits = cut_lineage(knn_exact(qvec, corpus, k, payload=payload)).withColumnRenamed("qid", "vkey")
     # no broadcast hint: the question set may be large; the optimizer picks the
     # join from size statistics (the hits side is queries x k rows)
