@@ -83,3 +83,22 @@ def test_write_chunks_dynamic_overwrite(spark):
     K.write_chunks(b, path, mode="overwrite")   # replaces domain d1 only
     got = sorted((r.domain, r.chunk_id) for r in spark.read.parquet(path).collect())
     assert got == [("d1", "c#0"), ("d2", "b#0")]
+
+
+def test_embed_with_failed_chunk_drops_document(spark):
+    docs = spark.createDataFrame([("ok", "d", "alpha beta"), ("bad", "d", "POISON gamma")],
+                                 "file_path string, domain string, text string")
+    chunks = K.chunk_tokens(docs)
+
+    def model(texts):
+        if any("POISON" in t for t in texts):
+            raise ValueError("400 input rejected: length")
+        return [[1.0, float(len(t))] for t in texts]
+
+    vecs = K.embed_with(chunks, model, batch_rows=8)
+    errors = {r.file_path: r.error for r in vecs.collect()}
+    assert errors["ok"] is None and "failed permanently" in errors["bad"]
+    kept = K.drop_failed_documents(chunks, vecs)
+    assert [r.file_path for r in kept.collect()] == ["ok"]
+    # the failed document has no stored chunk, so the next run picks it up again
+    assert [r.file_path for r in K.not_indexed(docs, kept).collect()] == ["bad"]

@@ -105,3 +105,13 @@ def test_main_domain_filter(spark):
     assert got == [(1, 1), (1, 2)]
     sites = spark.createDataFrame([("ethz.ch",)], "domain string")
     assert sorted((r.qid, r.pos) for r in E.main_domain_docs(rel, sites).collect()) == got
+
+
+def test_knn_payload_join_back_in_block_mode(spark):
+    corpus = spark.createDataFrame([(f"c{i}", [float(i % 7), 1.0], f"text {i}") for i in range(40)],
+                                   "chunk_id string, embedding array<float>, text string")
+    qs = spark.createDataFrame([(q, [float(q), 1.0]) for q in range(12)], "qid int, embedding array<float>")
+    one = R.knn_exact(qs, corpus, 4, payload=["text"]).orderBy("qid", "rank").collect()
+    blocks = R.knn_exact(qs, corpus, 4, payload=["text"], broadcast_limit=3 * 2 * 8 + 200).orderBy("qid", "rank").collect()
+    assert [tuple(r) for r in one] == [tuple(r) for r in blocks]
+    assert all(r.text == "text " + r.chunk_id[1:] for r in one)

@@ -102,14 +102,16 @@ def knn_exact(queries: DataFrame, corpus: DataFrame, k: int, qid_col: str = "qid
     parts = []
     blocks = math.ceil(n_q / block)
     if blocks == 1:
-        parts.append(_knn_block(qdf, corpus, k, id_col, vec_col))
+        parts.append(_knn_block(qdf, corpus, k, id_col, vec_col, dim))
     else:
         # deterministic query blocks; twice as many hash groups as needed so a
         # group stays under the bound despite hash variation
         groups = 2 * blocks
         numbered = qdf.withColumn("_b", F.pmod(F.xxhash64("qid"), F.lit(groups)))
         for b in range(groups):
-            parts.append(_knn_block(numbered.where(F.col("_b") == b).drop("_b"), corpus, k, id_col, vec_col))
+            part = _knn_block(numbered.where(F.col("_b") == b).drop("_b"), corpus, k, id_col, vec_col, dim)
+            if part is not None:
+                parts.append(part)
     qdf.unpersist()  # every block has been collected and broadcast by now
     cands = parts[0]
     for p in parts[1:]:
@@ -122,11 +124,12 @@ def knn_exact(queries: DataFrame, corpus: DataFrame, k: int, qid_col: str = "qid
     return ranked.select("qid", "rank", "score", id_col, *payload)
 
 
-def _knn_block(qdf: DataFrame, corpus: DataFrame, k: int, id_col: str, vec_col: str) -> DataFrame:
+def _knn_block(qdf: DataFrame, corpus: DataFrame, k: int, id_col: str, vec_col: str, dim: int) -> DataFrame | None:
     spark = corpus.sparkSession
     rows = qdf.collect()  # bounded: the caller sized the block under the broadcast limit
+    if not rows:
+        return None
     qids = [r["qid"] for r in rows]
-    dim = max((len(r["qv"] or []) for r in rows), default=0)
     Q = np.zeros((len(rows), dim), dtype=np.float64)
     for i, r in enumerate(rows):
         v = r["qv"] or []
