@@ -45,6 +45,30 @@ def q_base_site(spark, sf):
     return p.select("page_id", "url", U.base_site("url").alias("base_site"), U.base_url("url").alias("base_url"))
 
 
+def q_base_url(spark, sf):
+    p = table(spark, sf, "pages")
+    return p.select("page_id", U.base_url("url").alias("base_url"))
+
+
+def q_suffix_repair(spark, sf):
+    recs = S.response_records(table(spark, sf, "pages"))
+    return C.with_archive_path(recs).select("archive", "seq", "rel_path", "suffix_known")
+
+
+def q_numbered_paths(spark, sf):
+    return I.captures(spark, sf).select("archive", "seq", "domain", "rel_path")
+
+
+def q_url_matches(spark, sf):
+    """Every pair of relevant URLs of one question (equi-join on the question):
+    do they match under URL normalization?"""
+    bench, pages = table(spark, sf, "benchmark"), table(spark, sf, "pages")
+    _, rel = E.questions_long(S.question_sheet(bench, pages))
+    a = rel.select("qid", F.col("pos").alias("pos_a"), U.normalize_url("url").alias("na"))
+    b = rel.select("qid", F.col("pos").alias("pos_b"), U.normalize_url("url").alias("nb"))
+    return a.join(b, "qid").select("qid", "pos_a", "pos_b", U.urls_match(F.col("na"), F.col("nb")).alias("matches"))
+
+
 def q_normalized_urls(spark, sf):
     p = table(spark, sf, "pages")
     return p.select("page_id", U.normalize_url("url").alias("norm_url"))
@@ -132,6 +156,14 @@ def q_documents_union(spark, sf):
     return D.all_documents(html, pdf).select("file_path", "kind", "title", "text")
 
 
+def q_page_urls(spark, sf):
+    return I.page_documents(spark, sf).select("file_path", "url", "url_preview")
+
+
+def q_retrieval_dates(spark, sf):
+    return I.page_documents(spark, sf).select("file_path", "retrieval_date")
+
+
 def q_conversion_summary(spark, sf):
     inp = I.inputs(spark, sf)
     conv = D.html_documents(I.latest_pages(spark, sf, inp), inp.domains)
@@ -284,6 +316,12 @@ def q_accuracy_report(spark, sf):
     return E.accuracy_report(E.accuracy_at_k(_evals(spark, sf)))
 
 
+def q_scenario_compare(spark, sf):
+    """The four scenarios side by side: metrics plus accuracy at every k."""
+    ev = _evals(spark, sf)
+    return E.scenario_metrics(ev).join(E.accuracy_report(E.accuracy_at_k(ev)), "scenario")
+
+
 # ---------------------------------------------------------------- records
 def _records(spark, sf):
     return S.warc_records(table(spark, sf, "pages"))
@@ -336,6 +374,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "site_list": q_site_list,
     "domain_map": q_domain_map,
     "base_site": q_base_site,
+    "base_url": q_base_url,
+    "suffix_repair": q_suffix_repair,
+    "numbered_paths": q_numbered_paths,
+    "url_matches": q_url_matches,
     "normalized_urls": q_normalized_urls,
     "archive_path": q_archive_path,
     "captures": q_captures,
@@ -352,6 +394,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_titles": q_page_titles,
     "page_text": q_page_text,
     "html_documents": q_html_documents,
+    "page_urls": q_page_urls,
+    "retrieval_dates": q_retrieval_dates,
     "conversion_summary": q_conversion_summary,
     "documents_union": q_documents_union,
     "pdf_documents": q_pdf_documents,
@@ -373,6 +417,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scenario_metrics": q_scenario_metrics,
     "accuracy_at_k": q_accuracy_at_k,
     "accuracy_report": q_accuracy_report,
+    "scenario_compare": q_scenario_compare,
     "record_census": q_record_census,
     "header_filter": q_header_filter,
     "media_types": q_media_types,

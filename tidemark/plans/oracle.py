@@ -347,6 +347,12 @@ def _sql() -> dict[str, str]:
     bs, bsf = base_site("url", "_b")
     q["base_site"] = (f"SELECT page_id, url, base_site, base_url FROM (SELECT page_id, url, {', '.join(bs)}, "
                       f"{bsf} AS base_site, {base_url('url')} AS base_url FROM pages)")
+    q["base_url"] = f"SELECT page_id, {base_url('url')} AS base_url FROM pages"
+    q["suffix_repair"] = _with(RECORDS, PATHS) + " SELECT archive, seq, rel0 AS rel_path, suffix_known FROM paths"
+    q["numbered_paths"] = _with(RECORDS, PATHS) + " SELECT archive, seq, domain, rel_path FROM caps"
+    na, naf = normalize_url("url", "_na")
+    q["url_matches"] = _with(SITES, QUESTIONS, f"qn AS (SELECT qid, pos, {', '.join(na)}, {naf} AS nu FROM qlong)") + (
+        f" SELECT a.qid, a.pos AS pos_a, b.pos AS pos_b, {url_match('a.nu', 'b.nu')} AS matches FROM qn a JOIN qn b ON a.qid = b.qid")
     nu, nuf = normalize_url("url", "_n")
     q["normalized_urls"] = f"SELECT page_id, norm_url FROM (SELECT page_id, {', '.join(nu)}, {nuf} AS norm_url FROM pages)"
     q["archive_path"] = _with(RECORDS, PATHS) + " SELECT archive, seq, domain, rel0 AS rel_path, suffix_known FROM paths"
@@ -375,6 +381,8 @@ def _sql() -> dict[str, str]:
     q["page_text"] = f"SELECT page_id, {html_text('html')} AS text FROM pages"
     base_html = _with(RECORDS, PATHS, SITES, LATEST, HTMLDOCS)
     q["html_documents"] = base_html + " SELECT file_path, file_name, domain, title, source, url, url_preview, retrieval_date, kind, text FROM hdocs"
+    q["page_urls"] = base_html + " SELECT file_path, url, url_preview FROM hdocs"
+    q["retrieval_dates"] = base_html + " SELECT file_path, retrieval_date FROM hdocs"
     q["conversion_summary"] = base_html + (
         " SELECT domain, count(*) FILTER (WHERE status = 'converted') AS converted, count(*) FILTER (WHERE status = 'skipped') AS skipped,"
         " count(*) FILTER (WHERE status = 'failed') AS failed FROM conv GROUP BY ROLLUP (domain)")
@@ -435,6 +443,12 @@ pdocs AS (SELECT file, file_name, n_pages,
     q["accuracy_at_k"] = base_eval + "," + acc + " SELECT scenario, k, accuracy FROM acc"
     cols = ", ".join(f"any_value(printf('%.1f%%', round(accuracy * 100, 1))) FILTER (WHERE k = {k}) AS k_{k}" for k in [1, 3, 5, 10, 25, 50, 100])
     q["accuracy_report"] = base_eval + "," + acc + f" SELECT scenario, {cols} FROM acc GROUP BY scenario"
+    q["scenario_compare"] = base_eval + "," + acc + (
+        f", rep AS (SELECT scenario, {cols} FROM acc GROUP BY scenario),"
+        " met AS (SELECT scenario, count(*) FILTER (WHERE success) AS successful, count(*) - count(*) FILTER (WHERE success) AS failed,"
+        " (count(*) FILTER (WHERE success))::DOUBLE / count(*) AS accuracy, sum(n_found)::DOUBLE / sum(n_relevant) AS recall,"
+        " avg(rank_of_first_match) AS avg_rank_first_match FROM ev GROUP BY 1)"
+        " SELECT met.*, " + ", ".join(f"rep.k_{k}" for k in [1, 3, 5, 10, 25, 50, 100]) + " FROM met JOIN rep USING (scenario)")
     recs = RECORDS + f""",
 recs AS (SELECT archive, seq * 2 AS "offset", 'request' AS warc_type, target_uri, NULL AS http_status, NULL AS media_type,
            'application/http; msgtype=request' AS wct, FALSE AS is_resp, NULL AS ctype, content_encoding, NULL::BLOB AS body FROM rec
