@@ -344,6 +344,8 @@ def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["site_list"] = _with(SITES) + " SELECT domain FROM sites"
     q["domain_map"] = _with(SITES) + " SELECT domain, base_url FROM dmap"
+    q["lookup_export"] = _with(SITES) + (
+        " SELECT to_json(map_from_entries(list(struct_pack(k := domain, v := base_url) ORDER BY domain))) AS json FROM dmap")
     bs, bsf = base_site("url", "_b")
     q["base_site"] = (f"SELECT page_id, url, base_site, base_url FROM (SELECT page_id, url, {', '.join(bs)}, "
                       f"{bsf} AS base_site, {base_url('url')} AS base_url FROM pages)")
