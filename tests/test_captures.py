@@ -46,3 +46,14 @@ def test_fingerprint_sampled(spark):
     n = len(big)
     sample = big[:8192] + big[n // 2: n // 2 + 8192] + big[-8192:]
     assert got == [hashlib.md5(small).hexdigest(), hashlib.md5(sample).hexdigest()]
+
+
+def test_collision_numbering_across_buckets(spark):
+    """A hot path spread over many order buckets numbers exactly like one window."""
+    rows = [("A", i * 7, "d", "hot.html") for i in range(300)] + [("A", 5, "d", "cold.html"), ("B", 3, "d", "hot.html")]
+    df = spark.createDataFrame(rows, "archive string, seq bigint, domain string, rel_path string")
+    got = {(r.archive, r.seq): r.rel_path for r in C.number_collisions(df, ["archive", "domain"], "rel_path", "seq",
+                                                                          bucket_width=16).collect()}
+    assert got[("A", 0)] == "hot.html" and got[("A", 7)] == "hot(1).html" and got[("A", 299 * 7)] == "hot(299).html"
+    assert got[("A", 5)] == "cold.html" and got[("B", 3)] == "hot.html"
+    assert len(set(got.values())) == 302 - 1  # every hot row distinct, cold and B's hot.html share a name

@@ -71,17 +71,35 @@ def repaired_file(stem: Column, ext: Column, suffix: Column) -> Column:
     return F.when(suffix.isNotNull(), F.concat(stem, suffix)).otherwise(F.concat(stem, F.lit("."), ext))
 
 
-def number_collisions(df: DataFrame, keys: list[str], path_col: str, order_col: str) -> DataFrame:
-    """Same path again within ``keys`` -> ``(1)``, ``(2)``... before the last dot."""
-    w = Window.partitionBy(*keys, path_col).orderBy(order_col)
-    n = F.row_number().over(w) - 1
+def number_collisions(df: DataFrame, keys: list[str], path_col: str, order_col: str,
+                      bucket_width: int = 4096) -> DataFrame:
+    """Same path again within ``keys`` -> ``(1)``, ``(2)``... before the last dot.
+
+    Skew-safe ranking: records are ranked inside (group, order bucket) windows,
+    where a bucket is a range of ``bucket_width`` positions; bucket counts per
+    group are prefix-summed (at most one row per bucket, never a whole group) and
+    joined back on (group, bucket).  A path fetched millions of times inside one
+    archive is thus spread over many tasks, and the result equals a single
+    ``row_number`` per group.
+    """
+    g = [*keys, path_col]
+    bucket = F.floor(F.col(order_col) / F.lit(bucket_width))
+    keyed = df.withColumn("_bk", bucket)
+    w = Window.partitionBy(*g, "_bk").orderBy(order_col)
+    local = keyed.withColumn("_r", F.row_number().over(w))
+    # keys-only second pass with partial aggregation (no bodies travel here)
+    counts = keyed.groupBy(*g, "_bk").agg(F.count("*").alias("_c"))
+    before = Window.partitionBy(*g).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*g, "_bk", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    ranked = local.join(offsets, [*g, "_bk"])
+    n = F.col("_off") + F.col("_r") - 1
     p = F.col(path_col)
     dot = F.length(p) - F.locate(".", F.reverse(p)) + 1
     has_dot = F.instr(p, ".") > 0
     numbered = F.when(n == 0, p).when(
         has_dot, F.concat(F.substring(p, F.lit(1), dot - 1), F.lit("("), n.cast("string"), F.lit(")"), F.substring(p, dot, 1 << 30))
     ).otherwise(F.concat(p, F.lit("("), n.cast("string"), F.lit(")")))
-    return df.withColumn(path_col, numbered)
+    return ranked.withColumn(path_col, numbered).drop("_bk", "_r", "_off")
 
 
 def capture_ts(archive: Column | str) -> Column:
