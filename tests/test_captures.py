@@ -57,3 +57,15 @@ def test_collision_numbering_across_buckets(spark):
     assert got[("A", 0)] == "hot.html" and got[("A", 7)] == "hot(1).html" and got[("A", 299 * 7)] == "hot(299).html"
     assert got[("A", 5)] == "cold.html" and got[("B", 3)] == "hot.html"
     assert len(set(got.values())) == 302 - 1  # every hot row distinct, cold and B's hot.html share a name
+
+
+def test_options_by_content_and_normalized_keys(spark):
+    rows = [("A", 1, "d", "x.html", None, 5, b"aaaaa"), ("A", 2, "d", "x(1).html", None, 5, b"bbbbb"),
+            ("A", 3, "d", "x(2).html", None, 5, b"aaaaa")]
+    df = spark.createDataFrame(rows, SCHEMA + ", body binary")
+    assert sorted(r.rel_path for r in C.dedup_captures(df).collect()) == ["x.html"]
+    assert sorted(r.rel_path for r in C.dedup_captures(df, by_content=True).collect()) == ["x(1).html", "x.html"]
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 6, 1)
+    crawls = spark.createDataFrame([("A", 1, "d", "en.html", t1, 1), ("B", 2, "d", "en(1).html", t2, 1)], SCHEMA)
+    assert sorted(r.rel_path for r in C.latest_captures(crawls).collect()) == ["en(1).html", "en.html"]
+    assert [r.rel_path for r in C.latest_captures(crawls, normalize_keys=True).collect()] == ["en(1).html"]

@@ -115,3 +115,11 @@ def test_knn_payload_join_back_in_block_mode(spark):
     blocks = R.knn_exact(qs, corpus, 4, payload=["text"], broadcast_limit=3 * 2 * 8 + 200).orderBy("qid", "rank").collect()
     assert [tuple(r) for r in one] == [tuple(r) for r in blocks]
     assert all(r.text == "text " + r.chunk_id[1:] for r in one)
+
+
+def test_exact_url_matching_option(spark):
+    hits = spark.createDataFrame([("s", 1, 1, "https://ethz.ch", "https://ethz.ch")],
+                                 "scenario string, qid int, rank int, url string, url_preview string")
+    rel = spark.createDataFrame([(1, 1, "https://ethz.ch/page")], "qid int, pos int, url string")
+    assert E.relevance_ranks(hits, rel).count() == 1            # root contains-match by default
+    assert E.relevance_ranks(hits, rel, exact=True).count() == 0

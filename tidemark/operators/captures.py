@@ -170,26 +170,33 @@ def with_archive_path(records: DataFrame, url_col: str = "target_uri", media_col
 
 
 # ---------------------------------------------------------------- selection
-def dedup_captures(captures: DataFrame) -> DataFrame:
+def dedup_captures(captures: DataFrame, by_content: bool = False) -> DataFrame:
     """Within one capture folder (archive, domain) keep one file per normalized name:
     the largest; equal sizes -> the shortest, then smallest path.  The kept file
-    keeps its own path."""
+    keeps its own path.  ``by_content=True`` keeps one file per distinct content
+    (fingerprint) instead of one per name."""
     cols = captures.columns
     order = F.struct(-F.col("size"), F.length("rel_path"), F.col("rel_path"))
     keyed = captures.withColumn("_norm", normalized_name("rel_path"))
-    picked = keyed.groupBy("archive", "domain", "_norm").agg(
+    group = ["archive", "domain", "_norm"]
+    if by_content:
+        keyed = keyed.withColumn("_fp", fingerprint(F.col("body").cast("binary"), F.col("size")))
+        group.append("_fp")
+    picked = keyed.groupBy(*group).agg(
         F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_row")
     )
     return picked.select("_row.*")
 
 
-def latest_captures(captures: DataFrame) -> DataFrame:
+def latest_captures(captures: DataFrame, normalize_keys: bool = False) -> DataFrame:
     """Newest version per (domain, rel_path); null times never win over a time;
-    equal times -> smallest archive name."""
+    equal times -> smallest archive name.  ``normalize_keys=True`` treats
+    ``en(1).html`` and ``en.html`` of different crawls as the same page."""
     cols = captures.columns
     ts_num = F.date_format("capture_ts", "yyyyMMddHHmmss").cast("bigint")
     order = F.struct(F.col("capture_ts").isNull(), -ts_num, F.col("archive"))
-    picked = captures.groupBy("domain", "rel_path").agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_row"))
+    key = normalized_name("rel_path") if normalize_keys else F.col("rel_path")
+    picked = captures.groupBy("domain", key.alias("_key")).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_row"))
     return picked.select("_row.*")
 
 

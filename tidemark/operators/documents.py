@@ -77,7 +77,7 @@ def convert_status(text: Column) -> Column:
 
 def html_documents(pages_latest: DataFrame, domains: DataFrame, sites: DataFrame | None = None,
                    exclude_domains: list[str] | None = None, exclude_keywords: list[str] | None = None,
-                   source: str = DEFAULT_SOURCE, text_fn=None) -> DataFrame:
+                   source: str = DEFAULT_SOURCE, text_fn=None, status: str | None = None) -> DataFrame:
     """Newest captures -> documents with URL, preview, capture date, title.
 
     ``text_fn(body_string_column) -> Column`` converts the page; the default is
@@ -87,6 +87,8 @@ def html_documents(pages_latest: DataFrame, domains: DataFrame, sites: DataFrame
     exclude_domains = EXCLUDE_DOMAINS if exclude_domains is None else exclude_domains
     exclude_keywords = HTML_EXCLUDE_FILE_KEYWORDS if exclude_keywords is None else exclude_keywords
     df = pages_latest.where(F.col("rel_path").rlike(HTML_FILE_PATTERN))
+    if status is not None:  # error pages are indexed unless a status is required
+        df = df.where(F.col("http_status") == status)
     df = df.where(~keyword_excluded(file_name("rel_path"), exclude_keywords))
     if exclude_domains:
         df = df.where(~F.col("domain").isin(exclude_domains))

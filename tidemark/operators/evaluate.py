@@ -62,21 +62,30 @@ def with_main_questions(questions: DataFrame, relevant_main: DataFrame) -> DataF
     return questions.join(relevant_main.select("qid").distinct(), "qid", "left_semi")
 
 
-def relevance_ranks(hits: DataFrame, relevant: DataFrame) -> DataFrame:
+def relevance_ranks(hits: DataFrame, relevant: DataFrame, exact: bool = False) -> DataFrame:
     """For every (scenario, question, relevant URL) the first rank whose ``url`` or
-    ``url_preview`` matches; equi-join on the question, URL test as residual."""
+    ``url_preview`` matches; equi-join on the question, URL test as residual.
+
+    By default a URL matches when either normalized form contains the other (so a
+    site root matches every page); ``exact=True`` requires equal normalized URLs.
+    """
     h = hits.select("scenario", "qid", "rank",
                     U.normalize_url(F.col("url")).alias("_nu"), U.normalize_url(F.col("url_preview")).alias("_np"))
     r = relevant.select("qid", "pos", F.col("url").alias("relevant_url"), U.normalize_url(F.col("url")).alias("_nr"))
-    cond = (h.qid == r.qid) & (U.urls_match(F.col("_nu"), F.col("_nr")) | U.urls_match(F.col("_np"), F.col("_nr")))
+    if exact:
+        same = (F.col("_nu") == F.col("_nr")) | (F.col("_np") == F.col("_nr"))
+    else:
+        same = U.urls_match(F.col("_nu"), F.col("_nr")) | U.urls_match(F.col("_np"), F.col("_nr"))
+    cond = (h.qid == r.qid) & same
     m = h.join(r, cond).select("scenario", h.qid.alias("qid"), "pos", "relevant_url", "rank")
     return m.groupBy("scenario", "qid", "pos", "relevant_url").agg(F.min("rank").alias("match_rank"))
 
 
-def eval_questions(hits: DataFrame, questions: DataFrame, relevant: DataFrame, scenarios: DataFrame) -> DataFrame:
+def eval_questions(hits: DataFrame, questions: DataFrame, relevant: DataFrame, scenarios: DataFrame,
+                   exact: bool = False) -> DataFrame:
     """Per scenario and question: retrieved count, found and missing URLs, ranks,
     success, rank of the first found URL in sheet order, best rank."""
-    ranks = relevance_ranks(hits, relevant)
+    ranks = relevance_ranks(hits, relevant, exact)
     rel = relevant.join(questions.select("qid"), "qid", "left_semi")
     per = scenario_relevant(rel, scenarios).join(ranks.drop("relevant_url"), ["scenario", "qid", "pos"], "left")
     ordered = F.array_sort(F.collect_list(F.struct("pos", "url", "match_rank")))
