@@ -102,3 +102,13 @@ def test_embed_with_failed_chunk_drops_document(spark):
     assert [r.file_path for r in kept.collect()] == ["ok"]
     # the failed document has no stored chunk, so the next run picks it up again
     assert [r.file_path for r in K.not_indexed(docs, kept).collect()] == ["bad"]
+
+
+def test_incremental_content_key(spark):
+    old = K.with_content_key(spark.createDataFrame([("a", "d", "v1 text"), ("b", "d", "same")],
+                                                   "file_path string, domain string, text string"))
+    store = K.chunk_tokens(K.clean_documents(old))
+    new = K.with_content_key(spark.createDataFrame([("a", "d", "v2 text"), ("b", "d", "same")],
+                                                   "file_path string, domain string, text string"))
+    assert K.not_indexed(new, store).count() == 0                                   # path key: nothing to do
+    assert [r.file_path for r in K.not_indexed(new, store, ["file_path", "content_md5"]).collect()] == ["a"]

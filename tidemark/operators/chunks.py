@@ -114,12 +114,22 @@ def drop_failed_documents(chunks: DataFrame, vectors: DataFrame, id_col: str = "
     return chunks.join(ok, id_col).join(failed, group_col, "left_anti")
 
 
-def not_indexed(docs: DataFrame, chunks_table: DataFrame | None, key_col: str = "file_path") -> DataFrame:
-    """Documents whose key has no stored chunk yet (failed ones are retried)."""
+def with_content_key(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Add ``content_md5`` so an incremental run can key on path + content."""
+    return docs.withColumn("content_md5", F.md5(F.col(text_col)))
+
+
+def not_indexed(docs: DataFrame, chunks_table: DataFrame | None, key_col: str | list[str] = "file_path") -> DataFrame:
+    """Documents whose key has no stored chunk yet (failed ones are retried).
+
+    The default key is the path (changed content is not re-indexed, as in the
+    reference); ``key_col=["file_path", "content_md5"]`` re-indexes changed files.
+    """
     if chunks_table is None:
         return docs
-    done = chunks_table.select(key_col).distinct()
-    return docs.join(done, key_col, "left_anti")
+    keys = [key_col] if isinstance(key_col, str) else list(key_col)
+    done = chunks_table.select(*keys).distinct()
+    return docs.join(done, keys, "left_anti")
 
 
 def index_summary(docs: DataFrame, new_chunks: DataFrame, chunks_table: DataFrame | None,
