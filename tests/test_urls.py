@@ -67,3 +67,15 @@ def test_media_params(spark):
     assert got[0] == ("text/html", {"charset": "utf-8"})
     assert got[1] == ("a/b", {"x": "1", "y": "2"})
     assert got[2] == (None, None)
+
+
+def test_keep_query_option(spark):
+    from tidemark.operators import captures as Cap
+
+    df = spark.createDataFrame([("http://a.ch/x.php?id=1", "text/html", None), ("http://a.ch/x.php?id=2", "text/html", None),
+                                ("http://a.ch/x.php", "text/html", None)],
+                               "target_uri string, media_type string, content_encoding string")
+    default = [r.rel_path for r in Cap.with_archive_path(df).collect()]
+    assert default == ["x.html", "x.html", "x.html"]
+    kept = [r.rel_path for r in Cap.with_archive_path(df, keep_query=True).collect()]
+    assert len(set(kept)) == 3 and kept[2] == "x.html" and all(k.endswith(".html") for k in kept)

@@ -100,7 +100,7 @@ def strip_first_www(host: Column) -> Column:
     )
 
 
-def with_archive_path_parts(df, url_col: str, prefix: str = "_u"):
+def with_archive_path_parts(df, url_col: str, prefix: str = "_u", keep_query: bool = False):
     """Add ``{prefix}host``, ``{prefix}dir`` and ``{prefix}file``: the on-disk layout
     of a target URI.  URL-decoded (``+`` kept), query and fragment dropped; a last
     segment without a dot becomes a directory holding ``index.html``; dots in the
@@ -123,6 +123,12 @@ def with_archive_path_parts(df, url_col: str, prefix: str = "_u"):
         F.when(no_dot, as_dir).otherwise(F.regexp_extract(f"{p}path", r"^(.*/)?", 1)), F.lit("."), F.lit("-")))
     out = out.withColumn(f"{p}file", F.regexp_replace(
         F.when(no_dot, F.lit(INDEX_FILE)).otherwise(F.col(f"{p}f0")), r"\.(?=[^.]*\.)", "-"))
+    if keep_query:
+        # a query string becomes part of the name (short digest before the suffix),
+        # so ?id=1 and ?id=2 are separate files instead of numbered duplicates
+        q = F.regexp_extract(f"{p}dec", _RFC3986, 7)
+        tagged = F.regexp_replace(F.col(f"{p}file"), r"(\.[^.]*)$", F.concat(F.lit("-q"), F.substring(F.md5(q), 1, 8), F.lit("$1")))
+        out = out.withColumn(f"{p}file", F.when(q != "", tagged).otherwise(F.col(f"{p}file")))
     return out.drop(f"{p}dec", f"{p}h0", f"{p}path", f"{p}f0")
 
 

@@ -152,9 +152,10 @@ def default_suffix(media: Column) -> Column:
 
 
 def with_archive_path(records: DataFrame, url_col: str = "target_uri", media_col: str = "media_type",
-                      encoding_col: str = "content_encoding") -> DataFrame:
-    """Add ``domain``, ``rel_path`` (before collision numbering) and ``suffix_known``."""
-    parts = U.with_archive_path_parts(records, url_col, "_u")
+                      encoding_col: str = "content_encoding", keep_query: bool = False) -> DataFrame:
+    """Add ``domain``, ``rel_path`` (before collision numbering) and ``suffix_known``.
+    ``keep_query=True`` keeps URLs that differ only by query string apart."""
+    parts = U.with_archive_path_parts(records, url_col, "_u", keep_query)
     stem = F.regexp_extract("_ufile", r"^(.*)\.[^.]*$", 1)
     ext = F.regexp_extract("_ufile", r"\.([^.]*)$", 1)
     out = (

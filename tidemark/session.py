@@ -39,6 +39,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # page bodies and chunk texts are wide: keep Arrow batches to Python small
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
