@@ -68,12 +68,12 @@ def test_expansion_fallback(spark):
 
 def _eval_fixture(spark):
     hits = spark.createDataFrame([
-        ("s", 1, 1, "https://ethz.ch/a/index.html", "https://ethz.ch/a"),
-        ("s", 1, 2, "https://ethz.ch/b.html", "https://ethz.ch/b.html"),
-        ("s", 2, 1, "https://ethz.ch/c", "https://ethz.ch/c"),
+        ("s", 1, 1, "https://uni.example/a/index.html", "https://uni.example/a"),
+        ("s", 1, 2, "https://uni.example/b.html", "https://uni.example/b.html"),
+        ("s", 2, 1, "https://uni.example/c", "https://uni.example/c"),
     ], "scenario string, qid int, rank int, url string, url_preview string")
-    rel = spark.createDataFrame([(1, 1, "https://ethz.ch/b"), (1, 2, "https://ethz.ch/a/"), (2, 1, "https://ethz.ch/zz"),
-                                 (3, 1, "https://ethz.ch/q")], "qid int, pos int, url string")
+    rel = spark.createDataFrame([(1, 1, "https://uni.example/b"), (1, 2, "https://uni.example/a/"), (2, 1, "https://uni.example/zz"),
+                                 (3, 1, "https://uni.example/q")], "qid int, pos int, url string")
     qs = spark.createDataFrame([(1, "q"), (2, "r"), (3, "t")], "qid int, question string")
     sc = spark.createDataFrame([("s",)], "scenario string")
     return hits, rel, qs, sc
@@ -85,7 +85,7 @@ def test_eval_rank_of_first_match_follows_sheet_order(spark):
     # relevant #1 (b) ranks 2, relevant #2 (a) ranks 1: first match follows list order
     assert ev[1].rank_of_first_match == 2 and ev[1].best_rank == 1 and ev[1].success
     assert not ev[2].success and ev[2].retrieved_count == 1
-    assert ev[3].retrieved_count == 0 and ev[3].missing_docs == ["https://ethz.ch/q"]
+    assert ev[3].retrieved_count == 0 and ev[3].missing_docs == ["https://uni.example/q"]
 
 
 def test_accuracy_at_k_monotone_and_counts_all_questions(spark):
@@ -99,11 +99,11 @@ def test_accuracy_at_k_monotone_and_counts_all_questions(spark):
 
 
 def test_main_domain_filter(spark):
-    rel = spark.createDataFrame([(1, 1, "https://ethz.ch/x"), (1, 2, "https://www.ethz.ch/y"), (2, 1, "https://staff.ethz.ch/z"),
-                                 (3, 1, "http://www.www.ethz.ch/")], "qid int, pos int, url string")
-    got = sorted((r.qid, r.pos) for r in E.main_domain_docs(rel, "ethz.ch").collect())
+    rel = spark.createDataFrame([(1, 1, "https://uni.example/x"), (1, 2, "https://www.uni.example/y"), (2, 1, "https://staff.uni.example/z"),
+                                 (3, 1, "http://www.www.uni.example/")], "qid int, pos int, url string")
+    got = sorted((r.qid, r.pos) for r in E.main_domain_docs(rel, "uni.example").collect())
     assert got == [(1, 1), (1, 2)]
-    sites = spark.createDataFrame([("ethz.ch",)], "domain string")
+    sites = spark.createDataFrame([("uni.example",)], "domain string")
     assert sorted((r.qid, r.pos) for r in E.main_domain_docs(rel, sites).collect()) == got
 
 
@@ -118,8 +118,8 @@ def test_knn_payload_join_back_in_block_mode(spark):
 
 
 def test_exact_url_matching_option(spark):
-    hits = spark.createDataFrame([("s", 1, 1, "https://ethz.ch", "https://ethz.ch")],
+    hits = spark.createDataFrame([("s", 1, 1, "https://uni.example", "https://uni.example")],
                                  "scenario string, qid int, rank int, url string, url_preview string")
-    rel = spark.createDataFrame([(1, 1, "https://ethz.ch/page")], "qid int, pos int, url string")
+    rel = spark.createDataFrame([(1, 1, "https://uni.example/page")], "qid int, pos int, url string")
     assert E.relevance_ranks(hits, rel).count() == 1            # root contains-match by default
     assert E.relevance_ranks(hits, rel, exact=True).count() == 0

@@ -12,39 +12,39 @@ def _one(spark, col_fn, values, typ="string"):
 
 
 def test_base_site_edges(spark):
-    vals = ["http://ethz.ch/about/test.png", "https://www.ethz.ch:8080/x", "http://http://x.org/a", "dns:host.ch",
-            "mailto:a@x", "https://www2.a.ch/", "https://www4.a.ch/", "ethz.ch/page", "https://a.ch./", "", None]
+    vals = ["http://uni.example/about/test.png", "https://www.uni.example:8080/x", "http://http://x.org/a", "dns:host.ch",
+            "mailto:a@x", "https://www2.a.ch/", "https://www4.a.ch/", "uni.example/page", "https://a.ch./", "", None]
     got = _one(spark, U.base_site, vals)
-    assert got == ["ethz.ch", "ethz.ch", "x.org", "host.ch", "a@x", "a.ch", "a.ch", "ethz.ch", "a.ch", None, None]
+    assert got == ["uni.example", "uni.example", "x.org", "host.ch", "a@x", "a.ch", "a.ch", "uni.example", "a.ch", None, None]
 
 
 def test_base_url(spark):
-    got = _one(spark, U.base_url, ["https://ethz.ch/de/about/test.html", "ethz.ch/x", "http://a.b"])
-    assert got == ["https://ethz.ch", "ethz.ch/x", "http://a.b"]
+    got = _one(spark, U.base_url, ["https://uni.example/de/about/test.html", "uni.example/x", "http://a.b"])
+    assert got == ["https://uni.example", "uni.example/x", "http://a.b"]
 
 
 def test_normalize_url_examples(spark):
-    vals = ["https://ethz.ch/page.pdf", "https://ethz.ch/page.html", "https://ethz.ch/services/",
-            "https://ethz.ch/index.html", "HTTPS://ETHZ.CH/A?q=1#frag", "  ", None, "https://e.ch/x.html.html",
+    vals = ["https://uni.example/page.pdf", "https://uni.example/page.html", "https://uni.example/services/",
+            "https://uni.example/index.html", "HTTPS://UNI.EXAMPLE/A?q=1#frag", "  ", None, "https://e.ch/x.html.html",
             "https://e.ch/a;params"]
     got = _one(spark, U.normalize_url, vals)
-    assert got == ["https://ethz.ch/page", "https://ethz.ch/page", "https://ethz.ch/services", "https://ethz.ch",
-                   "https://ethz.ch/a", None, None, "https://e.ch/x.html", "https://e.ch/a"]
+    assert got == ["https://uni.example/page", "https://uni.example/page", "https://uni.example/services", "https://uni.example",
+                   "https://uni.example/a", None, None, "https://e.ch/x.html", "https://e.ch/a"]
 
 
 def test_url_match_root_vs_page(spark):
-    df = spark.createDataFrame([("https://ethz.ch", "https://ethz.ch/a/b"), ("https://ethz.ch/a/b", "https://ethz.ch"),
-                                (None, "https://ethz.ch"), ("https://x.ch/a", "https://y.ch/b")], "a string, b string")
+    df = spark.createDataFrame([("https://uni.example", "https://uni.example/a/b"), ("https://uni.example/a/b", "https://uni.example"),
+                                (None, "https://uni.example"), ("https://x.ch/a", "https://y.ch/b")], "a string, b string")
     got = [r[0] for r in df.select(U.urls_match(U.normalize_url("a"), U.normalize_url("b"))).collect()]
     assert got == [True, True, False, False]
 
 
 def test_archive_path_rules(spark):
-    df = spark.createDataFrame([("https://www.ethz.ch/de/about",), ("http://a.ch/x/y.z.html?q=1",),
+    df = spark.createDataFrame([("https://www.uni.example/de/about",), ("http://a.ch/x/y.z.html?q=1",),
                                 ("http://a.ch",), ("http://a.ch/d.e/f%20g+h.php",)], "u string")
     host, d, f = U.archive_dir_and_file(F.col("u"))
     got = [tuple(r) for r in df.select(host, d, f).collect()]
-    assert got == [("ethz.ch", "/de/about/", "index.html"), ("a.ch", "/x/", "y-z.html"),
+    assert got == [("uni.example", "/de/about/", "index.html"), ("a.ch", "/x/", "y-z.html"),
                    ("a.ch", "/", "index.html"), ("a.ch", "/d-e/", "f g+h.php")]
 
 
@@ -55,7 +55,7 @@ def test_normalized_name_not_idempotent(spark):
 
 
 def test_capture_ts(spark):
-    vals = ["ARCHIVEIT-19945-TEST-JOB2538000-0-SEED4432727-20250409125201867-00000-9618ziof.warc.gz",
+    vals = ["ARCHIVEIT-4242-TEST-JOB77-0-SEED12-20250409125201867-00000-abcd.warc.gz",
             "X-2025130912520100-y", "X-2025040912520-y", "X-20250409125201-y", None]
     got = _one(spark, C.capture_ts, vals)
     assert [str(g) if g else None for g in got] == ["2025-04-09 12:52:01", None, None, "2025-04-09 12:52:01", None]

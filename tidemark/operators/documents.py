@@ -17,9 +17,10 @@ HTML_EXCLUDE_FILE_KEYWORDS = [
 PDF_EXCLUDE_FILE_KEYWORDS = [
     "impressum", "datenschutz", "kontakt", "robots",
     "imprint", "data-protection", "contact", "copyright",
-    "5_bafu_2009_bewertung_n_l_",
 ]
-EXCLUDE_DOMAINS = ["polyphys.mat.ethz.ch", "broken-site.ethz.ch"]
+# Domains to skip are deployment-specific (sites known to break conversion):
+# a parameter, empty by default.
+EXCLUDE_DOMAINS: list[str] = []
 HTML_FILE_PATTERN = r"\.(html|htm|html\.gz)$"
 PDF_FILE_PATTERN = r"\.(pdf|pdf\.gz)$"
 DEFAULT_SOURCE = "webarchive"

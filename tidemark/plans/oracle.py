@@ -206,12 +206,19 @@ latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY domain, rel_
             ORDER BY capture_ts DESC NULLS LAST, archive) AS _rn2 FROM dedup) WHERE _rn2 = 1)"""
 
 _kw = _list(D.HTML_EXCLUDE_FILE_KEYWORDS)
+
+
+def _deny_clause() -> str:
+    if not D.EXCLUDE_DOMAINS:
+        return ""
+    return "AND domain NOT IN (" + ", ".join(_lit(d) for d in D.EXCLUDE_DOMAINS) + ")"
+
 HTMLDOCS = f"""
 conv0 AS (SELECT domain, rel_path, capture_ts, archive, {html_text('body')} AS text
   FROM latest
   WHERE regexp_matches(rel_path, {_lit(D.HTML_FILE_PATTERN)})
     AND NOT list_bool_or(list_transform({_kw}, lambda kw: strpos(lower(regexp_extract(rel_path, '([^/]*)$', 1)), kw) > 0))
-    AND domain NOT IN ({', '.join(_lit(d) for d in D.EXCLUDE_DOMAINS)})),
+    {_deny_clause()}),
 conv AS (SELECT *, CASE WHEN text IS NULL THEN 'failed' WHEN text IN ('', {_lit(T.REDIRECT_TEXT)}) THEN 'skipped' ELSE 'converted' END AS status FROM conv0),
 hd0 AS (SELECT c.domain, c.rel_path, c.capture_ts, c.text, m.base_url,
     CASE WHEN ends_with(c.rel_path, '.html.gz') THEN substr(c.rel_path, 1, length(c.rel_path) - 8) || '.md'
