@@ -79,3 +79,13 @@ def test_keep_query_option(spark):
     assert default == ["x.html", "x.html", "x.html"]
     kept = [r.rel_path for r in Cap.with_archive_path(df, keep_query=True).collect()]
     assert len(set(kept)) == 3 and kept[2] == "x.html" and all(k.endswith(".html") for k in kept)
+
+
+def test_capture_ts_ignores_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Zurich")
+        got = _one(spark, C.capture_ts, ["A-20240331023000123-B"])  # inside the local DST gap
+        assert str(got[0]) == "2024-03-31 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -105,9 +105,10 @@ def number_collisions(df: DataFrame, keys: list[str], path_col: str, order_col:
 def capture_ts(archive: Column | str) -> Column:
     """Capture time from an archive name (``-YYYYMMDDHHMMSS[mmm...]-``); bad -> null."""
     a = F.col(archive) if isinstance(archive, str) else archive
-    digits = F.regexp_extract(a, TS_PATTERN, 1)
-    parsed = F.try_to_timestamp(F.nullif(digits, F.lit("")), F.lit(TS_FORMAT))
-    return parsed.cast("timestamp_ntz")
+    d = F.nullif(F.regexp_extract(a, TS_PATTERN, 1), F.lit(""))
+    part = lambda i, n: F.substring(d, i, n).cast("int")
+    # built from its fields: no session time zone involved, invalid dates -> null
+    return F.try_make_timestamp_ntz(part(1, 4), part(5, 2), part(7, 2), part(9, 2), part(11, 2), part(13, 2))
 
 
 def folder_key(folder: Column | str) -> tuple[Column, Column]:
