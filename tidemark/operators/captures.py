@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from tidemark.functions import urls as U
 
 TS_PATTERN = r"-(\d{14})\d*-"
-TS_FORMAT = "yyyyMMddHHmmss"
 
 
 # ---------------------------------------------------------------- media types

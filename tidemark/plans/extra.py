@@ -25,7 +25,6 @@ from tidemark.sources import derived as S
 from tidemark.sources.tables import table
 from tidemark.streaming import incremental as ST
 
-ARCHIVES_PER_JOB = 4
 
 
 def _written_archives(spark: SparkSession, sf: str) -> str:
