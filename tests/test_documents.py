@@ -112,3 +112,13 @@ def test_incremental_content_key(spark):
                                                    "file_path string, domain string, text string"))
     assert K.not_indexed(new, store).count() == 0                                   # path key: nothing to do
     assert [r.file_path for r in K.not_indexed(new, store, ["file_path", "content_md5"]).collect()] == ["a"]
+
+
+def test_markdown_and_text_paths_yield_same_documents(spark, sf):
+    from tidemark.plans import indexing as I
+
+    inp = I.inputs(spark, sf)
+    latest = I.latest_pages(spark, sf, inp)
+    md = sorted(r.file_path for r in M.markdown_documents(latest, inp.domains).select("file_path").collect())
+    txt = sorted(r.file_path for r in D.pages_to_documents(latest, inp.domains).select("file_path").collect())
+    assert md == txt and len(md) > 0

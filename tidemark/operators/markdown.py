@@ -168,3 +168,28 @@ def convert_pages(pages: DataFrame, key_col: str = "rel_path", body_col: str = "
 def pages_markdown(pages_latest: DataFrame) -> DataFrame:
     conv = convert_pages(pages_latest.select("domain", "rel_path", "capture_ts", "body"))
     return conv.withColumn("n_chars", F.length("markdown"))
+
+
+def markdown_documents(pages_latest: DataFrame, domains: DataFrame, sites: DataFrame | None = None,
+                       exclude_domains: list[str] | None = None, exclude_keywords: list[str] | None = None,
+                       status: str | None = None) -> DataFrame:
+    """Newest captures -> markdown documents with URL, preview, capture date, title.
+
+    Same filters as the text path, applied before the Python conversion; then the
+    same metadata and one-document-per-key rule."""
+    from tidemark.operators import documents as D
+
+    exclude_domains = D.EXCLUDE_DOMAINS if exclude_domains is None else exclude_domains
+    exclude_keywords = D.HTML_EXCLUDE_FILE_KEYWORDS if exclude_keywords is None else exclude_keywords
+    df = pages_latest.where(F.col("rel_path").rlike(D.HTML_FILE_PATTERN))
+    df = df.where(~D.keyword_excluded(D.file_name("rel_path"), exclude_keywords))
+    if exclude_domains:
+        df = df.where(~F.col("domain").isin(exclude_domains))
+    if status is not None:
+        df = df.where(F.col("http_status") == status)
+    if sites is not None:
+        df = df.join(sites.select(F.col("domain").alias("_site")), F.col("domain") == F.col("_site"), "left_semi")
+    conv = convert_pages(df.select("domain", "rel_path", "capture_ts", "archive", "body"))
+    ok = conv.where(F.col("status") == "converted").withColumnRenamed("markdown", "text").drop("status")
+    docs = D.with_metadata(ok, domains)
+    return D.newest_per_key(docs).drop("_page")

@@ -66,6 +66,12 @@ def q_pages_markdown(spark, sf):
     return M.pages_markdown(latest).select("domain", "rel_path", "status", "n_chars")
 
 
+def q_markdown_documents(spark, sf):
+    inp = I.inputs(spark, sf)
+    docs = M.markdown_documents(I.latest_pages(spark, sf, inp), inp.domains)
+    return docs.select("file_path", "title", "url", "url_preview", "retrieval_date", F.length("text").alias("chars"))
+
+
 def _limited_model(max_chars: int = 6000):
     """Stand-in for a remote model with a request size limit (hashed counts of
     the first 64 term buckets); raises a size error for oversized batches."""
@@ -183,6 +189,7 @@ EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "records_filtered": q_records_filtered,
     "record_errors": q_record_errors,
     "pages_markdown": q_pages_markdown,
+    "markdown_documents": q_markdown_documents,
     "adaptive_embed": q_adaptive_embed,
     "lookup_export": q_lookup_export,
     "index_stream": q_index_stream,
