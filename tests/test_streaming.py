@@ -41,3 +41,17 @@ def test_pack_sentences_overlap_and_bounds():
     assert K.pack_sentences("   ") == []
     long_one = " ".join(str(i) for i in range(45))
     assert [len(c.split()) for c in K.pack_sentences(long_one, size=20, overlap=5)] == [20, 20, 15]
+
+
+def test_batch_index_runs_are_incremental(spark):
+    from tidemark.plans import indexing as I
+
+    table = tempfile.mkdtemp(prefix="index-batch-") + "/chunks"
+    docs = spark.createDataFrame([(f"k{i}", "d", "w\n" * (100 * i)) for i in range(6)],
+                                 "file_path string, domain string, text string")
+    r1 = I.build_index(spark, docs.where("file_path in ('k1', 'k2')"), table).first()
+    r2 = I.build_index(spark, docs, table).first()
+    r3 = I.build_index(spark, docs, table).first()
+    assert (r1.files_indexed, r2.files_indexed, r2.files_already_indexed) == (2, 3, 2)
+    assert r2.files_skipped == 1          # k0 has no text: never stored, retried each run
+    assert (r3.chunks, r3.files_indexed, r3.files_already_indexed) == (0, 0, 5)

@@ -72,6 +72,16 @@ def q_markdown_documents(spark, sf):
     return docs.select("file_path", "title", "url", "url_preview", "retrieval_date", F.length("text").alias("chars"))
 
 
+def q_index_build(spark, sf):
+    """Two batch indexing runs: English documents first, then everything (the
+    second run indexes only the rest); returns both run summaries."""
+    table_path = scratch_path(spark, "index-batch") + "/chunks"
+    docs = I.corpus_documents(spark, sf)
+    first = I.build_index(spark, docs.where(F.col("lang") == "en"), table_path).withColumn("run", F.lit(1))
+    second = I.build_index(spark, docs, table_path).withColumn("run", F.lit(2))
+    return first.unionByName(second)
+
+
 def _limited_model(max_chars: int = 6000):
     """Stand-in for a remote model with a request size limit (hashed counts of
     the first 64 term buckets); raises a size error for oversized batches."""
@@ -193,6 +203,7 @@ EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "adaptive_embed": q_adaptive_embed,
     "lookup_export": q_lookup_export,
     "index_stream": q_index_stream,
+    "index_build": q_index_build,
     "ingest_stream": q_ingest_stream,
     "chunk_sentences": q_chunk_sentences,
     "capture_sink": q_capture_sink,

@@ -59,3 +59,29 @@ def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"),
         F.col("source").alias("domain"), "doc_id", "lang", "text",
     )
+
+
+def build_index(spark: SparkSession, docs: DataFrame, table_path: str, embed_fn=None,
+                key_cols: list[str] | None = None) -> DataFrame:
+    """Batch indexing run: documents whose key has no stored chunk -> clean ->
+    chunk -> embed (default hashed counts, or ``embed_fn`` with adaptive
+    batching; a failed chunk leaves its document out for the next run) ->
+    append to the chunk table partitioned by domain.  Returns the run summary
+    (chunks, files indexed, skipped, already indexed)."""
+    from tidemark.streaming.incremental import _exists
+
+    keys = key_cols or ["file_path"]
+    store = spark.read.parquet(table_path) if _exists(spark, table_path) else None
+    todo = K.not_indexed(docs, store, keys)
+    chunks = K.chunk_tokens(K.clean_documents(todo))
+    if embed_fn is None:
+        chunks = K.embed_default(chunks)
+    else:
+        chunks = K.drop_failed_documents(chunks, K.embed_with(chunks, embed_fn))
+    # the summary and the write read the same written chunks
+    from tidemark.session import cut_lineage
+
+    chunks = cut_lineage(chunks)
+    summary = K.index_summary(docs, chunks, store, keys[0]).collect()
+    K.write_chunks(chunks, table_path, mode="append")
+    return spark.createDataFrame(summary)
