@@ -98,7 +98,9 @@ def spread_for_cpu(df: DataFrame) -> DataFrame:
     """Round-robin rows over the cluster when a scan yields fewer partitions than
     cores (e.g. one big row group) ahead of CPU-heavy per-row work.  At scale the
     file splits already exceed the parallelism and nothing is added."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - sessions without RDD access (Spark Connect)
+        return df
+    return df.repartition(want) if have < want else df
