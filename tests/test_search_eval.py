@@ -123,3 +123,10 @@ def test_exact_url_matching_option(spark):
     rel = spark.createDataFrame([(1, 1, "https://uni.example/page")], "qid int, pos int, url string")
     assert E.relevance_ranks(hits, rel).count() == 1            # root contains-match by default
     assert E.relevance_ranks(hits, rel, exact=True).count() == 0
+
+
+def test_empty_query_vectors_rank_by_id(spark):
+    corpus = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [0.0, 1.0])], "chunk_id string, embedding array<float>")
+    qs = spark.createDataFrame([(1, [])], "qid int, embedding array<float>")
+    got = [(r["rank"], r.chunk_id, r.score) for r in R.knn_exact(qs, corpus, 2).orderBy("rank").collect()]
+    assert got == [(1, "a", 0.0), (2, "b", 0.0)]

@@ -63,8 +63,13 @@ def _knn_partition_fn(qids: list, Q: np.ndarray, k: int, id_col: str, vec_col: s
             for start in range(0, len(pdf), step):
                 part = pdf.iloc[start:start + step]
                 C = np.vstack(part[vec_col].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
+                Qb = Q
+                if Qb.shape[1] != C.shape[1]:  # zero-pad the narrower side (zeros add nothing)
+                    width = max(Qb.shape[1], C.shape[1])
+                    Qb = np.pad(Qb, ((0, 0), (0, width - Qb.shape[1])))
+                    C = np.pad(C, ((0, 0), (0, width - C.shape[1])))
                 cc = np.einsum("ij,ij->i", C, C)
-                S = _score_block(C, cc, Q, qq)
+                S = _score_block(C, cc, Qb, qq)
                 r, q = _topk_candidates(S, k)
                 cand = part.iloc[r][[id_col] + payload].reset_index(drop=True)
                 cand.insert(0, "_q", q)
