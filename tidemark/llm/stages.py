@@ -8,6 +8,22 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that the ranking model scores below its threshold."""
+    from .quality import score_quality
+
+    scored = score_quality(docs, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.filter("predicted = 1").select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the smallest doc_id of each group of similar documents; documents without words all stay."""
+    from .jaccard_join import near_duplicates
+
+    groups = near_duplicates(docs)
+    return groups.filter("component_id <=> doc_id or n_shingles = 0").select(*docs.columns)
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop contaminated documents."""
     from .decontaminate import contamination
@@ -23,3 +39,10 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack the documents into training sequences: one row per piece."""
+    from .packing import pack
+
+    return pack(docs)
