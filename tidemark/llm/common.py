@@ -27,6 +27,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows up to which a stored table may be broadcast; beyond it the join shuffles.
+BROADCAST_ROWS = 200_000
+
+
+def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint for a stored table whose counted rows are few; any other table as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def lower_az(c: Column) -> Column:
     """Lower-case A-Z alone (``lower`` also changes letters beyond ASCII)."""
     return F.translate(c, UPPER, LOWER)

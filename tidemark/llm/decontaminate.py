@@ -12,13 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_az, stored, text_key
+from .common import lower_az, sized, stored, text_key
 
 WINDOW, SHINGLE = 13, 5
 #: What separates words, before A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Rows up to which a benchmark-side table is broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 200_000
 
 
 def with_words(df: DataFrame, text: Column, out: str = "words") -> DataFrame:
@@ -40,11 +38,6 @@ def _shingle_hash(item: str, n: int) -> Column:
     return F.xxhash64(*[F.col(f"{item}.w{i}") for i in range(n)])
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    """Broadcast a stored table when its counted rows are few."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Distinct (item_id, words) windows of the items; a shorter item is one window, one without words none."""
     words = with_words(items, lower_az(F.col("text")), "all").select("item_id", "all")
@@ -79,7 +72,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
             windows.filter(arity == q).select(
                 "words", F.posexplode(_shingled(F.transform("words", lambda w: F.upper(w)), q)).alias("off", "s")
             ).select("words", "off", _shingle_hash("s", q).alias("sh")).distinct(), "window-shingles")
-        hashes = _sized(parts.select("sh").distinct())
+        hashes = sized(parts.select("sh").distinct())
         # every place of a benchmark shingle in the corpus
         hits = stored(
             shouted.select("__tk", F.posexplode(_shingled(F.col("words"), q)).alias("pos", "s"))
@@ -89,7 +82,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
         rarest = parts.join(rarity, "sh", "left").groupBy("words").agg(
             F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "off", "sh")).alias("r")
         ).filter("r.df > 0")
-        prefix = _sized(stored(rarest.select("r.sh", "r.off", F.size("words").alias("len")).distinct(), "prefixes"))
+        prefix = sized(stored(rarest.select("r.sh", "r.off", F.size("words").alias("len")).distinct(), "prefixes"))
         found.append(hits.join(prefix, "sh").select("__tk", (F.col("pos") - F.col("off") + 1).alias("start"), "len").filter("start >= 1"))
     if not found:
         none = {"n_hit": F.lit(0).cast("long"), "n_items": F.lit(0).cast("long"), "items": F.array().cast("array<string>"), "contaminated": F.lit(False)}
@@ -99,13 +92,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
         places = places.unionByName(more)
     places = stored(places.groupBy("__tk").agg(F.collect_set(F.struct("start", "len")).alias("places")), "places")
     # each distinct text with a candidate place is compared once
-    texts = docs.join(_sized(places.select("__tk")), "__tk", "left_semi").groupBy("__tk").agg(F.first("text").alias("text"))
+    texts = docs.join(sized(places.select("__tk")), "__tk", "left_semi").groupBy("__tk").agg(F.first("text").alias("text"))
     lowered = with_words(texts.join(places, "__tk"), lower_az(F.col("text")))
     fits = F.filter("places", lambda p: p["start"] + p["len"] - 1 <= F.size("words"))
     met = (
         lowered.select("__tk", F.explode(F.transform(fits, lambda p: F.struct(
             p["start"].alias("start"), p["len"].alias("len"), F.slice("words", p["start"], p["len"]).alias("words")))).alias("p"))
-        .select("__tk", "p.start", "p.len", "p.words").join(_sized(windows), "words")
+        .select("__tk", "p.start", "p.len", "p.words").join(sized(windows), "words")
     )
     covered = F.array_distinct(F.flatten(F.transform("__spans", lambda p: F.sequence(p["start"], p["start"] + p["len"] - 1))))
     per_text = met.groupBy("__tk").agg(

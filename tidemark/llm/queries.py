@@ -11,6 +11,18 @@ from .common import table
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embedding_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import rule_table, url_verdicts
 
@@ -43,7 +55,39 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op4_warc_revisits, op6_decontaminate, op7_secret_scan)}
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")).drop("text")
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import remove_repeats
+
+    found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_quality(docs, docs, table(spark, sf_dir, "labels")).drop("text")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_embedding_dedup, op2_jaccard_join, op3_url_filter, op4_warc_revisits, op5_toxicity,
+        op6_decontaminate, op7_secret_scan, op8_suffix_dedup, op9_quality, op10_packing,
+    )
+}
 
 _HOST = "translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 

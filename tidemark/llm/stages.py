@@ -17,11 +17,20 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of each group of similar documents; documents without words all stay."""
+    """Keep one document of each group of similar ones: that with the smallest doc_id.
+
+    Rows without doc_id go when their group has a document with one; of rows that share
+    a doc_id any one stays."""
+    from .common import stored
     from .jaccard_join import near_duplicates
 
-    groups = near_duplicates(docs)
-    return groups.filter("component_id <=> doc_id or n_shingles = 0").select(*docs.columns)
+    groups = stored(near_duplicates(docs), "near-duplicates")
+    gone = groups.filter("not (component_id <=> doc_id)").select(F.col("doc_id").alias("__id")).distinct()
+    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    again = groups.groupBy(F.col("doc_id").alias("__id")).count().filter("count > 1 and __id is not null").select("__id")
+    once = kept.join(again, F.col("doc_id") == F.col("__id"), "left_anti")
+    many = kept.join(again, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(many).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
