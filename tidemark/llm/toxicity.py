@@ -20,11 +20,12 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
 from .quality import training_rows
+from .shingles import shingle_sets
 
 #: Bounds of the labelled sample and of the lexicon, and the log odds that an entry needs.
 SAMPLE_ROWS, LEXICON, ODDS = 20_000, 300, 3.0
@@ -56,7 +57,7 @@ def _entries(text: str) -> set[str]:
 
 
 def learn_lexicon(rows: DataFrame, most: int = LEXICON) -> list[str]:
-    """Entries that mark toxic rows, the strongest first; of nested ones only the widest that is as pure."""
+    """Entries that mark toxic rows, the strongest first."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         toxic, clean = Counter(), Counter()
@@ -82,11 +83,31 @@ def learn_lexicon(rows: DataFrame, most: int = LEXICON) -> list[str]:
     strong = counts.withColumns({"odds": odds, "ratio": ratio}).filter((F.col("toxic") > 0) & (F.col("odds") >= ODDS) & (F.col("ratio") >= math.log(tried + 1) + 1))
     top = strong.orderBy(F.desc("ratio"), "entry").limit(4 * most).toPandas()
     kept: list[str] = []
-    for e in sorted(top["entry"], key=len):  # a wider beginning stands for the longer ones
-        if not any(e.rstrip("$").startswith(k) for k in kept if not k.endswith("$")):
+    # of nested entries only the strongest, and of equally strong ones the widest
+    for _, e in sorted(zip(-top["ratio"].round(6), top["entry"]), key=lambda r: (r[0], len(r[1]), r[1])):
+        word = e.rstrip("$")
+        if not any(word.startswith(k.rstrip("$")) or k.startswith(word) for k in kept):
             kept.append(e)
-    rank = {e: i for i, e in enumerate(top["entry"])}
-    return sorted(kept, key=rank.__getitem__)[:most]
+    return kept[:most]
+
+
+def distinct_rows(rows: DataFrame) -> DataFrame:
+    """Rows without the near copies of others: one row for each of three min-hashes of word shingles.
+
+    Copies of one document would otherwise make each of its words look like a mark of its class."""
+
+    @F.pandas_udf("array<long>")
+    def mins(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        turns = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
+        for texts in batches:
+            out = [[int((s * t).min() >> np.uint64(1)) for t in turns] if len(s) else [0, 0, 0] for s in shingle_sets(texts.tolist())]
+            yield pd.Series(out, dtype=object)
+
+    marked = rows.withColumn("__m", mins("text"))
+    for k in range(3):
+        first = Window.partitionBy(F.col("__m")[k]).orderBy("doc_id")
+        marked = marked.withColumn("__turn", F.row_number().over(first)).filter("__turn = 1").drop("__turn")
+    return marked.drop("__m")
 
 
 class Voters:
@@ -214,7 +235,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
         rate = float(known.get(1, 0) / total) if total else 0.0
         return out.withColumns({"score": F.lit(rate), "predicted": F.lit(int(rate >= CUT))})
     prior = known[1] / total
-    rows = training_rows(docs, labels, "toxic", train, sample_rows).select("doc_id", "text", "y").persist()
+    rows = stored(training_rows(docs, labels, "toxic", train, sample_rows).select("doc_id", "text", "y"), "toxicity-sample")
+    rows = stored(distinct_rows(rows), "toxicity-rows")
     lexicon = learn_lexicon(rows)
     model = label_model(*vote_moments(docs, lexicon), prior)
 
@@ -225,7 +247,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
             yield pd.Series([np.concatenate(voters.row(t or "")) for t in texts], dtype=object)
 
     got = rows.select("doc_id", "y", look("text").alias("x")).toPandas().sort_values("doc_id")  # bounded by sample_rows
-    rows.unpersist()
     m = len(model["a"])
     x = np.array(got["x"].tolist(), dtype=float)
     y = got["y"].to_numpy()
