@@ -12,6 +12,7 @@ Entries of one group are linked already, so no pairs inside a group are made."""
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,14 +26,14 @@ from .shingles import mix, overlap, shingle_sets
 
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Cells of the table of token counts that orders tokens by rarity, as a power of two: so many fixed-size counters, whatever the corpus.
-CELLS = 18
+#: Cells of the table of token counts that orders tokens by rarity, as a power of two: so many counters, whatever the corpus.
+CELLS = 24
 #: Min-hashes by which groups are formed.
 MIN_HASHES = 3
 #: Shingles in a part of a group, and entries that meet one copy of a part.
 PART, MEETING = 20_000, 200
-#: Shingles handled by a task at once.
-TASK = 1_500_000
+#: Shingles compared, and prefix tokens paired, by a task at once.
+TASK, TOKENS = 1_500_000, 500_000
 
 U = np.uint64
 
@@ -41,43 +42,40 @@ def linked(common: int, a: int, b: int, percent: int = PERCENT) -> bool:
     return common > 0 and 100 * common >= percent * (a + b - common)
 
 
-def _cells(sets: list[np.ndarray], cells: int) -> np.ndarray:
-    return np.concatenate([s >> U(64 - cells) for s in sets]).astype(np.int64) if sets else np.zeros(0, dtype=np.int64)
+def rarity(texts: DataFrame, cells: int) -> np.ndarray:
+    """For each cell of token hashes how many (document, token) pairs fall into it, over all documents, as a fine logarithm.
 
-
-def token_counts(texts: DataFrame, cells: int) -> np.ndarray:
-    """How many (document, token) pairs fall into each cell, over all documents.
-
-    Tasks send fixed-size slices of counters, which are added up in two steps; the
-    result, 2**cells numbers, is what every task gets back."""
-    width = min(1 << cells, 4096)
+    A token is at most as frequent as its cell is full, so the order (cell, token) puts
+    rare tokens first.  Tasks send packed slices of counters, which are added up in two
+    steps; 2**cells two-byte numbers come back, whatever the size of the corpus."""
+    width = 1 << min(cells, 16)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << cells, dtype=np.int64)
+        total = np.zeros(1 << cells, dtype=np.uint32)
         for b in batches:
-            total += np.bincount(_cells(shingle_sets(b["text"].tolist()), cells), minlength=1 << cells)
-        if total.any():
-            rows = total.reshape(-1, width)
-            yield pd.DataFrame({"slice": range(len(rows)), "counts": [r.tobytes() for r in rows]})
+            for s in shingle_sets(b["text"].tolist()):
+                np.add.at(total, (s >> U(64 - cells)).astype(np.int64), 1)
+        rows = total.reshape(-1, width)
+        full = np.flatnonzero(rows.any(axis=1))
+        yield pd.DataFrame({"slice": full, "counts": [zlib.compress(rows[k].astype(np.uint64).tobytes(), 1) for k in full]})
 
-    def add(batch: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(c, dtype=np.int64) for c in batch["counts"])
-        return pd.DataFrame({"slice": [batch["slice"].iloc[0]], "counts": [total.tobytes()]})
+    def added(batch: pd.DataFrame) -> np.ndarray:
+        return sum(np.frombuffer(zlib.decompress(c), dtype=np.uint64) for c in batch["counts"])
 
-    schema = "slice int, counts binary"
-    some = texts.mapInPandas(count, schema).withColumn("turn", F.pmod(F.spark_partition_id(), F.lit(64)))
-    once = some.groupBy("slice", "turn").applyInPandas(lambda b: add(b[["slice", "counts"]]), schema)
-    out = np.zeros((1 << cells) // width * width, dtype=np.int64).reshape(-1, width)
-    for r in once.groupBy("slice").applyInPandas(add, schema).collect():  # 2**cells numbers in all
-        out[r["slice"]] = np.frombuffer(r["counts"], dtype=np.int64)
-    return out.reshape(-1)
+    def some(batch: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"slice": [batch["slice"].iloc[0]], "counts": [zlib.compress(added(batch).tobytes(), 1)]})
 
+    def levels(batch: pd.DataFrame) -> pd.DataFrame:
+        fine = np.round(1000 * np.log2(1 + added(batch).astype(float))).astype(np.uint16)
+        return pd.DataFrame({"slice": [batch["slice"].iloc[0]], "counts": [fine.tobytes()]})
 
-def rarity_levels(counts: np.ndarray) -> np.ndarray:
-    """0 for cells no fuller than chance makes them, else one more than the power of two of what is beyond."""
-    mean = counts.mean()
-    beyond = counts - mean - 8 * math.sqrt(mean) - 8
-    return np.where(beyond > 0, 1 + np.log2(np.maximum(beyond, 1)), 0).astype(np.uint8)
+    schema = "slice int, counts binary"
+    parts = texts.mapInPandas(count, schema).withColumn("turn", F.pmod(F.spark_partition_id(), F.lit(64)))
+    parts = parts.groupBy("slice", "turn").applyInPandas(some, schema).groupBy("slice").applyInPandas(levels, schema)
+    out = np.zeros((1 << cells) // width * width, dtype=np.uint16).reshape(-1, width)
+    for r in parts.collect():  # 2**cells numbers in all
+        out[r["slice"]] = np.frombuffer(r["counts"], dtype=np.uint16)
+    return out.reshape(-1)
 
 
 def prefix_size(n: int, percent: int = PERCENT) -> int:
@@ -104,18 +102,25 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", percent: int = PERC
     chosen = some.join(entries.select("entry", "pick"), (F.col("doc").eqNullSafe(F.col("pick.doc"))) & (F.col("tk") == F.col("pick.tk"))).drop("pick")
     chosen = stored(chosen.select("entry", "n", "prefix", "mins").dropDuplicates(["entry"]), "chosen")
 
-    first = _grouping(chosen, entries, texts, percent)
-    members = chosen.select("entry", "n").join(components(first).withColumnRenamed("node", "entry"), "entry", "left")
-    members = stored(members.select("entry", "n", F.coalesce("component", "entry").alias("group")), "groups")
-    second = _between_groups(chosen, members, entries, texts, percent)
+    found = _grouping(chosen, entries, texts, percent)
+    shared = None
+    # twice against the largest group that shares a token, so that crowds gather, then between all groups that are left
+    for hubs in (True, True, False):
+        members = chosen.select("entry", "n").join(components(found).withColumnRenamed("node", "entry"), "entry", "left")
+        members = stored(members.select("entry", "n", F.coalesce("component", "entry").alias("group")), "groups")
+        if shared is None:
+            with_group = chosen.select("entry", "prefix", "n").join(members.select("entry", "group"), "entry")
+            shared = stored(_shared_tokens(with_group.select("group", "prefix", "n"), percent), "shared-tokens")
+        pairs = _group_pairs(shared, members, percent, hubs)
+        found = stored(found.unionByName(_between_groups(pairs, chosen, members, entries, texts, percent)), "links-so-far")
 
     own = stored(some.select("doc", "k1", "k2", "n").join(entries.select("k1", "k2", "n", "entry"), ["k1", "k2", "n"]).select("doc", "entry").distinct(), "owners")
     same = own.filter("doc is not null").groupBy("doc").agg(F.min("entry").alias("a"), F.collect_set("entry").alias("all")).filter("size(all) > 1")
-    links = first.unionByName(second).unionByName(same.select("a", F.explode("all").alias("b")))
-    found = entries.select("entry", "k1", "k2", "n", "doc").join(components(links).withColumnRenamed("node", "entry"), "entry", "left")
-    found = stored(found.withColumn("component", F.coalesce("component", "entry")), "found")
-    names = found.groupBy("component").agg(F.min("doc").alias("component_id"))
-    of_set = found.join(names, "component").select("k1", "k2", "n", "component_id")
+    links = found.unionByName(same.select("a", F.explode("all").alias("b")))
+    labels = entries.select("entry", "k1", "k2", "n", "doc").join(components(links).withColumnRenamed("node", "entry"), "entry", "left")
+    labels = stored(labels.withColumn("component", F.coalesce("component", "entry")), "labels")
+    names = labels.groupBy("component").agg(F.min("doc").alias("component_id"))
+    of_set = labels.join(names, "component").select("k1", "k2", "n", "component_id")
     out = profiles.select("doc", "n", "k1", "k2").join(of_set, ["k1", "k2", "n"], "left")
     return out.select(
         F.col("doc").cast(id_type).alias("doc_id"), F.col("n").alias("n_shingles"),
@@ -124,7 +129,7 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", percent: int = PERC
 
 def _profiles(texts: DataFrame, percent: int, cells: int) -> DataFrame:
     """Of each row: size, 126-bit digest, prefix tokens and min-hashes of its shingle set."""
-    level = texts.sparkSession.sparkContext.broadcast(rarity_levels(token_counts(texts.select("text"), cells)))  # 2**cells bytes
+    level = texts.sparkSession.sparkContext.broadcast(rarity(texts.select("text"), cells))  # 2**cells two-byte numbers
     low = (1 << 63) - 1
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -134,11 +139,14 @@ def _profiles(texts: DataFrame, percent: int, cells: int) -> DataFrame:
                 if not len(s):
                     out.append((doc, tk, 0, 0, 0, b"", []))
                     continue
-                order = np.lexsort((s, level.value[(s >> U(64 - cells)).astype(np.int64)]))
+                rank = (level.value[(s >> U(64 - cells)).astype(np.int64)].astype(U) << U(48)) | ((s << U(8)) >> U(16))
+                first = prefix_size(len(s), percent)
+                rare = np.argpartition(rank, first - 1)[:first]
+                prefix = s[rare[np.argsort(rank[rare])]]
                 k1 = int(mix(s ^ U(0x5851F42D4C957F2D)).sum(dtype=U)) & low
                 k2 = int((s * U(0x2545F4914F6CDD1D)).sum(dtype=U)) & low
                 mins = [int(mix(s + U(k * 0x632BE5AB)).min()) & low for k in range(MIN_HASHES)]
-                out.append((doc, tk, len(s), k1, k2, s[order[: prefix_size(len(s), percent)]].tobytes(), mins))
+                out.append((doc, tk, len(s), k1, k2, prefix.tobytes(), mins))
             yield pd.DataFrame(out, columns=["doc", "tk", "n", "k1", "k2", "prefix", "mins"]).astype({"doc": "Int64"})
 
     schema = "doc long, tk binary, n long, k1 long, k2 long, prefix binary, mins array<long>"
@@ -153,88 +161,108 @@ def _grouping(chosen: DataFrame, entries: DataFrame, texts: DataFrame, percent:
     return _meet(queries.select("part", F.col("part").alias("entry")).distinct(), queries, chosen, entries, texts, percent)
 
 
-def _between_groups(chosen: DataFrame, members: DataFrame, entries: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between entries of different groups, at least one for each entry and part of a group that hold any."""
-    size = members.groupBy("group").agg(
-        F.sum("n").alias("total"), F.count(F.lit(1)).alias("c"), F.min("n").alias("low"), F.max("n").alias("high"))
-    size = stored(size, "group-sizes")
-    pairs = _group_pairs(chosen.select("entry", "prefix", "n").join(members.select("entry", "group"), "entry").select("group", "prefix", "n"))
-    a, b = (size.select(F.col("group").alias(x), F.struct("c", "low", "high").alias(f"s{x}")) for x in "ab")
-    fits = (F.col("sa.high") * 100 >= F.col("sb.low") * percent) & (F.col("sb.high") * 100 >= F.col("sa.low") * percent)
-    swap = F.col("sa.c") > F.col("sb.c")
-    sides = pairs.join(a, "a").join(b, "b").filter(fits).select(
-        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("few"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("many"))
+def _group_pairs(shared: DataFrame, members: DataFrame, percent: int, hubs: bool) -> DataFrame:
+    """(few, many): pairs of groups that may hold a link, by their shared prefix tokens; ``hubs``: only those with the largest group of a token."""
+    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("low"), F.max("n").alias("high"))
+    # a shared token names the group that its entries had then by one of them
+    now = members.select(F.col("entry").alias("was"), "group")
+    per = shared.withColumnRenamed("group", "was").join(now, "was").groupBy("token", "group").agg(F.max("rest").alias("rest"), F.min("size").alias("size"))
+    side = F.struct("c", "group", "rest", "size", "low", "high")
+    per = stored(per.join(sizes, "group").select("token", side.alias("s")), "shared-by-group")
+    if hubs:
+        heads = per.groupBy("token").agg(F.max("s").alias("h"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("token", "h")
+        both = per.join(heads, "token").filter("s.group <> h.group")
+    else:
+        both = per.join(per.withColumnRenamed("s", "h"), "token").filter("s.group < h.group")
+    can = F.least("s.rest", "h.rest") * (100 + percent) >= (F.col("s.size") + F.col("h.size")) * percent
+    fits = (F.col("s.high") * 100 >= F.col("h.low") * percent) & (F.col("h.high") * 100 >= F.col("s.low") * percent)
+    few = F.least(F.struct("s.c", "s.group"), F.struct("h.c", "h.group"))
+    many = F.greatest(F.struct("s.c", "s.group"), F.struct("h.c", "h.group"))
+    return both.filter(can & fits).select(few["group"].alias("few"), many["group"].alias("many")).distinct()
+
+
+def _between_groups(pairs: DataFrame, chosen: DataFrame, members: DataFrame, entries: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b): the entries of ``few`` against the parts of ``many``, at least one for each entry and part that hold any."""
     # a group is cut into parts of about PART shingles, each with a token union of its own
-    parted = members.join(size.select("group", (F.floor(F.col("total") / PART) + 1).alias("parts")), "group").select(
-        "entry", "group", F.xxhash64("group", F.pmod(F.xxhash64("entry"), "parts")).alias("part"))
+    parts = members.groupBy("group").agg((F.floor(F.sum("n") / PART) + 1).alias("parts"))
+    parted = members.join(parts, "group").select("entry", "group", F.xxhash64("group", F.pmod(F.xxhash64("entry"), "parts")).alias("part"))
     parted = stored(parted, "parts")
     queries = stored(
-        sides.join(members.select("entry", F.col("group").alias("few")), "few").select("entry", "many")
+        pairs.join(members.select("entry", F.col("group").alias("few")), "few").select("entry", "many")
         .join(parted.select(F.col("group").alias("many"), "part").distinct(), "many").select("part", "entry").distinct(), "queries")
     holders = parted.join(queries.select("part").distinct(), "part").select("part", "entry")
     return _meet(holders, queries, chosen, entries, texts, percent)
 
 
-def _group_pairs(prefixes: DataFrame) -> DataFrame:
-    """Distinct (a, b), a < b, of groups that share a prefix token; ``prefixes`` has group, prefix, n.
+def needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Least overlap that links sets of ``a`` and ``b`` tokens."""
+    return -(-percent * (a + b) // (100 + percent))
+
+
+def _shared_tokens(prefixes: DataFrame, percent: int) -> DataFrame:
+    """(token, group, rest, size) of prefix tokens that several groups share where a link is possible; ``prefixes`` has group, prefix, n.
 
     Tokens travel as packed arrays, by ranges of the token.  A group sends a token once
-    for each task, however many of its entries hold it."""
+    for each task, however many of its entries hold it, with the most tokens that any of
+    them has from there on (rest) and the smallest of their sizes.  At the first token
+    that two sets share, their overlap is at most what the shorter rest holds; a token
+    where that cannot suffice for any partner is left out."""
     total = prefixes.agg(F.sum("n")).first()[0] or 0
-    ranges = max(1, math.ceil(total / 4 / TASK))
+    ranges = max(1, math.ceil(total / 4 / TOKENS))
+
+    def once(t: np.ndarray, g: np.ndarray, rest: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+        order = np.lexsort((g, t))
+        t, g, rest, size = t[order], g[order], rest[order], size[order]
+        new = np.ones(len(t), dtype=bool)
+        new[1:] = (t[1:] != t[:-1]) | (g[1:] != g[:-1])
+        at = np.flatnonzero(new)
+        return t[at], g[at], np.maximum.reduceat(rest, at), np.minimum.reduceat(size, at)
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, count = [], 0
 
         def out() -> pd.DataFrame:
-            both = np.unique(np.rec.fromarrays([np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])], names="t,g"))
-            where = ((both.t >> U(40)).astype(np.int64) * ranges) >> 24
+            t, g, rest, size = once(*(np.concatenate(c) for c in zip(*held)))
+            where = ((t >> U(40)).astype(np.int64) * ranges) >> 24
             cut = np.searchsorted(where, np.arange(ranges + 1))
-            full = [k for k in range(ranges) if cut[k + 1] > cut[k]]
+            full = [(k, slice(cut[k], cut[k + 1])) for k in range(ranges) if cut[k + 1] > cut[k]]
+            width = 2 if size.max() < 1 << 16 and rest.max() < 1 << 16 else 4
             return pd.DataFrame({
-                "range": full,
-                "tokens": [both.t[cut[k] : cut[k + 1]].tobytes() for k in full],
-                "groups": [both.g[cut[k] : cut[k + 1]].tobytes() for k in full],
+                "range": [k for k, _ in full], "width": width, "tokens": [t[c].tobytes() for _, c in full], "groups": [g[c].tobytes() for _, c in full],
+                "rests": [rest[c].astype(f"<u{width}").tobytes() for _, c in full], "sizes": [size[c].astype(f"<u{width}").tobytes() for _, c in full],
             })
 
         for b in batches:
-            for g, raw in zip(b["group"], b["prefix"]):
+            for g, raw, n in zip(b["group"], b["prefix"], b["n"]):
                 t = np.frombuffer(raw, dtype=U)
-                held.append((t, np.full(len(t), g, dtype=np.int64)))
+                held.append((t, np.full(len(t), g, dtype=np.int64), n - np.arange(len(t)), np.full(len(t), n, dtype=np.int64)))
                 count += len(t)
-                if count >= 2 * TASK:
+                if count >= TOKENS:
                     yield out()
                     held, count = [], 0
         if held:
             yield out()
 
-    def pair(batch: pd.DataFrame) -> pd.DataFrame:
-        t = np.concatenate([np.frombuffer(x, dtype=U) for x in batch["tokens"]])
-        g = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in batch["groups"]])
-        order = np.lexsort((g, t))
-        t, g = t[order], g[order]
-        new = np.ones(len(t), dtype=bool)
-        new[1:] = (t[1:] != t[:-1]) | (g[1:] != g[:-1])
-        t, g = t[new], g[new]
-        first = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
-        runs = np.diff(np.concatenate((first, [len(t)])))
-        found = [np.zeros((0, 2), dtype=np.int64)]
-        for n in np.unique(runs[runs > 1]):
-            # equal lists of groups, as neighbouring tokens have them, are paired once
-            lists = np.unique(g[first[runs == n][:, None] + np.arange(n)], axis=0)
-            for i in range(n - 1):
-                for j in range(i + 1, n) if n < 40 else ():
-                    found.append(np.unique(lists[:, [i, j]], axis=0))
-                if n >= 40:
-                    rest = lists[:, i + 1 :].reshape(-1)
-                    found.append(np.unique(np.column_stack((np.repeat(lists[:, i], n - 1 - i), rest)), axis=0))
-                if len(found) > 200:
-                    found = [np.unique(np.concatenate(found), axis=0)]
-        both = np.unique(np.concatenate(found), axis=0)
-        return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
-
-    sent = prefixes.select("group", "prefix").mapInPandas(send, "range int, tokens binary, groups binary")
-    return sent.groupBy("range").applyInPandas(pair, "a long, b long").distinct()
+    def shared(batch: pd.DataFrame) -> pd.DataFrame:
+        kinds = [f"<u{w}" for w in batch["width"]]
+        t, g, rest, size = once(
+            np.concatenate([np.frombuffer(x, dtype=U) for x in batch["tokens"]]),
+            np.concatenate([np.frombuffer(x, dtype=np.int64) for x in batch["groups"]]),
+            np.concatenate([np.frombuffer(x, dtype=k) for x, k in zip(batch["rests"], kinds)]).astype(np.int64),
+            np.concatenate([np.frombuffer(x, dtype=k) for x, k in zip(batch["sizes"], kinds)]).astype(np.int64))
+        for _ in range(2):  # again, as the smallest partner may have gone
+            if not len(t):
+                break
+            first = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
+            runs = np.diff(np.concatenate((first, [len(t)])))
+            least = np.maximum(np.repeat(np.minimum.reduceat(size, first), runs), -(-percent * size // 100))
+            stay = (rest >= needed(size, least, percent)) & np.repeat(runs > 1, runs)
+            t, g, rest, size = t[stay], g[stay], rest[stay], size[stay]
+        return pd.DataFrame({"token": t.view(np.int64), "group": g, "rest": rest, "size": size})
+
+    fields = "range int, width int, tokens binary, groups binary, rests binary, sizes binary"
+    sent = prefixes.select("group", "prefix", "n").mapInPandas(send, fields)
+    return sent.groupBy("range").applyInPandas(shared, "token long, group long, rest long, size long")
 
 
 def _meet(holders: DataFrame, queries: DataFrame, chosen: DataFrame, entries: DataFrame, texts: DataFrame, percent: int) -> DataFrame:

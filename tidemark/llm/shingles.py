@@ -6,7 +6,7 @@ import numpy as np
 
 SHINGLE = 5
 #: Bytes hashed at a time, so that a long text takes bounded memory besides its own size.
-BLOCK = 1 << 21
+BLOCK = 1 << 18
 
 U = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
