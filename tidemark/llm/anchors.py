@@ -38,7 +38,7 @@ def _window_minimum(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(right[:n], left[w - 1 : w - 1 + n])
 
 
-def anchors(raw: np.ndarray, length: int, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(raw: np.ndarray, length: int, block: int = 1 << 17) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(place, first, last, hash) for each named place: strings starting at first..last name it.
 
     Works through blocks, so memory stays bounded for a long text."""

@@ -22,15 +22,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import GRAM, anchors
 from .common import sized, stored, text_key
 
 LENGTH = 200
-#: Named places handled by a task at once, and bytes of contexts sorted at once.
-TASK, SORTED_BYTES = 1_500_000, 16 << 20
+#: Named places sent at once and matched by a task, and bytes of contexts sorted at once.
+SENT, TASK, SORTED_BYTES = 200_000, 500_000, 1 << 20
 
 U = np.uint64
 _BYTES = np.random.default_rng(8).integers(1, 1 << 63, size=256, dtype=np.uint64)
@@ -83,6 +83,26 @@ def _runs(mask: np.ndarray, length: int) -> list[tuple[int, int]]:
     return [(int(s), int(e) - 1 + length) for s, e in zip(edge[::2], edge[1::2])]
 
 
+def _merged(spans: Column) -> Column:
+    """Overlapping and adjoining spans of an array as one."""
+
+    @F.pandas_udf("array<struct<start:long,end:long>>")
+    def merge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for rows in batches:
+            out = []
+            for own in rows:
+                whole: list[dict] = []
+                for s, e in sorted((x["start"], x["end"]) for x in own):
+                    if whole and s <= whole[-1]["end"]:
+                        whole[-1]["end"] = max(e, whole[-1]["end"])
+                    else:
+                        whole.append({"start": s, "end": e})
+                out.append(whole)
+            yield pd.Series(out, dtype=object)
+
+    return merge(spans)
+
+
 def _repeated_places(sources: DataFrame, total: int, length: int) -> DataFrame:
     """(tid, keys): of each text the hashes of its named places that occur again, as packed arrays."""
     ranges = max(1, math.ceil(total / 80 / TASK))
@@ -104,7 +124,7 @@ def _repeated_places(sources: DataFrame, total: int, length: int) -> DataFrame:
                 key = anchors(_raw(text), length)[3]
                 held.append((key, np.full(len(key), t, dtype=np.int64)))
                 count += len(key)
-                if count >= TASK:
+                if count >= SENT:
                     yield out()
                     held, count = [], 0
         if count:
@@ -131,9 +151,11 @@ def _repeated_places(sources: DataFrame, total: int, length: int) -> DataFrame:
 def _contexts(sources: DataFrame, keys: DataFrame, length: int) -> DataFrame:
     """(c1, c2, tid, at, lead, bytes): the contexts of repeated places, their digest, and where they lie."""
 
+    names = ["c1", "c2", "tid", "at", "lead", "bytes"]
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
+            out: list[tuple] = []
             for tid, text, packed in zip(b["tid"], b["text"], b["keys"]):
                 raw = _raw(text)
                 whole = raw.tobytes()
@@ -143,7 +165,10 @@ def _contexts(sources: DataFrame, keys: DataFrame, length: int) -> DataFrame:
                     context = whole[first[i] : last[i] + length]
                     d = np.frombuffer(hashlib.md5(context).digest(), dtype=np.int64)
                     out.append((d[0], d[1], tid, first[i], whole[place[i] : place[i] + GRAM], context))
-            yield pd.DataFrame(out, columns=["c1", "c2", "tid", "at", "lead", "bytes"])
+                    if len(out) == 10_000:
+                        yield pd.DataFrame(out, columns=names)
+                        out = []
+            yield pd.DataFrame(out, columns=names)
 
     schema = "c1 long, c2 long, tid long, at long, lead binary, bytes binary"
     return sources.select("tid", "text").join(keys, "tid").mapInPandas(cut, schema)
@@ -194,7 +219,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     spans = stored(_bucket_spans(contexts, length), "context-spans")
     places = contexts.select("c1", "c2", "tid", "at").join(spans, ["c1", "c2"]).select(
         "tid", F.struct((F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end")).alias("span"))
-    by_text = places.groupBy("tid").agg(F.collect_set("span").alias("spans"))
+    by_text = places.groupBy("tid").agg(F.collect_set("span").alias("spans")).withColumn("spans", _merged(F.col("spans")))
     own = known.select("tk", "rows", "size", F.xxhash64("tk").alias("tid")).join(by_text, "tid", "left")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").cast("long").alias("end")))
     return own.select("tk", F.when(F.col("rows") > 1, whole).otherwise(F.col("spans")).alias("spans")).filter("spans is not null")
