@@ -176,19 +176,25 @@ def vote_moments(docs: DataFrame, lexicon: list[str]) -> tuple[int, np.ndarray]:
     return int(got.loc[got["i"] < 0, "n"].sum()), both
 
 
+def _edges(cov: np.ndarray, use: np.ndarray) -> np.ndarray:
+    """Edge of each voter from triplets: cov_ij * cov_ik / cov_jk is its square, of which the median resists odd pairs."""
+    out = np.zeros(len(cov))
+    for i in range(len(cov)):
+        near = [j for j in np.flatnonzero(use[i]) if cov[i, j] > 0]
+        squares = [cov[i, j] * cov[i, k] / cov[j, k] for n, j in enumerate(near) for k in near[n + 1 :] if use[j, k] and cov[j, k] > 1e-12]
+        out[i] = math.sqrt(np.median(squares) if squares else max((cov[i, j] for j in near), default=0.0))
+    return out
+
+
 def label_model(n: int, both: np.ndarray, prior: float) -> dict:
     """Firing rates of each voter in either class, and the weight left to it by voters it is correlated with."""
-    m = len(both)
     mean = np.diag(both) / max(n, 1)
     cov = both / max(n, 1) - np.outer(mean, mean)
-    off = ~np.eye(m, dtype=bool) & np.outer(mean > 0, mean > 0)
-    dependent = np.zeros((m, m), dtype=bool)
-    edge = np.sqrt(np.maximum(np.abs(cov).max(axis=1), 0))
     sd = np.sqrt(np.outer(mean * (1 - mean), mean * (1 - mean))) + 1e-12
-    for _ in range(3):
-        use = off & ~dependent
-        for _ in range(200):
-            edge = np.where(use.any(axis=1), np.maximum((use * cov) @ edge, 0) / np.maximum((use * edge**2).sum(axis=1), 1e-12), 0) * 0.5 + edge * 0.5
+    off = ~np.eye(len(both), dtype=bool) & np.outer(mean > 0, mean > 0)
+    dependent = np.zeros_like(off)
+    for _ in range(2):
+        edge = _edges(cov, off & ~dependent)
         # pairs that agree far beyond what the class explains
         excess = np.where(off, (cov - np.outer(edge, edge)) / sd, 0)
         dependent = excess > 0.3
@@ -225,7 +231,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
     ``docs`` has doc_id and text, ``labels`` doc_id and toxic.  Only the text enters a
     score; null texts count as empty; labels other than 0 and 1 and repeated label rows
     are ignored; without training rows of both classes every score is the share of
-    toxic ones (0 without any).  Same-named input columns are replaced; repeated rows
+    toxic ones among the labels (0 without any).  Same-named input columns are replaced; repeated rows
     stay repeated."""
     train = ~is_held_out(F.col("doc_id"))
     known = {r["toxic"]: r["count"] for r in labels.filter(train & F.col("toxic").isin(0, 1)).groupBy("toxic").count().collect()}
@@ -247,6 +253,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
             yield pd.Series([np.concatenate(voters.row(t or "")) for t in texts], dtype=object)
 
     got = rows.select("doc_id", "y", look("text").alias("x")).toPandas().sort_values("doc_id")  # bounded by sample_rows
+    if got["y"].nunique() < 2:
+        return out.withColumns({"score": F.lit(float(prior)), "predicted": F.lit(int(prior >= CUT))})
     m = len(model["a"])
     x = np.array(got["x"].tolist(), dtype=float)
     y = got["y"].to_numpy()
