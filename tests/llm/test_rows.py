@@ -1,0 +1,287 @@
+"""Operators on rows: url rules, revisits, benchmark windows, secrets, scores, packing, pipeline."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from tidemark.llm import decontaminate, packing, quality, secret_scan, toxicity, url_filter, warc_revisits
+from tidemark.llm.common import sorted_carry
+from tidemark.llm.queries import URL_RULES
+
+
+def test_sorted_carry(spark):
+    rows = [(k, "e%d" % k if k % 7 == 0 else None) for k in range(1, 120)]
+    df = spark.createDataFrame(rows, "k int, e string").repartition(6)
+    got = {r.k: r.last for r in sorted_carry(df, ["k"], "e", "last", "t").collect()}
+    assert got == {k: None if k < 7 else "e%d" % (k // 7 * 7) for k, _ in rows}
+
+
+def judge(url, rules):
+    m = re.search("://([^/?#]*)([^?#]*)", url or "")
+    host, path = ("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in m.group(1)), m.group(2)) if m else ("", "")
+    fits = [(len(h + p), len(h), v, h + p) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fits) if fits else None
+    return host, path, best and best[3], best[2] if best else "allow"
+
+
+URLS = [
+    "http://a.NET/x", "https://net/", "http://example.net/en/a?x#y", "http://www.example.net/en", "http://www.example.net/en/", "x://example.com/de/1",
+    "http://sub.example.com/de/", "http://badexample.com/de/", "http://w.org/fr/", "http://org/fr", "http://a.org?q=/fr/", "http://a.net", "http://a.net:80/z",
+    "http://u@b.net/", "no scheme/net/", "", None, "://net/", "http://", "http://a..net/", "http://x/://net/", "HTTP://É.net/É", "http://net./", "http://-.net/",
+]
+
+
+@pytest.mark.parametrize("more", [[], [("net", "/x", "allow"), ("net", "/x", "block"), ("b.example.net", "/", "block"), ("example.net", "/en/a", "block"), ("NET", "/z", "allow")]])
+def test_url_rules(spark, more):
+    rules = URL_RULES + more
+    rng = random.Random(1)
+    urls = URLS + [f"http://{'.'.join(rng.choice(['a', 'b', 'example', 'net', 'com', 'org']) for _ in range(rng.randrange(1, 5)))}/{rng.choice(['en/', 'de/', 'fr/', 'x', ''])}{n}" for n in range(150)]
+    df = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)] + [(0, URLS[0], "h")], "page_id long, url string, host string").repartition(3)
+    got = url_filter.url_verdicts(df, url_filter.rule_table(spark, rules + [(None, "/", "block")])).collect()
+    assert len(got) == len(urls) + 1
+    low = [(h.lower(), p, v) for h, p, v in rules]
+    for r in got:
+        assert (r.host, r.path, r.rule, r.verdict) == judge(r.url, low), r.url
+    assert url_filter.url_verdicts(df.limit(0), url_filter.rule_table(spark, rules)).count() == 0
+    assert {r.verdict for r in url_filter.url_verdicts(df, url_filter.rule_table(spark, [])).collect()} == {"allow"}
+
+
+def test_canonical_url(spark):
+    pairs = {
+        "HTTP://Ex.COM:80": "http://ex.com/", "https://a:443/P?q#f": "https://a/P?q", "http://a:443/": "http://a:443/", "urn:x#y": "urn:x", "http://a?b": "http://a/?b",
+    }
+    df = spark.createDataFrame([(u,) for u in pairs] + [(None,)], "url string")
+    got = {r.url: r.c for r in df.withColumn("c", warc_revisits.canonical_url(df.url)).collect()}
+    assert got == pairs | {None: None}
+
+
+def test_revisits(spark):
+    rows = [
+        (1, "http://a/", 10, "response", '"x"', "m1", "d", {"etag": '"x"', "content-type": "t", "date": "1"}),
+        (2, "http://A#f", 20, "revisit", 'W/"x"', None, None, {"date": "2", "content-type": "no", "connection": "close"}),
+        (3, "http://a/", 30, "response", '"y"', None, "e", None),
+        (4, "http://a/", 30, "revisit", '"x"', "m1", None, {}),
+        (5, "http://a/", 5, "revisit", '"x"', None, None, {}),
+        (6, "http://a/", 40, "revisit", None, "m1", "e", {"date": "6"}),
+        (7, "http://a/", 41, "revisit", None, "m1", None, {}),
+        (8, None, 41, "revisit", None, "m1", None, {}),
+        (9, "http://b/", 50, "revisit", '"x"', None, None, {}),
+        (None, "http://a/", 50, "revisit", '"y"', None, None, {}),
+        (10, "http://a/", 60, "metadata", '"y"', None, None, {}),
+    ]
+    schema = "rec_id long, url string, ts long, kind string, etag string, last_modified string, digest string, headers map<string,string>"
+    rows += [(100 + i, "http://hot/", i, "response" if i % 50 == 0 else "revisit", '"%d"' % (i // 50), None, None, {"n": str(i)}) for i in range(400)]
+    df = spark.createDataFrame(rows, schema).repartition(5)
+    got = {r.rec_id: r for r in warc_revisits.resolve_revisits(df).collect()}
+    assert {k: (r.base_id, r.state) for k, r in got.items() if k < 100} == {
+        2: (1, "resolved"), 4: (3, "mismatch"), 5: (None, "no_base"), 6: (3, "resolved"), 7: (3, "unverified"), 8: (None, "no_url"), 9: (None, "no_base")}
+    assert got[2].headers == {"etag": '"x"', "content-type": "t", "date": "2"} and got[4].headers is None and got[6].headers == {"date": "6"}
+    assert all(got[100 + i].base_id == 100 + i // 50 * 50 and got[100 + i].headers == {"n": str(i)} for i in range(400) if i % 50)
+    assert warc_revisits.resolve_revisits(df.limit(0)).count() == 0
+    again = df.filter("rec_id in (1, 2)")
+    assert warc_revisits.resolve_revisits(again.unionByName(again)).count() == 2
+
+
+def item_words(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", low)
+
+
+def contaminated(text, items):
+    words = item_words(text)
+    hit, met = set(), set()
+    for item, t in items:
+        w = item_words(t)
+        size = min(13, len(w))
+        windows = {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if w else set()
+        for i in range(len(words) - size + 1) if w and item is not None else ():
+            if tuple(words[i : i + size]) in windows:
+                met.add(str(item))
+                hit.update(range(i, i + size))
+    return len(words), len(hit), sorted(met), bool(hit) and 20 * len(hit) >= len(words)
+
+
+@pytest.mark.parametrize("short", [False, True])
+def test_benchmark_windows(spark, short):
+    rng = random.Random(3)
+    vocabulary = ["w%d" % i for i in range(30)] + ["Éa", "éa", "ß", "SS", "STRASSE", "straße", "ΑΣ", "K"]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [(i, text(rng.choice([13, 14, 30]))) for i in range(12)] + [(3, text(20)), (50, None), (51, ""), (None, text(15))]
+    items += [(60, "solo"), (61, "two words"), (62, text(4)), (63, text(9)), (64, "solo")] if short else []
+    docs = [text(40) for _ in range(6)]
+    for i, t in items:
+        w = (t or "").split()
+        docs += [text(20) + ", " + t.upper() + "!" + text(9), " ".join(w[:13]), " ".join(w[1:13]), text(300) + " " + " ".join(w[-13:]), t + " " + t] if t else []
+    docs += [None, "", "...", "w1", "Solo solo. two\nWORDS", items[0][1].replace(" ", "\x00-")]
+    df = spark.createDataFrame([(i, t, 5) for i, t in enumerate(docs)] + [(0, docs[0], 5), (None, docs[7], 5)], "doc_id long, text string, n_hit int").repartition(3)
+    bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, words string")
+    got = decontaminate.contamination(df, bench).collect()
+    assert len(got) == len(docs) + 2
+    for r in got:
+        want = contaminated(r.text, items)
+        assert (r.n_words, r.n_hit, list(r["items"]), r.contaminated) == want and r.n_items == len(want[2]), r.text
+    none = decontaminate.contamination(df, bench.limit(0)).collect()
+    assert {(r.n_hit, r.n_items, r.contaminated) for r in none} == {(0, 0, False)}
+    assert decontaminate.contamination(df.limit(0), bench).count() == 0
+
+
+SECRETS = {
+    'a password="abc12345" b': [("assign", 2, 20)],
+    "password = token: abcdef1 x": [],
+    "SECRET=short": [],
+    "Api_Key: abcdef": [("assign", 0, 15)],
+    "\u017fecret=abcdefgh": [],
+    "id AKIA" + "Q7" * 8 + " x": [("access", 3, 23), ("token", 3, 23)],
+    "AKIA" + "A" * 15: [],
+    "é " + "0123456789abcdef" * 2: [("hex", 2, 34)],
+    "x9" + "0123456789abcdef01234567" + "g": [("token", 0, 27), ("hex", 1, 26)],
+    "k3Jx9QpZ7vLm2RtY8wBn4": [("token", 0, 21)],
+    "550e8400-e29b-41d4-a716-446655440000": [],
+    "international-cooperation-2024/overview": [],
+    "-" * 4000 + "1": [],
+    "a" * 5000 + "9": None,
+    "2024-01-01/2024-12-31": [],
+    "": [],
+}
+
+
+def test_secret_spans(spark):
+    for text, want in SECRETS.items():
+        if want is not None:
+            assert secret_scan.find_spans(text) == want, text
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate([*SECRETS, None])], "doc_id long, text string, secrets int")
+    for r in secret_scan.scan(df).collect():
+        assert [tuple(s) for s in r.secrets] == secret_scan.find_spans(r.text or "")
+    clean = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    assert clean[0] == 'a [SECRET]" b' and clean[5] == "id [SECRET] x" and clean[len(SECRETS)] is None and clean[15] == ""
+    assert secret_scan.scan(df.limit(0)).count() == 0
+
+
+def labelled(n, rng, toxic):
+    words = ["der", "weg", "und", "haus", "licht", "nacht", "the", "road", "light"]
+    rows = []
+    for i in range(n):
+        bad = rng.random() < 0.3
+        w = [rng.choice(words) for _ in range(rng.randrange(20, 60))]
+        if bad and toxic:
+            for _ in range(3):
+                w.insert(rng.randrange(len(w)), rng.choice(["grumpf", "mistig"]) + rng.choice(["", "er", "en", "haft"]))
+        elif bad:
+            w = [x + rng.choice(["###", "%%%", "|"]) for x in w]
+        rows.append((i, " ".join(w) + ".", int(bad) if toxic else int(not bad)))
+    return rows
+
+
+@pytest.mark.parametrize("op", ["toxic", "quality"])
+def test_scores_on_held_out_rows(spark, op):
+    rows = labelled(600, random.Random(4), op == "toxic")
+    docs = spark.createDataFrame([(i, t, "de", 0.5) for i, t, _ in rows] + [(900, None, None, 1.0), (901, "", None, 1.0), (None, rows[0][1], "x", 0.0), (0, rows[0][1], "x", 0.0)], "doc_id long, text string, lang string, score double")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(1, 7), (2, None), (None, 1)], f"doc_id long, {op} int")
+    score = (lambda d, lab: toxicity.score_toxicity(d, lab)) if op == "toxic" else (lambda d, lab: quality.score_quality(d, d, lab))
+    got = score(docs, labels).collect()
+    m, rest = (4, 2) if op == "toxic" else (5, 0)
+    truth = {i: y for i, _, y in rows}
+    assert len(got) == len(rows) + 4 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
+    for r in got:
+        assert r.held_out == (r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % m == rest)
+    held = [r for r in got if r.held_out and r.doc_id in truth]
+    assert len(held) > 50 and sum(r.predicted == truth[r.doc_id] for r in held) >= 0.97 * len(held)
+    # labels of held-out rows do not matter
+    turned = spark.createDataFrame([(i, 1 - y if zlib.crc32(str(i).encode()) % m == rest else y) for i, _, y in rows], f"doc_id long, {op} int")
+    assert {(r.doc_id, round(r.score, 9)) for r in score(docs, turned).collect()} == {(r.doc_id, round(r.score, 9)) for r in got}
+    assert score(docs.limit(0), labels).count() == 0
+    alone = score(docs, labels.filter(f"{op} = 1")).collect()
+    assert len({r.score for r in alone}) == 1
+
+
+def test_label_model_finds_rates():
+    rng = np.random.default_rng(5)
+    y = rng.random(20000) < 0.2
+    a, b = np.array([0.8, 0.6, 0.7, 0.5, 0.6]), np.array([0.05, 0.1, 0.02, 0.05, 0.1])
+    v = (rng.random((len(y), 5)) < np.where(y[:, None], a, b)).astype(float)
+    v = np.hstack([v, v[:, :1]])  # a voter that repeats another one
+    model = toxicity.label_model(len(y), v.T @ v, 0.2)
+    assert np.abs(model["a"][1:5] - a[1:5]).max() < 0.12 and np.abs(model["b"][1:5] - b[1:5]).max() < 0.05
+    assert model["share"][0] < 0.8 and model["share"][5] < 0.8 and model["share"][1:5].min() > 0.9
+    assert ((toxicity.posterior(v, model) > 0.5) == y).mean() > 0.93
+
+
+def test_hilbert_curve_visits_neighbours():
+    n = 8
+    grid = np.stack(np.meshgrid(*[np.arange(n)] * 3, indexing="ij"), axis=-1).reshape(-1, 3)
+    key = packing.hilbert(grid, bits=3)
+    assert sorted(key) == list(range(n**3))
+    assert (np.abs(np.diff(grid[np.argsort(key)], axis=0)).sum(axis=1) == 1).all()
+
+
+def test_words_alone_have_the_ids_of_the_text():
+    enc = packing._encoder(None)
+    assert enc.short_way
+    texts = [
+        "Hello,  world's\tend" + chr(0x2003) + "x" + chr(0x301) + "y", "don't <|endoftext|> 12 3", "\x1c" + chr(0x85) + "a" + chr(0xA0) + "b",
+        "(fi) Å Ⅷ ÉCOLE école ΑΣ İx e" + chr(0x301) + "t ﬁn", "", "   ", "a.b,c;;d!! ... ?", "Straße STRASSE ŒUVRE ǅ ʼn ª 中文字 ไทย हिन्दी",
+    ]
+    many = texts + [" ".join(texts), " ".join(chr(c) + "a " + chr(c) for c in range(0x80, 0x3000) if chr(c).isprintable())]
+    for t, got in zip(many, enc.encode(many)):
+        assert got.tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids, t[:80]
+
+
+@pytest.mark.parametrize("size", [2048, 16])
+def test_packing_round_trip(spark, size):
+    rng = random.Random(6)
+    texts = [" ".join("w" + rng.choice("abcdef") for _ in range(rng.choice([0, 3, 40, 900]))) for _ in range(60)] + [None, "", "x"]
+    df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, ids int").repartition(4)
+    got = packing.pack(df, length=size).toPandas()
+    enc = packing._encoder(None).tokenizer
+    total = 0
+    for i, t in enumerate(texts):
+        ids = np.array(enc.encode(t or "", add_special_tokens=False).ids + [1], dtype="<u4")
+        total += len(ids)
+        own = got[got.doc_id == i].sort_values("start")
+        assert np.concatenate(own["ids"].tolist()).tolist() == ids.tolist() and own.start.tolist() == [0, *np.cumsum(own.length)[:-1]]
+        assert set(own.doc_tokens) == {len(ids)} and [zlib.crc32(ids[s : s + n].tobytes()) for s, n in zip(own.start, own.length)] == own.ids_crc32.tolist()
+    used = []
+    for _, g in got.groupby("sequence_id"):
+        g = g.sort_values("offset")
+        assert g.offset.tolist() == [0, *np.cumsum(g.length)[:-1]]
+        used.append(int(g.length.sum()))
+    assert sum(used) == total and all(u == size or u & (u - 1) == 0 for u in used) and len(used) <= total // size + 11
+    assert packing.pack(df.limit(0)).count() == 0
+    assert sum(r.length for r in packing.pack(spark.createDataFrame([(1, "a b"), (1, "a b")], "doc_id int, text string")).collect()) == 6
+
+
+def test_stages_let_decisions_take_effect(spark, sf):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    out, kept = docs, None
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {r.doc_id for r in out.select("doc_id").collect()}
+        out = spark.createDataFrame(stage(spark, out, sf).toPandas(), docs.schema)
+        kept = {r.doc_id for r in out.collect()}
+        assert out.columns == docs.columns and kept <= before and len(kept) > 0.5 * len(before), name
+    from tests.llm.test_pairs import word_set
+
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    assert not any(contaminated(text[i], bench)[3] for i in kept)
+    sets = [word_set(text[i]) for i in kept]
+    assert not any(len(a & b) and 100 * len(a & b) >= 75 * len(a | b) for k, a in enumerate(sets) for b in sets[:k])
+    assert all(not secret_scan.find_spans(r.text) for r in out.collect())
+    last = corpus_pipeline.STAGES[-1][1](spark, out, sf).toPandas()
+    assert set(last.doc_id) == kept and corpus_pipeline.run(spark, sf).count() == len(last)
+
+
+def test_digest_of_base_spans(spark, sf):
+    from tidemark.llm.queries import QUERIES
+
+    got = {r.doc_id: r for r in QUERIES["op7_secret_scan"](spark, sf).collect()}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        spans = secret_scan.find_spans(r.text or "")
+        base = ",".join(f"{k}:{s}:{e}" for k, s, e in spans if k != "token")
+        assert got[r.doc_id].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert got[r.doc_id].spans == ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
