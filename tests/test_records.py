@@ -4,6 +4,7 @@ import gzip
 import os
 import tempfile
 
+import pytest
 
 from tidemark.operators import records as Rec
 from tidemark.sources import archives as A
@@ -54,12 +55,49 @@ def test_reader_edges(spark):
     assert not [r for r in recs.values() if r.archive == "empty.warc"]
 
 
+def test_reader_goes_on_behind_damage(spark):
+    d = tempfile.mkdtemp(prefix="warc-test-")
+    plain = _http(b"hello", "Content-Type: text/html\r\nContent-Length: 5\r\n")
+    good = [_record(f"http://a.ch/{i}", plain) for i in range(6)]
+    bad_header = b"WARC/1.0\r\nWARC-Type: response\r\nno colon here\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    no_footer = good[3][:-4]
+    long_line = _record("http://a.ch/long", plain, extra=b"X-Long: " + b"y" * (3 << 20) + b"\r\n")
+    _write(d, "plain.warc", good[0] + bad_header + good[1] + no_footer + good[2] + b"junk\r\n" + long_line + good[4])
+    members = [gzip.compress(r) for r in good]
+    broken = bytearray(members[2])
+    broken[25:35] = b"\xff" * 10
+    _write(d, "members.warc.gz", b"".join([*members[:2], bytes(broken), *members[3:]]))
+    rows = A.read_records(spark, d).collect()
+    uris = lambda name: [r.target_uri for r in rows if r.archive == name and r.error is None]
+    assert sorted(uris("plain.warc")) == sorted(["http://a.ch/0", "http://a.ch/1", "http://a.ch/3", "http://a.ch/2", "http://a.ch/long", "http://a.ch/4"])
+    assert set(uris("members.warc.gz")) >= {f"http://a.ch/{i}" for i in (0, 1, 3, 4, 5)}
+    errors = [r for r in Rec.record_errors(A.read_records(spark, d)).collect() if r.archive == "plain.warc"]
+    assert len(errors) == 2 and any("bad header line" in r.error and b"abc" in r.body for r in errors)
+    assert any(r.error and r.archive == "members.warc.gz" for r in rows)
+
+
+def test_start_lines_and_encodings(spark):
+    d = tempfile.mkdtemp(prefix="warc-test-")
+    _write(d, "a.warc", b"".join([
+        _record("http://a.ch/0", b"HTTP/1.1 200\r\nContent-Type: text/html\r\n\r\nx"),
+        _record("http://a.ch/1", b"HTTP/1.1 404 Not Found Here\r\n\r\nx"),
+        _record("http://a.ch/2", b"GET /p?q HTTP/1.0\r\nHost: a\r\n\r\n"),
+        _record("http://a.ch/3", b"HTTP/1.1 200 OK\r\nContent-Encoding: br\r\n\r\nraw"),
+        _record("http://a.ch/4", b"HTTP/1.1 200 OK\r\nContent-Encoding: gzip\r\n\r\nnot gzip"),
+    ]))
+    r = {x.target_uri[-1]: x for x in A.read_records(spark, d).collect()}
+    assert (r["0"].http_status, r["0"].http_version, r["0"].http_reason) == ("200", "HTTP/1.1", "")
+    assert (r["1"].http_status, r["1"].http_reason) == ("404", "Not Found Here")
+    assert (r["2"].http_command, r["2"].http_path, r["2"].http_version, r["2"].http_status) == ("GET", "/p?q", "HTTP/1.0", None)
+    assert "'br' is not supported" in r["3"].error and r["3"].body == b"raw" and r["4"].error and r["4"].body == b"not gzip"
+
+
 def test_header_filter_semantics(spark):
     recs = spark.createDataFrame([
-        ("response", {"warc-type": "response"}, {"content-type": "Text/HTML"}, "text/html", "200"),
-        ("request", {"warc-type": "request"}, None, None, None),
-        ("response", {"warc-type": "response", "x": ""}, {"content-type": "application/pdf"}, "application/pdf", "404"),
-    ], "warc_type string, warc_headers map<string,string>, http_headers map<string,string>, media_type string, http_status string")
+        ("response", {"warc-type": "response"}, {"content-type": "Text/HTML"}, "text/html", "200", "OK"),
+        ("request", {"warc-type": "request"}, None, None, None, None),
+        ("response", {"warc-type": "response", "x": ""}, {"content-type": "application/pdf"}, "application/pdf", "404", "Not Found"),
+    ], "warc_type string, warc_headers map<string,string>, http_headers map<string,string>, media_type string, http_status string, http_reason string")
     f = lambda fs, **kw: recs.where(Rec.header_predicate(fs, **kw)).count()
     assert f(["warc-type:response"]) == 2
     assert f(["http:content-type:text/html"]) == 1            # mixed-case value matches by default
@@ -68,6 +106,10 @@ def test_header_filter_semantics(spark):
     assert f(["!x:anything"]) == 0                             # empty value fails even under '!'
     assert f(["!missing:v"]) == 0                              # '!' on a missing header fails
     assert f(["http:content_type:pdf"]) == 1                   # computed key
+    assert f(["http:status:not found"]) == 1                   # the reason; the code is under error
+    for bad in ["nokey", "http:status", ""]:
+        with pytest.raises(ValueError):
+            Rec.filter_column(bad)
     assert f(["warc-type:response:extra"]) == 2                # only the first two ':' parts count
 
 

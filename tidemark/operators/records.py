@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,58 +16,45 @@ HTML_SELECTION = "http:content-type:text/html"
 PDF_SELECTION = "http:content-type:pdf"
 
 
-class HeaderFilter:
-    """One ``[!][http:]key:value`` filter (key and value lower-cased; only the
-    first two ``:`` parts count)."""
-
-    def __init__(self, spec: str):
-        self.positive = not spec.startswith("!")
-        s = spec[1:] if not self.positive else spec
-        parts = s.lower().split(":")
-        self.http = parts[0] == "http"
-        if self.http:
-            parts = parts[1:]
-        if len(parts) < 2:
-            raise ValueError(f"filter needs key:value, got {spec!r}")
-        self.key, self.value = parts[0], parts[1]
-
-    def header_value(self) -> Column:
-        if not self.http:
-            return F.col("warc_headers")[self.key]
-        # HTTP side: real headers first, then the computed keys
-        computed = {
-            "content_type": F.col("media_type"),
-            "error": F.col("http_status"),
-            "status": F.col("http_status"),
-        }
-        v = F.col("http_headers")[self.key]
-        params = C.media_params(F.col("http_headers")["content-type"])[self.key]
-        return F.coalesce(v, computed.get(self.key, F.lit(None).cast("string")), params)
-
-    def column(self, case_sensitive: bool = False) -> Column:
-        v = self.header_value()
-        hv = v if case_sensitive else F.lower(v)
-        present = v.isNotNull() & (v != "")
-        if self.http:
-            present = present & F.col("http_headers").isNotNull()
-        hit = F.instr(hv, self.value) > 0
-        return present & (hit if self.positive else ~hit)
+#: ``!`` (not), ``http:`` (headers of the HTTP message), key, value; what follows a further colon is ignored.
+FILTER = re.compile(r"(?P<no>!)?(?P<http>http:)?+(?P<key>[^:]+):(?P<value>[^:]*)")
+
+
+def _http_value(key: str) -> Column:
+    """Header of the HTTP message, else the part of its start line or content type that the key names."""
+    computed = {
+        "status": "http_reason", "error": "http_status", "version": "http_version",
+        "command": "http_command", "path": "http_path", "content_type": "media_type",
+    }
+    options = [F.col("http_headers")[key]]
+    if key in computed:
+        options.append(F.col(computed[key]))
+    options.append(C.media_params(F.col("http_headers")["content-type"])[key])
+    return F.when(F.col("http_headers").isNotNull(), F.coalesce(*options))
+
+
+def filter_column(spec: str, case_sensitive: bool = False) -> Column:
+    """The rows that one filter keeps: the header is there, not empty, and holds (or, with ``!``, lacks) the value."""
+    m = FILTER.match(spec.lower())
+    if not m:
+        raise ValueError(f"filter needs key:value, got {spec!r}")
+    found = _http_value(m["key"]) if m["http"] else F.col("warc_headers")[m["key"]]
+    holds = F.contains(found if case_sensitive else F.lower(found), F.lit(m["value"]))
+    return (F.length(found) > 0) & (~holds if m["no"] else holds)
 
 
 def header_predicate(filters: list[str], case_sensitive: bool = False) -> Column:
     """AND of all filters as one Column (pushed into the same codegen stage)."""
-    pred = F.lit(True)
-    for f in filters:
-        pred = pred & HeaderFilter(f).column(case_sensitive)
-    return pred
+    return reduce(Column.__and__, [filter_column(f, case_sensitive) for f in filters], F.lit(True))
 
 
 def header_filter(records: DataFrame, filters: list[str], case_sensitive: bool = False) -> DataFrame:
     return records.where(header_predicate(filters, case_sensitive))
 
 
-def response_only(records: DataFrame) -> DataFrame:
-    return header_filter(records, RESPONSE_ONLY)
+def response_only(records: DataFrame, selection: str | None = None) -> DataFrame:
+    """Responses only, of one media selection if given (HTML_SELECTION, PDF_SELECTION)."""
+    return header_filter(records, RESPONSE_ONLY + ([selection] if selection else []))
 
 
 def record_census(records: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import re
 import zlib
 from typing import Iterator
 
@@ -27,7 +28,7 @@ RECORD_SCHEMA = (
     "archive string, offset bigint, warc_type string, record_id string, warc_date string, target_uri string, "
     "warc_headers map<string,string>, http_status string, http_reason string, http_version string, "
     "http_command string, http_path string, http_headers map<string,string>, media_type string, "
-    "content_encoding string, body binary, error string"
+    "content_encoding string, body binary, error string, path string"
 )
 
 
@@ -55,26 +56,76 @@ def _open(path: str):
         fs, p = pafs.FileSystem.from_uri(path)
     else:
         fs, p = pafs.LocalFileSystem(), path.replace("file://", "").replace("file:", "")
-    raw = fs.open_input_stream(p, compression=None)
-    return gzip.GzipFile(fileobj=raw) if p.endswith(".gz") else raw
+    return fs.open_input_stream(p, compression=None)
 
 
-class _Reader:
-    """Line/byte reader over a binary stream with an offset counter."""
+class _Damage(Exception):
+    """A compressed member that cannot be inflated; reading goes on behind it."""
 
-    def __init__(self, fh):
-        self.fh = io.BufferedReader(fh, 1 << 20) if not isinstance(fh, io.BufferedReader) else fh
-        self.offset = 0
 
-    def readline(self) -> bytes:
-        line = self.fh.readline(1 << 20)
-        self.offset += len(line)
-        return line
+GZIP_MAGIC = b"\x1f\x8b\x08"
 
-    def read(self, n: int) -> bytes:
-        data = self.fh.read(n) if n >= 0 else self.fh.read()
-        self.offset += len(data)
-        return data
+
+def _pieces(path: str) -> Iterator[bytes | _Damage]:
+    """Decompressed bytes of a file, piece by piece; a damaged gzip member is
+    reported and the next member is searched behind it."""
+    with _open(path) as fh:
+        if not path.endswith(".gz"):
+            while data := fh.read(1 << 20):
+                yield data
+            return
+        member, rest, begun = zlib.decompressobj(31), b"", False
+        while data := fh.read(1 << 20):
+            rest += data
+            while rest:
+                try:
+                    out = member.decompress(rest)
+                except zlib.error as e:
+                    yield _Damage(f"gzip: {e}")
+                    at = rest.find(GZIP_MAGIC, 1)
+                    rest, member, begun = (rest[at:] if at > 0 else rest[-2:]), zlib.decompressobj(31), False
+                    if at <= 0:
+                        break
+                    continue
+                begun = True
+                if out:
+                    yield out
+                rest = member.unused_data.lstrip(b"\0") if member.eof else b""
+                if member.eof:
+                    member, begun = zlib.decompressobj(31), False
+        if begun:
+            yield _Damage("gzip: truncated member")
+
+
+class _Stream:
+    """Lines and blocks of a file with the offset of the next byte."""
+
+    def __init__(self, pieces: Iterator[bytes | _Damage]):
+        self.pieces, self.held, self.offset = pieces, bytearray(), 0
+
+    def _more(self) -> bool:
+        piece = next(self.pieces, None)
+        if isinstance(piece, _Damage):
+            raise piece
+        self.held += piece or b""
+        return piece is not None
+
+    def take(self, n: int) -> bytes:
+        while len(self.held) < n and self._more():
+            pass
+        out = bytes(self.held[:n])
+        del self.held[:n]
+        self.offset += len(out)
+        return out
+
+    def line(self) -> bytes:
+        """The next line with its end, however long; empty at the end of the file."""
+        looked = 0
+        while (at := self.held.find(b"\n", looked)) < 0:
+            looked = len(self.held)
+            if not self._more():
+                return self.take(len(self.held))
+        return self.take(at + 1)
 
 
 def _parse_headers(lines: list[bytes]) -> dict[str, str]:
@@ -111,6 +162,8 @@ def _dechunk(data: bytes) -> bytes:
 
 def _decode_encoding(body: bytes, encoding: str | None) -> bytes:
     enc = (encoding or "").strip().lower()
+    if enc in ("", "identity"):
+        return body
     if enc in ("gzip", "x-gzip"):
         return gzip.decompress(body)
     if enc == "deflate":
@@ -118,95 +171,128 @@ def _decode_encoding(body: bytes, encoding: str | None) -> bytes:
             return zlib.decompress(body)
         except zlib.error:
             return zlib.decompress(body, -zlib.MAX_WBITS)
-    return body
+    raise ValueError(f"content encoding {enc[:40]!r} is not supported")
+
+
+# start lines as HTTP defines them: a status line may lack its reason, a request line names a method
+STATUS_LINE = re.compile(r"(?P<version>HTTP/[0-9.]+) +(?P<code>[0-9]{3})(?: +(?P<reason>.*))?")
+REQUEST_LINE = re.compile(r"(?P<method>[!#$%&'*+.^_`|~0-9A-Za-z-]+) +(?P<target>.*\S) +(?P<version>HTTP/[0-9.]+)")
+
+
+def _start_line(line: str) -> dict:
+    if m := STATUS_LINE.fullmatch(line):
+        return {"http_version": m["version"], "http_status": m["code"], "http_reason": m["reason"] or ""}
+    if m := REQUEST_LINE.fullmatch(line):
+        return {"http_version": m["version"], "http_command": m["method"], "http_path": m["target"]}
+    return {}
 
 
 def _parse_http(block: bytes) -> dict:
+    """Start line, headers and decoded body of an HTTP message; an undecodable body stays raw with an error."""
     buf = io.BytesIO(block)
-    first = buf.readline().decode("iso-8859-1")
-    words = first.split()
-    rec = {"http_status": None, "http_reason": None, "http_version": None, "http_command": None, "http_path": None}
-    if len(words) >= 3:
-        if words[1].isdigit():
-            rec["http_version"], rec["http_status"], rec["http_reason"] = words[0], words[1], " ".join(words[2:])
-        else:
-            rec["http_command"], rec["http_path"], rec["http_version"] = words[0], words[1], words[2]
+    rec = _start_line(buf.readline().decode("iso-8859-1").strip())
     lines = []
-    while True:
-        line = buf.readline()
-        if line in (b"\r\n", b"\n", b""):
-            break
+    while (line := buf.readline()) not in (b"\r\n", b"\n", b""):
         lines.append(line)
     headers = _parse_headers(lines)
-    payload = buf.read()
-    if headers.get("transfer-encoding", "").lower() == "chunked":
-        body = _dechunk(payload)
-    elif "content-length" in headers:
-        try:
-            body = payload[: int(headers["content-length"])]
-        except ValueError:
-            body = payload
-    else:
-        body = payload
+    body = buf.read()
     ctype = headers.get("content-type", "")
     rec.update(http_headers=headers, media_type=ctype.lower().split(";")[0].strip() if ctype else None,
                content_encoding=headers.get("content-encoding"))
-    rec["body"] = _decode_encoding(body, headers.get("content-encoding"))
+    try:
+        if headers.get("transfer-encoding", "").lower() == "chunked":
+            body = _dechunk(body)
+        elif headers.get("content-length", "").isdigit():
+            body = body[: int(headers["content-length"])]
+        rec["body"] = _decode_encoding(body, headers.get("content-encoding"))
+    except Exception as e:  # noqa: BLE001 - any damage of the body
+        rec.update(body=body, error=f"http: {e}"[:500])
     return rec
 
 
+def _one_record(stream: _Stream, first: bytes) -> tuple[dict, dict, bytes]:
+    """(headers, fields, block) of the record that ``first``, its version line, begins."""
+    if not VERSION_LINE.match(first):
+        raise ValueError(f"bad version line: {first[:40]!r}")
+    lines = []
+    while (line := stream.line()) not in (b"\r\n", b"\n"):
+        if not line:
+            raise ValueError("truncated headers")
+        if VERSION_LINE.match(line):
+            raise _Restart(line)
+        lines.append(line)
+    headers = _parse_headers(lines)
+    if not headers.get("content-length", "").isdigit():
+        raise ValueError("missing Content-Length")
+    n = int(headers["content-length"])
+    block = stream.take(n)
+    if len(block) < n:
+        raise ValueError("truncated record block")
+    return headers, {
+        "warc_type": headers.get("warc-type"), "record_id": headers.get("warc-record-id"), "warc_date": headers.get("warc-date"),
+        "target_uri": headers.get("warc-target-uri"), "warc_headers": headers, "error": None,
+    }, block
+
+
+class _Restart(ValueError):
+    """A record that ends at the version line of the next one."""
+
+    def __init__(self, line: bytes):
+        super().__init__("record ends inside its headers")
+        self.line = line
+
+
+VERSION_LINE = re.compile(rb"WARC/1\.[0-9]+\s*$")
+
+
 def iter_records(path: str, name: str) -> Iterator[dict]:
-    """Records of one archive; an unreadable remainder ends with one error row."""
+    """Records of one archive.  What cannot be read gives one error row with the bytes
+    passed over, and reading goes on at the next version line."""
+    base = {"archive": name, "path": path}
     try:
-        r = _Reader(_open(path))
-    except Exception as e:  # noqa: BLE001
-        yield {"archive": name, "offset": 0, "error": f"open: {e}"}
+        stream = _Stream(_pieces(path))
+        line = stream.line()
+    except _Damage as e:
+        yield base | {"offset": 0, "error": str(e)}
+        line = b"\n"
+    except Exception as e:  # noqa: BLE001 - a file that cannot be opened
+        yield base | {"offset": 0, "error": f"open: {e}"[:500]}
         return
-    while True:
-        start = r.offset
+    while line:
+        if line in (b"\r\n", b"\n"):
+            line, bad = _next_line(stream)
+            if bad:
+                yield base | {"offset": stream.offset, "error": bad}
+            continue
+        start = stream.offset - len(line)
         try:
-            line = r.readline()
-            while line in (b"\r\n", b"\n"):
-                start = r.offset
-                line = r.readline()
-            if not line:
-                return
-            version = line.decode("iso-8859-1").strip()
-            if not version.startswith("WARC/1."):
-                raise ValueError(f"bad version line: {version[:40]!r}")
-            hl = []
-            while True:
-                h = r.readline()
-                if not h:
-                    raise ValueError("truncated headers")
-                if h in (b"\r\n", b"\n"):
-                    break
-                hl.append(h)
-            headers = _parse_headers(hl)
-            if "content-length" not in headers:
-                raise ValueError("missing Content-Length")
-            n = int(headers["content-length"])
-            block = r.read(n)
-            if len(block) < n:
-                raise ValueError("truncated record block")
-            r.readline()
-            r.readline()
-            rec = {
-                "archive": name, "offset": start, "warc_type": headers.get("warc-type"),
-                "record_id": headers.get("warc-record-id"), "warc_date": headers.get("warc-date"),
-                "target_uri": headers.get("warc-target-uri"), "warc_headers": headers, "error": None,
-            }
+            headers, rec, block = _one_record(stream, line)
             if "application/http" in headers.get("content-type", "").lower():
                 try:
                     rec.update(_parse_http(block))
-                except Exception as e:  # noqa: BLE001 - bad HTTP part: keep the record, flag it
+                except ValueError as e:  # bad HTTP headers: keep the record, flag it
                     rec.update(body=block, error=f"http: {e}")
             else:
                 rec["body"] = block
-            yield rec
-        except Exception as e:  # noqa: BLE001 - one error row, keep what was read
-            yield {"archive": name, "offset": start, "error": str(e)[:500]}
-            return
+            yield base | {"offset": start} | rec
+            line = b"\n"
+        except (ValueError, _Damage) as e:
+            passed = [line]
+            line = e.line if isinstance(e, _Restart) else b"\n"
+            while line and not VERSION_LINE.match(line):
+                line, _ = _next_line(stream)
+                if not VERSION_LINE.match(line):
+                    passed.append(line)
+            yield base | {"offset": start, "body": b"".join(passed), "error": str(e)[:500]}
+
+
+def _next_line(stream: _Stream) -> tuple[bytes, str | None]:
+    """The next line, and the damage in front of it if any; bytes held from before a damage are dropped."""
+    try:
+        return stream.line(), None
+    except _Damage as e:
+        stream.held.clear()
+        return b"\n", str(e)
 
 
 _COLS = [c.split()[0] for c in RECORD_SCHEMA.split(", ")]
@@ -241,21 +327,20 @@ def read_records(spark: SparkSession, root: str, name_regex: str | None = None,
 
 
 # ---------------------------------------------------------------- writing (filtered dump)
-def _warc_bytes(row) -> bytes:
-    wh = dict(row["warc_headers"] or {})
-    payload = row["http_block"] if row.get("http_block") is not None else (row["body"] or b"")
-    wh["content-length"] = str(len(payload))
-    head = "WARC/1.0\r\n" + "".join(f"{k.title().replace('Warc-', 'WARC-')}: {v}\r\n" for k, v in wh.items() if v is not None)
-    return head.encode("utf-8") + b"\r\n" + payload + b"\r\n\r\n"
-
-
-def _http_block(status, reason, headers, body: bytes) -> bytes:
-    hs = dict(headers or {})
-    hs.pop("content-encoding", None)
-    hs.pop("transfer-encoding", None)
-    hs["content-length"] = str(len(body))
-    line = f"HTTP/1.1 {status} {reason or 'OK'}\r\n" if status else "GET / HTTP/1.1\r\n"
-    return (line + "".join(f"{k}: {v}\r\n" for k, v in hs.items() if v is not None) + "\r\n").encode("utf-8") + body
+def _warc_bytes(row: dict) -> bytes:
+    """One record; an HTTP message gets its start line and headers back, and its body the encoding its headers name."""
+    block = row["body"] or b""
+    if row["http_headers"] is not None and row["warc_type"] in ("response", "request"):
+        headers = {k: v for k, v in row["http_headers"].items() if v is not None and k != "transfer-encoding"}
+        block = gzip.compress(block, mtime=0) if headers.get("content-encoding") == "gzip" else block
+        headers["content-length"] = str(len(block))
+        if row["http_status"]:
+            start = f"{row['http_version'] or 'HTTP/1.1'} {row['http_status']} {row['http_reason'] or ''}".strip()
+        else:
+            start = f"{row['http_command'] or 'GET'} {row['http_path'] or '/'} {row['http_version'] or 'HTTP/1.1'}"
+        block = "\r\n".join([start, *(f"{k}: {v}" for k, v in headers.items()), "", ""]).encode() + block
+    head = {k: v for k, v in (row["warc_headers"] or {}).items() if v is not None} | {"content-length": str(len(block))}
+    return "\r\n".join(["WARC/1.0", *(f"{k}: {v}" for k, v in head.items()), "", ""]).encode() + block + b"\r\n\r\n"
 
 
 def _output_stream(path: str):
@@ -270,35 +355,30 @@ def _output_stream(path: str):
 
 
 def write_archives(records: DataFrame, out_dir: str, archives: int) -> DataFrame:
-    """Write records as gzip-member WARC files, one per partition; returns
-    ``(path, records)`` per written file.
+    """Write records as gzip-member WARC files under their archives' names; returns
+    ``(path, records)`` per file.
 
-    Records are spread by archive name (one archive -> one task).  The file
-    name is the partition number, so a retried task overwrites its own file
-    instead of leaving a duplicate behind.
-    """
+    Records are range-partitioned by archive, so a file is written by one task, and a
+    retried task writes its own files anew."""
     out_dir = out_dir.rstrip("/")
 
     def write(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        path = f"{out_dir}/part-{pid:05d}.warc.gz"
-        fh, count = None, 0
+        fh, name, count = None, None, 0
         for pdf in it:
-            if fh is None and len(pdf):
-                fh = _output_stream(path)
             for row in pdf.to_dict("records"):
-                if row.get("http_headers") is not None and row.get("warc_type") in ("response", "request"):
-                    row["http_block"] = _http_block(row.get("http_status"), None, row.get("http_headers"),
-                                                    row.get("body") or b"")
+                if row["archive"] != name:
+                    if fh is not None:
+                        fh.close()
+                        yield pd.DataFrame({"path": [f"{out_dir}/{name}"], "records": [count]})
+                    name, count = row["archive"], 0
+                    fh = _output_stream(f"{out_dir}/{name}")
                 fh.write(gzip.compress(_warc_bytes(row)))
                 count += 1
         if fh is not None:
             fh.close()
-            yield pd.DataFrame({"path": [path], "records": [count]})
+            yield pd.DataFrame({"path": [f"{out_dir}/{name}"], "records": [count]})
 
-    cols = ["archive", "offset", "warc_type", "warc_headers", "http_status", "http_headers", "body"]
+    cols = ["archive", "offset", "warc_type", "warc_headers", "http_status", "http_reason", "http_version", "http_command", "http_path", "http_headers", "body"]
     spread = records.select(*cols).repartitionByRange(archives, "archive").sortWithinPartitions("archive", "offset")
     return spread.mapInPandas(write, "path string, records bigint")
 
