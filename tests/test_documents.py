@@ -59,18 +59,32 @@ def test_incremental_equals_full(spark):
     assert both == sorted(r.chunk_id for r in full.collect())
 
 
-def test_adaptive_embed_halves_and_truncates():
-    calls = []
+def test_adaptive_embed_splits_and_loses_nothing():
+    calls, seen = [], []
 
     def fn(texts):
         calls.append(len(texts))
         if len(texts) > 2 or any(len(t) > 5000 for t in texts):
             raise ValueError("400 input too large")
-        return [[float(len(t))] for t in texts]
+        seen.extend(texts)
+        return [[float(len(t)), 1.0] for t in texts]
 
-    out = K.adaptive_embed(fn, ["a", "b", "c", "d", "e" * 6000])
-    assert [v[0] for v in out] == [1.0, 1.0, 1.0, 1.0, 5000.0]
-    assert calls[0] == 5
+    long = " ".join(f"word{i}" for i in range(2500))
+    out = K.adaptive_embed(fn, ["a", "b", "c", "d", long, ""])
+    assert calls[0] == 6 and len(long) > 20000
+    parts = [t for t in seen if len(t) > 1]
+    assert sorted("".join(parts)) == sorted(long) and all(len(t) <= 5000 for t in parts)
+    assert [v[0] for v in out[:4]] == [1.0] * 4 and out[5] == [0.0, 1.0]
+    assert abs(out[4][1] - 1.0) < 1e-9 and abs(out[4][0] - sum(len(t) ** 2 for t in parts) / len(long)) < 1e-6
+
+
+def test_adaptive_embed_tells_errors_apart():
+    import pytest
+
+    with pytest.raises(K.CountMismatch):
+        K.adaptive_embed(lambda texts: [[1.0]] * 400, ["a", "b"])
+    with pytest.raises(ValueError, match="413"):
+        K.adaptive_embed(lambda texts: (_ for _ in ()).throw(ValueError("413 too large")), ["a"])
 
 
 def test_write_chunks_dynamic_overwrite(spark):
@@ -92,12 +106,12 @@ def test_embed_with_failed_chunk_drops_document(spark):
 
     def model(texts):
         if any("POISON" in t for t in texts):
-            raise ValueError("400 input rejected: length")
+            raise ValueError("model rejected the input")
         return [[1.0, float(len(t))] for t in texts]
 
     vecs = K.embed_with(chunks, model, batch_rows=8)
     errors = {r.file_path: r.error for r in vecs.collect()}
-    assert errors["ok"] is None and "failed permanently" in errors["bad"]
+    assert errors["ok"] is None and "rejected" in errors["bad"]
     kept = K.drop_failed_documents(chunks, vecs)
     assert [r.file_path for r in kept.collect()] == ["ok"]
     # the failed document has no stored chunk, so the next run picks it up again

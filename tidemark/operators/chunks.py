@@ -1,7 +1,8 @@
 """Cleaning, chunking, embedding and incremental index bookkeeping."""
 
+from __future__ import annotations
 
-
+import re
 from typing import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -11,9 +12,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as T
 from tidemark.functions import vectors as V
 
-# Fixed value: longest text sent alone to the embedding function after a size error.
-MAX_EMBED_CHARS = 5000
-SIZE_ERROR_MARKERS = ("400", "length", "large")
+# What an embedding service says when its input is too large.
+SIZE_ERROR = re.compile(r"\b(?:400|413)\b|length|large", re.IGNORECASE)
 
 
 def clean_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -43,34 +43,55 @@ def chunk_tokens(docs: DataFrame, key_col: str = "file_path", text_col: str = "t
 
 def embed_default(chunks: DataFrame, text_col: str = "text", out_col: str = "embedding",
                   dim: int = V.DEFAULT_DIM) -> DataFrame:
-    """Model-free embedding: hashed term counts (built-in expressions, no Python)."""
+    """Model-free embedding: hashed term counts (one vectorised pandas step)."""
     return chunks.withColumn(out_col, V.hashed_term_vector(F.col(text_col), dim))
 
 
-def _is_size_error(err: Exception) -> bool:
-    msg = str(err).lower()
-    return any(m in msg for m in SIZE_ERROR_MARKERS)
+class CountMismatch(RuntimeError):
+    """The embedding function returned another number of vectors than it got texts."""
+
+
+def is_size_error(err: Exception) -> bool:
+    """Whether an error of the embedding function says that its input was too large."""
+    return not isinstance(err, CountMismatch) and SIZE_ERROR.search(str(err)) is not None
+
+
+def _halves(text: str) -> list[str]:
+    """A text in two parts, cut at the white space nearest to its middle if there is any."""
+    mid = len(text) // 2
+    cut = max(text.rfind(" ", 1, mid + 1), text.rfind("\n", 1, mid + 1))
+    return [text[:cut], text[cut:]] if cut > 0 else [text[:mid], text[mid:]]
 
 
 def adaptive_embed(fn: Callable[[list[str]], Sequence[Sequence[float]]], texts: list[str]) -> list[list[float]]:
-    """Call ``fn`` on ``texts``; on a size error halve the batch, and for a single
-    text cut it to 5000 characters once; other errors propagate."""
-    if not texts:
-        return []
-    try:
-        out = [list(map(float, v)) for v in fn(texts)]
-        if len(out) != len(texts):
-            raise ValueError(f"embedding count mismatch: {len(out)} != {len(texts)}")
-        return out
-    except Exception as e:  # noqa: BLE001 - user function
-        if not _is_size_error(e):
-            raise
-        if len(texts) == 1:
-            if len(texts[0]) > MAX_EMBED_CHARS:
-                return adaptive_embed(fn, [texts[0][:MAX_EMBED_CHARS]])
-            raise ValueError(f"chunk failed permanently: {e}") from e
-        mid = len(texts) // 2
-        return adaptive_embed(fn, texts[:mid]) + adaptive_embed(fn, texts[mid:])
+    """Vectors of ``texts``, all of each text embedded.
+
+    Works through a list of batches.  A batch that ``fn`` finds too large goes back in
+    two; a single text that is too large goes back as two parts, and its vector is the
+    mean of its parts weighed by their lengths.  Other errors propagate, as does a size
+    error on a single character."""
+    parts = [(i, t) for i, t in enumerate(texts)]
+    sums: list[list[float] | None] = [None] * len(texts)
+    waiting = [parts] if parts else []
+    while waiting:
+        batch = waiting.pop()
+        try:
+            got = list(fn([t for _, t in batch]))
+            if len(got) != len(batch):
+                raise CountMismatch(f"{len(got)} vectors for {len(batch)} texts")
+        except Exception as e:  # noqa: BLE001 - user function
+            if not is_size_error(e) or (len(batch) == 1 and len(batch[0][1]) < 2):
+                raise
+            if len(batch) == 1:
+                waiting += [[(batch[0][0], t)] for t in _halves(batch[0][1])]
+            else:
+                waiting += [batch[: len(batch) // 2], batch[len(batch) // 2 :]]
+            continue
+        for (i, text), vector in zip(batch, got):
+            share = len(text) / len(texts[i]) if texts[i] else 1.0
+            own = [share * float(x) for x in vector]
+            sums[i] = own if sums[i] is None else [a + b for a, b in zip(sums[i], own)]
+    return sums  # type: ignore[return-value]
 
 
 def embed_with(chunks: DataFrame, fn: Callable[[list[str]], Sequence[Sequence[float]]],
@@ -169,8 +190,6 @@ def pack_sentences(text: str, size: int = T.CHUNK_TOKENS, overlap: int = T.CHUNK
     """Greedy sentence packing: whole sentences up to ``size`` tokens per chunk;
     the next chunk starts with the previous chunk's trailing sentences that fit
     in ``overlap`` tokens; a sentence longer than ``size`` is cut into windows."""
-    import re
-
     sents: list[list[str]] = []
     for s in re.split(SENTENCE_END, text or ""):
         toks = s.split()
@@ -194,6 +213,9 @@ def pack_sentences(text: str, size: int = T.CHUNK_TOKENS, overlap: int = T.CHUNK
                     break
                 tail.insert(0, x)
                 m += len(x)
+            # the kept tail gives way when the next sentence does not fit behind it
+            while tail and m + len(s) > size:
+                m -= len(tail.pop(0))
             cur, n = tail, m
         cur.append(s)
         n += len(s)
