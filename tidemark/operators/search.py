@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import vectors as V
-from tidemark.session import DEFAULT_BROADCAST_LIMIT_BYTES, cut_lineage
+from tidemark.session import DEFAULT_BROADCAST_LIMIT_BYTES, materialise
 
 SCORE_DECIMALS = 6
 MAX_SCORE_CELLS = 4_000_000  # scores materialized per Arrow batch (rows x queries)
@@ -50,6 +50,17 @@ def _topk_candidates(S: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return r, q
 
 
+def _matrix(vectors, width: int) -> np.ndarray:
+    """Vectors as rows of one width; null and empty ones are zero, any other width is an error."""
+    out = np.zeros((len(vectors), width))
+    for i, v in enumerate(vectors):
+        if v is not None and len(v):
+            if len(v) != width:
+                raise ValueError(f"vector of width {len(v)} among vectors of width {width}")
+            out[i] = v
+    return out
+
+
 def _knn_partition_fn(qids: list, Q: np.ndarray, k: int, id_col: str, vec_col: str, payload: list[str]):
     qq = np.einsum("ij,ij->i", Q, Q)
     qid_arr = np.array(qids, dtype=object)
@@ -62,14 +73,9 @@ def _knn_partition_fn(qids: list, Q: np.ndarray, k: int, id_col: str, vec_col: s
             step = max(1, MAX_SCORE_CELLS // max(1, len(qids)))
             for start in range(0, len(pdf), step):
                 part = pdf.iloc[start:start + step]
-                C = np.vstack(part[vec_col].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
-                Qb = Q
-                if Qb.shape[1] != C.shape[1]:  # zero-pad the narrower side (zeros add nothing)
-                    width = max(Qb.shape[1], C.shape[1])
-                    Qb = np.pad(Qb, ((0, 0), (0, width - Qb.shape[1])))
-                    C = np.pad(C, ((0, 0), (0, width - C.shape[1])))
+                C = _matrix(part[vec_col], Q.shape[1]) if Q.shape[1] else np.zeros((len(part), 0))
                 cc = np.einsum("ij,ij->i", C, C)
-                S = _score_block(C, cc, Qb, qq)
+                S = _score_block(C, cc, Q, qq)
                 r, q = _topk_candidates(S, k)
                 cand = part.iloc[r][[id_col] + payload].reset_index(drop=True)
                 cand.insert(0, "_q", q)
@@ -100,7 +106,7 @@ def knn_exact(queries: DataFrame, corpus: DataFrame, k: int, qid_col: str = "qid
     dim_row = qdf.select(F.max(F.size("qv")).alias("d"), F.count("*").alias("n")).first()
     n_q, dim = int(dim_row["n"] or 0), int(dim_row["d"] or 0)
     if n_q == 0:
-        return _empty_hits(corpus, id_col, payload)
+        return _empty_hits(corpus, id_col, payload, qdf.schema["qid"].dataType)
     per_query = max(1, dim) * 8 + 64
     # bounded broadcast (query matrix) and bounded kernel state (queries x k rows)
     block = max(1, min(broadcast_limit // per_query, MAX_KERNEL_ROWS // max(1, k)))
@@ -135,10 +141,7 @@ def _knn_block(qdf: DataFrame, corpus: DataFrame, k: int, id_col: str, vec_col:
     if not rows:
         return None
     qids = [r["qid"] for r in rows]
-    Q = np.zeros((len(rows), dim), dtype=np.float64)
-    for i, r in enumerate(rows):
-        v = r["qv"] or []
-        Q[i, : len(v)] = v
+    Q = _matrix([r["qv"] for r in rows], dim)
     bq = spark.sparkContext.broadcast((qids, Q))
     qid_type = qdf.schema["qid"].dataType
     fields = [T.StructField("qid", qid_type), T.StructField("score", T.DoubleType()), corpus.schema[id_col]]
@@ -151,9 +154,9 @@ def _knn_block(qdf: DataFrame, corpus: DataFrame, k: int, id_col: str, vec_col:
     return corpus.select(id_col, vec_col).mapInPandas(run, schema)
 
 
-def _empty_hits(corpus: DataFrame, id_col: str, payload: list[str]) -> DataFrame:
+def _empty_hits(corpus: DataFrame, id_col: str, payload: list[str], qid_type: T.DataType) -> DataFrame:
     spark = corpus.sparkSession
-    fields = [T.StructField("qid", T.LongType()), T.StructField("rank", T.IntegerType()),
+    fields = [T.StructField("qid", qid_type), T.StructField("rank", T.IntegerType()),
               T.StructField("score", T.DoubleType()), corpus.schema[id_col]] + [corpus.schema[c] for c in payload]
     return spark.createDataFrame([], T.StructType(fields))
 
@@ -196,11 +199,18 @@ def _cosine_rows(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def knn_lsh(queries: DataFrame, corpus: DataFrame, k: int, dim: int, qid_col: str = "qid",
             qvec_col: str = "embedding", id_col: str = "chunk_id", vec_col: str = "embedding",
-            payload: list[str] | None = None, bits: int = 8, tables: int = 4, seed: int = 7) -> DataFrame:
+            payload: list[str] | None = None, bits: int | None = None, tables: int = 12, seed: int = 7) -> DataFrame:
     """Approximate top-k: candidates share a sign-projection bucket with the query
     in at least one table; candidates are re-scored exactly and ranked like
     :func:`knn_exact`.  The join is on ``(table, bucket)``; the query side is the
-    small side, so a crowded corpus bucket stays spread over the corpus tasks."""
+    small side, so a crowded corpus bucket stays spread over the corpus tasks.
+
+    ``bits`` follows the corpus by default, so that a bucket holds about ``16 k``
+    vectors at any size.  Queries whose buckets hold fewer than ``k`` vectors are
+    searched exactly, so every query gets ``k`` hits where the corpus has them."""
+    n = corpus.count()
+    if bits is None:
+        bits = max(1, round(math.log2(max(2.0, n / (16 * k)))))
     payload = [c for c in (payload or []) if c not in (id_col, vec_col)]
     q = queries.select(F.col(qid_col).alias("qid"), F.col(qvec_col).alias("qv"))
     q = q.withColumn("_k", lsh_keys("qv", dim, bits, tables, seed)).select(
@@ -214,7 +224,13 @@ def knn_lsh(queries: DataFrame, corpus: DataFrame, k: int, dim: int, qid_col: st
     scored = pairs.dropDuplicates(["qid", id_col])
     w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col(id_col).asc())
     ranked = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return ranked.select("qid", "rank", F.round("score", SCORE_DECIMALS).alias("score"), id_col, *payload)
+    found = materialise(ranked.select("qid", "rank", F.round("score", SCORE_DECIMALS).alias("score"), id_col, *payload), "lsh-hits")
+    full = found.groupBy("qid").count().filter(F.col("count") >= min(k, n)).select("qid")
+    short = queries.select(F.col(qid_col).alias("qid"), F.col(qvec_col).alias("qv")).join(full, "qid", "left_anti")
+    if not short.limit(1).count():
+        return found
+    rest = knn_exact(short, corpus, k, "qid", "qv", id_col, vec_col, payload)
+    return found.join(full, "qid", "left_semi").unionByName(rest.select(*found.columns))
 
 
 def recall_vs_exact(approx: DataFrame, exact: DataFrame, id_col: str = "chunk_id") -> DataFrame:
@@ -288,13 +304,10 @@ def batch_search(questions: DataFrame, expansions: DataFrame | None, corpus: Dat
         variants = variants.unionByName(q.select("qid", "question", F.lit(True).alias("expanded"), "search_text"))
     variants = variants.withColumn("vkey", F.concat(F.col("qid").cast("string"), F.when(F.col("expanded"), F.lit(":x")).otherwise(F.lit(":o"))))
     qvec = variants.select(F.col("vkey").alias("qid"), V.hashed_term_vector(F.col("search_text"), dim).alias("embedding"))
-    # one search for all scenarios; the (small: queries x k rows) result is written to
-    # the shared checkpoint folder so every scenario branch reads it back instead of
-    # re-running the corpus scan, and a lost executor does not re-trigger the search
-    # the corpus is the index table: materialize it once so the search pass and
-    # the payload join-back read the written chunks instead of recomputing them
-    corpus = cut_lineage(corpus.select("chunk_id", "embedding", *payload))
-    hits = cut_lineage(knn_exact(qvec, corpus, k, payload=payload)).withColumnRenamed("qid", "vkey")
+    # one search for all scenarios: its (queries x k) rows are written, and every scenario
+    # reads them back.  The corpus is expected to be a written index table, as both the
+    # search and the join of its payload read it.
+    hits = materialise(knn_exact(qvec, corpus, k, payload=payload), "search").withColumnRenamed("qid", "vkey")
     # no broadcast hint: the question set may be large; the optimizer picks the
     # join from size statistics (the hits side is queries x k rows)
     hits = hits.join(variants.select("vkey", "qid", "question", "expanded"), "vkey").drop("vkey")
