@@ -113,7 +113,7 @@ def with_archive_path_parts(df, url_col: str, prefix: str = "_u", keep_query: bo
     p = prefix
     u = F.col(url_col)
     out = df.withColumn(f"{p}dec", F.coalesce(F.try_url_decode(F.replace(u, F.lit("+"), F.lit("%2B"))), u))
-    out = out.withColumn(f"{p}h0", F.lower(F.regexp_extract(f"{p}dec", r"^(([^:/?#]+):)?(//([^/?#:]*))", 4)))
+    out = out.withColumn(f"{p}h0", F.lower(F.regexp_extract(f"{p}dec", r"^(([^:/?#]+):)?(//(?:[^/?#@]*@)?([^/?#:]*))", 4)))
     out = out.withColumn(f"{p}path", F.regexp_extract(f"{p}dec", _RFC3986, 5))
     out = out.withColumn(f"{p}f0", F.regexp_extract(f"{p}path", r"([^/]*)$", 1))
     no_dot = F.instr(F.col(f"{p}f0"), ".") == 0

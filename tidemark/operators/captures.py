@@ -181,7 +181,8 @@ def dedup_captures(captures: DataFrame, by_content: bool = False) -> DataFrame:
     keyed = captures.withColumn("_norm", normalized_name("rel_path"))
     group = ["archive", "domain", "_norm"]
     if by_content:
-        keyed = keyed.withColumn("_fp", fingerprint(F.col("body").cast("binary"), F.col("size")))
+        own = F.col("fingerprint") if "fingerprint" in cols else fingerprint(F.col("body").cast("binary"), F.col("size"))
+        keyed = keyed.withColumn("_fp", own)
         group.append("_fp")
     picked = keyed.groupBy(*group).agg(
         F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_row")

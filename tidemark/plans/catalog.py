@@ -21,12 +21,16 @@ from tidemark.operators import records as Rec
 from tidemark.operators import search as R
 from tidemark.plans import indexing as I
 from tidemark.sources import derived as S
-from tidemark.session import cut_lineage
+from tidemark.session import shared_table
 from tidemark.sources.tables import table
 
 EVAL_K = 100
 SELF_SEARCH_K = 10
 HEADER_FILTERS = ["warc-type:response", "content-type:application/http", "http:content-type:text/html", "!http:error:404"]
+KEY_FILTERS = [
+    "http:status:not found", "http:error:404", "!http:error:404", "http:version:1.1", "http:command:get", "http:path:/en/",
+    "http:content_type:pdf", "http:charset:utf-8", "warc-type:request", "!http:status:ok",
+]
 DENY_PATTERN = r"spam|pills"
 STORED_LANG = "en"  # documents of an earlier run already in the chunk store
 
@@ -94,7 +98,7 @@ def q_normalized_name(spark, sf):
 
 def q_fingerprint(spark, sf):
     c = I.captures(spark, sf)
-    return c.select("archive", "seq", C.fingerprint(F.col("body").cast("binary"), F.col("size")).alias("fingerprint"))
+    return c.select("archive", "seq", "fingerprint")
 
 
 def _allowed_captures(spark, sf):
@@ -107,7 +111,7 @@ def q_dedup_captures(spark, sf):
 
 
 def q_latest_captures(spark, sf):
-    return I.latest_pages(spark, sf).select("domain", "rel_path", "archive", "seq", "capture_ts", "size")
+    return I.latest_keys(spark, sf).select("domain", "rel_path", "archive", "seq", "capture_ts", "size")
 
 
 def q_allowed_pages(spark, sf):
@@ -121,7 +125,7 @@ def q_denied_pages(spark, sf):
 
 
 def q_domain_summary(spark, sf):
-    return C.domain_summary(I.latest_pages(spark, sf))
+    return C.domain_summary(I.latest_keys(spark, sf))
 
 
 def q_dup_counts(spark, sf):
@@ -174,7 +178,7 @@ def _pdf_pages(spark, sf):
     c = table(spark, sf, "conversations", spread=True)
     return c.select(F.col("conv_id").alias("file"),
                     F.concat(F.lit("doc"), F.col("conv_id").cast("string"), F.lit(".pdf")).alias("file_name"),
-                    F.col("turn").alias("page_no"), "text")
+                    F.col("turn").alias("page_no"), F.when(F.col("conv_id") % 9 == 2, F.lit(" \n")).otherwise(F.col("text")).alias("text"))
 
 
 def q_pdf_documents(spark, sf):
@@ -263,9 +267,9 @@ def q_expanded_queries(spark, sf):
 
 
 def _hits(spark, sf):
+    """The search results of all scenarios, written once and read by every evaluation query."""
     qs, rel, ex, inp = _questions(spark, sf)
-    corpus = I.page_chunks(spark, sf, inp)
-    hits = cut_lineage(R.batch_search(qs, ex, corpus, EVAL_K))
+    hits = shared_table(spark, ("hits", sf, EVAL_K), lambda: R.batch_search(qs, ex, I.page_chunks(spark, sf, inp), EVAL_K))
     return hits, qs, rel
 
 
@@ -335,6 +339,24 @@ def q_header_filter(spark, sf):
     return Rec.header_filter(_records(spark, sf), HEADER_FILTERS).select("archive", "offset", "target_uri")
 
 
+def q_pdf_records(spark, sf):
+    return Rec.response_only(_records(spark, sf), Rec.PDF_SELECTION).select("archive", "offset", "target_uri")
+
+
+def q_header_filter_keys(spark, sf):
+    """Records that each filter of a list keeps, one for every computed key."""
+    recs = _records(spark, sf)
+    kept = [F.struct(F.lit(f).alias("filter"), F.coalesce(Rec.header_predicate([f]), F.lit(False)).alias("kept")) for f in KEY_FILTERS]
+    return recs.select(F.explode(F.array(*kept)).alias("f")).groupBy("f.filter").agg(F.count_if("f.kept").alias("n"))
+
+
+def q_pdf_captures(spark, sf):
+    """PDF files among the captures, without excluded names."""
+    c = I.captures(spark, sf)
+    named = c.where(F.col("rel_path").rlike(D.PDF_FILE_PATTERN))
+    return named.where(~D.keyword_excluded(D.file_name("rel_path"), D.PDF_EXCLUDE_FILE_KEYWORDS)).select("archive", "seq", "rel_path")
+
+
 def q_media_types(spark, sf):
     r = _records(spark, sf).where(F.col("warc_type") == "response")
     ct = F.col("http_headers")["content-type"]
@@ -420,6 +442,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scenario_compare": q_scenario_compare,
     "record_census": q_record_census,
     "header_filter": q_header_filter,
+    "pdf_records": q_pdf_records,
+    "header_filter_keys": q_header_filter_keys,
+    "pdf_captures": q_pdf_captures,
     "media_types": q_media_types,
     "payload_digests": q_payload_digests,
     "document_export": q_document_export,

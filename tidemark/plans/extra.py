@@ -43,17 +43,23 @@ def q_archive_files(spark, sf):
 
 def q_records(spark, sf):
     recs = A.read_records(spark, _written_archives(spark, sf))
-    return recs.select("archive", "offset", "warc_type", "target_uri", "http_status", "media_type",
-                       F.length("body").alias("body_bytes"), "error")
+    return recs.select("archive", "warc_type", "target_uri", "http_status", "http_reason", "http_command", "media_type",
+                       F.octet_length("body").cast("bigint").alias("body_bytes"), "error")
+
+
+def q_archive_captures(spark, sf):
+    """Archives -> records -> HTML responses -> captures, with times from the archive names."""
+    caps = S.captures_from_archives(A.read_records(spark, _written_archives(spark, sf)), Rec.HTML_SELECTION)
+    return caps.select("archive", "domain", "rel_path", "capture_ts", "size", "content_encoding")
 
 
 def q_records_filtered(spark, sf):
-    """Filtered dump: response records of HTML pages, not 404, written as archives."""
+    """Filtered dump: response records of HTML pages, not 404, written as a table."""
     recs = A.read_records(spark, _written_archives(spark, sf))
     kept = Rec.header_filter(recs, Q.HEADER_FILTERS)
     out = scratch_path(spark, "filtered")
-    A.write_archives(kept, out, 4).collect()
-    return A.read_records(spark, out).select("offset", "warc_type", "target_uri", "http_status")
+    kept.write.parquet(out)
+    return spark.read.parquet(out).select("archive", "warc_type", "target_uri", "http_status")
 
 
 def q_record_errors(spark, sf):
@@ -104,7 +110,7 @@ def _limited_model(max_chars: int = 6000):
 def q_adaptive_embed(spark, sf):
     chunks = K.chunk_tokens(K.clean_documents(I.corpus_documents(spark, sf)))
     vecs = K.embed_with(chunks, _limited_model(), batch_rows=64)
-    return K.drop_failed_documents(chunks, vecs).select("chunk_id", "file_path", F.size("embedding").alias("dim"))
+    return K.drop_failed_documents(chunks, vecs).select("chunk_id", "file_path", F.size("embedding").cast("bigint").alias("dim"))
 
 
 def q_lsh_recall(spark, sf):
@@ -144,7 +150,7 @@ def q_ingest_stream(spark, sf):
     table_path, ckpt = f"{base}/records", f"{base}/_checkpoint"
     for _ in range(2):
         ST.ingest_stream(spark, arch, table_path, ckpt)
-    return spark.read.parquet(table_path).select("archive", "offset", "warc_type", "target_uri")
+    return spark.read.parquet(table_path).select("archive", "warc_type", "target_uri")
 
 
 def q_chunk_sentences(spark, sf):
@@ -179,7 +185,7 @@ def q_markdown_tree(spark, sf):
 
     root = scratch_path(spark, "markdown")
     D.write_markdown_tree(I.page_documents(spark, sf), root).collect()
-    return markdown_tree(spark, root).select("file_path", "domain", F.length("text").alias("chars"))
+    return markdown_tree(spark, root).select("file_path", "domain", F.length("text").cast("bigint").alias("chars"))
 
 
 def q_lookup_import(spark, sf):
@@ -196,6 +202,7 @@ EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lsh_recall": q_lsh_recall,
     "archive_files": q_archive_files,
     "records": q_records,
+    "archive_captures": q_archive_captures,
     "records_filtered": q_records_filtered,
     "record_errors": q_record_errors,
     "pages_markdown": q_pages_markdown,

@@ -11,6 +11,7 @@ from tidemark.operators import captures as C
 from tidemark.operators import chunks as K
 from tidemark.operators import documents as D
 from tidemark.sources import derived as S
+from tidemark.session import materialise, shared_table
 from tidemark.sources.tables import table
 
 
@@ -29,26 +30,31 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures of the pages, without bodies."""
     return S.captures_from_pages(table(spark, sf_dir, "pages"))
 
 
-def latest_pages(spark: SparkSession, sf_dir: str, inp: Inputs | None = None) -> DataFrame:
-    """Allowed domains only, duplicate pick per folder, newest version per page."""
+def latest_keys(spark: SparkSession, sf_dir: str, inp: Inputs | None = None) -> DataFrame:
+    """Allowed domains only, duplicate pick per folder, newest version per page; without bodies."""
     inp = inp or inputs(spark, sf_dir)
-    caps = S.captures_from_pages(inp.pages)
-    allowed = C.allowed_pages(caps, inp.sites)
+    allowed = C.allowed_pages(S.captures_from_pages(inp.pages), inp.sites)
     return C.latest_captures(C.dedup_captures(allowed))
 
 
+def latest_pages(spark: SparkSession, sf_dir: str, inp: Inputs | None = None) -> DataFrame:
+    """The newest version of each page with its body."""
+    inp = inp or inputs(spark, sf_dir)
+    return S.with_bodies(latest_keys(spark, sf_dir, inp), S.response_records(inp.pages))
+
+
 def page_documents(spark: SparkSession, sf_dir: str, inp: Inputs | None = None, text_fn=None) -> DataFrame:
     inp = inp or inputs(spark, sf_dir)
     return D.pages_to_documents(latest_pages(spark, sf_dir, inp), inp.domains, text_fn=text_fn)
 
 
 def page_chunks(spark: SparkSession, sf_dir: str, inp: Inputs | None = None) -> DataFrame:
-    """Cleaned, chunked, embedded page documents (the search corpus)."""
-    docs = K.clean_documents(page_documents(spark, sf_dir, inp))
-    return K.embed_default(K.chunk_tokens(docs))
+    """Cleaned, chunked, embedded page documents: the search corpus, written once and read by all searches."""
+    return shared_table(spark, ("page-chunks", sf_dir), lambda: K.embed_default(K.chunk_tokens(K.clean_documents(page_documents(spark, sf_dir, inp)))))
 
 
 def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,16 +78,14 @@ def build_index(spark: SparkSession, docs: DataFrame, table_path: str, embed_fn=
 
     keys = key_cols or ["file_path"]
     store = spark.read.parquet(table_path) if _exists(spark, table_path) else None
-    todo = K.not_indexed(docs, store, keys)
+    todo = K.not_indexed(docs, store, keys).dropDuplicates(["file_path"])
     chunks = K.chunk_tokens(K.clean_documents(todo))
     if embed_fn is None:
         chunks = K.embed_default(chunks)
     else:
         chunks = K.drop_failed_documents(chunks, K.embed_with(chunks, embed_fn))
     # the summary and the write read the same written chunks
-    from tidemark.session import cut_lineage
-
-    chunks = cut_lineage(chunks)
+    chunks = materialise(chunks, "new-chunks")
     summary = K.index_summary(docs, chunks, store, keys[0]).collect()
     K.write_chunks(chunks, table_path, mode="append")
     return spark.createDataFrame(summary)

@@ -155,15 +155,16 @@ rec AS (SELECT page_id,
           'ARCHIVEIT-1-JOB' || CAST(job AS VARCHAR) || '-' || {_stamp('job', 'crawl')} || '000-00000-h.warc.gz' AS archive,
           page_id * 3 + crawl AS seq, url AS target_uri,
           CASE WHEN page_id % 7 = 0 THEN '404' WHEN page_id % 7 = 1 THEN '301' ELSE '200' END AS http_status,
-          'text/html' AS media_type,
+          CASE WHEN page_id % 13 = 5 THEN 'application/pdf' WHEN page_id % 13 = 9 THEN 'application/x-unknown' ELSE 'text/html' END AS media_type,
           CASE WHEN k % 5 = 0 THEN 'gzip' END AS content_encoding,
-          html || repeat('<!-- v -->', CAST(k % 3 AS INTEGER)) AS body
+          CASE WHEN page_id % 17 = 3 THEN '<html><body><p>Redirecting</p></body></html>'
+               WHEN page_id % 17 = 4 THEN '<html><body> </body></html>' ELSE html END || repeat('<!-- v -->', CAST(k % 3 AS INTEGER)) AS body
         FROM rr)"""
 
 PATHS = f"""
 paths0 AS (SELECT rec.*,
     url_decode(replace(target_uri, '+', '%2B')) AS _dec,
-    lower(regexp_extract(_dec, '^(([^:/?#]+):)?(//([^/?#:]*))', 4)) AS _h0,
+    lower(regexp_extract(_dec, '^(([^:/?#]+):)?(//(?:[^/?#@]*@)?([^/?#:]*))', 4)) AS _h0,
     CASE WHEN strpos(_h0, 'www.') = 0 THEN _h0 ELSE substr(_h0, 1, strpos(_h0, 'www.') - 1) || substr(_h0, strpos(_h0, 'www.') + 4) END AS domain,
     regexp_extract(_dec, {_lit(RFC)}, 5) AS _path,
     CASE WHEN strpos(_path, '/') = 0 THEN 0 ELSE length(_path) - strpos(reverse(_path), '/') + 1 END AS _ls,
@@ -396,7 +397,7 @@ def _sql() -> dict[str, str]:
         " SELECT domain, count(*) FILTER (WHERE status = 'converted') AS converted, count(*) FILTER (WHERE status = 'skipped') AS skipped,"
         " count(*) FILTER (WHERE status = 'failed') AS failed FROM conv GROUP BY ROLLUP (domain)")
     pdf = f"""
-pp AS (SELECT conv_id AS file, 'doc' || CAST(conv_id AS VARCHAR) || '.pdf' AS file_name, turn AS page_no, text FROM conversations),
+pp AS (SELECT conv_id AS file, 'doc' || CAST(conv_id AS VARCHAR) || '.pdf' AS file_name, turn AS page_no, CASE WHEN conv_id % 9 = 2 THEN ' ' || {NL} ELSE text END AS text FROM conversations),
 pa AS (SELECT file, file_name, count(*) AS n_pages,
          string_agg(CASE WHEN NOT regexp_matches(coalesce(text, ''), '^[{WS}]*$') THEN '## Page ' || CAST(page_no + 1 AS VARCHAR) || {NL} || {NL} || text END, {NL} ORDER BY page_no) AS body
        FROM pp GROUP BY 1, 2),
@@ -459,12 +460,14 @@ pdocs AS (SELECT file, file_name, n_pages,
         " avg(rank_of_first_match) AS avg_rank_first_match FROM ev GROUP BY 1)"
         " SELECT met.*, " + ", ".join(f"rep.k_{k}" for k in [1, 3, 5, 10, 25, 50, 100]) + " FROM met JOIN rep USING (scenario)")
     recs = RECORDS + f""",
-recs AS (SELECT archive, seq * 2 AS "offset", 'request' AS warc_type, target_uri, NULL AS http_status, NULL AS media_type,
+recs AS (SELECT archive, seq * 2 AS "offset", 'request' AS warc_type, target_uri, NULL AS http_status, NULL AS media_type, NULL AS reason,
+           'GET' AS command, regexp_extract(target_uri, '^[^:]*://[^/?#]*([^#]*)', 1) AS path,
            'application/http; msgtype=request' AS wct, FALSE AS is_resp, NULL AS ctype, content_encoding, NULL::BLOB AS body FROM rec
          UNION ALL
          SELECT archive, seq * 2 + 1, 'response', target_uri, http_status, lower(trim(split_part(ctype, ';', 1))),
+           CASE http_status WHEN '404' THEN 'Not Found' WHEN '301' THEN 'Moved Permanently' ELSE 'OK' END, NULL, NULL,
            'application/http; msgtype=response', TRUE, ctype, content_encoding, encode(body) FROM
-           (SELECT *, CASE WHEN page_id % 3 = 0 THEN 'Text/HTML; charset=UTF-8' ELSE 'text/html; charset=utf-8' END AS ctype FROM rec))"""
+           (SELECT *, CASE WHEN media_type <> 'text/html' THEN media_type WHEN page_id % 3 = 0 THEN 'Text/HTML; charset=UTF-8' ELSE 'text/html; charset=utf-8' END AS ctype FROM rec))"""
     q["record_census"] = _with(recs) + (
         " SELECT counter, value, count(*) AS n FROM ("
         " SELECT 'records' AS counter, NULL AS value FROM recs"
@@ -478,7 +481,36 @@ recs AS (SELECT archive, seq * 2 AS "offset", 'request' AS warc_type, target_uri
         " AND strpos(http_status, '404') = 0")
     q["media_types"] = _with(recs) + (
         " SELECT archive, \"offset\", lower(trim(split_part(ctype, ';', 1))) AS media_type,"
-        " trim(split_part(trim(lower(split_part(ctype, ';', 2))), '=', 2)) AS charset FROM recs WHERE is_resp")
+        " nullif(trim(split_part(trim(lower(split_part(ctype, ';', 2))), '=', 2)), '') AS charset FROM recs WHERE is_resp")
+    q["pdf_records"] = _with(recs) + " SELECT archive, \"offset\", target_uri FROM recs WHERE is_resp AND strpos(lower(ctype), 'pdf') > 0"
+    q["header_filter_keys"] = _with(recs) + (
+        " SELECT f.filter AS filter, count(*) FILTER (WHERE f.kept) AS n FROM (SELECT unnest(["
+        " {'filter': 'http:status:not found', 'kept': reason = 'Not Found'}, {'filter': 'http:error:404', 'kept': http_status = '404'},"
+        " {'filter': '!http:error:404', 'kept': http_status <> '404'}, {'filter': 'http:version:1.1', 'kept': true},"
+        " {'filter': 'http:command:get', 'kept': command = 'GET'}, {'filter': 'http:path:/en/', 'kept': strpos(lower(path), '/en/') > 0},"
+        " {'filter': 'http:content_type:pdf', 'kept': media_type = 'application/pdf'},"
+        " {'filter': 'http:charset:utf-8', 'kept': strpos(lower(ctype), 'charset=utf-8') > 0},"
+        " {'filter': 'warc-type:request', 'kept': warc_type = 'request'}, {'filter': '!http:status:ok', 'kept': reason <> 'OK'}]) AS f"
+        " FROM recs) GROUP BY 1")
+    q["pdf_captures"] = _with(RECORDS, PATHS) + (
+        " SELECT archive, seq, rel_path FROM caps WHERE regexp_matches(rel_path, '\\.(pdf|pdf\\.gz)$') AND NOT regexp_matches("
+        "lower(regexp_extract(rel_path, '([^/]*)$', 1)), 'impressum|datenschutz|kontakt|robots|imprint|data-protection|contact|copyright')")
+    read = (" archive, warc_type, target_uri, http_status")
+    q["records"] = _with(recs) + (
+        f" SELECT{read}, reason AS http_reason, command AS http_command, media_type, coalesce(octet_length(body), 0)::BIGINT AS body_bytes, NULL::VARCHAR AS error FROM recs")
+    q["ingest_stream"] = _with(recs) + " SELECT archive, warc_type, target_uri FROM recs"
+    q["ingest_summary"] = _with(recs) + " SELECT true AS ok, count(DISTINCT archive) AS archives FROM recs"
+    q["records_filtered"] = q["header_filter"].replace("SELECT archive, \"offset\", target_uri FROM recs", f"SELECT{read} FROM recs")
+    html_caps = PATHS[PATHS.index("caps AS ("):].replace("caps AS (", "hcaps AS (", 1).replace("FROM paths)", "FROM paths WHERE media_type = 'text/html')")
+    q["archive_captures"] = _with(RECORDS, PATHS, html_caps) + " SELECT archive, domain, rel_path, capture_ts, size, content_encoding FROM hcaps"
+    q["capture_sink"] = _with(RECORDS, PATHS, SITES, LATEST) + " SELECT domain, rel_path, archive, size FROM latest"
+    q["lookup_import"] = q["domain_map"]
+    q["markdown_tree"] = base_html + " SELECT file_path, domain, length(text) AS chars FROM hdocs"
+    q["eval_export"] = q["scenario_metrics"].replace(", avg(rank_of_first_match) AS avg_rank_first_match", "").replace(
+        " avg(rank_of_first_match) AS avg_rank_first_match", "").replace(" AS recall, FROM", " AS recall FROM")
+    streamed = _with(CORPUS, clean_ctes("corpus", "cclean", "file_path"), chunk_ctes("cclean", "cch", "file_path", keep="domain"))
+    q["index_stream"] = streamed + " SELECT file_path || '#' || CAST(pos AS VARCHAR) AS chunk_id, file_path, CAST(pos AS INTEGER) AS pos, domain FROM cch"
+    q["adaptive_embed"] = corpus_chunks + " SELECT file_path || '#' || CAST(pos AS VARCHAR) AS chunk_id, file_path, 64::BIGINT AS dim FROM cch"
     q["payload_digests"] = _with(recs) + " SELECT archive, \"offset\", 'sha1:' || sha1(body) AS payload_digest FROM recs WHERE is_resp"
     q["document_export"] = base_html + (
         " SELECT row_number() OVER (ORDER BY file_path) - 1 AS doc_id, coalesce(file_path, '') AS file_path, coalesce(title, '') AS title,"
@@ -495,6 +527,11 @@ recs AS (SELECT archive, seq * 2 AS "offset", 'request' AS warc_type, target_uri
         " (SELECT count(DISTINCT file_path) FROM tch) AS files_indexed,"
         " (SELECT count(*) FROM todo WHERE file_path NOT IN (SELECT file_path FROM tch)) AS files_skipped,"
         " (SELECT count(*) FROM corpus WHERE file_path IN (SELECT file_path FROM done)) AS files_already_indexed")
+    q["index_build"] = store + (
+        " SELECT 1 AS run, (SELECT count(*) FROM sch) AS chunks, (SELECT count(*) FROM done) AS files_indexed,"
+        " (SELECT count(*) FROM stored_src) - (SELECT count(*) FROM done) AS files_skipped, 0::BIGINT AS files_already_indexed"
+        " UNION ALL SELECT 2, (SELECT count(*) FROM tch), (SELECT count(DISTINCT file_path) FROM tch),"
+        " (SELECT count(*) FROM todo WHERE file_path NOT IN (SELECT file_path FROM tch)), (SELECT count(*) FROM done)")
     return q
 
 

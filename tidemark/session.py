@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,13 +52,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this is set by the operator and only read here.  Only when it
-    is unset (local tests) a private scratch folder is created and registered.
+    On a cluster this is set by the operator and only read here; without it a job
+    on a cluster fails, as executors cannot share a machine's own folder.  Only a
+    ``local`` session gets a private scratch folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = spark.sparkContext.getCheckpointDir()
     if not conf_dir:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         conf_dir = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if not spark.sparkContext.getCheckpointDir():
@@ -73,25 +78,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: columns can still be
+    pruned, lost executors lose nothing, and the files go when the session's JVM ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate of a plan, or None when it is unknown."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # pragma: no cover - connect sessions have no _jdf
-        return None
+_SHARED: dict[tuple, DataFrame] = {}
+
 
+def shared_table(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """The table ``build()`` makes, written once for each session and key and read by every query that needs it."""
+    own = (spark.sparkContext.applicationId, *key)
+    if own not in _SHARED:
+        _SHARED[own] = materialise(build(), key[0])
+    return _SHARED[own]
 
-def fits_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT_BYTES) -> bool:
-    """True when the optimizer's estimate of ``df`` is below ``limit_bytes``."""
-    size = estimated_bytes(df)
-    return size is not None and size <= limit_bytes
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared folder (survives executor loss)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def spread_for_cpu(df: DataFrame) -> DataFrame:

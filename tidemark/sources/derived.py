@@ -47,13 +47,19 @@ def response_records(pages: DataFrame) -> DataFrame:
     """Three crawls of every page as response records
     ``(archive, seq, target_uri, http_status, media_type, content_encoding, body)``.
 
-    Body grows by a marker per version so sizes differ between crawls.
+    Body grows by a marker per version so sizes differ between crawls.  Some pages
+    are PDFs or of an unknown type by their header, and some only redirect or are
+    empty, so that every selection and status is met.
     """
     from tidemark.session import spread_for_cpu
 
     crawl = F.col("crawl")
     job = F.col("page_id") % 4
     k = F.col("page_id") + crawl
+    page = (
+        F.when(F.col("page_id") % 17 == 3, "<html><body><p>Redirecting</p></body></html>")
+        .when(F.col("page_id") % 17 == 4, "<html><body> </body></html>").otherwise(F.col("html"))
+    )
     return (
         spread_for_cpu(pages).select("page_id", "url", "html", F.explode(F.array(*[F.lit(c) for c in CRAWLS])).alias("crawl"))
         .select(
@@ -61,29 +67,47 @@ def response_records(pages: DataFrame) -> DataFrame:
             (F.col("page_id") * 3 + crawl).alias("seq"),
             F.col("url").alias("target_uri"),
             F.when(F.col("page_id") % 7 == 0, "404").when(F.col("page_id") % 7 == 1, "301").otherwise("200").alias("http_status"),
-            F.lit("text/html").alias("media_type"),
+            F.when(F.col("page_id") % 13 == 5, "application/pdf").when(F.col("page_id") % 13 == 9, "application/x-unknown")
+            .otherwise("text/html").alias("media_type"),
             F.when(k % 5 == 0, F.lit("gzip")).alias("content_encoding"),
-            F.concat(F.col("html"), F.repeat(F.lit("<!-- v -->"), (k % 3).cast("int"))).alias("body"),
+            F.concat(page, F.repeat(F.lit("<!-- v -->"), (k % 3).cast("int"))).alias("body"),
         )
     )
 
 
-def captures_from_records(records: DataFrame) -> DataFrame:
-    """Capture table: archive path, collision numbering, capture time, size."""
-    with_path = C.with_archive_path(records)
-    numbered = C.number_collisions(with_path, ["archive", "domain"], "rel_path", "seq")
+def capture_keys(records: DataFrame, bucket_width: int = 4096) -> DataFrame:
+    """Capture table without bodies: archive path, collision numbering, capture time, size, fingerprint.
+
+    Size and fingerprint are taken where the record is read, so no body goes through
+    the numbering or any later selection."""
+    size = F.octet_length("body").cast("bigint")
+    slim = records.select(
+        "archive", "seq", "target_uri", "http_status", "media_type", "content_encoding", size.alias("size"),
+        C.fingerprint(F.col("body").cast("binary"), size).alias("fingerprint"))
+    numbered = C.number_collisions(C.with_archive_path(slim), ["archive", "domain"], "rel_path", "seq", bucket_width)
     return numbered.select(
-        "archive", "seq", "domain", "rel_path",
-        C.capture_ts("archive").alias("capture_ts"),
-        "media_type", "content_encoding",
-        F.octet_length("body").cast("bigint").alias("size"),
-        "http_status",
-        "body",
-    )
+        "archive", "seq", "domain", "rel_path", C.capture_ts("archive").alias("capture_ts"),
+        "media_type", "content_encoding", "size", "http_status", "fingerprint")
+
+
+def with_bodies(captures: DataFrame, records: DataFrame) -> DataFrame:
+    """The selected captures with their bodies: the one join that moves them."""
+    return captures.join(records.select("archive", "seq", "body"), ["archive", "seq"])
 
 
 def captures_from_pages(pages: DataFrame) -> DataFrame:
-    return captures_from_records(response_records(pages))
+    return capture_keys(response_records(pages))
+
+
+def captures_from_archives(records: DataFrame, selection: str | None = None) -> DataFrame:
+    """Captures with bodies from the archive reader's records: responses only, of one media selection if given.
+
+    A record's offset orders the records of its archive; collisions are numbered in
+    buckets of 64 MB of it."""
+    from tidemark.operators import records as Rec
+
+    responses = Rec.response_only(records, selection).withColumnRenamed("offset", "seq")
+    return with_bodies(capture_keys(responses, 64 << 20), responses)
 
 
 def site_sheet(pages: DataFrame) -> DataFrame:
@@ -163,7 +187,7 @@ def warc_records(pages: DataFrame) -> DataFrame:
     """
     resp = response_records(pages).withColumn("page_id", F.floor(F.col("seq") / 3))
     ts = C.capture_ts("archive")
-    ctype = F.when(F.col("page_id") % 3 == 0, F.lit("Text/HTML; charset=UTF-8")).otherwise(F.lit("text/html; charset=utf-8"))
+    ctype = F.when(F.col("media_type") != "text/html", F.col("media_type")).when(F.col("page_id") % 3 == 0, F.lit("Text/HTML; charset=UTF-8")).otherwise(F.lit("text/html; charset=utf-8"))
     http_resp = F.map_from_arrays(
         F.array(F.lit("content-type"), F.lit("content-encoding")),
         F.array(ctype, F.col("content_encoding")),
@@ -172,6 +196,8 @@ def warc_records(pages: DataFrame) -> DataFrame:
         "archive", "seq", "target_uri", "http_status", "body", "content_encoding", "page_id",
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("warc_date"), ctype.alias("ctype"), http_resp.alias("hh"))
 
+    reason = F.when(F.col("http_status") == "404", "Not Found").when(F.col("http_status") == "301", "Moved Permanently").otherwise("OK")
+
     def rec(kind: str, offset: int) -> DataFrame:
         is_resp = kind == "response"
         wct = "application/http; msgtype=" + kind
@@ -187,6 +213,10 @@ def warc_records(pages: DataFrame) -> DataFrame:
                 F.array(F.lit(kind), F.col("target_uri"), F.lit(wct), F.col("warc_date")),
             ).alias("warc_headers"),
             (F.col("http_status") if is_resp else F.lit(None).cast("string")).alias("http_status"),
+            (reason if is_resp else F.lit(None).cast("string")).alias("http_reason"),
+            F.lit("HTTP/1.1").alias("http_version"),
+            F.lit(None if is_resp else "GET").cast("string").alias("http_command"),
+            (F.lit(None).cast("string") if is_resp else F.regexp_extract("target_uri", r"^[^:]*://[^/?#]*([^#]*)", 1)).alias("http_path"),
             (F.col("hh") if is_resp else F.create_map(F.lit("host"), U.url_host(F.col("target_uri")))).alias("http_headers"),
             (C.media_type(F.col("ctype")) if is_resp else F.lit(None).cast("string")).alias("media_type"),
             (F.col("body").cast("binary") if is_resp else F.lit(None).cast("binary")).alias("body"),

@@ -28,20 +28,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def index_stream(spark: SparkSession, docs_dir: str, glob: str, table_path: str, checkpoint: str,
-                 schema: StructType, to_documents, files_per_batch: int = 8) -> None:
+                 schema: StructType, to_documents, files_per_batch: int = 8, embed=K.embed_default) -> None:
     """New document files -> clean -> chunk -> embed -> append to the chunk table.
 
     ``to_documents(df)`` maps the raw file rows to ``(file_path, file_name,
-    domain, text, ...)``.  Documents whose key already has chunks are skipped.
+    domain, text, ...)``; ``embed(chunks)`` adds the vectors (a user model by
+    ``embed_with``).  Documents whose key already has chunks are skipped, and of rows
+    with one key in a batch one is taken.
     """
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
               .option("maxFilesPerTrigger", files_per_batch).parquet(docs_dir))
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        docs = to_documents(df)
+        docs = to_documents(df).dropDuplicates(["file_path"])
         if _exists(spark, table_path):
             docs = K.not_indexed(docs, spark.read.parquet(table_path))
-        chunks = K.embed_default(K.chunk_tokens(K.clean_documents(docs)))
+        chunks = embed(K.chunk_tokens(K.clean_documents(docs)))
         chunks.write.mode("append").partitionBy("domain").parquet(table_path)
 
     q = (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
@@ -59,8 +61,9 @@ def ingest_stream(spark: SparkSession, archive_dir: str, table_path: str, checkp
     def batch(df: DataFrame, epoch_id: int) -> None:
         files = df.select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name")).distinct()
         if _exists(spark, table_path):
-            done = spark.read.parquet(table_path).select(F.col("archive").alias("name")).distinct()
-            files = files.join(done, "name", "left_anti")
+            # by whole path: two folders may hold archives of one name
+            done = spark.read.parquet(table_path).select("path").distinct()
+            files = files.join(done, "path", "left_anti")
         n = max(1, files.count())
         recs = files.repartitionByRange(n, "path").mapInPandas(A._parse_partition, A.RECORD_SCHEMA)
         recs.write.mode("append").parquet(table_path)
