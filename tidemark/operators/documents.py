@@ -53,12 +53,16 @@ def page_path_from_md(md_rel: Column) -> Column:
     return F.concat(F.regexp_replace(md_rel, r"\.md$", ""), F.lit(".html"))
 
 
-def page_urls(page_path: Column, base_url: Column) -> tuple[Column, Column]:
+def page_urls(page_path: Column, base_url: Column, base_path: str | None = None) -> tuple[Column, Column]:
     """(url, url_preview) from the domain's base URL and the page path.
 
     ``…/index.html`` previews as its directory, a root ``index.html`` as the base URL.
-    A null base URL (domain not mapped) gives null URLs.
+    A null base URL (domain not mapped) gives null URLs; a null page path (a file at the
+    root of the tree) gives the base URL itself.  ``base_path`` goes in front of the page
+    path, for a tree of one forced domain that starts below its root.
     """
+    if base_path:
+        page_path = F.concat(F.lit(base_path.rstrip("/") + "/"), page_path)
     base = F.when(base_url.endswith("/"), base_url).otherwise(F.concat(base_url, F.lit("/")))
     url = F.concat(base, page_path)
     base_trim = F.regexp_replace(base, r"/+$", "")
@@ -68,7 +72,8 @@ def page_urls(page_path: Column, base_url: Column) -> tuple[Column, Column]:
         .when(page_path == "index.html", base_trim)
         .otherwise(url)
     )
-    return url, preview
+    at_root = page_path.isNull()
+    return F.when(at_root, base_url).otherwise(url), F.when(at_root, base_url).otherwise(preview)
 
 
 def convert_status(text: Column) -> Column:

@@ -59,7 +59,8 @@ def response_only(records: DataFrame, selection: str | None = None) -> DataFrame
 
 def record_census(records: DataFrame) -> DataFrame:
     """One pass: counts of records, by record type, by record content type, by HTTP
-    media type (HTTP records), by status code (HTTP records); null is a value."""
+    media type (HTTP records), by status code (HTTP records), and by media types
+    without a known suffix; null is a value."""
     is_http = F.col("http_headers").isNotNull()
     wct = C.media_type(F.col("warc_headers")["content-type"])
     pairs = F.array(
@@ -71,7 +72,9 @@ def record_census(records: DataFrame) -> DataFrame:
         F.struct(F.lit("http-content").alias("counter"), F.col("media_type").alias("value")),
         F.struct(F.lit("status").alias("counter"), F.col("http_status").alias("value")),
     )
-    all_pairs = F.when(is_http, F.concat(pairs, http_pairs)).otherwise(pairs)
+    strange = F.col("media_type").isNotNull() & C.default_suffix(F.col("media_type")).isNull()
+    strange_pairs = F.array(F.struct(F.lit("unknown-media").alias("counter"), F.col("media_type").alias("value")))
+    all_pairs = F.when(is_http & strange, F.concat(pairs, http_pairs, strange_pairs)).when(is_http, F.concat(pairs, http_pairs)).otherwise(pairs)
     return records.select(F.explode(all_pairs).alias("p")).groupBy("p.counter", "p.value").agg(F.count("*").alias("n"))
 
 

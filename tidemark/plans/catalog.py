@@ -92,6 +92,32 @@ def q_capture_key(spark, sf):
     return I.captures(spark, sf).select("archive", "capture_ts").distinct()
 
 
+def q_folder_key(spark, sf):
+    """Capture folders ``{archive}_{domain}`` back to time and domain."""
+    folders = I.captures(spark, sf).select(F.concat("archive", F.lit("_"), "domain").alias("folder")).distinct()
+    ts, domain = C.folder_key("folder")
+    return folders.select("folder", ts.alias("capture_ts"), domain.alias("domain"))
+
+
+def q_page_url_variants(spark, sf):
+    """URLs of the newest HTML pages below a base path, and of a file at the root of its tree."""
+    inp = I.inputs(spark, sf)
+    pages = I.latest_keys(spark, sf, inp).where(F.col("rel_path").rlike(D.HTML_FILE_PATTERN))
+    pages = pages.join(inp.domains, "domain", "left").withColumn("page", D.page_path_from_md(D.markdown_rel_path("rel_path")))
+    below = D.page_urls(F.col("page"), F.col("base_url"), "snapshots/")
+    root = D.page_urls(F.lit(None).cast("string"), F.col("base_url"))
+    both = F.array(
+        F.struct(F.lit("base path").alias("variant"), below[0].alias("url"), below[1].alias("url_preview")),
+        F.struct(F.lit("root file").alias("variant"), root[0].alias("url"), root[1].alias("url_preview")))
+    return pages.select("domain", "rel_path", F.explode(both).alias("v")).select("domain", "rel_path", "v.*")
+
+
+def q_dropped_lines_total(spark, sf):
+    """Lines over the limit, over all documents."""
+    d = table(spark, sf, "documents", spread=True)
+    return d.agg(F.sum(T.count_long_lines("text")).cast("bigint").alias("dropped_lines"), F.count(F.lit(1)).alias("documents"))
+
+
 def q_normalized_name(spark, sf):
     return I.captures(spark, sf).select("archive", "seq", "rel_path", C.normalized_name("rel_path").alias("norm_name"))
 
@@ -404,6 +430,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "archive_path": q_archive_path,
     "captures": q_captures,
     "capture_key": q_capture_key,
+    "folder_key": q_folder_key,
+    "page_url_variants": q_page_url_variants,
+    "dropped_lines_total": q_dropped_lines_total,
     "normalized_name": q_normalized_name,
     "fingerprint": q_fingerprint,
     "dedup_captures": q_dedup_captures,

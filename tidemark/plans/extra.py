@@ -22,7 +22,7 @@ from tidemark.plans import indexing as I
 from tidemark.session import scratch_path
 from tidemark.sources import archives as A
 from tidemark.sources import derived as S
-from tidemark.sources.tables import table
+from tidemark.sources.tables import read_lookup, table, write_lookup
 from tidemark.streaming import incremental as ST
 
 
@@ -122,9 +122,8 @@ def q_lsh_recall(spark, sf):
 
 
 def q_lookup_export(spark, sf):
-    """Domain map as one JSON object (small by construction: one row per site)."""
-    dm = I.inputs(spark, sf).domains
-    return dm.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("domain", "base_url"))))).alias("json"))
+    """Domain map as JSON lines, a row for each site."""
+    return I.inputs(spark, sf).domains.select("domain", F.to_json(F.struct("domain", "base_url")).alias("json"))
 
 
 def q_index_stream(spark, sf):
@@ -189,12 +188,19 @@ def q_markdown_tree(spark, sf):
 
 
 def q_lookup_import(spark, sf):
-    """Domain map exported as a JSON object file, imported back as rows."""
-    from tidemark.sources.tables import read_json_map
-
+    """Domain map written as a lookup table and read back."""
     out = scratch_path(spark, "lookup")
-    q_lookup_export(spark, sf).coalesce(1).write.text(out)
-    return read_json_map(spark, out, "domain", "base_url")
+    write_lookup(I.inputs(spark, sf).domains.select("domain", "base_url"), out)
+    return read_lookup(spark, out, "domain string, base_url string")
+
+
+def q_timestamp_map(spark, sf):
+    """Page path -> capture time, written as a lookup table and read back."""
+    out = scratch_path(spark, "timestamps")
+    latest = I.latest_keys(spark, sf)
+    write_lookup(latest.select(
+        F.concat("domain", F.lit("/"), "rel_path").alias("page"), F.date_format("capture_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("retrieved")), out)
+    return read_lookup(spark, out, "page string, retrieved string")
 
 
 EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -218,4 +224,5 @@ EXTRA_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_summary": q_ingest_summary,
     "markdown_tree": q_markdown_tree,
     "lookup_import": q_lookup_import,
+    "timestamp_map": q_timestamp_map,
 }

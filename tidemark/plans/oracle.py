@@ -8,17 +8,45 @@ Column names equal the Spark queries' names.
 
 from __future__ import annotations
 
-from tidemark.functions import text as T
-from tidemark.functions import urls as U
-from tidemark.functions import vectors as V
-from tidemark.operators import captures as C
-from tidemark.operators import documents as D
-from tidemark.operators import search as R
-from tidemark.plans import catalog as Q
+# Fixed values of the rules, spelled out here and not taken from the engine, so that a
+# wrong pattern or list there shows as a difference.
+class T:
+    """Text rules."""
 
+    WS = (r"\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}-\x{2029}\x{202F}\x{205F}\x{3000}")
+    MAX_LINE_CHARS, GARBAGE_RUN, REPEAT_MIN, REPEAT_KEEP = 1000, 100, 11, 3
+    CHUNK_TOKENS, CHUNK_OVERLAP, PREVIEW_CHARS, REDIRECT_TEXT = 512, 64, 150, "Redirecting"
+    HTML_DROP_BLOCKS = [r"(?is)<script[^>]*>.*?</script>", r"(?is)<style[^>]*>.*?</style>", r"(?s)<!--.*?-->"]
+    HTML_BREAK_TAGS = r"(?i)</?(p|div|h[1-6]|li|ul|ol|br|tr|table|article|section|nav|header|footer|title|main|aside)(\s[^>]*)?/?>"
+    HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+
+
+class D:
+    """Document rules."""
+
+    HTML_EXCLUDE_FILE_KEYWORDS = [
+        "impressum", "datenschutz", "kontakt", "robots", "imprint", "data-protection", "contact", "copyright", "login", "search", "suche",
+    ]
+    EXCLUDE_DOMAINS: list[str] = []
+    HTML_FILE_PATTERN, DEFAULT_SOURCE, PDF_TITLE_PREFIX, EXAMPLES_PER_STATUS = r"\.(html|htm|html\.gz)$", "webarchive", "# PDF Document: ", 20
+
+
+class Q:
+    """Parameters of the registered queries."""
+
+    EVAL_K, SELF_SEARCH_K, DENY_PATTERN, STORED_LANG = 100, 10, r"spam|pills", "en"
+    SCENARIOS = [
+        ("Retrieval Only", False, False), ("Query Exp. + Retrieval", True, False),
+        ("Retrieval + Reranker", False, True), ("Query Exp. + Retrieval + Reranker", True, True),
+    ]
+
+
+#: Default suffixes of the media types that the recipes use.
+SUFFIXES = [("text/html", ".html"), ("application/pdf", ".pdf")]
+RFC = r"^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?$"
+TERM_SPLIT = r"[^\p{L}\p{N}]+"
 WS = T.WS
 NL = "chr(10)"
-RFC = U._RFC3986
 
 
 def _lit(s: str) -> str:
@@ -106,7 +134,7 @@ def tokens(t: str) -> str:
 
 
 def terms(t: str) -> str:
-    return f"list_filter(regexp_split_to_array(lower({t}), {_lit(V.TERM_SPLIT)}), lambda x: x <> '')"
+    return f"list_filter(regexp_split_to_array(lower({t}), {_lit(TERM_SPLIT)}), lambda x: x <> '')"
 
 
 def hashed_vector(t: str, dim: int) -> str:
@@ -137,7 +165,7 @@ def normalized_name(p: str, q: str) -> tuple[list[str], str]:
 
 # ---------------------------------------------------------------- shared CTEs
 def _suffix_values() -> str:
-    rows = ", ".join(f"({_lit(t)}, {_lit(e)})" for t, e in C.suffix_table_rows())
+    rows = ", ".join(f"({_lit(t)}, {_lit(e)})" for t, e in SUFFIXES)
     return f"(VALUES {rows}) AS st(st_media_type, st_suffix)"
 
 
@@ -295,7 +323,7 @@ exps AS (SELECT b.item_id AS qid,
 xq AS (SELECT q.qid, q.question, coalesce(nullif(trim(e.expanded), ''), q.question) AS search_text
   FROM qmain q LEFT JOIN exps e ON q.qid = e.qid)"""
 
-_scen_rows = ", ".join(f"({_lit(n)}, {str(e).upper()}, {str(r).upper()})" for n, e, r in R.SCENARIOS)
+_scen_rows = ", ".join(f"({_lit(n)}, {str(e).upper()}, {str(r).upper()})" for n, e, r in Q.SCENARIOS)
 HITS = f"""
 {clean_ctes('hdocs', 'hclean', 'file_path')},
 {chunk_ctes('hclean', 'hch', 'file_path', keep='url, url_preview')},
@@ -352,8 +380,7 @@ def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["site_list"] = _with(SITES) + " SELECT domain FROM sites"
     q["domain_map"] = _with(SITES) + " SELECT domain, base_url FROM dmap"
-    q["lookup_export"] = _with(SITES) + (
-        " SELECT to_json(map_from_entries(list(struct_pack(k := domain, v := base_url) ORDER BY domain))) AS json FROM dmap")
+    q["lookup_export"] = _with(SITES) + " SELECT domain, to_json(struct_pack(domain := domain, base_url := base_url))::VARCHAR AS json FROM dmap"
     bs, bsf = base_site("url", "_b")
     q["base_site"] = (f"SELECT page_id, url, base_site, base_url FROM (SELECT page_id, url, {', '.join(bs)}, "
                       f"{bsf} AS base_site, {base_url('url')} AS base_url FROM pages)")
@@ -438,7 +465,7 @@ pdocs AS (SELECT file, file_name, n_pages,
     q["expanded_queries"] = base_q + " SELECT qid, search_text FROM xq"
     base_hits = _with(RECORDS, PATHS, SITES, LATEST, HTMLDOCS, QUESTIONS, HITS)
     q["batch_search"] = base_hits + " SELECT scenario, qid, rank, retrieval_rank, score, chunk_id, url FROM hits"
-    q["reranked"] = base_hits + (f" SELECT qid, rank, retrieval_rank, rerank_score, chunk_id FROM hits WHERE scenario = {_lit(R.SCENARIOS[2][0])}")
+    q["reranked"] = base_hits + (f" SELECT qid, rank, retrieval_rank, rerank_score, chunk_id FROM hits WHERE scenario = {_lit(Q.SCENARIOS[2][0])}")
     base_eval = _with(RECORDS, PATHS, SITES, LATEST, HTMLDOCS, QUESTIONS, HITS, EVAL)
     q["relevance_ranks"] = base_eval + " SELECT scenario, qid, pos, relevant_url, match_rank FROM ranks"
     q["eval_questions"] = base_eval + (
@@ -474,6 +501,7 @@ recs AS (SELECT archive, seq * 2 AS "offset", 'request' AS warc_type, target_uri
         " UNION ALL SELECT 'types', warc_type FROM recs"
         " UNION ALL SELECT 'warc-content', lower(trim(split_part(wct, ';', 1))) FROM recs"
         " UNION ALL SELECT 'http-content', media_type FROM recs"
+        " UNION ALL SELECT 'unknown-media', media_type FROM recs WHERE media_type NOT IN ('text/html', 'application/pdf')"
         " UNION ALL SELECT 'status', http_status FROM recs) GROUP BY 1, 2")
     q["header_filter"] = _with(recs) + (
         " SELECT archive, \"offset\", target_uri FROM recs WHERE warc_type = 'response' AND strpos(lower(wct), 'application/http') > 0"
@@ -505,6 +533,19 @@ recs AS (SELECT archive, seq * 2 AS "offset", 'request' AS warc_type, target_uri
     q["archive_captures"] = _with(RECORDS, PATHS, html_caps) + " SELECT archive, domain, rel_path, capture_ts, size, content_encoding FROM hcaps"
     q["capture_sink"] = _with(RECORDS, PATHS, SITES, LATEST) + " SELECT domain, rel_path, archive, size FROM latest"
     q["lookup_import"] = q["domain_map"]
+    q["timestamp_map"] = _with(RECORDS, PATHS, SITES, LATEST) + (
+        " SELECT domain || '/' || rel_path AS page, strftime(capture_ts, '%Y-%m-%dT%H:%M:%S') AS retrieved FROM latest")
+    q["folder_key"] = _with(RECORDS, PATHS) + (
+        f" SELECT DISTINCT archive || '_' || domain AS folder, capture_ts, domain FROM caps")
+    q["dropped_lines_total"] = f"SELECT CAST(sum({count_long_lines('text')}) AS BIGINT) AS dropped_lines, count(*) AS documents FROM documents"
+    q["page_url_variants"] = _with(RECORDS, PATHS, SITES, LATEST, f"""
+hp AS (SELECT l.domain, l.rel_path, m.base_url,
+    regexp_replace(CASE WHEN ends_with(l.rel_path, '.html.gz') THEN substr(l.rel_path, 1, length(l.rel_path) - 8) || '.md'
+         ELSE regexp_replace(l.rel_path, '([^/])\\.[^./]*$', '\\1') || '.md' END, '\\.md$', '') || '.html' AS page,
+    CASE WHEN ends_with(m.base_url, '/') THEN m.base_url ELSE m.base_url || '/' END || 'snapshots/' || page AS url
+  FROM latest l LEFT JOIN dmap m ON l.domain = m.domain WHERE regexp_matches(l.rel_path, '\\.(html|htm|html\\.gz)$'))""") + (
+        " SELECT domain, rel_path, 'base path' AS variant, url, CASE WHEN ends_with(url, '/index.html') THEN substr(url, 1, length(url) - 11) ELSE url END AS url_preview FROM hp"
+        " UNION ALL SELECT domain, rel_path, 'root file', base_url, base_url FROM hp")
     q["markdown_tree"] = base_html + " SELECT file_path, domain, length(text) AS chars FROM hdocs"
     q["eval_export"] = q["scenario_metrics"].replace(", avg(rank_of_first_match) AS avg_rank_first_match", "").replace(
         " avg(rank_of_first_match) AS avg_rank_first_match", "").replace(" AS recall, FROM", " AS recall FROM")

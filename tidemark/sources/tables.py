@@ -38,10 +38,17 @@ def read_sheet(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 
 def read_json_map(spark: SparkSession, path: str, key: str = "key", value: str = "value") -> DataFrame:
     """A JSON object file ``{k: v, ...}`` as rows ``(key, value)`` (domain map, timestamp map)."""
-    raw = spark.read.option("multiLine", "true").option("primitivesAsString", "true").json(path)
-    as_json = F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns]), {"ignoreNullFields": "false"})
-    m = F.from_json(as_json, "map<string,string>")
-    return raw.select(F.explode(m).alias(key, value))
+    whole = spark.read.text(path, wholetext=True)
+    return whole.select(F.explode(F.from_json("value", "map<string,string>")).alias(key, value))
+
+
+def write_lookup(rows: DataFrame, path: str) -> None:
+    """A lookup table as JSON lines, one row each: written and read by many tasks."""
+    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def read_lookup(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).json(path)
 
 
 def read_json_list(spark: SparkSession, path: str, col: str = "file_path") -> DataFrame:
