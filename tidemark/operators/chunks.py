@@ -173,12 +173,11 @@ def index_summary(docs: DataFrame, new_chunks: DataFrame, chunks_table: DataFram
     )
 
 
-def write_chunks(chunks: DataFrame, path: str, mode: str = "append", write_spread: int = 16) -> None:
+def write_chunks(chunks: DataFrame, path: str, mode: str = "append") -> None:
     """Store chunks partitioned by domain; ``overwrite`` replaces only the domains
     present (dynamic partition overwrite), ``append`` adds."""
-    # salt the domain so one huge domain is written by many tasks, not one
-    salt = F.pmod(F.xxhash64("chunk_id"), F.lit(write_spread))
-    (chunks.repartition(F.col("domain"), salt).write.mode(mode)
+    # rebalancing splits a huge domain into as many tasks as its size asks for
+    (chunks.hint("rebalance", F.col("domain")).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic").partitionBy("domain").parquet(path))
 
 

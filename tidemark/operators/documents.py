@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
-from tidemark.session import cut_lineage
+from tidemark.session import materialise
 
 # Exclusion lists used by the page conversion jobs.
 HTML_EXCLUDE_FILE_KEYWORDS = [
@@ -162,8 +162,9 @@ def conversion_summary(converted: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- PDF pages
 def pdf_documents(pages: DataFrame, file_col: str = "file", page_col: str = "page_no", text_col: str = "text",
-                  name_col: str = "file_name") -> DataFrame:
-    """Page texts -> one markdown text per file, with a status per file.
+                  name_col: str = "file_name", files: DataFrame | None = None) -> DataFrame:
+    """Page texts -> one markdown text per file, with a status per file; ``files`` (the same
+    file and name columns) lists files that may have no page at all.
 
     Pages with non-blank text, in page order, each under ``## Page i`` (1-based),
     joined by newline; soft-hyphen breaks and backslashes removed, stripped;
@@ -180,6 +181,9 @@ def pdf_documents(pages: DataFrame, file_col: str = "file", page_col: str = "pag
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", part.alias("part")))),
                                  lambda e: e["part"]), "\n").alias("body"),
     )
+    if files is not None:
+        listed = files.select(F.col(file_col).alias("file"), F.col(name_col).alias("file_name")).distinct()
+        agg = listed.join(agg, ["file", "file_name"], "left").withColumn("n_pages", F.coalesce("n_pages", F.lit(0).cast("bigint")))
     cleaned = T.strip_pdf_artifacts(F.coalesce(F.col("body"), F.lit("")))
     return agg.select(
         "file", "file_name", "n_pages",
@@ -207,17 +211,19 @@ def pdf_summary(pdf_docs: DataFrame, n_examples: int = EXAMPLES_PER_STATUS) -> D
 def document_export(docs: DataFrame, order_col: str = "file_path") -> DataFrame:
     """Rows with a gap-free global ``doc_id`` in ``order_col`` order, blanks for missing metadata.
 
-    Two passes, no single-partition window: range-sort, write the sorted rows to
-    the shared checkpoint folder, count rows per partition, turn the counts into
-    offsets (one row per partition, broadcast), then id = offset + position.
-    """
-    sorted_df = cut_lineage(docs.orderBy(order_col).withColumn("_pid", F.spark_partition_id())
-                            .withColumn("_mid", F.monotonically_increasing_id()))
-    counts = sorted_df.groupBy("_pid").agg(F.count("*").alias("_n"), F.min("_mid").alias("_first"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    numbered = sorted_df.join(F.broadcast(offsets), "_pid").withColumn(
-        "doc_id", (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint"))
+    Only the keys are sorted: range-partitioned and stored with their range, numbered
+    inside it, and moved on by the counts of the ranges before (one row per range).
+    The numbers are then joined to the documents, so texts move once.  ``order_col``
+    is the documents' key; a repeated or null key is numbered once."""
+    keys = docs.select(order_col).distinct().repartitionByRange(order_col).withColumn("_range", F.spark_partition_id())
+    keys = materialise(keys, "export-order")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = keys.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(order_col))
+    ids = keys.withColumn("_at", inside).join(F.broadcast(offsets), "_range").select(
+        F.col(order_col).alias("_key"), (F.col("_off") + F.col("_at") - 1).cast("bigint").alias("doc_id"))
+    numbered = docs.join(ids, F.col(order_col).eqNullSafe(F.col("_key")))
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     return numbered.select(
         "doc_id", blank("file_path").alias("file_path"), blank("file_name").alias("file_name"),
@@ -245,11 +251,10 @@ def all_documents(html_docs: DataFrame, pdf_docs: DataFrame) -> DataFrame:
     return html_docs.unionByName(pdf_docs, allowMissingColumns=True)
 
 
-def write_captures(captures: DataFrame, path: str, spread: int = 16) -> None:
-    """Capture sink: files partitioned by domain; the domain is salted by path
-    hash so one huge site is written by several tasks."""
-    salt = F.pmod(F.xxhash64("rel_path"), F.lit(spread))
-    captures.repartition(F.col("domain"), salt).write.mode("overwrite").partitionBy("domain").parquet(path)
+def write_captures(captures: DataFrame, path: str) -> None:
+    """Capture sink: files partitioned by domain; rebalancing splits a huge site into
+    as many tasks as its size asks for and puts small ones together."""
+    captures.hint("rebalance", F.col("domain")).write.mode("overwrite").partitionBy("domain").parquet(path)
 
 
 def write_markdown_tree(docs: DataFrame, root: str) -> DataFrame:

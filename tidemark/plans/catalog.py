@@ -182,7 +182,7 @@ def q_html_documents(spark, sf):
 
 def q_documents_union(spark, sf):
     html = I.page_documents(spark, sf)
-    pdf = D.pdf_to_documents(D.pdf_documents(_pdf_pages(spark, sf)))
+    pdf = D.pdf_to_documents(_pdf_documents(spark, sf))
     return D.all_documents(html, pdf).select("file_path", "kind", "title", "text")
 
 
@@ -207,12 +207,18 @@ def _pdf_pages(spark, sf):
                     F.col("turn").alias("page_no"), F.when(F.col("conv_id") % 9 == 2, F.lit(" \n")).otherwise(F.col("text")).alias("text"))
 
 
+def _pdf_documents(spark, sf):
+    """PDFs assembled from their pages; some files have blank pages only, and some no page at all."""
+    pages = _pdf_pages(spark, sf)
+    return D.pdf_documents(pages.where(F.col("file") % 11 != 7), files=pages.select("file", "file_name"))
+
+
 def q_pdf_documents(spark, sf):
-    return D.pdf_documents(_pdf_pages(spark, sf))
+    return _pdf_documents(spark, sf)
 
 
 def q_pdf_summary(spark, sf):
-    return D.pdf_summary(D.pdf_documents(_pdf_pages(spark, sf)))
+    return D.pdf_summary(_pdf_documents(spark, sf))
 
 
 def q_long_lines_dropped(spark, sf):

@@ -33,7 +33,7 @@ def _written_archives(spark: SparkSession, sf: str) -> str:
     out = scratch_path(spark, "archives")
     recs = S.warc_records(table(spark, sf, "pages"))
     n_arch = recs.select("archive").distinct().count()
-    A.write_archives(recs, out, max(1, n_arch)).collect()
+    A.write_archives(recs, out, max(1, n_arch)).write.format("noop").mode("overwrite").save()
     return out
 
 
@@ -183,7 +183,7 @@ def q_markdown_tree(spark, sf):
     from tidemark.sources.tables import markdown_tree
 
     root = scratch_path(spark, "markdown")
-    D.write_markdown_tree(I.page_documents(spark, sf), root).collect()
+    D.write_markdown_tree(I.page_documents(spark, sf), root).write.format("noop").mode("overwrite").save()
     return markdown_tree(spark, root).select("file_path", "domain", F.length("text").cast("bigint").alias("chars"))
 
 

@@ -48,8 +48,10 @@ def latest_pages(spark: SparkSession, sf_dir: str, inp: Inputs | None = None) ->
 
 
 def page_documents(spark: SparkSession, sf_dir: str, inp: Inputs | None = None, text_fn=None) -> DataFrame:
+    """Documents of the newest pages; those of the default conversion are written once and read by all that need them."""
     inp = inp or inputs(spark, sf_dir)
-    return D.pages_to_documents(latest_pages(spark, sf_dir, inp), inp.domains, text_fn=text_fn)
+    build = lambda: D.pages_to_documents(latest_pages(spark, sf_dir, inp), inp.domains, text_fn=text_fn)
+    return build() if text_fn else shared_table(spark, ("page-documents", sf_dir), build)
 
 
 def page_chunks(spark: SparkSession, sf_dir: str, inp: Inputs | None = None) -> DataFrame:

@@ -425,9 +425,11 @@ def _sql() -> dict[str, str]:
         " count(*) FILTER (WHERE status = 'failed') AS failed FROM conv GROUP BY ROLLUP (domain)")
     pdf = f"""
 pp AS (SELECT conv_id AS file, 'doc' || CAST(conv_id AS VARCHAR) || '.pdf' AS file_name, turn AS page_no, CASE WHEN conv_id % 9 = 2 THEN ' ' || {NL} ELSE text END AS text FROM conversations),
-pa AS (SELECT file, file_name, count(*) AS n_pages,
+pf AS (SELECT DISTINCT file, file_name FROM pp),
+pa0 AS (SELECT file, count(*) AS n,
          string_agg(CASE WHEN NOT regexp_matches(coalesce(text, ''), '^[{WS}]*$') THEN '## Page ' || CAST(page_no + 1 AS VARCHAR) || {NL} || {NL} || text END, {NL} ORDER BY page_no) AS body
-       FROM pp GROUP BY 1, 2),
+       FROM pp WHERE file % 11 <> 7 GROUP BY 1),
+pa AS (SELECT file, file_name, coalesce(n, 0) AS n_pages, body FROM pf LEFT JOIN pa0 USING (file)),
 pc AS (SELECT *, {py_strip(f"replace(replace(coalesce(body, ''), '¬' || {NL}, ''), '\\', '')")} AS cleaned FROM pa),
 pdocs AS (SELECT file, file_name, n_pages,
     CASE WHEN n_pages = 0 THEN 'skipped' WHEN cleaned = '' THEN 'skipped' ELSE 'converted' END AS status,
