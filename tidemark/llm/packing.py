@@ -9,12 +9,15 @@ from __future__ import annotations
 
 import functools
 import os
-import re
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,15 +28,26 @@ LENGTH = 2048
 END = 1
 #: Hashed dimensions, dimensions of the curve, bits of each.
 HASHED, DIMS, BITS = 256, 3, 16
-#: Words kept with their ids in a Python worker; a full table starts anew, which costs time only.
-CACHE_WORDS = 400_000
-#: White space as the tokenizer has it: its pieces never cross it, so words are encoded once each.
-SPACE = re.compile(
-    "[" + "".join(map(chr, [*range(0x9, 0xE), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])) + "]+")
+#: Words kept with their ids in a Python worker (a full table starts anew, which costs time only), and bytes encoded at once.
+CACHE_WORDS, SLICE = 500_000, 16 << 20
+#: Marks that often end a word; a run of them is a piece of its own to the tokenizer.
+MARKS = ".,;:!?"
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, the rest from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
 
 
 class Encoder:
-    """Ids of texts by a file of the tokenizers library, word by word with a bounded memory."""
+    """Ids of texts by a file of the tokenizers library.
+
+    The tokenizer's pieces never cross white space, so each different word of a slice is
+    encoded once.  A word of letters alone, with marks behind it or not, is one piece (and
+    one for its marks): its lower-cased letters go to the file's model directly.  All
+    other words go through the whole tokenizer."""
 
     def __init__(self, path: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,21 +57,82 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        # the short way holds for a tokenizer that normalises and cuts words as this one does
+        self.short_way = self._pieces(["Straße.", "ÉCOLE", "abc!?"]) == [self._whole([w])[0] for w in ("Straße.", "ÉCOLE", "abc!?")]
         self.known: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        words = SPACE.split(text)
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            new = list({w for w in words if w not in known})
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(set(words))
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[w] = np.array(e.ids, dtype=self.dtype).tobytes()
-            return b"".join(map(known.__getitem__, words))
+    def _whole(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+
+    def _letters(self, core: str) -> bytes:
+        word = core if core.isascii() else "".join(BYTE_LETTERS[b] for b in core.encode())
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+
+    def _pieces(self, words: list[str]) -> list[bytes]:
+        return [self._letters(w.rstrip(MARKS).lower()) + (self._whole([w[len(w.rstrip(MARKS)) :]])[0]) for w in words]
+
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, as little-endian bytes."""
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        known, out, other = self.known, [b""] * len(words), []
+        for i, w in enumerate(words):
+            core = w.rstrip(MARKS)
+            plain = core.isalpha() and self.short_way and (
+                core.isascii() or (unicodedata.is_normalized("NFC", core) and not any(c in core for c in NOT_ALONE)))
+            if not plain:
+                other.append(i)
+                continue
+            key = core.lower()
+            if (ids := known.get(key)) is None:
+                ids = known[key] = self._letters(key)
+            if len(core) < len(w):
+                marks = w[len(core) :]
+                if (end := known.get(marks)) is None:
+                    end = known[marks] = self._whole([marks])[0]
+                ids += end
+            out[i] = ids
+        new = [i for i in other if words[i] not in known]
+        for i, ids in zip(new, self._whole([words[i] for i in new])):
+            known[words[i]] = ids
+        for i in other:
+            out[i] = known[words[i]]
+        return out
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        out: list[np.ndarray] = []
+        at = 0
+        while at < len(texts):
+            upto, size = at, 0
+            while upto < len(texts) and (upto == at or size + len(texts[upto]) <= SLICE):
+                size += len(texts[upto])
+                upto += 1
+            out += self._slice(texts[at:upto])
+            at = upto
+        return out
+
+    def _slice(self, texts: list[str]) -> list[np.ndarray]:
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        words = lists.flatten().dictionary_encode()
+        ids = self.word_ids(words.dictionary.to_pylist())
+        values = np.frombuffer(b"".join(ids), dtype=self.dtype)
+        kind = np.int32 if len(texts) > 1 else np.int64  # a slice of several texts is small
+        sizes = np.fromiter(map(len, ids), dtype=kind, count=len(ids)) // self.dtype.itemsize
+        starts = np.cumsum(sizes, dtype=kind) - sizes
+        which = words.indices.to_numpy()
+        n = sizes[which]
+        ends = np.cumsum(n, dtype=kind)
+        place = np.repeat(starts[which] - (ends - n), n)
+        place += np.arange(len(place), dtype=kind)
+        cut = np.concatenate(([0], ends))[lists.offsets.to_numpy()[1:-1] - lists.offsets[0].as_py()]
+        return np.split(values[place], cut)
+
+
+BYTE_LETTERS = _byte_letters()
+#: Letters whose lower case depends on their neighbours or on the library.
+NOT_ALONE = "\u03a3\u0130"
 
 
 @functools.lru_cache(maxsize=1)
@@ -123,9 +198,9 @@ def tokenised(docs: DataFrame, text_col: str = "text", tokenizer: str | None = N
         enc = _encoder(tokenizer)
         end = np.array([END], dtype=enc.dtype).tobytes()
         for texts in batches:
-            ids = [enc.encode(t or "") + end for t in texts]
-            arrays = [np.frombuffer(i, dtype=enc.dtype) for i in ids]
-            yield pd.DataFrame({"ids": ids, "n": [len(a) for a in arrays], "curve": curve_keys(arrays, enc.tokenizer.get_vocab_size())})
+            ids = enc.encode([t or "" for t in texts])
+            curve = curve_keys(ids, enc.tokenizer.get_vocab_size())
+            yield pd.DataFrame({"ids": [i.tobytes() + end for i in ids], "n": [len(i) + 1 for i in ids], "curve": curve})
 
     return docs.withColumn("tokens", encode(F.col(text_col)))
 
