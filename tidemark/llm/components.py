@@ -18,7 +18,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     split.  Null ends and self links are ignored; no links give no rows."""
     links = links.filter("a is not null and b is not null and a <> b")
     both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")), "labels")
+    labels = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component"))
     for _ in range(most_rounds):
         near = both.join(labels.select(F.col("node").alias("b"), F.col("component").alias("m")), "b").groupBy("a").agg(F.min("m").alias("m"))
         hooked = labels.join(near.withColumnRenamed("a", "node"), "node").select(
@@ -27,11 +27,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         taught = hooked.filter("low < component").groupBy(F.col("component").alias("node")).agg(F.min("low").alias("taught"))
         told = hooked.join(taught, "node", "left").select("node", F.col("component").alias("old"), F.least("low", F.coalesce("taught", "low")).alias("low"))
         step = stored(told, "labels")
-        jumped = stored(
-            step.join(step.select(F.col("node").alias("low"), F.col("low").alias("next")), "low", "left")
-            .select("node", "old", F.least("low", F.coalesce("next", "low")).alias("component")), "labels")
-        changed = jumped.filter("component <> old").limit(1).count()
-        labels = jumped.select("node", "component")
-        if not changed:
-            return labels
+        if not step.filter("low <> old").limit(1).count():
+            return step.select("node", F.col("low").alias("component"))
+        labels = step.join(step.select(F.col("node").alias("low"), F.col("low").alias("next")), "low", "left").select(
+            "node", F.least("low", F.coalesce("next", "low")).alias("component"))
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -104,8 +104,8 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", percent: int = PERC
 
     found = _grouping(chosen, entries, texts, percent)
     shared = None
-    # twice against the largest group that shares a token, so that crowds gather, then between all groups that are left
-    for hubs in (True, True, False):
+    # first against the largest group that shares a token, so that crowds gather, then between all groups that are left
+    for hubs in (True, False):
         members = chosen.select("entry", "n").join(components(found).withColumnRenamed("node", "entry"), "entry", "left")
         members = stored(members.select("entry", "n", F.coalesce("component", "entry").alias("group")), "groups")
         if shared is None:
@@ -147,10 +147,12 @@ def _profiles(texts: DataFrame, percent: int, cells: int) -> DataFrame:
                 k2 = int((s * U(0x2545F4914F6CDD1D)).sum(dtype=U)) & low
                 mins = [int(mix(s + U(k * 0x632BE5AB)).min()) & low for k in range(MIN_HASHES)]
                 out.append((doc, tk, len(s), k1, k2, prefix.tobytes(), mins))
-            yield pd.DataFrame(out, columns=["doc", "tk", "n", "k1", "k2", "prefix", "mins"]).astype({"doc": "Int64"})
+            yield pd.DataFrame(out, columns=["doc", "tk", "n", "k1", "k2", "prefix", "mins"])
 
-    schema = "doc long, tk binary, n long, k1 long, k2 long, prefix binary, mins array<long>"
-    return stored(texts.select("doc", "tk", "text").mapInPandas(profile, schema), "profiles")
+    # as text, ids of any size and null pass through Python unchanged
+    schema = "doc string, tk binary, n long, k1 long, k2 long, prefix binary, mins array<long>"
+    found = texts.select(F.col("doc").cast("string").alias("doc"), "tk", "text").mapInPandas(profile, schema)
+    return stored(found.withColumn("doc", F.col("doc").cast("long")), "profiles")
 
 
 def _grouping(chosen: DataFrame, entries: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
