@@ -60,6 +60,7 @@ def test_vectors_against_brute_force(spark):
     base = rng.standard_normal((40, 16))
     near = np.vstack([base[k % 8] + 0.12 * rng.standard_normal(16) for k in range(60)])
     vectors = [list(map(float, v)) for v in np.vstack([base, near, base[:5] * 3.0, base[:5]])]
+    vectors += [[1e300 * x for x in vectors[3]], [1e-300 * x for x in vectors[3]]]
     vectors += [None, [], [0.0] * 16, [1.0, None] * 8, [float("nan")] * 16, [float("inf")] + [0.0] * 15, [1.0, 2.0], [2.0, 4.0]]
     rows = [(100 + i, v, 9) for i, v in enumerate(vectors)] + [(None, vectors[0], 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, n_links int")
@@ -148,10 +149,11 @@ def test_jaccard_join_against_brute_force(spark, monkeypatch, part):
 def test_jaccard_join_odd_rows(spark):
     rng = random.Random(6)
     a, b, c = prose(rng, 40), prose(rng, 40), prose(rng, 40)
-    rows = [(9, a), (9, a), (4, b), (4, a), (None, b), (None, c), (7, c + " more"), (None, None), (3, None)]
+    big = 2**60 + 1
+    rows = [(9, a), (9, a), (big, "some " + b + " other " + b), (4, b), (4, a), (None, b), (None, c), (7, c + " more"), (None, None), (3, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(map(tuple, jaccard_join.near_duplicates(df).collect()), key=str)
-    assert got == sorted([(9, 36, 4), (9, 36, 4), (4, 36, 4), (4, 36, 4), (None, 36, 4), (None, 36, 7), (7, 37, 7), (None, 0, None), (3, 0, 3)], key=str)
+    assert got == sorted([(9, 36, 4), (9, 36, 4), (4, 36, 4), (4, 36, 4), (None, 36, 4), (None, 36, 7), (7, 37, 7), (None, 0, None), (3, 0, 3), (big, 42, 4)], key=str)
     assert jaccard_join.near_duplicates(df.limit(0)).count() == 0
 
 

@@ -251,7 +251,9 @@ def test_packing_round_trip(spark, size):
         used.append(int(g.length.sum()))
     assert sum(used) == total and all(u == size or u & (u - 1) == 0 for u in used) and len(used) <= total // size + 11
     assert packing.pack(df.limit(0)).count() == 0
-    assert sum(r.length for r in packing.pack(spark.createDataFrame([(1, "a b"), (1, "a b")], "doc_id int, text string")).collect()) == 6
+    odd = [(2**53 + 1, "a b"), (2**53 + 1, "a b"), (None, "c")]
+    got = packing.pack(spark.createDataFrame(odd, "doc_id long, text string")).collect()
+    assert sum(r.length for r in got) == 8 and {r.doc_id for r in got} == {2**53 + 1, None}
 
 
 def test_stages_let_decisions_take_effect(spark, sf):
@@ -276,6 +278,18 @@ def test_stages_let_decisions_take_effect(spark, sf):
     assert set(last.doc_id) == kept and corpus_pipeline.run(spark, sf).count() == len(last)
 
 
+def test_one_document_of_each_group_stays(spark):
+    from tidemark.llm.stages import one_of_each_group
+
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(4, a, "x"), (2, a + " end", "y"), (9, b, "z"), (9, b, "z"), (None, a, "n"), (None, "alone", "n"), (7, None, "e"), (8, "", "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted(map(tuple, one_of_each_group(spark, df, "").collect()), key=str)
+    assert [r[0] for r in got].count(9) == 1 and {(r[0], r[2]) for r in got} >= {(2, "y"), (9, "z"), (7, "e"), (8, "e")}
+    assert not any(r[0] == 4 for r in got)
+    assert one_of_each_group(spark, df.limit(0), "").count() == 0
+
+
 def test_digest_of_base_spans(spark, sf):
     from tidemark.llm.queries import QUERIES
 

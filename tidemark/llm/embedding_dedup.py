@@ -41,6 +41,12 @@ def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, recal
     return max(4, math.ceil(math.log(1 - recall) / math.log(1 - met)))
 
 
+def _scaled(rows: list[np.ndarray]) -> np.ndarray:
+    """Vectors as rows, each divided by its largest component, so that no product over- or underflows."""
+    v = np.vstack(rows).astype(np.float64)
+    return v / np.abs(v).max(axis=1, keepdims=True)
+
+
 def _planes(dim: int, bits: int) -> np.ndarray:
     return np.random.default_rng(1000 + dim).standard_normal((dim, bits))
 
@@ -53,7 +59,7 @@ def _sketched(entries: DataFrame, passes: int) -> DataFrame:
         weights = 1 << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64)
         for b in batches:
             for dim, rows in b.groupby("dim"):
-                signs = np.vstack(rows["v"].tolist()) @ _planes(int(dim), BITS) >= 0
+                signs = _scaled(rows["v"].tolist()) @ _planes(int(dim), BITS) >= 0
                 packed = [r.tobytes() for r in np.packbits(signs, axis=1)]
                 for p, own in enumerate(turns):
                     yield pd.DataFrame({"pass": p, "dim": int(dim), "key": signs[:, own] @ weights, "entry": rows["entry"].to_numpy(), "sketch": packed})
@@ -140,6 +146,7 @@ def _verified(pairs: DataFrame, entries: DataFrame, threshold: float) -> DataFra
 
 
 def cosine(x: np.ndarray, y: np.ndarray) -> float:
+    x, y = x / np.abs(x).max(), y / np.abs(y).max()
     return float(np.dot(x, y) / math.sqrt(np.dot(x, x) * np.dot(y, y)))
 
 
@@ -160,7 +167,7 @@ def _link_counts(entries: DataFrame, found: DataFrame, threshold: float) -> Data
     def count(b: pd.DataFrame) -> pd.DataFrame:
         out = []
         for (_, i, j), g in b.groupby(["component", "i", "j"]):
-            v = np.vstack(g["v"].tolist()).astype(np.float64)
+            v = _scaled(g["v"].tolist())
             norm = np.sqrt((v * v).sum(axis=1))
             own, w, entry = g["own"].to_numpy(), g["copies"].to_numpy(), g["entry"].to_numpy()
             left = np.flatnonzero(own == i)

@@ -232,8 +232,8 @@ def cuts(start: int, n: int, total: int, tail: list[tuple[int, int]], length: in
     return out
 
 
-def pack(docs: DataFrame, text_col: str = "text", length: int = LENGTH, tokenizer: str | None = None) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and ids.
+def pack(docs: DataFrame, text_col: str = "text", length: int = LENGTH, tokenizer: str | None = None, with_ids: bool = True) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, unless not wanted, ids.
 
     Every row of ``docs`` (doc_id, text) is a document, also a repeated one; a null or
     empty text is the end id alone.  Ties on the curve are ordered by the order of the
@@ -241,7 +241,8 @@ def pack(docs: DataFrame, text_col: str = "text", length: int = LENGTH, tokenize
     sequences, at most eleven of falling powers of two, are shorter than ``length``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     lines = stored(
-        tokenised(docs.select("doc_id", F.col(text_col).alias("text")), "text", tokenizer)
+        # as text, ids of any size and null pass through Python unchanged
+        tokenised(docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col(text_col).alias("text")), "text", tokenizer)
         .select("doc_id", "tokens.*").withColumn("row", F.monotonically_increasing_id()), "tokens")
     ranged = stored(
         lines.select("curve", "row", "n").repartitionByRange("curve", "row").withColumn("range", F.spark_partition_id()), "curve")
@@ -262,8 +263,11 @@ def pack(docs: DataFrame, text_col: str = "text", length: int = LENGTH, tokenize
                 ids = np.frombuffer(raw, dtype=dtype).astype("<u4")
                 for s, size, seq, off in cuts(int(at), int(n), total, tail, length):
                     own = ids[s : s + size]
-                    out.append((doc, s, size, zlib.crc32(own.tobytes()), int(n), seq, off, own.astype(np.int32)))
-            yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
-
-    schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
-    return lines.select("row", "doc_id", "ids", "n").join(placed, "row").select("doc_id", "ids", "n", "at").mapInPandas(pieces, schema)
+                    piece = (doc, s, size, zlib.crc32(own.tobytes()), int(n), seq, off)
+                    out.append((*piece, own.astype(np.int32)) if with_ids else piece)
+            yield pd.DataFrame(out, columns=names)
+
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
+    schema = "doc_id string, " + ", ".join(f"{c} long" for c in names[1:7]) + ", ids array<int>" * with_ids
+    return lines.select("row", "doc_id", "ids", "n").join(placed, "row").select("doc_id", "ids", "n", "at").mapInPandas(pieces, schema).withColumn(
+        "doc_id", F.col("doc_id").cast(kind))

@@ -78,7 +78,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
-    return pack(table(spark, sf_dir, "documents")).drop("ids")
+    return pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
 QUERIES = {

@@ -21,15 +21,17 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Rows without doc_id go when their group has a document with one; of rows that share
     a doc_id any one stays."""
-    from .common import stored
+    from .common import sized, stored
     from .jaccard_join import near_duplicates
 
     groups = stored(near_duplicates(docs), "near-duplicates")
-    gone = groups.filter("not (component_id <=> doc_id)").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
-    again = groups.groupBy(F.col("doc_id").alias("__id")).count().filter("count > 1 and __id is not null").select("__id")
-    once = kept.join(again, F.col("doc_id") == F.col("__id"), "left_anti")
-    many = kept.join(again, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
+    gone = stored(groups.filter("not (component_id <=> doc_id)").select(F.col("doc_id").alias("__id")).distinct(), "gone")
+    kept = docs.join(sized(gone), F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    again = stored(groups.groupBy(F.col("doc_id").alias("__id")).count().filter("count > 1 and __id is not null").select("__id"), "again")
+    if not again.limit(1).count():
+        return kept.select(*docs.columns)
+    once = kept.join(sized(again), F.col("doc_id") == F.col("__id"), "left_anti")
+    many = kept.join(sized(again), F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
     return once.unionByName(many).select(*docs.columns)
 
 

@@ -149,14 +149,14 @@ def _repeated_places(sources: DataFrame, total: int, length: int) -> DataFrame:
 
 
 def _contexts(sources: DataFrame, keys: DataFrame, length: int) -> DataFrame:
-    """(c1, c2, tid, at, lead, bytes): the contexts of repeated places, their digest, and where they lie."""
+    """(c1, c2, tk, at, lead, bytes): the contexts of repeated places, their digest, and where they lie."""
 
-    names = ["c1", "c2", "tid", "at", "lead", "bytes"]
+    names = ["c1", "c2", "tk", "at", "lead", "bytes"]
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out: list[tuple] = []
-            for tid, text, packed in zip(b["tid"], b["text"], b["keys"]):
+            for tk, text, packed in zip(b["tk"], b["text"], b["keys"]):
                 raw = _raw(text)
                 whole = raw.tobytes()
                 wanted = np.unique(np.concatenate([np.frombuffer(k, dtype=U) for k in packed]))
@@ -164,14 +164,15 @@ def _contexts(sources: DataFrame, keys: DataFrame, length: int) -> DataFrame:
                 for i in np.flatnonzero(np.isin(key, wanted)):
                     context = whole[first[i] : last[i] + length]
                     d = np.frombuffer(hashlib.md5(context).digest(), dtype=np.int64)
-                    out.append((d[0], d[1], tid, first[i], whole[place[i] : place[i] + GRAM], context))
+                    out.append((d[0], d[1], tk, first[i], whole[place[i] : place[i] + GRAM], context))
                     if len(out) == 10_000:
                         yield pd.DataFrame(out, columns=names)
                         out = []
             yield pd.DataFrame(out, columns=names)
 
-    schema = "c1 long, c2 long, tid long, at long, lead binary, bytes binary"
-    return sources.select("tid", "text").join(keys, "tid").mapInPandas(cut, schema)
+    # tid is a short name that texts may share by chance: such texts then ship a few contexts too many
+    schema = "c1 long, c2 long, tk binary, at long, lead binary, bytes binary"
+    return sources.select("tid", "tk", "text").join(keys, "tid").drop("tid").mapInPandas(cut, schema)
 
 
 def _bucket_spans(contexts: DataFrame, length: int) -> DataFrame:
@@ -217,10 +218,10 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     keys = stored(_repeated_places(sources, total, length), "repeated-places")
     contexts = stored(_contexts(sources, keys, length), "contexts")
     spans = stored(_bucket_spans(contexts, length), "context-spans")
-    places = contexts.select("c1", "c2", "tid", "at").join(spans, ["c1", "c2"]).select(
-        "tid", F.struct((F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end")).alias("span"))
-    by_text = places.groupBy("tid").agg(F.collect_set("span").alias("spans")).withColumn("spans", _merged(F.col("spans")))
-    own = known.select("tk", "rows", "size", F.xxhash64("tk").alias("tid")).join(by_text, "tid", "left")
+    places = contexts.select("c1", "c2", "tk", "at").join(spans, ["c1", "c2"]).select(
+        "tk", F.struct((F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end")).alias("span"))
+    by_text = places.groupBy("tk").agg(F.collect_set("span").alias("spans")).withColumn("spans", _merged(F.col("spans")))
+    own = known.select("tk", "rows", "size").join(by_text, "tk", "left")
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").cast("long").alias("end")))
     return own.select("tk", F.when(F.col("rows") > 1, whole).otherwise(F.col("spans")).alias("spans")).filter("spans is not null")
 
