@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
+from .fits import logistic
 from .quality import training_rows
 from .shingles import shingle_sets
 
@@ -74,7 +75,7 @@ def learn_lexicon(rows: DataFrame, most: int = LEXICON) -> list[str]:
     counts = rows.select("text", "y").mapInPandas(count, "entry string, toxic long, clean long").groupBy("entry").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     counts = stored(counts, "entries")
-    tried = counts.count()
+    tried = counts.filter("toxic > 2").count()
     # log odds, and the likelihood ratio against an entry that does not care, which must outweigh the number of entries tried
     share, df = n1 / (n1 + n0), F.col("toxic") + F.col("clean")
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1))
@@ -92,19 +93,19 @@ def learn_lexicon(rows: DataFrame, most: int = LEXICON) -> list[str]:
 
 
 def distinct_rows(rows: DataFrame) -> DataFrame:
-    """Rows without the near copies of others: one row for each of three min-hashes of word shingles.
+    """Rows without the near copies of others: one row for each of four min-hashes of word shingles.
 
     Copies of one document would otherwise make each of its words look like a mark of its class."""
 
     @F.pandas_udf("array<long>")
     def mins(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        turns = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
+        turns = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
         for texts in batches:
-            out = [[int((s * t).min() >> np.uint64(1)) for t in turns] if len(s) else [0, 0, 0] for s in shingle_sets(texts.tolist())]
+            out = [[int((s * t).min() >> np.uint64(1)) for t in turns] if len(s) else [0] * len(turns) for s in shingle_sets(texts.tolist())]
             yield pd.Series(out, dtype=object)
 
     marked = rows.withColumn("__m", mins("text"))
-    for k in range(3):
+    for k in range(4):
         first = Window.partitionBy(F.col("__m")[k]).orderBy("doc_id")
         marked = marked.withColumn("__turn", F.row_number().over(first)).filter("__turn = 1").drop("__turn")
     return marked.drop("__m")
@@ -211,20 +212,6 @@ def posterior(votes: np.ndarray, model: dict) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, l2: float) -> np.ndarray:
-    """Weights (the last one is the constant) of a ridge logistic regression on soft labels, by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w, ridge = np.zeros(x.shape[1]), l2 * np.eye(x.shape[1])
-    ridge[-1, -1] = 1e-9
-    for _ in range(40):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x / len(x) + ridge, x.T @ (y - p) / len(x) - ridge @ w)
-        w += step
-        if np.abs(step).max() < 1e-7:
-            break
-    return w
-
-
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Add ``held_out``, ``score`` (0 to 1, higher is likelier toxic) and ``predicted`` (1 from 0.3 on) to each document.
 
@@ -259,11 +246,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
     x = np.array(got["x"].tolist(), dtype=float)
     y = got["y"].to_numpy()
     soft = posterior(x[:, :m], model)
-    w = _logistic(x[:, m:], soft, 1e-4)
+    with_one = np.hstack([x[:, m:], np.ones((len(x), 1))])
+    w = logistic(with_one, soft, np.r_[np.full(x.shape[1] - m, 1e-4), 1e-6])
     # the classifier's margin is put on the scale of the labels; the two classes were drawn to a bound, so they are weighed back
-    z = x[:, m:] @ w[:-1] + w[-1]
+    z = with_one @ w
     weight = np.where(y == 1, prior / max((y == 1).mean(), 1e-9), (1 - prior) / max((y == 0).mean(), 1e-9))
-    scale, shift = _platt(z, y, weight)
+    scale, shift = logistic(np.column_stack((z, np.ones(len(z)))), y, np.array([1e-4, 1e-6]), weight)
+    scale = max(scale, 0.0)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -273,18 +262,3 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
             yield pd.Series(1 / (1 + np.exp(-np.clip(scale * (f @ w[:-1] + w[-1]) + shift, -30, 30))))
 
     return out.withColumn("score", score("text")).withColumn("predicted", (F.col("score") >= CUT).cast("int"))
-
-
-def _platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope (never negative) and shift of a logistic curve from margins to labels."""
-    k, c = 1.0, 0.0
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(k * z + c, -30, 30)))
-        h = weight * p * (1 - p)
-        hess = np.array([[(h * z * z).sum(), (h * z).sum()], [(h * z).sum(), h.sum()]]) / len(z) + 1e-4 * np.eye(2)
-        grad = np.array([(weight * (y - p) * z).sum(), (weight * (y - p)).sum()]) / len(z) - 1e-4 * np.array([k, c])
-        step = np.linalg.solve(hess, grad)
-        k, c = k + step[0], c + step[1]
-        if np.abs(step).max() < 1e-8:
-            break
-    return max(k, 0.0), c
