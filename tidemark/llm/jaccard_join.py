@@ -42,6 +42,22 @@ def linked(common: int, a: int, b: int, percent: int = PERCENT) -> bool:
     return common > 0 and 100 * common >= percent * (a + b - common)
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters as bytes: the few that are not zero with their places, or all of them compressed."""
+    full = np.flatnonzero(counts)
+    if 16 * len(full) < len(counts):
+        return b"s" + full.astype("<u4").tobytes() + counts[full].astype("<u8").tobytes()
+    return b"%d" % counts.itemsize + zlib.compress(counts.tobytes(), 1)
+
+
+def _add_packed(total: np.ndarray, packed: bytes) -> None:
+    if packed[:1] == b"s":
+        n = (len(packed) - 1) // 12
+        total[np.frombuffer(packed, "<u4", n, 1)] += np.frombuffer(packed, "<u8", n, 1 + 4 * n)
+    else:
+        total += np.frombuffer(zlib.decompress(packed[1:]), dtype=f"<u{packed[:1].decode()}")
+
+
 def rarity(texts: DataFrame, cells: int) -> np.ndarray:
     """For each cell of token hashes how many (document, token) pairs fall into it, over all documents, as a fine logarithm.
 
@@ -57,13 +73,16 @@ def rarity(texts: DataFrame, cells: int) -> np.ndarray:
                 np.add.at(total, (s >> U(64 - cells)).astype(np.int64), 1)
         rows = total.reshape(-1, width)
         full = np.flatnonzero(rows.any(axis=1))
-        yield pd.DataFrame({"slice": full, "counts": [zlib.compress(rows[k].astype(np.uint64).tobytes(), 1) for k in full]})
+        yield pd.DataFrame({"slice": full, "counts": [_packed(rows[k]) for k in full]})
 
     def added(batch: pd.DataFrame) -> np.ndarray:
-        return sum(np.frombuffer(zlib.decompress(c), dtype=np.uint64) for c in batch["counts"])
+        total = np.zeros(width, dtype=np.uint64)
+        for c in batch["counts"]:
+            _add_packed(total, c)
+        return total
 
     def some(batch: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"slice": [batch["slice"].iloc[0]], "counts": [zlib.compress(added(batch).tobytes(), 1)]})
+        return pd.DataFrame({"slice": [batch["slice"].iloc[0]], "counts": [_packed(added(batch))]})
 
     def levels(batch: pd.DataFrame) -> pd.DataFrame:
         fine = np.round(1000 * np.log2(1 + added(batch).astype(float))).astype(np.uint16)
