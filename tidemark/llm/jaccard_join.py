@@ -129,7 +129,10 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", percent: int = PERC
         members = stored(members.select("entry", "n", F.coalesce("component", "entry").alias("group")), "groups")
         if shared is None:
             with_group = chosen.select("entry", "prefix", "n").join(members.select("entry", "group"), "entry")
-            shared = stored(_shared_tokens(with_group.select("group", "prefix", "n"), percent), "shared-tokens")
+            shared = _shared_tokens(with_group.select("group", "prefix", "n"), percent)
+        else:
+            shared = _regrouped(shared, members)
+        shared = stored(shared, "shared-tokens")
         pairs = _group_pairs(shared, members, percent, hubs)
         found = stored(found.unionByName(_between_groups(pairs, chosen, members, entries, texts, percent)), "links-so-far")
 
@@ -182,14 +185,21 @@ def _grouping(chosen: DataFrame, entries: DataFrame, texts: DataFrame, percent:
     return _meet(queries.select("part", F.col("part").alias("entry")).distinct(), queries, chosen, entries, texts, percent)
 
 
+def _regrouped(shared: DataFrame, members: DataFrame) -> DataFrame:
+    """Shared tokens by the groups of now, without tokens that one group alone is left with."""
+    # a group is named by one of its entries, which tells the group it is in now
+    now = members.select(F.col("entry").alias("was"), "group")
+    per = shared.withColumnRenamed("group", "was").join(now, "was").groupBy("token", "group").agg(F.max("rest").alias("rest"), F.min("size").alias("size"))
+    per = stored(per, "regrouped")
+    spread = per.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
+    return per.join(spread, "token", "left_semi")
+
+
 def _group_pairs(shared: DataFrame, members: DataFrame, percent: int, hubs: bool) -> DataFrame:
     """(few, many): pairs of groups that may hold a link, by their shared prefix tokens; ``hubs``: only those with the largest group of a token."""
     sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("low"), F.max("n").alias("high"))
-    # a shared token names the group that its entries had then by one of them
-    now = members.select(F.col("entry").alias("was"), "group")
-    per = shared.withColumnRenamed("group", "was").join(now, "was").groupBy("token", "group").agg(F.max("rest").alias("rest"), F.min("size").alias("size"))
     side = F.struct("c", "group", "rest", "size", "low", "high")
-    per = stored(per.join(sizes, "group").select("token", side.alias("s")), "shared-by-group")
+    per = stored(shared.join(sizes, "group").select("token", side.alias("s")), "shared-by-group")
     if hubs:
         heads = per.groupBy("token").agg(F.max("s").alias("h"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("token", "h")
         both = per.join(heads, "token").filter("s.group <> h.group")
