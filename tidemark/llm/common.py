@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +39,13 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def give_back() -> None:
+    """Return the freed memory of a Python worker to the system; a worker lives on and would keep it through later stages."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def lower_az(c: Column) -> Column:
     """Lower-case A-Z alone (``lower`` also changes letters beyond ASCII)."""
     return F.translate(c, UPPER, LOWER)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sized, stored, text_key
+from .common import give_back, sized, stored, text_key
 from .components import components
 from .shingles import mix, overlap, shingle_sets
 
@@ -74,6 +74,8 @@ def rarity(texts: DataFrame, cells: int) -> np.ndarray:
         rows = total.reshape(-1, width)
         full = np.flatnonzero(rows.any(axis=1))
         yield pd.DataFrame({"slice": full, "counts": [_packed(rows[k]) for k in full]})
+        del total, rows
+        give_back()
 
     def added(batch: pd.DataFrame) -> np.ndarray:
         total = np.zeros(width, dtype=np.uint64)
@@ -170,6 +172,7 @@ def _profiles(texts: DataFrame, percent: int, cells: int) -> DataFrame:
                 mins = [int(mix(s + U(k * 0x632BE5AB)).min()) & low for k in range(MIN_HASHES)]
                 out.append((doc, tk, len(s), k1, k2, prefix.tobytes(), mins))
             yield pd.DataFrame(out, columns=["doc", "tk", "n", "k1", "k2", "prefix", "mins"])
+        give_back()
 
     # as text, ids of any size and null pass through Python unchanged
     schema = "doc string, tk binary, n long, k1 long, k2 long, prefix binary, mins array<long>"
@@ -273,6 +276,8 @@ def _shared_tokens(prefixes: DataFrame, percent: int) -> DataFrame:
                     held, count = [], 0
         if held:
             yield out()
+        held = []
+        give_back()
 
     def shared(batch: pd.DataFrame) -> pd.DataFrame:
         kinds = [f"<u{w}" for w in batch["width"]]

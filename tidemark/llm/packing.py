@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import give_back, stored
 
 LENGTH = 2048
 #: The id behind each document.
@@ -29,7 +29,7 @@ END = 1
 #: Hashed dimensions, dimensions of the curve, bits of each.
 HASHED, DIMS, BITS = 256, 3, 16
 #: Words kept with their ids in a Python worker (a full table starts anew, which costs time only), and bytes encoded at once.
-CACHE_WORDS, SLICE = 500_000, 16 << 20
+CACHE_WORDS, SLICE = 300_000, 8 << 20
 #: Marks that often end a word; a run of them is a piece of its own to the tokenizer.
 MARKS = ".,;:!?"
 
@@ -201,6 +201,7 @@ def tokenised(docs: DataFrame, text_col: str = "text", tokenizer: str | None = N
             ids = enc.encode([t or "" for t in texts])
             curve = curve_keys(ids, enc.tokenizer.get_vocab_size())
             yield pd.DataFrame({"ids": [i.tobytes() + end for i in ids], "n": [len(i) + 1 for i in ids], "curve": curve})
+        give_back()
 
     return docs.withColumn("tokens", encode(F.col(text_col)))
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import GRAM, anchors
-from .common import sized, stored, text_key
+from .common import give_back, sized, stored, text_key
 
 LENGTH = 200
 #: Named places sent at once and matched by a task, and bytes of contexts sorted at once.
@@ -169,6 +169,7 @@ def _contexts(sources: DataFrame, keys: DataFrame, length: int) -> DataFrame:
                         yield pd.DataFrame(out, columns=names)
                         out = []
             yield pd.DataFrame(out, columns=names)
+        give_back()
 
     # tid is a short name that texts may share by chance: such texts then ship a few contexts too many
     schema = "c1 long, c2 long, tk binary, at long, lead binary, bytes binary"
