@@ -93,6 +93,29 @@ def test_boundaries_between_ranges_are_compared(spark):
     assert pairs == {(i, j) for i in range(60) for j in range(i + 1, min(60, i + 5))}
 
 
+def test_pairs_within_a_dense_group_are_found(spark):
+    rng = np.random.default_rng(6)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    def beside(v, cosines, n):
+        r = rng.standard_normal((n, v.shape[-1]))
+        r -= (r * v).sum(axis=1, keepdims=True) * v
+        return cosines * v + math.sqrt(1 - cosines**2) * unit(r)
+
+    dense = beside(unit(rng.standard_normal((1, 64))), math.sqrt(0.7), 2000)  # mean cosine 0.7 within a third of the rows
+    vectors = np.vstack([dense, unit(rng.standard_normal((4000, 64))), beside(dense[:300], 0.92, 300)])
+    df = spark.createDataFrame([(i, list(map(float, x))) for i, x in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(df).collect()}
+    near = vectors @ vectors.T >= 0.9
+    np.fill_diagonal(near, False)
+    want = roots(range(len(vectors)), zip(*map(lambda x: x.tolist(), np.nonzero(near))))
+    group = [*range(2000), *range(6000, 6300)]
+    wrong = [i for i in group if (got[i].n_links, got[i].component_id) != (near[i].sum(), want[i])]
+    assert not wrong
+
+
 def word_set(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall("[^\x20\x09-\x0d]+", low)

@@ -1,12 +1,14 @@
 """Near duplicates of vectors by sorted projection passes.
 
-Random hyperplanes give every vector a sketch of signs.  Each pass concatenates other
-signs of it to a key, orders all vectors by their keys, and compares every vector with
+Random hyperplanes give every vector a sketch of signs.  Each pass concatenates signs of
+its own to a key, orders all vectors by their keys, and compares every vector with
 a bounded window of neighbours; sketches that agree enough are verified on the vectors
 themselves.  Verified pairs of all passes are joined to components.
 
-The windows bound the work, so in a crowd they find only some of its links; the links
-within each component are therefore counted exactly, block by block."""
+The windows bound the work, so in a crowd they meet only some pairs.  How deep a window
+reaches is measured for every vector in every pass; vectors whose windows do not meet
+their neighbours with the wanted probability are compared with each other exactly, block
+by block.  The links within each component are counted exactly, block by block too."""
 
 from __future__ import annotations
 
@@ -29,6 +31,8 @@ BITS, KEY_BITS, WINDOW = 256, 62, 16
 RECALL = 0.97
 #: Vectors in a block of exact counting, and rows counted by a task.
 BLOCK, TASK = 2048, 20_000
+#: Blocks of crowded vectors at most; beyond it they grow, so that each vector is sent this many times at most.
+CROWD_BLOCKS = 64
 
 
 def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL) -> int:
@@ -47,22 +51,22 @@ def _scaled(rows: list[np.ndarray]) -> np.ndarray:
     return v / np.abs(v).max(axis=1, keepdims=True)
 
 
-def _planes(dim: int, bits: int) -> np.ndarray:
-    return np.random.default_rng(1000 + dim).standard_normal((dim, bits))
+def _planes(dim: int, bits: int, turn: int = 0) -> np.ndarray:
+    return np.random.default_rng((1000 + dim, turn)).standard_normal((dim, bits))
 
 
 def _sketched(entries: DataFrame, passes: int) -> DataFrame:
     """(pass, dim, key, entry, sketch): every entry once for each pass."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        turns = [np.random.default_rng(p).permutation(BITS)[:KEY_BITS] for p in range(passes)]
         weights = 1 << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64)
         for b in batches:
             for dim, rows in b.groupby("dim"):
-                signs = _scaled(rows["v"].tolist()) @ _planes(int(dim), BITS) >= 0
-                packed = [r.tobytes() for r in np.packbits(signs, axis=1)]
-                for p, own in enumerate(turns):
-                    yield pd.DataFrame({"pass": p, "dim": int(dim), "key": signs[:, own] @ weights, "entry": rows["entry"].to_numpy(), "sketch": packed})
+                v = _scaled(rows["v"].tolist())
+                packed = [r.tobytes() for r in np.packbits(v @ _planes(int(dim), BITS) >= 0, axis=1)]
+                for p in range(passes):
+                    own = v @ _planes(int(dim), KEY_BITS, p + 1) >= 0
+                    yield pd.DataFrame({"pass": p, "dim": int(dim), "key": own @ weights, "entry": rows["entry"].to_numpy(), "sketch": packed})
 
     return entries.select("entry", "dim", "v").mapInPandas(sketch, "pass int, dim int, key long, entry long, sketch binary")
 
@@ -79,18 +83,34 @@ def _near(entry: np.ndarray, group: np.ndarray, sketch: np.ndarray, rank: np.nda
     return (np.concatenate(a), np.concatenate(b)) if a else (entry[:0], entry[:0])
 
 
+def _reach(key: np.ndarray, group: np.ndarray, window: int, same: float) -> np.ndarray:
+    """For each row of an ordered range -log of the probability that the pass does not meet a neighbour at the threshold.
+
+    Rows that share more leading signs with it than the rows at the window's ends do are
+    all in the window; where the range ends first, its last row stands for the end."""
+    at = np.arange(len(key))
+    cut = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    which = np.searchsorted(cut, at, side="right") - 1
+    low, high = np.maximum(at - window, cut[which]), np.minimum(at + window, np.append(cut[1:], len(key))[which] - 1)
+
+    def shared(end: np.ndarray) -> np.ndarray:
+        return np.where(end == at, 0, KEY_BITS - np.frexp((key ^ key[end]).astype(np.float64))[1])
+
+    return -np.log1p(-(same ** (np.maximum(shared(low), shared(high)) + 0.5)))
+
+
 def _candidates(sketched: DataFrame, window: int, differ: int) -> DataFrame:
-    """Distinct pairs (a, b) that some pass puts next to each other and whose sketches are close.
+    return _pairs(_swept(sketched, window, differ), window, differ)
+
+
+def _swept(sketched: DataFrame, window: int, differ: int, threshold: float = THRESHOLD) -> DataFrame:
+    """(kind, ...): 0 pairs within ranges, 1 rows at the ends of ranges, 2 the reach of each row's window in millionths.
 
     Each range of the order sweeps its own rows and leaves its first and last
     ``window`` rows behind; those few rows of all ranges are then swept across the
     boundaries between ranges."""
     fields = "kind int, a long, b long, pass int, dim int, range int, place long, size long, sketch binary"
-
-    def rows_of(b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        group = b["pass"].to_numpy(dtype=np.int64) << 32 | b["dim"].to_numpy(dtype=np.int64)
-        sketch = np.frombuffer(b"".join(b["sketch"]), dtype=np.uint64).reshape(len(b), -1)
-        return b["entry"].to_numpy(dtype=np.int64), group, sketch
+    same = 1 - math.acos(threshold) / math.pi
 
     def border(b: pd.DataFrame, place: np.ndarray, size: int) -> pd.DataFrame:
         own = TaskContext.get().partitionId()
@@ -98,13 +118,16 @@ def _candidates(sketched: DataFrame, window: int, differ: int) -> DataFrame:
 
     def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         head, last, n = [], None, 0
+        order: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for b in batches:
+            key = b["key"].to_numpy(dtype=np.int64)
             b = b[["entry", "pass", "dim", "sketch"]]
             if n < window:
                 head.append(b.iloc[: window - n])
             both = b if last is None else pd.concat([last, b], ignore_index=True)
             old = 0 if last is None else len(last)
-            entry, group, sketch = rows_of(both)
+            entry, group, sketch = _rows_of(both)
+            order.append((entry[old:], group[old:], key))
             x, y = _near(entry, group, sketch, np.arange(len(both)), window, differ)
             yield pd.DataFrame({"kind": 0, "a": np.minimum(x, y), "b": np.maximum(x, y), "pass": 0, "dim": 0, "range": 0, "place": 0, "size": 0, "sketch": None}).drop_duplicates(["a", "b"])
             n += len(b)
@@ -115,17 +138,33 @@ def _candidates(sketched: DataFrame, window: int, differ: int) -> DataFrame:
             tail = places >= len(first)
             yield border(first, np.arange(len(first)), n)
             yield border(last[tail], places[tail], n)
+            entry, group, key = (np.concatenate(c) for c in zip(*order))
+            reach = np.round(_reach(key, group, window, same) * 1e6).astype(np.int64)
+            for lo in range(0, n, 100_000):
+                part = slice(lo, lo + 100_000)
+                yield pd.DataFrame({"kind": 2, "a": entry[part], "b": 0, "pass": 0, "dim": 0, "range": 0, "place": reach[part], "size": 0, "sketch": None})
+
+    ordered = sketched.repartitionByRange("pass", "dim", "key", "entry").sortWithinPartitions("pass", "dim", "key", "entry")
+    return stored(ordered.mapInPandas(sweep, fields), "sweep")
+
+
+def _rows_of(b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    group = b["pass"].to_numpy(dtype=np.int64) << 32 | b["dim"].to_numpy(dtype=np.int64)
+    sketch = np.frombuffer(b"".join(b["sketch"]), dtype=np.uint64).reshape(len(b), -1)
+    return b["entry"].to_numpy(dtype=np.int64), group, sketch
+
+
+def _pairs(swept: DataFrame, window: int, differ: int) -> DataFrame:
+    """Distinct pairs (a, b) that some pass puts next to each other and whose sketches are close."""
 
     def across(b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values(["range", "place"])
         sizes = b.drop_duplicates("range").set_index("range")["size"]
         base = sizes.cumsum() - sizes
-        entry, group, sketch = rows_of(b.rename(columns={"a": "entry"}).drop(columns=["b"]))
+        entry, group, sketch = _rows_of(b.rename(columns={"a": "entry"}).drop(columns=["b"]))
         x, y = _near(entry, group, sketch, b["place"].to_numpy() + base.loc[b["range"]].to_numpy(), window, differ)
         return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
 
-    ordered = sketched.repartitionByRange("pass", "dim", "key", "entry").sortWithinPartitions("pass", "dim", "key", "entry")
-    swept = stored(ordered.mapInPandas(sweep, fields), "sweep")
     inside = swept.filter("kind = 0").select("a", "b")
     # at most 2 * window rows of each range
     beyond = swept.filter("kind = 1").groupBy("pass", "dim").applyInPandas(across, "a long, b long")
@@ -150,6 +189,47 @@ def cosine(x: np.ndarray, y: np.ndarray) -> float:
     return float(np.dot(x, y) / math.sqrt(np.dot(x, x) * np.dot(y, y)))
 
 
+def _crowded(swept: DataFrame, recall: float) -> DataFrame:
+    """(entry): vectors whose windows together miss a neighbour at the threshold with more than the allowed probability."""
+    return swept.filter("kind = 2").groupBy(F.col("a").alias("entry")).agg(F.sum("place").alias("reach")).filter(
+        F.col("reach") < -1e6 * math.log(1 - recall)).select("entry")
+
+
+def _crowd_links(entries: DataFrame, crowded: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links that join all linked crowded vectors, every block of them compared with every block.
+
+    A pair is left out only if the links of its task join it already, so a task sends fewer
+    links than it has vectors."""
+    rows = stored(entries.join(crowded, "entry").select("dim", "entry", "v"), "crowded")
+    sizes = rows.groupBy("dim").agg(F.least(F.floor(F.count(F.lit(1)) / BLOCK) + 1, F.lit(CROWD_BLOCKS)).alias("blocks"))
+    tasks = sizes.agg(F.sum(F.col("blocks") * (F.col("blocks") + 1) / 2)).first()[0] or 1
+    rows = rows.join(F.broadcast(sizes), "dim").withColumn("own", F.pmod(F.xxhash64("entry"), "blocks"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "dim", "entry", "v", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
+
+    def link(b: pd.DataFrame) -> pd.DataFrame:
+        i, j = b["i"].iloc[0], b["j"].iloc[0]
+        v = _scaled(b["v"].tolist())
+        v /= np.sqrt((v * v).sum(axis=1, keepdims=True))
+        own, entry = b["own"].to_numpy(), b["entry"].to_numpy()
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        label, out = np.arange(len(b)), []
+        for lo in range(0, len(left), 512):
+            rows = left[lo : lo + 512]
+            hit = v[rows] @ v[right].T >= threshold
+            for r in np.flatnonzero(hit.any(axis=1)):
+                to = right[hit[r]]
+                to = to[label[to] != label[rows[r]]]
+                if len(to):
+                    joined, first = np.unique(label[to], return_index=True)
+                    out.append(pd.DataFrame({"a": entry[rows[r]], "b": entry[to[first]]}))
+                    label[np.isin(label, joined)] = label[rows[r]]
+        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+
+    dealt = rows.repartition(int(min(tasks, 512)), "dim", "i", "j")
+    return dealt.groupBy("dim", "i", "j").applyInPandas(link, "a long, b long")
+
+
 def _link_counts(entries: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
     """(entry, links): rows linked with the entry, its own copies not among them, within its component.
 
@@ -201,11 +281,14 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     rows = rows.withColumns({"h1": F.xxhash64("v"), "h2": F.unhex(F.md5(F.col("v").cast("string")))})
     copies = rows.filter("v is not null").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("least"), F.first("v").alias("v"))
     entries = stored(copies.withColumns({"entry": F.monotonically_increasing_id(), "dim": F.size("v")}), "entries")
-    passes = passes_for(entries.count(), threshold, recall=recall)
+    # half of the allowed misses, so that vectors outside of crowds are rarely taken for crowded
+    passes = passes_for(entries.count(), threshold, recall=(1 + recall) / 2)
     spread = BITS * math.acos(threshold) / math.pi
     differ = math.ceil(spread + 4.5 * math.sqrt(spread * (1 - spread / BITS)))
-    pairs = stored(_candidates(_sketched(entries, passes), WINDOW, differ), "candidates")
-    links = stored(_verified(pairs, entries, threshold), "verified")
+    swept = _swept(_sketched(entries, passes), WINDOW, differ, threshold)
+    pairs = stored(_pairs(swept, WINDOW, differ), "candidates")
+    crowd = _crowd_links(entries, _crowded(swept, recall), threshold)
+    links = stored(_verified(pairs, entries, threshold).unionByName(crowd), "verified")
     found = components(links)
     counted = _link_counts(entries, found, threshold)
     per_entry = entries.select("entry", "h1", "h2", "copies", "least").join(found.withColumnRenamed("node", "entry"), "entry", "left").withColumn(
