@@ -212,6 +212,23 @@ def test_suffix_repeats_against_brute_force(spark):
     assert suffix_dedup.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_crowded_leading_bytes_are_split(spark):
+    rng = random.Random(9)
+    passage = prose(rng, 40).encode()
+    found = []
+    for k in range(400):  # all cut around one place of a passage, with bytes of their own or of a few others at its ends
+        before, after = rng.choice([b"", prose(rng, 1).encode(), b"same "]), prose(rng, 2).encode()
+        found.append((k, -k, 2 if k == 7 else 1, passage[100:140], before + passage[80 : 280 + rng.randrange(30)] + after))
+    found += [(1000 + k, 0, 1, prose(rng, 9).encode()[:40], prose(rng, 40).encode()) for k in range(20)]
+    rows = [(c1, c2, lead, b) for c1, c2, times, lead, b in found for _ in range(times)]
+    contexts = spark.createDataFrame([(a, b, bytearray(x), bytearray(y)) for a, b, x, y in rows], "c1 long, c2 long, lead binary, bytes binary")
+    masks = suffix_dedup.repeated_windows([f[4] for f in found], 200)
+    want = {(f[0], s, e) for f, m in zip(found, masks) for s, e in ([(0, len(f[4]))] if f[2] > 1 else suffix_dedup._runs(m, 200))}
+    for piece in (5_000, 1 << 20):  # split, and together
+        got = [(r.c1, r.start, r.end) for r in suffix_dedup._bucket_spans(contexts, 200, piece).collect()]
+        assert len(got) == len(set(got)) and set(got) == want, piece
+
+
 def test_suffix_repeats_without_any(spark):
     rng = random.Random(8)
     df = spark.createDataFrame([(i, prose(rng, 40)) for i in range(3)] + [(None, "x" * 10)], "doc_id long, text string")

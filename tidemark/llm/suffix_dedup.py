@@ -11,7 +11,10 @@ the suffixes at named places, with the strings that name them:
 3. sampled splitters range-partition the contexts by the leading bytes of their suffix;
    suffixes with equal leading bytes share a bucket, so no repeat crosses a boundary.  A
    bucket sorts its strings by leading token, then by a fingerprint of the whole string,
-   and compares neighbours;
+   and compares neighbours.  Leading bytes with more contexts than a piece of a bucket
+   holds are split further: their contexts are dealt out in batches, each batch sends a
+   digest of every distinct string once, digests meet by range, and those that occur
+   again come back to the batches;
 4. repeats go back to all places of their context and merge to spans of each text."""
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ LENGTH = 200
 SENT, TASK, SORTED_BYTES = 200_000, 500_000, 1 << 20
 
 U = np.uint64
+DIGEST = np.dtype([("x", "<u8"), ("y", "<u8")])
 _BYTES = np.random.default_rng(8).integers(1, 1 << 63, size=256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 
@@ -129,6 +133,8 @@ def _repeated_places(sources: DataFrame, total: int, length: int) -> DataFrame:
                     held, count = [], 0
         if count:
             yield out()
+        held = []
+        give_back()
 
     def again(batch: pd.DataFrame) -> pd.DataFrame:
         key = np.concatenate([np.frombuffer(x, dtype=U) for x in batch["keys"]])
@@ -176,8 +182,71 @@ def _contexts(sources: DataFrame, keys: DataFrame, length: int) -> DataFrame:
     return sources.select("tid", "tk", "text").join(keys, "tid").drop("tid").mapInPandas(cut, schema)
 
 
-def _bucket_spans(contexts: DataFrame, length: int) -> DataFrame:
-    """(c1, c2, start, end): repeated bytes of each distinct context, sorted bucket by bucket."""
+def _digests(context: bytes, length: int) -> np.ndarray:
+    """16-byte digest of each string of ``length`` bytes of a context."""
+    joined = b"".join(hashlib.md5(context[k : k + length]).digest() for k in range(len(context) - length + 1))
+    return np.frombuffer(joined, dtype=DIGEST)
+
+
+def _grouped(d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct digests, which of them each one is, and how often they occur."""
+    order = np.lexsort((d["y"], d["x"]))
+    d = d[order]
+    new = np.ones(len(d), dtype=bool)
+    new[1:] = (d["x"][1:] != d["x"][:-1]) | (d["y"][1:] != d["y"][:-1])
+    which = np.empty(len(d), dtype=np.int64)
+    which[order] = np.cumsum(new) - 1
+    return d[new], which, np.bincount(which)
+
+
+def _crowd_spans(crowd: DataFrame, total: int, length: int, piece: int) -> DataFrame:
+    """(c1, c2, start, end): repeated bytes of distinct contexts of which any number may share their leading bytes.
+
+    A batch sends each of its distinct strings once and tells its own repeats itself, so
+    a string that all contexts share is one digest of each batch."""
+    # about half of a context's bytes start a string; rows between batches and ranges grow with the square of their number
+    batches = ranges = max(1, math.ceil(total / (4 * piece)))
+    rows = crowd.withColumn("batch", F.pmod(F.xxhash64("c1", "c2"), F.lit(batches)))
+
+    def send(b: pd.DataFrame) -> pd.DataFrame:
+        found = _grouped(np.concatenate([_digests(c, length) for c in b["bytes"]]))[0]
+        where = ((found["x"] >> U(40)).astype(np.int64) * ranges) >> 24
+        order = np.argsort(where, kind="stable")
+        cut = np.searchsorted(where[order], np.arange(ranges + 1))
+        full = np.flatnonzero(cut[1:] > cut[:-1])
+        return pd.DataFrame({"range": full, "batch": b["batch"].iloc[0], "digests": [found[order[cut[k] : cut[k + 1]]].tobytes() for k in full]})
+
+    def again(b: pd.DataFrame) -> pd.DataFrame:
+        parts = [np.frombuffer(x, dtype=DIGEST) for x in b["digests"]]
+        _, which, times = _grouped(np.concatenate(parts))
+        give_back()
+        more = np.split(times[which] > 1, np.cumsum([len(x) for x in parts])[:-1])
+        return pd.DataFrame({"batch": b["batch"], "digests": [x[m].tobytes() for x, m in zip(parts, more)]})
+
+    def mark(b: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(b):
+            elsewhere = np.concatenate([np.zeros(0, dtype=DIGEST), *(np.frombuffer(x, dtype=DIGEST) for x in told["digests"])])
+            own = [_digests(c, length) for c in b["bytes"]]
+            strings, which, times = _grouped(np.concatenate(own))
+            _, at, either = _grouped(np.concatenate((strings, elsewhere)))
+            repeated = ((times > 1) | (either[at[: len(strings)]] > 1))[which]
+            masks = np.split(repeated, np.cumsum([len(x) for x in own])[:-1])
+            for c1, c2, n, c, m in zip(b["c1"], b["c2"], b["times"], b["bytes"], masks):
+                out += [(c1, c2, s, e) for s, e in ([(0, len(c))] if n > 1 else _runs(m, length))]
+        give_back()
+        return pd.DataFrame(out, columns=["c1", "c2", "start", "end"])
+
+    sent = rows.select("batch", "bytes").groupBy("batch").applyInPandas(send, "range int, batch long, digests binary")
+    told = stored(sent.groupBy("range").applyInPandas(again, "batch long, digests binary"), "crowd-strings")
+    return rows.groupBy("batch").cogroup(told.groupBy("batch")).applyInPandas(mark, "c1 long, c2 long, start long, end long")
+
+
+def _bucket_spans(contexts: DataFrame, length: int, piece: int = SORTED_BYTES) -> DataFrame:
+    """(c1, c2, start, end): repeated bytes of each distinct context, sorted bucket by bucket.
+
+    No list of contexts that are sorted together has more than twice ``piece`` bytes,
+    however many share their leading bytes."""
 
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
@@ -190,18 +259,29 @@ def _bucket_spans(contexts: DataFrame, length: int) -> DataFrame:
 
         for b in batches:
             for r in zip(b["c1"], b["c2"], b["times"], b["lead"], b["bytes"]):
-                if size >= SORTED_BYTES and held[-1][3] != r[3]:  # suffixes with equal leading bytes stay together
+                if size >= piece and held[-1][3] != r[3]:  # suffixes with equal leading bytes stay together
                     yield out(held)
                     held, size = [], 0
                 held.append(r)
                 size += len(r[4])
         if held:
             yield out(held)
+        give_back()
 
     # equal contexts combine before and after the shuffle
     once = contexts.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("times"), F.first("lead").alias("lead"), F.first("bytes").alias("bytes"))
-    once = stored(once, "distinct-contexts")
-    return once.repartitionByRange("lead").sortWithinPartitions("lead").mapInPandas(sort, "c1 long, c2 long, start long, end long")
+    once = stored(once.withColumns({"place": F.xxhash64("lead"), "size": F.octet_length("bytes")}), "distinct-contexts")
+    # leads of equal hash are taken together, which may only split some that need not be
+    hot = stored(once.groupBy("place").agg(F.sum("size").alias("size")).filter(F.col("size") > piece), "crowded-leads")
+    total = hot.agg(F.sum("size")).first()[0] or 0
+    crowded = sized(hot.select("place"))
+    rest = once.join(crowded, "place", "left_anti") if total else once
+    schema = "c1 long, c2 long, start long, end long"
+    spans = rest.select("c1", "c2", "times", "lead", "bytes").repartitionByRange("lead").sortWithinPartitions("lead").mapInPandas(sort, schema)
+    if not total:
+        return spans
+    crowd = stored(once.join(crowded, "place", "left_semi").select("c1", "c2", "times", "bytes"), "crowded-contexts")
+    return spans.unionByName(_crowd_spans(crowd, total, length, piece))
 
 
 def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
