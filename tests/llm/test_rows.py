@@ -161,6 +161,17 @@ def test_secret_spans(spark):
     assert secret_scan.scan(df.limit(0)).count() == 0
 
 
+def test_keys_of_letters_are_secrets():
+    rng = random.Random(12)
+    low = "abcdefghijklmnopqrstuvwxyz"
+    for letters, size, prefix in [(low + low.upper(), 32, ""), (low + low.upper(), 20, ""), (low, 24, ""), (low.upper(), 24, ""), (low + low.upper(), 24, "sk_live_")]:
+        keys = [prefix + "".join(rng.choice(letters) for _ in range(size)) for _ in range(300)]
+        found = [secret_scan.find_spans(f"a {k} b") == [("token", 2, 2 + len(k))] for k in keys]
+        assert sum(found) >= 285, (prefix, size)
+    words = ["internationalization", "getElementsByClassName", "to-be-or-not-to-be-that", "usr/local/share/man/de", "MAX_KERNEL_ROWS_LIMIT", "state-of-the-art-2024", "----------------", "2024-05-01/2024-06-01"]
+    assert not [w for w in words if secret_scan.find_spans(f"a {w} b")]
+
+
 def labelled(n, rng, toxic):
     words = ["der", "weg", "und", "haus", "licht", "nacht", "the", "road", "light"]
     rows = []

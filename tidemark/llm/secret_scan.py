@@ -2,7 +2,9 @@
 
 Prose packs several characters into each token of a byte-pair vocabulary; random
 strings do not.  A long run of key-like characters is a secret when it holds few
-characters per token, unless it is a digest or identifier of a known shape."""
+characters per token, unless it is a digest or identifier of a known shape.  Runs of
+letters, hyphenated words and paths are judged by the same ratio, over those of their
+parts that are no single token."""
 
 from __future__ import annotations
 
@@ -22,11 +24,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: Runs that the efficiency test looks at.
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}(?![A-Za-z0-9+/_=-])")
-#: Known digests (MD5, SHA-1, SHA-256, SHA-512 in hex), UUIDs, plain numbers and dates, and paths or hyphenated words.
+#: Known digests (MD5, SHA-1, SHA-256, SHA-512 in hex), UUIDs, plain numbers and dates.
 KNOWN = re.compile(
     r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{128}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64}"
-    r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9+/_=-]+|(?:[A-Za-z]*[/_=-])*[A-Za-z]*|(?:[A-Za-z]*[0-9]{0,4}[/_=-])+[A-Za-z]*[0-9]{0,4})"
+    r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9+/_=-]+)"
 )
+#: Letters alone, or letters with up to four digits behind them between separators: paths, hyphenated words, keys of such a shape.
+WORDS = re.compile(r"(?:[A-Za-z]*[/_=-])*[A-Za-z]*|(?:[A-Za-z]*[0-9]{0,4}[/_=-])+[A-Za-z]*[0-9]{0,4}")
+PART = re.compile(r"[A-Za-z]+")
 #: A run is random when it has at most so many characters per token.
 MAX_RATIO = 2.3
 
@@ -44,6 +49,17 @@ def _encoder(vocabulary: str | None):
     return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _random_words(run: str, encoding, max_ratio: float) -> bool:
+    """Whether the letters of a run of word shape are random: parts that are a token are words, in any case of theirs.
+
+    The other parts must hold at least half of the run's letters and few characters per token."""
+    parts = PART.findall(run)
+    tokens = [min(len(encoding.encode_ordinary(p)), len(encoding.encode_ordinary(p.lower()))) for p in parts]
+    rest = [(len(p), n) for p, n in zip(parts, tokens) if n > 1]
+    size = sum(n for n, _ in rest)
+    return 2 * size >= sum(map(len, parts)) and 0 < size <= max_ratio * sum(n for _, n in rest)
+
+
 def find_spans(text: str, vocabulary: str | None = None, max_ratio: float = MAX_RATIO) -> list[tuple[str, int, int]]:
     """(kind, start, end) of every secret, ordered by start, then by kind as in KINDS."""
     out = []
@@ -58,7 +74,8 @@ def find_spans(text: str, vocabulary: str | None = None, max_ratio: float = MAX_
         run = m.group()
         if KNOWN.fullmatch(run):
             continue
-        if len(run) <= max_ratio * len(_encoder(vocabulary).encode_ordinary(run)):
+        encoding = _encoder(vocabulary)
+        if len(run) <= max_ratio * len(encoding.encode_ordinary(run)) and (not WORDS.fullmatch(run) or _random_words(run, encoding, max_ratio)):
             out.append((m.start(), 3, m.end()))
     return [(KINDS[k], s, e) for s, k, e in sorted(out)]
 
