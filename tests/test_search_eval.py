@@ -53,6 +53,16 @@ def test_lsh_candidates_are_exact_scores(spark, sf):
     assert {r["count"] for r in approx.groupBy("qid").count().collect()} == {5}
 
 
+@pytest.mark.parametrize("n, spread", [(3000, 1.0), (8000, 1.0), (8000, 0.25)])
+def test_lsh_recall_at_sizes(spark, n, spread):
+    rng = np.random.default_rng(n)
+    v = rng.standard_normal((n // 20, 64)).repeat(20, axis=0) * (1 - spread) + spread * rng.standard_normal((n, 64))
+    e = spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "vec_id long, embedding array<double>").cache()
+    q = e.filter("vec_id % 100 = 3").select(F.col("vec_id").alias("qid"), "embedding")
+    rec = R.recall_vs_exact(R.knn_lsh(q, e, 10, dim=64, id_col="vec_id"), R.knn_exact(q, e, 10, id_col="vec_id"), id_col="vec_id")
+    assert rec.agg(F.avg("recall")).first()[0] >= 0.9
+
+
 def test_lsh_tops_up_short_queries(spark, sf):
     e = spark.read.parquet(f"{sf}/embeddings.parquet")
     q = e.select(F.col("vec_id").alias("qid"), "embedding").limit(20)

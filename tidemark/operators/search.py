@@ -13,6 +13,7 @@ approximate alternative for very large query sets.
 
 
 import math
+from itertools import combinations
 from typing import Iterator
 
 import numpy as np
@@ -162,6 +163,10 @@ def _empty_hits(corpus: DataFrame, id_col: str, payload: list[str], qid_type: T.
 
 
 # ---------------------------------------------------------------- approximate search
+PROBE_SAMPLE = 100  # queries searched exactly to measure how many buckets must be probed
+MAX_PROBED_SHARE = 0.1  # share of the corpus in the probed buckets beyond which exact search costs less
+
+
 def _hyperplanes(dim: int, bits: int, tables: int, seed: int) -> np.ndarray:
     rng = np.random.default_rng(seed)
     return rng.standard_normal((tables, bits, dim))
@@ -197,24 +202,49 @@ def _cosine_rows(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(np.where(den > 0, dots / np.sqrt(den), 0.0))
 
 
+def _probe_radius(q: DataFrame, corpus: DataFrame, k: int, dim: int, bits: int, tables: int, seed: int,
+                  id_col: str, vec_col: str, recall: float) -> int:
+    """Signs in which a probed bucket may differ from the query's own, so that a sample of
+    queries finds the share ``recall`` of its exact top-k."""
+    sample = q.orderBy(F.xxhash64("qid"), "qid").limit(PROBE_SAMPLE)
+    hits = knn_exact(sample, corpus, k, "qid", "qv", id_col, vec_col).select("qid", id_col)
+    near = hits.join(corpus.select(id_col, F.col(vec_col).alias("_cv")), id_col).join(sample, "qid")
+    keys = near.select(lsh_keys("qv", dim, bits, tables, seed).alias("a"), lsh_keys("_cv", dim, bits, tables, seed).alias("b")).collect()
+    if not keys:
+        return 0
+    apart = np.array([[x ^ y for x, y in zip(r["a"], r["b"])] for r in keys], dtype=np.int64)
+    differ = np.bitwise_count(apart).min(axis=1)
+    return next(d for d in range(bits + 1) if (differ <= d).mean() >= recall)
+
+
 def knn_lsh(queries: DataFrame, corpus: DataFrame, k: int, dim: int, qid_col: str = "qid",
             qvec_col: str = "embedding", id_col: str = "chunk_id", vec_col: str = "embedding",
-            payload: list[str] | None = None, bits: int | None = None, tables: int = 12, seed: int = 7) -> DataFrame:
+            payload: list[str] | None = None, bits: int | None = None, tables: int = 12, seed: int = 7,
+            recall: float = 0.95) -> DataFrame:
     """Approximate top-k: candidates share a sign-projection bucket with the query
     in at least one table; candidates are re-scored exactly and ranked like
     :func:`knn_exact`.  The join is on ``(table, bucket)``; the query side is the
     small side, so a crowded corpus bucket stays spread over the corpus tasks.
 
     ``bits`` follows the corpus by default, so that a bucket holds about ``16 k``
-    vectors at any size.  Queries whose buckets hold fewer than ``k`` vectors are
+    vectors at any size.  Buckets that differ from the query's in a few signs are probed
+    too, as many as a sample of queries needs to find the share ``recall`` of its exact
+    hits; where those buckets hold too much of the corpus, all queries are searched
+    exactly.  Queries whose buckets hold fewer than ``k`` vectors are
     searched exactly, so every query gets ``k`` hits where the corpus has them."""
     n = corpus.count()
     if bits is None:
         bits = max(1, round(math.log2(max(2.0, n / (16 * k)))))
     payload = [c for c in (payload or []) if c not in (id_col, vec_col)]
     q = queries.select(F.col(qid_col).alias("qid"), F.col(qvec_col).alias("qv"))
+    radius = _probe_radius(q, corpus, k, dim, bits, tables, seed, id_col, vec_col, recall)
+    probes = sum(math.comb(bits, d) for d in range(radius + 1))
+    if radius and tables * probes > MAX_PROBED_SHARE * 2 ** bits:
+        return knn_exact(q, corpus, k, "qid", "qv", id_col, vec_col, payload)
+    masks = [sum(1 << i for i in c) for d in range(radius + 1) for c in combinations(range(bits), d)]
     q = q.withColumn("_k", lsh_keys("qv", dim, bits, tables, seed)).select(
-        "qid", "qv", F.posexplode("_k").alias("t", "b"))
+        "qid", "qv", F.posexplode("_k").alias("t", "_b"))
+    q = q.select("qid", "qv", "t", F.explode(F.array(*[F.col("_b").bitwiseXOR(F.lit(m)) for m in masks])).alias("b"))
     c = corpus.select(id_col, vec_col, *payload)
     c = c.withColumn("_k", lsh_keys(vec_col, dim, bits, tables, seed)).select(
         id_col, vec_col, *payload, F.posexplode("_k").alias("t", "b"))
