@@ -39,6 +39,30 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+_HELD: dict = {}
+
+
+def vocabulary(key: tuple, load):
+    """What ``load()`` gives, kept in this Python worker until another key is asked for: a worker holds one vocabulary at a time."""
+    if key not in _HELD:
+        _HELD.clear()
+        give_back()
+        _HELD[key] = load()
+    return _HELD[key]
+
+
+def in_slices(texts: list, size: int = 2 << 20):
+    """(start, end) of neighbouring texts of about ``size`` characters together, one text at least."""
+    at = 0
+    while at < len(texts):
+        upto, n = at, 0
+        while upto < len(texts) and (upto == at or n + len(texts[upto] or "") <= size):
+            n += len(texts[upto] or "")
+            upto += 1
+        yield at, upto
+        at = upto
+
+
 def give_back() -> None:
     """Return the freed memory of a Python worker to the system; a worker lives on and would keep it through later stages."""
     pa.default_memory_pool().release_unused()

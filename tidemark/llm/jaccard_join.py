@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, sized, stored, text_key
+from .common import give_back, in_slices, sized, stored, text_key
 from .components import components
 from .shingles import mix, overlap, shingle_sets
 
@@ -69,8 +69,10 @@ def rarity(texts: DataFrame, cells: int) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(1 << cells, dtype=np.uint32)
         for b in batches:
-            for s in shingle_sets(b["text"].tolist()):
-                np.add.at(total, (s >> U(64 - cells)).astype(np.int64), 1)
+            texts = b["text"].tolist()
+            for lo, hi in in_slices(texts):
+                for s in shingle_sets(texts[lo:hi]):
+                    np.add.at(total, (s >> U(64 - cells)).astype(np.int64), 1)
         rows = total.reshape(-1, width)
         full = np.flatnonzero(rows.any(axis=1))
         yield pd.DataFrame({"slice": full, "counts": [_packed(rows[k]) for k in full]})
@@ -157,9 +159,10 @@ def _profiles(texts: DataFrame, percent: int, cells: int) -> DataFrame:
     low = (1 << 63) - 1
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        slices = ((b, lo, hi) for b in batches for lo, hi in in_slices(b["text"].tolist()))
+        for b, lo, hi in slices:
             out = []
-            for doc, tk, s in zip(b["doc"], b["tk"], shingle_sets(b["text"].tolist())):
+            for doc, tk, s in zip(b["doc"].iloc[lo:hi], b["tk"].iloc[lo:hi], shingle_sets(b["text"].iloc[lo:hi].tolist())):
                 if not len(s):
                     out.append((doc, tk, 0, 0, 0, b"", []))
                     continue
@@ -177,7 +180,9 @@ def _profiles(texts: DataFrame, percent: int, cells: int) -> DataFrame:
     # as text, ids of any size and null pass through Python unchanged
     schema = "doc string, tk binary, n long, k1 long, k2 long, prefix binary, mins array<long>"
     found = texts.select(F.col("doc").cast("string").alias("doc"), "tk", "text").mapInPandas(profile, schema)
-    return stored(found.withColumn("doc", F.col("doc").cast("long")), "profiles")
+    profiles = stored(found.withColumn("doc", F.col("doc").cast("long")), "profiles")
+    level.destroy()
+    return profiles
 
 
 def _grouping(chosen: DataFrame, entries: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -333,6 +338,8 @@ def _meet(holders: DataFrame, queries: DataFrame, chosen: DataFrame, entries: Da
                     if 100 * min(len(s), len(t)) >= percent * max(len(s), len(t)) and linked(overlap(s, t), len(s), len(t), percent):
                         found.append((min(q, e), max(q, e)))
                         break
+        del sets
+        give_back()
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return stored(with_text.groupBy("task").applyInPandas(open_parts, "a long, b long").distinct(), "links-found")

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import give_back, stored
+from .common import give_back, stored, vocabulary
 
 LENGTH = 2048
 #: The id behind each document.
@@ -42,7 +42,7 @@ def _byte_letters() -> list[str]:
 
 
 class Encoder:
-    """Ids of texts by a file of the tokenizers library.
+    """Ids of texts by a file of the tokenizers library, as its plain call gives them: a special token's string in a text is that token.
 
     The tokenizer's pieces never cross white space, so each different word of a slice is
     encoded once.  A word of letters alone, with marks behind it or not, is one piece (and
@@ -55,7 +55,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
-        self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         # the short way holds for a tokenizer that normalises and cuts words as this one does
@@ -135,9 +134,8 @@ BYTE_LETTERS = _byte_letters()
 NOT_ALONE = "\u03a3\u0130"
 
 
-@functools.lru_cache(maxsize=1)
 def _encoder(path: str | None) -> Encoder:
-    return Encoder(path)
+    return vocabulary(("packing", path), lambda: Encoder(path))
 
 
 def hilbert(coords: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -237,7 +235,8 @@ def pack(docs: DataFrame, text_col: str = "text", length: int = LENGTH, tokenize
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, unless not wanted, ids.
 
     Every row of ``docs`` (doc_id, text) is a document, also a repeated one; a null or
-    empty text is the end id alone.  Ties on the curve are ordered by the order of the
+    empty text is the end id alone; a very long text is tokenised in one task, a slice of
+    its words at a time being kept, and lies in as many sequences as it fills.  Ties on the curve are ordered by the order of the
     stored rows.  No documents give no rows; more columns are ignored.  Only the last
     sequences, at most eleven of falling powers of two, are shorter than ``length``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -257,16 +256,16 @@ def pack(docs: DataFrame, text_col: str = "text", length: int = LENGTH, tokenize
     tail = blocks(total, length)
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        dtype = _encoder(tokenizer).dtype
         for b in batches:
             out = []
             for doc, raw, n, at in zip(b["doc_id"], b["ids"], b["n"], b["at"]):
-                ids = np.frombuffer(raw, dtype=dtype).astype("<u4")
+                ids = np.frombuffer(raw, dtype=f"<u{len(raw) // int(n)}").astype("<u4")
                 for s, size, seq, off in cuts(int(at), int(n), total, tail, length):
                     own = ids[s : s + size]
                     piece = (doc, s, size, zlib.crc32(own.tobytes()), int(n), seq, off)
                     out.append((*piece, own.astype(np.int32)) if with_ids else piece)
             yield pd.DataFrame(out, columns=names)
+        give_back()
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
     schema = "doc_id string, " + ", ".join(f"{c} long" for c in names[1:7]) + ", ids array<int>" * with_ids

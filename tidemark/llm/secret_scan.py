@@ -9,7 +9,6 @@ parts that are no single token."""
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -18,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back, vocabulary
+
 KINDS = ["assign", "access", "hex", "token"]
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -38,17 +39,19 @@ MAX_RATIO = 2.3
 SPAN = "struct<kind:string,start:int,end:int>"
 
 
-@functools.lru_cache(maxsize=2)
-def _encoder(vocabulary: str | None):
+def _load(path: str | None):
     import public_tokenizers
     import tiktoken
 
-    path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    with open(path, "rb") as f:
+    with open(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _encoder(path: str | None):
+    return vocabulary(("secrets", path), lambda: _load(path))
+
+
 def _random_words(run: str, encoding, max_ratio: float) -> bool:
     """Whether the letters of a run of word shape are random: parts that are a token are words, in any case of theirs.
 
@@ -60,7 +63,7 @@ def _random_words(run: str, encoding, max_ratio: float) -> bool:
     return 2 * size >= sum(map(len, parts)) and 0 < size <= max_ratio * sum(n for _, n in rest)
 
 
-def find_spans(text: str, vocabulary: str | None = None, max_ratio: float = MAX_RATIO) -> list[tuple[str, int, int]]:
+def find_spans(text: str, ranks: str | None = None, max_ratio: float = MAX_RATIO) -> list[tuple[str, int, int]]:
     """(kind, start, end) of every secret, ordered by start, then by kind as in KINDS."""
     out = []
     for m in ASSIGN.finditer(text):
@@ -74,22 +77,24 @@ def find_spans(text: str, vocabulary: str | None = None, max_ratio: float = MAX_
         run = m.group()
         if KNOWN.fullmatch(run):
             continue
-        encoding = _encoder(vocabulary)
+        encoding = _encoder(ranks)
         if len(run) <= max_ratio * len(encoding.encode_ordinary(run)) and (not WORDS.fullmatch(run) or _random_words(run, encoding, max_ratio)):
             out.append((m.start(), 3, m.end()))
     return [(KINDS[k], s, e) for s, k, e in sorted(out)]
 
 
-def scan(docs: DataFrame, text_col: str = "text", out: str = "secrets", vocabulary: str | None = None, max_ratio: float = MAX_RATIO) -> DataFrame:
+def scan(docs: DataFrame, text_col: str = "text", out: str = "secrets", ranks: str | None = None, max_ratio: float = MAX_RATIO) -> DataFrame:
     """Add ``out``: array of (kind, start, end) spans of each whole text, in code points, end exclusive.
 
     Null and empty texts have no spans; an input column named ``out`` is replaced;
-    repeated rows stay repeated.  ``vocabulary`` is the path of a tiktoken rank file."""
+    repeated rows stay repeated; a very long text is scanned whole in one call, in memory of
+    its own size; an empty table gives an empty one.  ``ranks`` is the path of a tiktoken rank file."""
 
     @F.pandas_udf(f"array<{SPAN}>")
     def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([[{"kind": k, "start": s, "end": e} for k, s, e in find_spans(t or "", vocabulary, max_ratio)] for t in texts], dtype=object)
+            yield pd.Series([[{"kind": k, "start": s, "end": e} for k, s, e in find_spans(t or "", ranks, max_ratio)] for t in texts], dtype=object)
+        give_back()
 
     return docs.withColumn(out, spans(F.col(text_col)))
 
@@ -103,20 +108,21 @@ def count_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", vocabulary: str | None = None) -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", ranks: str | None = None) -> DataFrame:
     """Replace every secret of a text by ``mark`` (overlapping spans as one); null texts stay null."""
 
     @F.pandas_udf("string")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([None if t is None else _cleaned(t, mark, vocabulary) for t in texts], dtype=object)
+            yield pd.Series([None if t is None else _cleaned(t, mark, ranks) for t in texts], dtype=object)
+        give_back()
 
     return docs.withColumn(text_col, clean(F.col(text_col)))
 
 
-def _cleaned(text: str, mark: str, vocabulary: str | None) -> str:
+def _cleaned(text: str, mark: str, ranks: str | None) -> str:
     out, at = [], 0
-    for _, s, e in find_spans(text, vocabulary):
+    for _, s, e in find_spans(text, ranks):
         if s >= at:
             out += [text[at:s], mark]
         at = max(at, e)

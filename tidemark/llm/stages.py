@@ -2,48 +2,72 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import stored, table, text_key
+
+
+def _beside(docs: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with the columns an operator would replace (in any case) under names of their own, and the way back to its columns."""
+    own = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c.lower() in names}
+    return docs.withColumnsRenamed(own), lambda out: out.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that the ranking model scores below its threshold."""
+    """Drop documents that the ranking model scores below its threshold.
+
+    A null text counts as an empty one and is judged like it; equal texts get equal
+    scores, so copies stay or go together; repeated rows stay repeated.  The document's
+    own columns come back unchanged, also those named like the operator's.  A very long
+    text is scored whole; no documents give none."""
     from .quality import score_quality
 
-    scored = score_quality(docs, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return scored.filter("predicted = 1").select(*docs.columns)
+    aside, own = _beside(docs, "held_out", "score", "predicted")
+    return own(score_quality(aside, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).filter("predicted = 1"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of similar ones: that with the smallest doc_id.
+    """Keep one row of each group of similar texts: that with the smallest doc_id.
 
-    Rows without doc_id go when their group has a document with one; of rows that share
-    a doc_id any one stays."""
-    from .common import sized, stored
+    Rows are told apart by a number of their own, so doc_id may be null or repeated: rows
+    without doc_id come last in their group, and rows of one doc_id with different texts
+    are different documents.  Ties go by text and then by the other columns.  Null
+    and empty texts are in no group and stay.  Very long texts are compared whole; no
+    documents give none."""
     from .jaccard_join import near_duplicates
 
-    groups = stored(near_duplicates(docs), "near-duplicates")
-    gone = stored(groups.filter("not (component_id <=> doc_id)").select(F.col("doc_id").alias("__id")).distinct(), "gone")
-    kept = docs.join(sized(gone), F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
-    again = stored(groups.groupBy(F.col("doc_id").alias("__id")).count().filter("count > 1 and __id is not null").select("__id"), "again")
-    if not again.limit(1).count():
-        return kept.select(*docs.columns)
-    once = kept.join(sized(again), F.col("doc_id") == F.col("__id"), "left_anti")
-    many = kept.join(sized(again), F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(many).select(*docs.columns)
+    told = docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("__at"))
+    # written once, so that the number of a row never changes
+    told = stored(told.withColumn("__order", F.xxhash64(*[F.to_json(F.struct(F.col(f"row.`{c}`"))) for c in docs.columns if c != "text"])), "told")
+    text, doc_id = F.col("row.text"), F.col("row.doc_id")
+    groups = near_duplicates(told.select(F.col("__at").alias("doc_id"), text.alias("text")))
+    order = F.struct(doc_id.isNull(), doc_id, text_key(text), F.col("__order"), F.col("__at"))
+    ranked = told.select("__at", order.alias("order")).join(groups.select(F.col("doc_id").alias("__at"), "component_id"), "__at")
+    first = ranked.groupBy("component_id").agg(F.min("order").alias("first")).select(F.col("first.__at").alias("__at"))
+    return told.join(first, "__at", "left_semi").select("row.*")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop contaminated documents."""
+    """Drop contaminated documents.
+
+    Null and empty texts hold no words and stay; repeated rows stay or go together; the
+    document's own columns come back unchanged, also those named like the operator's.
+    Very long texts are judged whole; no documents give none."""
     from .decontaminate import contamination
 
-    return contamination(docs, table(spark, sf_dir, "benchmark")).filter(~F.col("contaminated")).select(*docs.columns)
+    aside, own = _beside(docs, "n_words", "n_hit", "n_items", "items", "contaminated")
+    return own(contamination(aside, table(spark, sf_dir, "benchmark")).filter(~F.col("contaminated")))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace secrets by a mark and count the characters anew; every document stays."""
+    """Replace secrets by a mark and count the characters anew; every document stays.
+
+    Null texts stay null with a null count, empty ones empty; all other columns come
+    back unchanged; repeated rows stay repeated; a very long text is scanned whole; no
+    documents give none."""
     from .secret_scan import redact
 
     out = redact(docs)
@@ -53,7 +77,11 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack the documents into training sequences: one row per piece."""
+    """Pack the documents into training sequences: one row per piece, with its ids.
+
+    A null or empty text is the end id alone; rows that repeat are packed each for
+    itself; other columns are left out; a very long text fills as many sequences as it
+    needs; no documents give no rows."""
     from .packing import pack
 
     return pack(docs)
