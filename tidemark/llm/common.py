@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import ctypes
+import sys
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,16 +41,16 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-_HELD: dict = {}
-
-
 def vocabulary(key: tuple, load):
-    """What ``load()`` gives, kept in this Python worker until another key is asked for: a worker holds one vocabulary at a time."""
-    if key not in _HELD:
-        _HELD.clear()
+    """What ``load()`` gives, kept in this Python worker until another key is asked for: a worker holds one vocabulary at a time.
+
+    It is kept beside the interpreter's own state, as module globals may travel with a task's function."""
+    held = vars(sys).setdefault("_tidemark_vocabulary", {})
+    if key not in held:
+        held.clear()
         give_back()
-        _HELD[key] = load()
-    return _HELD[key]
+        held[key] = load()
+    return held[key]
 
 
 def in_slices(texts: list, size: int = 2 << 20):
@@ -63,6 +65,13 @@ def in_slices(texts: list, size: int = 2 << 20):
         at = upto
 
 
+def numbered(items: list) -> tuple[np.ndarray, list]:
+    """A number for each item, equal ones alike, and the different items by number (``pandas.factorize`` ends strings at a zero character)."""
+    seen: dict = {}
+    codes = np.fromiter((seen.setdefault(x, len(seen)) for x in items), dtype=np.int64, count=len(items))
+    return codes, list(seen)
+
+
 def give_back() -> None:
     """Return the freed memory of a Python worker to the system; a worker lives on and would keep it through later stages."""
     pa.default_memory_pool().release_unused()

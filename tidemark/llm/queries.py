@@ -81,17 +81,63 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import taken_words
+
+    return taken_words(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_alignment import COLUMNS, align_documents
+
+    found = align_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.select("doc_id", *COLUMNS, digest.alias("groups_sha256"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic_runs import periodic_runs, plant_repeats
+
+    found = periodic_runs(plant_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("text")
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.*", F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_embedding_dedup, op2_jaccard_join, op3_url_filter, op4_warc_revisits, op5_toxicity,
         op6_decontaminate, op7_secret_scan, op8_suffix_dedup, op9_quality, op10_packing,
+        op11_source_mix, op12_token_alignment, op13_periodic_runs,
     )
 }
 
 _HOST = "translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL = {
+    "op11_source_mix": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, md5(coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, '')) AS key,
+         len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS rank FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][(rank % 3 + 1)::INTEGER] AS weight, 2 * source_size AS most, 2 * source_size / [5, 2, 1][(rank % 3 + 1)::INTEGER] AS level FROM s),
+f AS (
+  SELECT *, coalesce(sum(most) OVER b, 0)::BIGINT AS full_words, coalesce(sum(weight) OVER b, 0)::BIGINT AS full_weight,
+         1.5::DOUBLE * (sum(source_size) OVER ())::BIGINT AS wanted, (sum(weight) OVER ())::BIGINT AS weights
+  FROM w WINDOW b AS (ORDER BY level, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (SELECT *, (wanted - full_words) / (weights - full_weight) AS rest FROM f),
+t AS (
+  SELECT source, rank, source_size, least(most::DOUBLE, weight * coalesce((SELECT arg_min(rest, (level, rank)) FROM g WHERE rest <= level), 0)::DOUBLE) AS target
+  FROM g),
+line AS (
+  SELECT r, size, floor(target)::BIGINT AS words,
+         coalesce(sum(size) OVER (PARTITION BY rank ORDER BY turn, md5('11:' || turn || ':' || key), r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source CROSS JOIN (VALUES (1), (2)) AS v(turn)),
+k AS (SELECT r, sum(greatest(0, least(at + size, words) - at))::BIGINT AS taken FROM line GROUP BY r)
+SELECT doc_id, size::BIGINT AS size, source_size, target, taken FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source JOIN k USING (r)""",
     "op3_url_filter": f"""
 WITH u AS (SELECT page_id, {_HOST} AS host, regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
 r(rhost, rpath, rverdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
