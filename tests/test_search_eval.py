@@ -31,7 +31,7 @@ def test_knn_blocks_equal_single_block(spark, sf):
     e = spark.read.parquet(f"{sf}/embeddings.parquet")
     q = e.select(F.col("vec_id").alias("qid"), "embedding")
     one = R.knn_exact(q, e, 3, id_col="vec_id").orderBy("qid", "rank").collect()
-    many = R.knn_exact(q, e, 3, id_col="vec_id", broadcast_limit=64 * 8 * 50).orderBy("qid", "rank").collect()
+    many = R.knn_exact(q, e, 3, id_col="vec_id", query_block=50, corpus_block=30).orderBy("qid", "rank").collect()
     assert [tuple(r) for r in one] == [tuple(r) for r in many]
 
 
@@ -138,7 +138,7 @@ def test_knn_payload_join_back_in_block_mode(spark):
                                    "chunk_id string, embedding array<float>, text string")
     qs = spark.createDataFrame([(q, [float(q), 1.0]) for q in range(12)], "qid int, embedding array<float>")
     one = R.knn_exact(qs, corpus, 4, payload=["text"]).orderBy("qid", "rank").collect()
-    blocks = R.knn_exact(qs, corpus, 4, payload=["text"], broadcast_limit=3 * 2 * 8 + 200).orderBy("qid", "rank").collect()
+    blocks = R.knn_exact(qs, corpus, 4, payload=["text"], query_block=3, corpus_block=7).orderBy("qid", "rank").collect()
     assert [tuple(r) for r in one] == [tuple(r) for r in blocks]
     assert all(r.text == "text " + r.chunk_id[1:] for r in one)
 

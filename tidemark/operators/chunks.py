@@ -6,7 +6,7 @@ import re
 from typing import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
@@ -181,60 +181,63 @@ def write_chunks(chunks: DataFrame, path: str, mode: str = "append") -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("domain").parquet(path))
 
 
-# Fixed value: sentence ends for the sentence-aware chunker.
-SENTENCE_END = r"(?<=[.!?])\s+|\n+"
-
-
-def pack_sentences(text: str, size: int = T.CHUNK_TOKENS, overlap: int = T.CHUNK_OVERLAP) -> list[str]:
-    """Greedy sentence packing: whole sentences up to ``size`` tokens per chunk;
-    the next chunk starts with the previous chunk's trailing sentences that fit
-    in ``overlap`` tokens; a sentence longer than ``size`` is cut into windows."""
-    sents: list[list[str]] = []
-    for s in re.split(SENTENCE_END, text or ""):
-        toks = s.split()
-        step = max(1, size - overlap)
-        for i in range(0, len(toks), step if len(toks) > size else max(1, len(toks))):
-            piece = toks[i:i + size]
-            if piece:
-                sents.append(piece)
-            if i + size >= len(toks):
-                break
-    chunks: list[str] = []
-    cur: list[list[str]] = []
-    n = 0
-    for s in sents:
-        if cur and n + len(s) > size:
-            chunks.append(" ".join(t for x in cur for t in x))
-            tail: list[list[str]] = []
-            m = 0
-            for x in reversed(cur):
-                if m + len(x) > overlap:
-                    break
-                tail.insert(0, x)
-                m += len(x)
-            # the kept tail gives way when the next sentence does not fit behind it
-            while tail and m + len(s) > size:
-                m -= len(tail.pop(0))
-            cur, n = tail, m
-        cur.append(s)
-        n += len(s)
-    if cur:
-        chunks.append(" ".join(t for x in cur for t in x))
-    return chunks
+# Fixed value: a sentence ends at a line break and where white space follows one of these.
+SENTENCE_MARKS = ".!?"
+
+
+def sentence_pieces(text: Column, size: int = T.CHUNK_TOKENS, overlap: int = T.CHUNK_OVERLAP) -> Column:
+    """Sentences of a text as token arrays; one of more than ``size`` tokens is cut into windows."""
+    lines = F.split(F.regexp_replace(text, f"(?U)([{SENTENCE_MARKS}]){T.FAST_WS}+", "$1\n"), "\n")
+    sentences = F.filter(F.transform(lines, T.tokens), lambda s: F.size(s) > 0)
+    windows = lambda s: F.transform(T.chunk_starts(F.size(s), size, overlap), lambda at: F.slice(s, at + 1, size))
+    return F.flatten(F.transform(sentences, lambda s: F.when(F.size(s) <= size, F.array(s)).otherwise(windows(s))))
+
+
+def _sentence_steps(pieces: DataFrame, size: int, overlap: int) -> DataFrame:
+    """Of each document the arrays ``until`` and ``next``: where a chunk that starts at a sentence ends, and where the one after it starts.
+
+    With prefix sums of the sentence lengths both are searches for the next sum, done
+    by range frames; a last entry stands for the end of the document."""
+    sums = pieces.select("__doc", F.posexplode(F.concat(F.transform("__pieces", F.size), F.array(F.lit(0)))).alias("i", "n"))
+    by_place = Window.partitionBy("__doc").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("__doc", "i", F.coalesce(F.sum("n").over(by_place), F.lit(0)).alias("at"))
+    by_sum = Window.partitionBy("__doc").orderBy("at")
+    fits, beyond = by_sum.rangeBetween(0, size), by_sum.rangeBetween(size + 1, Window.unboundedFollowing)
+    ends = sums.select(
+        "__doc", "i", "at", F.max("i").over(fits).alias("until"), F.max("at").over(fits).alias("until_at"), F.min("at").over(beyond).alias("after"))
+    # the next chunk takes up trailing sentences of at most ``overlap`` tokens that leave room for the first new one
+    earliest = F.greatest(F.col("until_at") - overlap, F.col("after") - size)
+    asked = ends.select("__doc", F.when(F.col("after").isNull(), F.col("until_at")).otherwise(earliest).alias("at"), F.col("i").alias("of"), "until", F.lit(None).cast("int").alias("i"))
+    every = asked.unionByName(sums.select("__doc", "at", F.lit(None).cast("int").alias("of"), F.lit(None).cast("int").alias("until"), "i"))
+    following = Window.partitionBy("__doc").orderBy("at").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    steps = every.withColumn("next", F.min("i").over(following)).filter("of is not null")
+    told = F.array_sort(F.collect_list(F.struct("of", "until", "next")))
+    return steps.groupBy("__doc").agg(told.alias("t")).select("__doc", F.col("t.until").alias("until"), F.col("t.next").alias("next"))
 
 
 def chunk_sentences(docs: DataFrame, key_col: str = "file_path", text_col: str = "text",
                     size: int = T.CHUNK_TOKENS, overlap: int = T.CHUNK_OVERLAP) -> DataFrame:
-    """Sentence-aware chunks (one row each, ``chunk_id = key#pos``).
-
-    The packing is a sequential fold per document, done by a small vectorized
-    pandas helper on Arrow batches (linear in the text, unlike an array fold in
-    SQL whose state is copied per sentence)."""
+    """Sentence-aware chunks (one row each, ``chunk_id = key#pos``): whole sentences up to ``size`` tokens.
 
-    @F.pandas_udf("array<string>")
-    def _pack(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: pack_sentences(t, size, overlap))
+    The next chunk starts with the last one's trailing sentences that fit in ``overlap``
+    tokens, fewer of them where the first new sentence would not fit behind them; a sentence
+    longer than ``size`` is cut into windows.  For every sentence the start of the
+    chunk after one that would start there is found at once; the starts that are reached from
+    the first sentence are then collected by pointer doubling, in as many steps as the
+    longest document needs.  Texts without words have no chunks."""
+    from tidemark.session import materialise
 
     keep = [c for c in docs.columns if c != text_col]
-    out = docs.select(*keep, F.posexplode(_pack(F.col(text_col))).alias("pos", "text"))
+    pieces = docs.withColumn("__doc", F.monotonically_increasing_id()).select(*keep, "__doc", sentence_pieces(F.col(text_col), size, overlap).alias("__pieces"))
+    pieces = materialise(pieces.filter(F.size("__pieces") > 0), "sentence-pieces")
+    longest = pieces.agg(F.max(F.size("__pieces"))).first()[0] or 0
+    reach = _sentence_steps(pieces, size, overlap).withColumn("jump", F.col("next")).withColumn("starts", F.array(F.lit(0)))
+    for _ in range(longest.bit_length()):
+        reach = reach.withColumn("starts", F.array_union("starts", F.transform("starts", lambda s: F.element_at("jump", s + 1))))
+        reach = reach.withColumn("jump", F.transform("jump", lambda s: F.element_at("jump", s + 1)))
+    # the end of the document is reached too
+    starts = F.array_sort(F.filter("starts", lambda s: s < F.size("until") - 1))
+    found = reach.select("__doc", "until", F.posexplode(starts).alias("pos", "__from"))
+    taken = F.slice("__pieces", F.col("__from") + 1, F.element_at("until", F.col("__from") + 1) - F.col("__from"))
+    out = pieces.join(found, "__doc").select(*keep, "pos", F.array_join(F.flatten(taken), " ").alias("text"))
     return out.withColumn("chunk_id", F.concat(F.col(key_col).cast("string"), F.lit("#"), F.col("pos").cast("string")))

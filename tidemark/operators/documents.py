@@ -286,3 +286,27 @@ def write_markdown_tree(docs: DataFrame, root: str) -> DataFrame:
             yield pd.DataFrame({"file_path": paths, "bytes": sizes})
 
     return docs.select("file_path", "text").mapInPandas(write, "file_path string, bytes bigint")
+
+
+def with_retrieval_time(docs: DataFrame, times: DataFrame, folder_col: str = "folder", path_col: str = "file_path") -> DataFrame:
+    """Add ``retrieval_date`` and ``time_source`` from an imported map ``times`` (page, retrieved): page path -> capture time.
+
+    Pages and documents meet by their markdown path, so ``x.html``, ``x.html.gz`` and
+    ``x.md`` are one.  Of several times of a page the document gets the last one not after the
+    stamp of its folder, or the last one if the folder has none or they are all later.  Documents
+    that the map lacks (or has no readable time for) get the folder's stamp, and null without
+    one; ``time_source`` is map, folder or none.  The map's times of a page are gathered before the
+    join, so a document meets one row."""
+    from tidemark.operators.captures import capture_ts
+
+    name = F.regexp_extract("page", r"([^/]*)$", 1)
+    path = F.concat(F.regexp_extract("page", r"^(.*/)?[^/]*$", 1), markdown_rel_path(name))
+    known = times.select(path.alias("__page"), F.try_to_timestamp("retrieved").cast("timestamp_ntz").alias("at")).filter("at is not null")
+    known = known.groupBy("__page").agg(F.array_sort(F.collect_set("at")).alias("__at"))
+    out = docs.withColumn("__stamp", capture_ts(folder_col)).join(known, F.col(path_col) == F.col("__page"), "left")
+    before = F.filter("__at", lambda t: t <= F.col("__stamp"))
+    mapped = F.coalesce(F.array_max(before), F.array_max("__at"))
+    return out.withColumns({
+        "retrieval_date": F.coalesce(mapped, F.col("__stamp")),
+        "time_source": F.when(mapped.isNotNull(), "map").when(F.col("__stamp").isNotNull(), "folder").otherwise("none"),
+    }).drop("__stamp", "__page", "__at")

@@ -1,57 +1,34 @@
 """Vector search, query expansion join, reranking, many-query scenarios.
 
-Exact top-k (``knn_exact``) never forms query x corpus pairs as rows.  The
-query matrix (size-checked) is broadcast; each corpus partition scores its
-Arrow batches against all queries with one matrix product and keeps only its
-own top-k per query; a window ``row_number() <= k`` over those candidates gives
-the global answer.  Shuffle volume is partitions x queries x k rows, independent
-of the corpus size.  Query sets above the broadcast bound are processed in
-blocks of bounded size (each block one pass over the corpus); ``knn_lsh`` is the
-approximate alternative for very large query sets.
+Exact top-k (``knn_exact``) never forms query x corpus pairs as rows.  Queries and corpus
+are dealt into blocks of bounded size by a hash of their ids, and every pair of blocks
+meets in one group: a task scores it with one matrix product and passes on the best k of each
+query, which a window merges.  Neither side passes through the driver, and a task
+holds two blocks whatever the sizes.  ``knn_lsh`` and ``operators.ann`` are the approximate
+alternatives.
 """
 
 
 
 import math
 from itertools import combinations
-from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import vectors as V
-from tidemark.session import DEFAULT_BROADCAST_LIMIT_BYTES, materialise
+from tidemark.session import materialise
 
 SCORE_DECIMALS = 6
-MAX_SCORE_CELLS = 4_000_000  # scores materialized per Arrow batch (rows x queries)
-MAX_KERNEL_ROWS = 1_000_000  # candidate rows a task keeps (queries x k) per block
+MAX_SCORE_CELLS = 4_000_000  # scores held at once (rows x queries)
+#: Queries and corpus rows in a block; a task of the exact search holds one of each.
+QUERY_BLOCK, CORPUS_BLOCK = 4096, 16_384
 
 
-def _score_block(C: np.ndarray, cc: np.ndarray, Q: np.ndarray, qq: np.ndarray) -> np.ndarray:
-    dots = C @ Q.T
-    den = cc[:, None] * qq[None, :]
-    with np.errstate(invalid="ignore", divide="ignore"):
-        s = np.where(den > 0, dots / np.sqrt(den), 0.0)
-    return s
-
-
-def _topk_candidates(S: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, query) index pairs holding every row that can be in a query's top-k
-    (all rows tied with the k-th best are kept; exact order is decided later)."""
-    n = S.shape[0]
-    if n <= k:
-        r, q = np.nonzero(np.ones_like(S, dtype=bool))
-        return r, q
-    kth = np.partition(S, n - k, axis=0)[n - k]
-    r, q = np.nonzero(S >= kth[None, :])
-    return r, q
-
-
-def _matrix(vectors, width: int) -> np.ndarray:
+def matrix(vectors, width: int) -> np.ndarray:
     """Vectors as rows of one width; null and empty ones are zero, any other width is an error."""
     out = np.zeros((len(vectors), width))
     for i, v in enumerate(vectors):
@@ -62,106 +39,83 @@ def _matrix(vectors, width: int) -> np.ndarray:
     return out
 
 
-def _knn_partition_fn(qids: list, Q: np.ndarray, k: int, id_col: str, vec_col: str, payload: list[str]):
-    qq = np.einsum("ij,ij->i", Q, Q)
-    qid_arr = np.array(qids, dtype=object)
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: pd.DataFrame | None = None
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            step = max(1, MAX_SCORE_CELLS // max(1, len(qids)))
-            for start in range(0, len(pdf), step):
-                part = pdf.iloc[start:start + step]
-                C = _matrix(part[vec_col], Q.shape[1]) if Q.shape[1] else np.zeros((len(part), 0))
-                cc = np.einsum("ij,ij->i", C, C)
-                S = _score_block(C, cc, Q, qq)
-                r, q = _topk_candidates(S, k)
-                cand = part.iloc[r][[id_col] + payload].reset_index(drop=True)
-                cand.insert(0, "_q", q)
-                cand.insert(1, "score", S[r, q])
-                best = cand if best is None else pd.concat([best, cand], ignore_index=True)
-                best = (best.sort_values(["_q", "score", id_col], ascending=[True, False, True], kind="mergesort")
-                        .groupby("_q", sort=False).head(k).reset_index(drop=True))
-        if best is not None and len(best):
-            best.insert(0, "qid", qid_arr[best["_q"].to_numpy()])
-            yield best.drop(columns=["_q"])
-
-    return run
+def _ratios(dots: np.ndarray, den: np.ndarray) -> np.ndarray:
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.where(den > 0, dots / np.sqrt(den), 0.0)
+
+
+def row_cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosine of each row of ``a`` with the same row of ``b``; 0 where one is zero."""
+    return _ratios(np.einsum("ij,ij->i", a, b), np.einsum("ij,ij->i", a, a) * np.einsum("ij,ij->i", b, b))
+
+
+def _best(C: np.ndarray, Q: np.ndarray, order: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, query, score) of the ``k`` best rows of each query; of equal scores those first in ``order`` (the rank of each row's id).
+
+    One matrix product finds the rows that can be among them; their scores are then taken
+    pair by pair, so that a pair scores the same in whatever block it meets."""
+    rough = _ratios(C @ Q.T, np.einsum("ij,ij->i", C, C)[:, None] * np.einsum("ij,ij->i", Q, Q)[None, :])
+    if len(rough) > k:
+        kth = np.partition(rough, len(rough) - k, axis=0)[len(rough) - k]
+        row, query = np.nonzero(rough >= kth[None, :] - 1e-9)
+    else:
+        row, query = (x.ravel() for x in np.indices(rough.shape))
+    score = row_cosines(C[row], Q[query])
+    by = np.lexsort((order[row], -score, query))
+    row, query, score = row[by], query[by], score[by]
+    place = np.arange(len(query)) - np.searchsorted(query, query)
+    return row[place < k], query[place < k], score[place < k]
+
+
+def _blocks(df: DataFrame, key: str, size: int) -> int:
+    return max(1, math.ceil(df.select(key).count() / size))
 
 
 def knn_exact(queries: DataFrame, corpus: DataFrame, k: int, qid_col: str = "qid", qvec_col: str = "embedding",
               id_col: str = "chunk_id", vec_col: str = "embedding", payload: list[str] | None = None,
-              broadcast_limit: int = DEFAULT_BROADCAST_LIMIT_BYTES) -> DataFrame:
+              query_block: int = QUERY_BLOCK, corpus_block: int = CORPUS_BLOCK) -> DataFrame:
     """Top-k corpus rows per query by cosine score, ties broken by ``id_col``.
 
-    Output: ``qid, rank, score, id_col, *payload``.  ``rank`` is 1-based.
+    Output: ``qid, rank, score, id_col, *payload``.  ``rank`` is 1-based.  Every row goes
+    once to each block of the other side, so the shuffle holds
+    rows x query blocks + queries x corpus blocks vectors.
     """
     payload = [c for c in (payload or []) if c not in (id_col, vec_col)]
-    # The kernel ranks on (qid, score, id) only, so its memory per task is
-    # queries x k small rows whatever the payload; payload columns are joined
-    # back to the final queries x k hits.
-    # The query side is small by contract; keep it cached so sizing and shipping read it once.
-    qdf = queries.select(F.col(qid_col).alias("qid"), F.col(qvec_col).alias("qv")).persist(StorageLevel.MEMORY_AND_DISK)
-    dim_row = qdf.select(F.max(F.size("qv")).alias("d"), F.count("*").alias("n")).first()
-    n_q, dim = int(dim_row["n"] or 0), int(dim_row["d"] or 0)
-    if n_q == 0:
-        return _empty_hits(corpus, id_col, payload, qdf.schema["qid"].dataType)
-    per_query = max(1, dim) * 8 + 64
-    # bounded broadcast (query matrix) and bounded kernel state (queries x k rows)
-    block = max(1, min(broadcast_limit // per_query, MAX_KERNEL_ROWS // max(1, k)))
-    parts = []
-    blocks = math.ceil(n_q / block)
-    if blocks == 1:
-        parts.append(_knn_block(qdf, corpus, k, id_col, vec_col, dim))
-    else:
-        # deterministic query blocks; twice as many hash groups as needed so a
-        # group stays under the bound despite hash variation
-        groups = 2 * blocks
-        numbered = qdf.withColumn("_b", F.pmod(F.xxhash64("qid"), F.lit(groups)))
-        for b in range(groups):
-            part = _knn_block(numbered.where(F.col("_b") == b).drop("_b"), corpus, k, id_col, vec_col, dim)
-            if part is not None:
-                parts.append(part)
-    qdf.unpersist()  # every block has been collected and broadcast by now
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
-    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col(id_col).asc())
+    q = queries.select(F.col(qid_col).alias("qid"), F.col(qvec_col).alias("qv"))
+    c = corpus.select(F.col(id_col).alias("cid"), F.col(vec_col).alias("cv"))
+    q_blocks, c_blocks = _blocks(q, "qid", query_block), _blocks(c, "cid", corpus_block)
+
+    def dealt(df: DataFrame, key: str, own: str, blocks: int, other: str, others: int) -> DataFrame:
+        """Each row in its own block, once for each block of the other side."""
+        df = df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(blocks)))
+        return df.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long"))))
+
+    def meet(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(asked) and len(rows):
+            width = max(max((len(v) for v in side if v is not None), default=0) for side in (asked["qv"], rows["cv"]))
+            Q, C = matrix(asked["qv"], width), matrix(rows["cv"], width)
+            qids, ids = asked["qid"].to_numpy(), rows["cid"].to_numpy()
+            order = np.argsort(np.argsort(ids))
+            step = max(1, MAX_SCORE_CELLS // len(C))
+            for lo in range(0, len(Q), step):
+                row, query, score = _best(C, Q[lo:lo + step], order, k)
+                found.append(pd.DataFrame({"qid": qids[lo + query], "score": score, "cid": ids[row]}))
+        return pd.concat(found) if found else pd.DataFrame({"qid": [], "score": [], "cid": []})
+
+    schema = T.StructType([T.StructField("qid", q.schema["qid"].dataType), T.StructField("score", T.DoubleType()),
+                           T.StructField("cid", c.schema["cid"].dataType)])
+    keys = ["_qb", "_cb"]
+    cands = dealt(q, "qid", "_qb", q_blocks, "_cb", c_blocks).groupBy(*keys).cogroup(
+        dealt(c, "cid", "_cb", c_blocks, "_qb", q_blocks).groupBy(*keys)).applyInPandas(meet, schema)
+    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("cid").asc())
     ranked = cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    ranked = ranked.select("qid", "rank", F.round("score", SCORE_DECIMALS).alias("score"), id_col)
+    ranked = ranked.select("qid", "rank", F.round("score", SCORE_DECIMALS).alias("score"), F.col("cid").alias(id_col))
     if payload:
         ranked = ranked.join(corpus.select(id_col, *payload), id_col)
     return ranked.select("qid", "rank", "score", id_col, *payload)
 
 
-def _knn_block(qdf: DataFrame, corpus: DataFrame, k: int, id_col: str, vec_col: str, dim: int) -> DataFrame | None:
-    spark = corpus.sparkSession
-    rows = qdf.collect()  # bounded: the caller sized the block under the broadcast limit
-    if not rows:
-        return None
-    qids = [r["qid"] for r in rows]
-    Q = _matrix([r["qv"] for r in rows], dim)
-    bq = spark.sparkContext.broadcast((qids, Q))
-    qid_type = qdf.schema["qid"].dataType
-    fields = [T.StructField("qid", qid_type), T.StructField("score", T.DoubleType()), corpus.schema[id_col]]
-    schema = T.StructType(fields)
-
-    def run(it):
-        qids_, Q_ = bq.value
-        return _knn_partition_fn(qids_, Q_, k, id_col, vec_col, [])(it)
-
-    return corpus.select(id_col, vec_col).mapInPandas(run, schema)
-
-
-def _empty_hits(corpus: DataFrame, id_col: str, payload: list[str], qid_type: T.DataType) -> DataFrame:
-    spark = corpus.sparkSession
-    fields = [T.StructField("qid", qid_type), T.StructField("rank", T.IntegerType()),
-              T.StructField("score", T.DoubleType()), corpus.schema[id_col]] + [corpus.schema[c] for c in payload]
-    return spark.createDataFrame([], T.StructType(fields))
-
-
 # ---------------------------------------------------------------- approximate search
 PROBE_SAMPLE = 100  # queries searched exactly to measure how many buckets must be probed
 MAX_PROBED_SHARE = 0.1  # share of the corpus in the probed buckets beyond which exact search costs less
@@ -194,12 +148,8 @@ def _cosine_rows(a: pd.Series, b: pd.Series) -> pd.Series:
     """Row-wise cosine on Arrow batches (same formula as the exact search)."""
     if len(a) == 0:
         return pd.Series([], dtype="float64")
-    A_ = np.vstack([np.asarray(v, dtype=np.float64) for v in a])
-    B_ = np.vstack([np.asarray(v, dtype=np.float64) for v in b])
-    dots = np.einsum("ij,ij->i", A_, B_)
-    den = np.einsum("ij,ij->i", A_, A_) * np.einsum("ij,ij->i", B_, B_)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return pd.Series(np.where(den > 0, dots / np.sqrt(den), 0.0))
+    width = max(len(v) for v in a)
+    return pd.Series(row_cosines(matrix(a, width), matrix(b, width)))
 
 
 def _probe_radius(q: DataFrame, corpus: DataFrame, k: int, dim: int, bits: int, tables: int, seed: int,

@@ -21,7 +21,8 @@ from tidemark.operators import records as Rec
 from tidemark.operators import search as R
 from tidemark.plans import indexing as I
 from tidemark.sources import derived as S
-from tidemark.session import shared_table
+from tidemark.session import scratch_path, shared_table
+from tidemark.sources.epochs import Store
 from tidemark.sources.tables import table
 
 EVAL_K = 100
@@ -261,17 +262,20 @@ def q_chunk_embeddings(spark, sf):
 
 
 # ---------------------------------------------------------------- search
+def every_hundredth(e):
+    """The stated query set of a search over ``embeddings``: rows whose id is divisible by 100, against all rows."""
+    return e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), "embedding")
+
+
 def q_knn_exact(spark, sf):
     e = table(spark, sf, "embeddings")
-    q = e.select(F.col("vec_id").alias("qid"), "embedding")
-    hits = R.knn_exact(q, e, SELF_SEARCH_K, id_col="vec_id")
+    hits = R.knn_exact(every_hundredth(e), e, SELF_SEARCH_K, id_col="vec_id")
     return hits.select("qid", F.col("rank").cast("bigint").alias("rank"), "score", "vec_id")
 
 
 def q_knn_lsh(spark, sf):
     e = table(spark, sf, "embeddings")
-    q = e.select(F.col("vec_id").alias("qid"), "embedding")
-    return R.knn_lsh(q, e, SELF_SEARCH_K, dim=64, id_col="vec_id").select("qid", "rank", "score", "vec_id")
+    return R.knn_lsh(every_hundredth(e), e, SELF_SEARCH_K, dim=64, id_col="vec_id").select("qid", "rank", "score", "vec_id")
 
 
 def _questions(spark, sf):
@@ -413,8 +417,13 @@ def _store_and_docs(spark, sf):
 
 
 def q_not_indexed(spark, sf):
-    docs, store = _store_and_docs(spark, sf)
-    return K.not_indexed(docs, store).select("file_path")
+    """Documents that a run over one language left out, asked of the key table."""
+    from tidemark.streaming import incremental as ST
+
+    docs, store = I.corpus_documents(spark, sf), Store(spark, scratch_path(spark, "not-indexed"))
+    ST.index_epoch(spark, store, "run-0", docs.where(F.col("lang") == STORED_LANG))
+    ST.merge_new_keys(spark, store)
+    return ST.not_indexed_yet(spark, store, docs).select("file_path")
 
 
 def q_index_summary(spark, sf):

@@ -11,7 +11,8 @@ from tidemark.operators import captures as C
 from tidemark.operators import chunks as K
 from tidemark.operators import documents as D
 from tidemark.sources import derived as S
-from tidemark.session import materialise, shared_table
+from tidemark.session import shared_table
+from tidemark.sources.epochs import Store
 from tidemark.sources.tables import table
 
 
@@ -69,25 +70,26 @@ def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def build_index(spark: SparkSession, docs: DataFrame, table_path: str, embed_fn=None,
-                key_cols: list[str] | None = None) -> DataFrame:
-    """Batch indexing run: documents whose key has no stored chunk -> clean ->
-    chunk -> embed (default hashed counts, or ``embed_fn`` with adaptive
-    batching; a failed chunk leaves its document out for the next run) ->
-    append to the chunk table partitioned by domain.  Returns the run summary
-    (chunks, files indexed, skipped, already indexed)."""
-    from tidemark.streaming.incremental import _exists
-
-    keys = key_cols or ["file_path"]
-    store = spark.read.parquet(table_path) if _exists(spark, table_path) else None
-    todo = K.not_indexed(docs, store, keys).dropDuplicates(["file_path"])
-    chunks = K.chunk_tokens(K.clean_documents(todo))
-    if embed_fn is None:
-        chunks = K.embed_default(chunks)
-    else:
-        chunks = K.drop_failed_documents(chunks, K.embed_with(chunks, embed_fn))
-    # the summary and the write read the same written chunks
-    chunks = materialise(chunks, "new-chunks")
-    summary = K.index_summary(docs, chunks, store, keys[0]).collect()
-    K.write_chunks(chunks, table_path, mode="append")
-    return spark.createDataFrame(summary)
+def build_index(spark: SparkSession, docs: DataFrame, store_path: str, embed_fn=None) -> DataFrame:
+    """Batch indexing run: documents whose key isn't indexed -> clean -> chunk -> embed
+    (default hashed counts, or ``embed_fn`` with adaptive batching; a document with a failed
+    chunk is kept in the failed table and tried again by the next run) -> one more epoch of
+    the store.  Returns the run summary (chunks, files indexed, skipped, already indexed)."""
+    from tidemark.streaming import incremental as ST
+
+    store = Store(spark, store_path)
+    ST.merge_new_keys(spark, store)
+    docs = docs.dropDuplicates(["file_path"])
+    already = docs.count() - ST.not_indexed_yet(spark, store, docs).count()
+    epoch = f"batch-{len(store.published()):06d}"
+    again = ST.failed_documents(spark, store)
+    if again is not None:
+        docs = docs.unionByName(again.drop("error", "epoch").join(docs, "file_path", "left_anti"), allowMissingColumns=True)
+    ST.index_epoch(spark, store, epoch, docs, embed_fn=embed_fn)
+    ST.merge_new_keys(spark, store)
+    new = store.read(ST.CHUNKS, [epoch])
+    files = store.read(ST.NEW_KEYS, [epoch])
+    chunks, indexed = new.count() if new is not None else 0, files.count() if files is not None else 0
+    return spark.createDataFrame(
+        [(chunks, indexed, docs.count() - already - indexed, already)],
+        "chunks bigint, files_indexed bigint, files_skipped bigint, files_already_indexed bigint")

@@ -459,7 +459,7 @@ pdocs AS (SELECT file, file_name, n_pages,
     q["knn_exact"] = (
         f"SELECT qid, rank, round(score, 6) AS score, vec_id FROM (SELECT a.vec_id AS qid, b.vec_id, "
         f"{cosine('a.embedding::DOUBLE[]', 'b.embedding::DOUBLE[]')} AS score, "
-        f"row_number() OVER (PARTITION BY a.vec_id ORDER BY score DESC, b.vec_id) AS rank FROM embeddings a, embeddings b) "
+        f"row_number() OVER (PARTITION BY a.vec_id ORDER BY score DESC, b.vec_id) AS rank FROM embeddings a, embeddings b WHERE a.vec_id % 100 = 0) "
         f"WHERE rank <= {Q.SELF_SEARCH_K}")
     base_q = _with(SITES, QUESTIONS)
     q["questions_long"] = base_q + " SELECT qid, pos, url FROM qlong"
@@ -553,6 +553,59 @@ hp AS (SELECT l.domain, l.rel_path, m.base_url,
         " avg(rank_of_first_match) AS avg_rank_first_match", "").replace(" AS recall, FROM", " AS recall FROM")
     streamed = _with(CORPUS, clean_ctes("corpus", "cclean", "file_path"), chunk_ctes("cclean", "cch", "file_path", keep="domain"))
     q["index_stream"] = streamed + " SELECT file_path || '#' || CAST(pos AS VARCHAR) AS chunk_id, file_path, CAST(pos AS INTEGER) AS pos, domain FROM cch"
+    q["chunk_sentences"] = _with(CORPUS, clean_ctes("corpus", "cclean", "file_path")).replace("WITH", "WITH RECURSIVE", 1) + f""",
+lines AS (SELECT file_path, unnest(string_split(regexp_replace(text, '([.!?])[{WS}]+', '\\1' || {NL}, 'g'), {NL})) AS text,
+                 unnest(range(len(string_split(regexp_replace(text, '([.!?])[{WS}]+', '\\1' || {NL}, 'g'), {NL})))) AS line FROM cclean),
+sents AS (SELECT file_path, line, {tokens('text')} AS toks FROM lines),
+cut AS (SELECT file_path, line, unnest(CASE WHEN len(toks) <= 512 THEN [0] ELSE range(0, len(toks) - 64, 448) END) AS win, toks FROM sents WHERE len(toks) > 0),
+pc AS MATERIALIZED (SELECT file_path, row_number() OVER f - 1 AS i, toks[win + 1 : win + 512] AS t, len(t) AS n,
+              coalesce(sum(len(toks[win + 1 : win + 512])) OVER (f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+       FROM cut WINDOW f AS (PARTITION BY file_path ORDER BY line, win)),
+ends AS MATERIALIZED (SELECT a.file_path, a.i AS s, max(b.i) + 1 AS e FROM pc a JOIN pc b ON a.file_path = b.file_path AND b.i >= a.i AND b.at + b.n - a.at <= 512 GROUP BY ALL),
+nexts AS MATERIALIZED (SELECT x.file_path, x.s, min(coalesce(t.i, x.e)) AS nxt FROM ends x JOIN pc o ON o.file_path = x.file_path AND o.i = x.e
+          LEFT JOIN pc t ON t.file_path = x.file_path AND t.i <= x.e AND o.at - t.at <= 64 AND o.at + o.n - t.at <= 512 GROUP BY ALL),
+reached AS (SELECT DISTINCT file_path, 0::BIGINT AS s, 0 AS pos FROM pc
+            UNION ALL SELECT r.file_path, n.nxt, r.pos + 1 FROM reached r JOIN nexts n ON n.file_path = r.file_path AND n.s = r.s)
+SELECT r.file_path || '#' || r.pos AS chunk_id, r.file_path, r.pos::INTEGER AS pos, sum(p.n)::INTEGER AS n_tokens,
+       string_agg(array_to_string(p.t, ' '), ' ' ORDER BY p.i) AS text
+FROM reached r JOIN ends x ON x.file_path = r.file_path AND x.s = r.s JOIN pc p ON p.file_path = r.file_path AND p.i >= x.s AND p.i < x.e
+GROUP BY r.file_path, r.pos"""
+    md = "CASE WHEN ends_with(rel_path, '.html.gz') THEN substr(rel_path, 1, length(rel_path) - 8) || '.md' WHEN ends_with(rel_path, '.pdf.gz') THEN substr(rel_path, 1, length(rel_path) - 7) || '.md' ELSE regexp_replace(rel_path, '([^/])\\.[^./]*$', '\\1') || '.md' END"
+    q["imported_times"] = _with(RECORDS, PATHS, SITES, LATEST, f"""
+lk AS (SELECT domain || '/' || {md} AS file_path, rel_path, archive, domain, capture_ts, ('0x' || md5(domain || '/' || rel_path)[1:6])::BIGINT AS n FROM latest),
+tm AS (SELECT file_path, capture_ts - INTERVAL 1 HOUR AS t FROM lk WHERE n % 3 <> 0 UNION SELECT file_path, capture_ts + INTERVAL 365 DAY FROM lk WHERE n % 3 <> 0),
+fd AS (SELECT *, CASE WHEN n % 5 = 0 THEN 'crawl_' || domain ELSE archive || '_' || domain END AS folder, CASE WHEN n % 5 <> 0 THEN capture_ts END AS stamp FROM lk),
+got AS (SELECT f.rel_path, f.file_path, f.folder, f.stamp, coalesce(max(t) FILTER (WHERE t <= f.stamp), max(t)) AS mapped
+        FROM fd f LEFT JOIN tm ON tm.file_path = f.file_path AND t IS NOT NULL GROUP BY ALL)""") + (
+        " SELECT file_path, rel_path, folder, strftime(coalesce(mapped, stamp), '%Y-%m-%dT%H:%M:%S') AS retrieval_date,"
+        " CASE WHEN mapped IS NOT NULL THEN 'map' WHEN stamp IS NOT NULL THEN 'folder' ELSE 'none' END AS time_source FROM got")
+    q["expanded_by_model"] = (
+        "SELECT item_id AS qid, CASE WHEN length(trim(text)) % 7 = 0 OR length(trim(text)) % 5 = 0 THEN text ELSE trim(text) || ' ' || lower(trim(text)) END AS search_text,"
+        " CASE WHEN length(trim(text)) % 7 = 0 THEN 'failed' WHEN length(trim(text)) % 5 = 0 THEN 'empty' ELSE 'ok' END AS status,"
+        " CASE WHEN length(trim(text)) % 7 = 0 OR length(trim(text)) % 5 = 0 THEN 2 ELSE 1 END::BIGINT AS sent FROM benchmark")
+    asked = _with(RECORDS, PATHS, SITES, LATEST, HTMLDOCS, QUESTIONS, HITS, "ah AS (SELECT qid, question, chunk_id, text, rank AS retrieval_rank FROM ranked WHERE NOT expanded)")
+    q["reranked_bm25"] = asked + f""",
+ct AS (SELECT chunk_id, {terms('text')} AS t FROM corpus_vec),
+stat AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM ct),
+df AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT chunk_id, unnest(t) AS term FROM ct) GROUP BY 1),
+qt AS (SELECT DISTINCT qid, chunk_id, unnest({terms('question')}) AS term FROM ah),
+tf AS (SELECT qt.qid, qt.chunk_id, qt.term, len(list_filter(ct.t, lambda x: x = qt.term)) AS tf, len(ct.t) AS len FROM qt JOIN ct USING (chunk_id)),
+sc AS (SELECT qid, chunk_id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * (tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean)))) AS s
+       FROM tf JOIN df USING (term), stat WHERE tf > 0 GROUP BY 1, 2)
+SELECT qid, chunk_id, round(coalesce(s, 0), 9) AS rerank_score, retrieval_rank FROM ah LEFT JOIN sc USING (qid, chunk_id)"""
+    q["reranked_by_scorer"] = asked + (
+        ", sb AS (SELECT *, CASE WHEN contains(lower(text), lower(split_part(trim(question), ' ', 1))) THEN 1.0 ELSE 0.0 END - length(text) / 1e6 AS s FROM ah)"
+        " SELECT qid, chunk_id, round(s::DOUBLE, 6) AS rerank_score, row_number() OVER (PARTITION BY qid ORDER BY s DESC, retrieval_rank) AS rank, retrieval_rank FROM sb")
+    latin = "regexp_replace(html, '[^\\x{00}-\\x{FF}]', '?', 'g')"
+    q["decoded_pages"] = (
+        "SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'UTF-8' WHEN 1 THEN 'UTF-8' WHEN 2 THEN 'UTF-16LE' WHEN 3 THEN 'ISO-8859-1' WHEN 4 THEN 'ISO-8859-1'"
+        f" ELSE CASE WHEN regexp_matches({latin}, '[\\x{{80}}-\\x{{FF}}]') THEN 'ISO-8859-1' ELSE 'UTF-8' END END AS charset,"
+        f" md5(CASE WHEN page_id % 6 <= 2 THEN html WHEN page_id % 6 = 4 THEN '<meta charset=\"latin1\">' || {latin} ELSE {latin} END) AS text_md5 FROM pages")
+    both = _with(RECORDS, PATHS, SITES, LATEST, HTMLDOCS, CORPUS, clean_ctes("hdocs", "kclean", "file_path"), chunk_ctes("kclean", "kch", "file_path"),
+                 clean_ctes("corpus", "cclean", "file_path"), chunk_ctes("cclean", "cch", "file_path"))
+    q["indexed_keys"] = both + (
+        " SELECT file_path AS key, string_agg(DISTINCT kind, ',' ORDER BY kind) AS kinds FROM"
+        " (SELECT file_path, 'page' AS kind FROM kch UNION ALL SELECT file_path, 'document' FROM cch) GROUP BY 1")
     q["adaptive_embed"] = corpus_chunks + " SELECT file_path || '#' || CAST(pos AS VARCHAR) AS chunk_id, file_path, 64::BIGINT AS dim FROM cch"
     q["payload_digests"] = _with(recs) + " SELECT archive, \"offset\", 'sha1:' || sha1(body) AS payload_digest FROM recs WHERE is_resp"
     q["document_export"] = base_html + (
