@@ -124,6 +124,9 @@ def test_tree_sum_adds_all_pieces(spark):
 
 # --- token alignment
 
+WHOLE: dict = {}
+
+
 @pytest.fixture(scope="module")
 def tokenizers_():
     import public_tokenizers as P
@@ -194,17 +197,29 @@ def test_alignment_query(spark, sf, tokenizers_):
         assert tuple(got[r.doc_id])[1:7] == w[:6] and got[r.doc_id].groups_sha256 == (hashlib.sha256(w[6].encode()).hexdigest() if w[6] else "")
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.text(alphabet=st.sampled_from(list("ab '\n\t.1\u00a0\u2003\u200b\u00e9\u4e2d<>|\u0301\U0001f600")), max_size=40))
-def test_pieces_have_the_tokens_of_the_text(text):
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60) | st.text(alphabet=st.sampled_from(list("ab '\n\t.1\u00a0\u2003\u200b\u00e9\u4e2d<>|\u0301\U0001f600")), max_size=40))
+def test_ranks_give_the_tokens_of_the_file(text):
+    aligner = token_alignment._aligner((None, None))
+    plain = [t.encode("utf-8", "ignore").decode() for t in ("<|endoftext|>" + text, text)]
+    assert aligner.encode_a(plain) == WHOLE.setdefault("file", aligner._whole())(plain)
+
+
+def test_large_groups_are_counted(tokenizers_):
+    """Groups whose ids are counted first give the links of those that are paired one by one."""
+    texts = ["\u4e2d\u6587" * 40 + "\U0001f600" * 50, "zz " * 30]
     aligner = token_alignment._aligner((None, None))
-    if not text:
-        return
-    parts = aligner.look(aligner.pieces(text))
-    a = aligner.a.encode(" " + text, add_special_tokens=False).ids
-    assert sum(p[0] for p in parts) == len(a) and sum(p[1] for p in parts) == len(aligner.b.encode(text))
-    ids = [x for p in parts for g in p[4].split(";") for x in g.split("|")[0].split(",")]
-    assert ids == [str(x) for x in a]
+    one = token_alignment.Slice(texts, aligner)
+    large, token_alignment.LARGE = token_alignment.LARGE, 1
+    try:
+        two = token_alignment.Slice(texts, aligner)
+    finally:
+        token_alignment.LARGE = large
+    sums = [Counter() for _ in range(2)]
+    for s, c in zip((one, two), sums):
+        for doc, pair, n in zip(s.of.tolist(), s.pairs[s.which].tolist(), s.links.tolist()):
+            c[doc, pair] += n
+    assert sums[0] == sums[1]
 
 
 # --- periodic runs

@@ -1,10 +1,8 @@
 """Alignment of two tokenizers over a corpus, with counts of linked id pairs.
 
-A text is cut into pieces that neither tokenizer's tokens cross: before each single space
-behind a character that is no white space (the byte-level pattern has a boundary there, and
-no entry of the piece vocabulary holds such a pair).  Each different piece of a slice of
-texts is encoded and aligned once.  Inside a piece, the byte offsets where tokens of
-both end cut the tokens into groups; all pairs of a group are linked.
+Texts are encoded whole by both.  The byte offsets where tokens of both end cut the tokens of
+a text into groups; all pairs of a group are linked.  The texts of a slice are aligned
+together, by arrays of their tokens' ends.
 
 Counts of id pairs live in dense vectors.  A first pass finds the distinct pairs and
 numbers them by a minimal perfect hash; then each task counts the documents of each number
@@ -13,97 +11,88 @@ documents again and looks the counts up, comparing the key kept at each number."
 
 from __future__ import annotations
 
+import json
 import os
-import re
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, in_slices, numbered, stored, vocabulary
+from .common import give_back, in_slices, stored, vocabulary
 from .counters import WIDTH, added, sliced, tree_sum
 from .packing import BYTE_LETTERS
 from .perfect_hash import PerfectHash
 
 #: Pairs whose counts are held at once; beyond it the pairs are counted and looked up in rounds, by ranges of their first id.
 ROUND = 1 << 21
-#: Pieces kept with their alignment in a Python worker (a full table starts anew, which costs time only).
-CACHE = 200_000
-#: A space behind a character that surely isn't white space to any of the libraries.
-CUT = re.compile("(?<=[^\\s\u180e\u200b\ufeff]) ")
-UNSURE = re.compile("[^\\S ] |[\u180e\u200b\ufeff] ")
+#: Links of a group from which its ids are counted before they are paired.
+LARGE = 1 << 12
 
 U = np.uint64
 COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
 
 class Aligner:
-    """Alignments of text pieces by a byte-level file of the tokenizers library (A) and a sentencepiece model (B)."""
+    """Ids of texts by a byte-level file of the tokenizers library (A) and a sentencepiece model (B), and the bytes of each id."""
 
     def __init__(self, path_a: str | None, path_b: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a or public_tokenizers.path("byte_bpe_50k.json"))
-        self.a.encode_special_tokens = True
+        self.path_a = path_a or public_tokenizers.path("byte_bpe_50k.json")
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b or public_tokenizers.path("piece_bpe_32k.model"))
+        with open(self.path_a, encoding="utf-8") as f:
+            file = json.load(f)
         letters = {c: b for b, c in enumerate(BYTE_LETTERS)}
-        self.bytes_a = [b""] * self.a.get_vocab_size()
-        for token, i in self.a.get_vocab().items():
-            self.bytes_a[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
+        vocab = file["model"]["vocab"]
+        of_token = {t: bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t in vocab}
+        self.bytes_a = [b""] * (max(vocab.values()) + 1)
+        for t, i in vocab.items():
+            self.bytes_a[i] = of_token[t]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        # pieces are independent unless an entry holds a space behind another character
-        self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
-        self.known: dict[str, tuple | None] = {}
-
-    def pieces(self, text: str) -> list[str]:
-        """The pieces of a space and the text, each without its own first space."""
-        if not self.cuts:
-            return [text]
-        return CUT.split(text) if text[:1] == " " or "  " in text or UNSURE.search(text) else text.split(" ")
-
-    def look(self, pieces: list[str]) -> list[tuple | None]:
-        """Of each piece (tokens A, tokens B, groups, links, groups as text, {pair: links}); None where the bytes differ."""
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = [p for p in pieces if p not in self.known]
-        for p, a, b in zip(new, self.a.encode_batch([" " + p for p in new], add_special_tokens=False), self.b.encode(new, num_threads=1)):
-            # B adds its space to no empty text
-            self.known[p] = self._aligned(p, a.ids, b if p else [self.b.piece_to_id("▁")])
-        return [self.known[p] for p in pieces]
-
-    def _aligned(self, piece: str, a: list[int], b: list[int]) -> tuple | None:
-        raw = (" " + piece).encode("utf-8", "surrogatepass")
-        if b"".join([self.bytes_a[i] for i in a]) != raw or b"".join([self.bytes_b[i] for i in b]) != raw:
+        self.sizes_a, self.sizes_b = (np.array([len(t) for t in own], dtype=np.int64) for own in (self.bytes_a, self.bytes_b))
+        self.encode_a = self._ranked(file, vocab, of_token) or self._whole()
+
+    def gives_back(self, raw: list[bytes], a: list[list[int]], b: list[list[int]]) -> bool:
+        """Whether the ids of each text, of both sides, are its bytes."""
+        whole, length = b"".join(raw), np.array([len(r) for r in raw])
+        for ids, own, sizes in ((a, self.bytes_a, self.sizes_a), (b, self.bytes_b, self.sizes_b)):
+            flat = list(chain.from_iterable(ids))
+            if b"".join(map(own.__getitem__, flat)) != whole:
+                return False
+            ends = np.cumsum(sizes[np.array(flat, dtype=np.int64)])
+            if (ends[np.cumsum([len(i) for i in ids]) - 1] != np.cumsum(length)).any():
+                return False
+        return True
+
+    @staticmethod
+    def _ranked(file: dict, vocab: dict, of_token: dict):
+        """Encoding by ranks, several times faster, where the file's merges are in the order of their ids and it cuts words in the usual way."""
+        import public_tokenizers
+        import tiktoken
+
+        cut = file.get("pre_tokenizer") or {}
+        merged = [vocab.get("".join(m) if isinstance(m, list) else m.replace(" ", ""), -1) for m in file["model"]["merges"]]
+        usual = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space") and not file.get("normalizer")
+        if not usual or merged != sorted(merged):
             return None
-        shown, pairs, links, width = [], Counter(), 0, len(self.bytes_b)
-        i = j = at_a = at_b = first_a = first_b = 0
-        while i < len(a):
-            # the side that lags takes its next token; both end where they meet
-            at_a += len(self.bytes_a[a[i]])
-            i += 1
-            while at_b < at_a:
-                at_b += len(self.bytes_b[b[j]])
-                j += 1
-            if at_a == at_b:
-                own_a, own_b = a[first_a:i], b[first_b:j]
-                shown.append(",".join(map(str, own_a)) + "|" + ",".join(map(str, own_b)))
-                links += len(own_a) * len(own_b)
-                if len(own_a) == 1 == len(own_b):
-                    pairs[own_a[0] * width + own_b[0]] += 1
-                else:
-                    many = Counter(own_b)
-                    for x, n in Counter(own_a).items():
-                        for y, m in many.items():
-                            pairs[x * width + y] += n * m
-                first_a, first_b = i, j
-        return len(a), len(b), len(shown), links, ";".join(shown), np.fromiter(pairs, U, len(pairs)), np.fromiter(pairs.values(), np.int64, len(pairs))
+        special = {t["content"] for t in file.get("added_tokens", [])}
+        ranks = {of_token[t]: i for t, i in vocab.items() if t not in special}
+        encoding = tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return lambda texts: [encoding.encode_ordinary(t) for t in texts]
+
+    def _whole(self):
+        """Encoding by the file itself."""
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path_a)
+        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        return lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 def _aligner(paths: tuple[str | None, str | None]) -> Aligner:
@@ -119,50 +108,75 @@ def _width(path_b: str | None) -> int:
 
 
 class Slice:
-    """Aligned pieces of some texts: for each occurrence its text and which of the different pieces it is."""
+    """The aligned tokens of some texts: their groups, and for each link the text and the number of its different pair."""
 
     def __init__(self, texts: list[str | None], aligner: Aligner):
-        parts = [aligner.pieces(t) if t else [] for t in texts]
-        sizes = [len(p) for p in parts]
-        self.which, different = numbered([p for own in parts for p in own])
-        self.found = aligner.look(different)
-        self.doc = np.repeat(np.arange(len(texts)), sizes)
-        wrong = np.array([f is None for f in self.found], dtype=bool)
-        # a text with one piece that doesn't come back has no tokens at all
-        self.valid = np.array([s > 0 for s in sizes], dtype=bool)
-        if len(self.doc):
-            self.valid[self.doc[wrong[self.which]]] = False
-        keep = self.valid[self.doc]
-        self.doc, self.which = self.doc[keep], self.which[keep]
         self.n = len(texts)
-        self.found = [f or (0, 0, 0, 0, "", np.zeros(0, U), np.zeros(0, np.int64)) for f in self.found]
-        counts = np.array([len(f[5]) for f in self.found], dtype=np.int64)
-        self.pairs = np.concatenate([f[5] for f in self.found]) if self.found else np.zeros(0, U)
-        self.links = np.concatenate([f[6] for f in self.found]) if self.found else np.zeros(0, np.int64)
-        self.owner = np.repeat(np.arange(len(self.found)), counts)
-        self.first, self.counts = np.cumsum(counts) - counts, counts
-
-    def distinct(self) -> np.ndarray:
-        """Distinct pairs of the valid texts."""
-        used = np.zeros(len(self.found), dtype=bool)
-        used[self.which] = True
-        return np.unique(self.pairs[used[self.owner]])
-
-    def total(self, of_piece: np.ndarray) -> np.ndarray:
-        """Sum of a number of each piece over the pieces of each text, exact."""
+        some = [k for k, t in enumerate(texts) if t]
+        spaced = [" " + texts[k] for k in some]
+        a, b = aligner.encode_a(spaced), aligner.b.encode([texts[k] for k in some], num_threads=1)
+        whole = list(zip(some, a, b))
+        raw = [t.encode() for t in spaced]
+        if not aligner.gives_back(raw, a, b):
+            whole = [w for w, r in zip(whole, raw) if aligner.gives_back([r], [w[1]], [w[2]])]
+        # all texts behind each other: both sides end together at the end of each text
+        self.a, self.b = (np.fromiter(chain.from_iterable(w[side] for w in whole), dtype=np.int64) for side in (1, 2))
+        self.doc_a, self.doc_b = (np.repeat([w[0] for w in whole], [len(w[side]) for w in whole]).astype(np.int64) for side in (1, 2))
+        end_a, end_b = np.cumsum(aligner.sizes_a[self.a]), np.cumsum(aligner.sizes_b[self.b])
+        at = np.searchsorted(end_b, end_a)
+        both_a = end_b[at] == end_a if len(end_a) else np.zeros(0, dtype=bool)
+        both_b = np.zeros(len(end_b), dtype=bool)
+        both_b[at[both_a]] = True
+        group_a, group_b = np.cumsum(both_a) - both_a, np.cumsum(both_b) - both_b
+        self.groups = int(both_a.sum())
+        self.size_a, self.size_b = np.bincount(group_a, minlength=self.groups), np.bincount(group_b, minlength=self.groups)
+        self.from_a, self.from_b = np.cumsum(self.size_a) - self.size_a, np.cumsum(self.size_b) - self.size_b
+        self.doc = self.doc_a[self.from_a]
+        self._pair(len(aligner.bytes_b))
+
+    def _pair(self, width: int) -> None:
+        """``pairs``: the different ones; of each entry ``which`` pair it is, its text ``of`` and how many ``links`` it stands for."""
+        n = self.size_a * self.size_b
+        small = np.flatnonzero(n < LARGE)
+        ends = np.cumsum(n[small])
+        group = np.repeat(small, n[small])
+        inside = np.arange(len(group)) - np.repeat(ends - n[small], n[small])
+        pair = self.a[self.from_a[group] + inside // self.size_b[group]] * width + self.b[self.from_b[group] + inside % self.size_b[group]]
+        of, links = [self.doc[group]], [np.ones(len(group), dtype=np.int64)]
+        pairs = [pair]
+        for g in np.flatnonzero(n >= LARGE):  # ids of a large group are counted first
+            x, many_x = np.unique(self.a[self.from_a[g] : self.from_a[g] + self.size_a[g]], return_counts=True)
+            y, many_y = np.unique(self.b[self.from_b[g] : self.from_b[g] + self.size_b[g]], return_counts=True)
+            pairs.append((x[:, None] * width + y).ravel())
+            links.append((many_x[:, None] * many_y).ravel())
+            of.append(np.full(len(pairs[-1]), self.doc[g]))
+        self.of, self.links = np.concatenate(of), np.concatenate(links)
+        different, self.which = np.unique(np.concatenate(pairs), return_inverse=True)
+        self.pairs = different.astype(U)
+
+    def total(self, of: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """Exact sums of numbers by text."""
         out = np.zeros(self.n, dtype=np.int64)
-        np.add.at(out, self.doc, of_piece[self.which])
+        np.add.at(out, of, number)
         return out
 
+    def counts(self) -> dict[str, np.ndarray]:
+        tokens = (np.bincount(own, minlength=self.n) for own in (self.doc_a, self.doc_b, self.doc))
+        return dict(zip(COLUMNS, [*tokens, self.total(self.doc, self.size_a * self.size_b)]))
+
     def once(self, number: np.ndarray) -> np.ndarray:
-        """``number`` (one for each entry of ``pairs``) once for each text that holds it."""
-        spread = np.unique(self.doc * np.int64(len(self.found) + 1) + self.which)
-        doc, which = np.divmod(spread, len(self.found) + 1)
-        n = self.counts[which]
-        ends = np.cumsum(n)
-        entry = np.arange(int(n.sum())) + np.repeat(self.first[which] - (ends - n), n)
+        """``number`` (one for each different pair) once for each text that holds it."""
         width = int(number.max(initial=0)) + 1
-        return np.unique(np.repeat(doc, n) * width + number[entry]) % width
+        return np.unique(self.of * width + number[self.which]) % width
+
+    def shown(self) -> list[str]:
+        """Of each text its groups as ``a1,a2|b1;a3|b2,b3``."""
+        a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
+        parts = [
+            (a[i] if n == 1 else ",".join(a[i : i + n])) + "|" + (b[j] if m == 1 else ",".join(b[j : j + m]))
+            for i, n, j, m in zip(self.from_a.tolist(), self.size_a.tolist(), self.from_b.tolist(), self.size_b.tolist())]
+        cut = np.searchsorted(self.doc, np.arange(self.n + 1))
+        return [";".join(parts[i:j]) for i, j in zip(cut[:-1], cut[1:])]
 
 
 def _over(batches: Iterator[pd.DataFrame], paths: tuple) -> Iterator[tuple[pd.DataFrame, int, int, Slice]]:
@@ -178,7 +192,7 @@ def distinct_pairs(texts: DataFrame, paths: tuple[str | None, str | None]) -> Da
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = np.zeros(0, U)
         for _, _, _, s in _over(batches, paths):
-            held = np.union1d(held, s.distinct())
+            held = np.union1d(held, s.pairs)
             if len(held) > ROUND:
                 yield pd.DataFrame({"pair": held.astype(np.int64)})
                 held = np.zeros(0, U)
@@ -274,7 +288,7 @@ def align_documents(
     document, also a repeated one or one without doc_id.  Null and empty texts, and texts
     that either tokenizer doesn't give back byte for byte, have no tokens: zeros and an
     empty string.  More columns are ignored; no documents give no rows.  A very long text
-    is aligned in one task with memory of some ten times its size."""
+    is aligned in one task with memory of some fifty times its size."""
     paths = (path_a, path_b)
     kind = docs.schema["doc_id"].dataType
     texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col(text_col).alias("text"))
@@ -310,20 +324,15 @@ def _looked_up(held, paths: tuple, first: bool):
         for b, lo, hi, s in _over(batches, paths):
             made, counts, best = held.value
             at = made.find(s.pairs)
-            mine, at = np.flatnonzero(at >= 0), at[at >= 0]
-            n_best, count_sum = np.zeros(len(s.found), np.int64), np.zeros(len(s.found), np.int64)
-            np.add.at(n_best, s.owner[mine], s.links[mine] * best[at])
-            np.add.at(count_sum, s.owner[mine], s.links[mine] * counts[at])
+            documents = np.where(at >= 0, counts[at], 0) if len(counts) else np.zeros(len(at), np.int64)
+            first_of_a = np.where(at >= 0, best[at], False) if len(best) else np.zeros(len(at), bool)
             out = {"row": b["row"].iloc[lo:hi].to_numpy()}
             if first:
-                out["doc_id"] = b["doc_id"].iloc[lo:hi].to_numpy()
-                for k, c in enumerate(COLUMNS[:4]):
-                    out[c] = s.total(np.array([f[k] for f in s.found], dtype=np.int64))
-            out |= {"n_best": s.total(n_best), "count_sum": s.total(count_sum)}
+                out |= {"doc_id": b["doc_id"].iloc[lo:hi].to_numpy(), **s.counts()}
+            out["n_best"] = s.total(s.of, s.links * first_of_a[s.which])
+            out["count_sum"] = s.total(s.of, s.links * documents[s.which])
             if first:
-                shown = np.array([f[4] for f in s.found] + [""], dtype=object)[s.which]
-                cut = np.searchsorted(s.doc, np.arange(s.n + 1))
-                out["groups"] = [";".join(shown[i:j]) for i, j in zip(cut[:-1], cut[1:])]
+                out["groups"] = s.shown()
             yield pd.DataFrame(out)
         give_back()
 
