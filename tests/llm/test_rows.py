@@ -346,3 +346,19 @@ def test_digest_of_base_spans(spark, sf):
         base = ",".join(f"{k}:{s}:{e}" for k, s, e in spans if k != "token")
         assert got[r.doc_id].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
         assert got[r.doc_id].spans == ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+
+
+def test_toxicity_is_seen_in_every_language(spark):
+    """Held-out rows of a table with four languages, some with two dozen labelled toxic texts (a few labelled texts hold no mark at all)."""
+    from tidemark.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.1"
+    langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = [r for r in QUERIES["op5_toxicity"](spark, sf).collect() if r.held_out and r.doc_id in truth]
+    toxic, clean = [r for r in got if truth[r.doc_id] == 1], [r for r in got if truth[r.doc_id] == 0]
+    assert sum(r.predicted for r in toxic) >= 0.94 * len(toxic) and sum(r.predicted for r in clean) <= 0.01 * len(clean)
+    for lang in {langs[r.doc_id] for r in toxic}:
+        own = [r.predicted for r in toxic if langs[r.doc_id] == lang]
+        assert sum(own) >= 0.9 * len(own), lang
+    assert sum(t.score > c.score for t in toxic for c in clean) >= 0.95 * len(toxic) * len(clean)

@@ -1,8 +1,11 @@
 """Toxicity by weak supervision.
 
-1. A lexicon of word beginnings that mark toxic text is drawn from labelled training rows.
-2. Voters look at every document: the lexicon dealt into several lists, and patterns.
-   A voter fires or stays silent.
+1. A lexicon is drawn from labelled training rows: words, and word beginnings that one text
+   holds in one, two or three different words.  A beginning that is rare in a text with many
+   words tells little; three words that share it tell much, also where a language
+   has only a few labelled texts.
+2. Voters look at every document: the lexicon dealt into several lists, repeated
+   beginnings, rates and patterns.  A voter fires or stays silent.
 3. A generative label model gets the voters' rates and joint rates over all documents.
    Given the class, voters fire independently, so that covariances off the diagonal are a
    rank-one product of their edges; pairs that agree far more than that are correlated and
@@ -29,18 +32,15 @@ from .quality import training_rows
 from .shingles import shingle_sets
 
 #: Bounds of the labelled sample and of the lexicon, and the log odds that an entry needs.
-SAMPLE_ROWS, LEXICON, ODDS = 20_000, 300, 3.0
-#: Lengths of word beginnings that may become entries, besides whole words.
-STEMS = (4, 5, 6)
+SAMPLE_ROWS, LEXICON, ODDS = 20_000, 400, 3.0
+#: The likelihood ratio of an entry must come up to the log of the entries tried, less this: the label model weighs what gets in.
+LEEWAY = 1.0
+#: Lengths of word beginnings that may become entries, besides whole words, and how many different words of a text share them.
+STEMS, DOSES = (4, 5, 6, 7), (1, 2, 3)
 LISTS = 10
 CUT = 0.3
 WORDS = re.compile(r"[^\W\d_]+")
-PATTERNS = {
-    "address": re.compile(r"\b(?:you|your|tu|toi|vous|du|dich|dein|eres)\b[^.!?\n]{0,40}!"),
-    "exclaim": re.compile(r"!{2,}|\?!"),
-    "shout": re.compile(r"\b[A-Z]{5,}(?:\s+[A-Z]{4,})+"),
-    "masked": re.compile(r"\b[A-Za-z]+[*@#$]+[A-Za-z]+\b"),
-}
+PATTERNS = {"exclaim": re.compile(r"!{2,}|\?!")}
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -49,12 +49,10 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 def _entries(text: str) -> set[str]:
-    """Whole words (with a mark behind) and word beginnings of a text, in lower case."""
+    """Words of a text (``word$``), and its word beginnings with the number of different words that share them (``begin|2``), in lower case."""
     words = set(WORDS.findall(text.lower()))
-    out = {w + "$" for w in words if len(w) > 2}
-    for n in STEMS:
-        out.update(w[:n] for w in words if len(w) >= n)
-    return out
+    shared = Counter(w[:n] for w in words for n in STEMS if len(w) >= n)
+    return {w + "$" for w in words if len(w) > 2} | {f"{b}|{d}" for b, k in shared.items() for d in DOSES if k >= d}
 
 
 def learn_lexicon(rows: DataFrame, most: int = LEXICON) -> list[str]:
@@ -75,19 +73,21 @@ def learn_lexicon(rows: DataFrame, most: int = LEXICON) -> list[str]:
     counts = rows.select("text", "y").mapInPandas(count, "entry string, toxic long, clean long").groupBy("entry").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     counts = stored(counts, "entries")
-    tried = counts.filter("toxic > 2").count()
-    # log odds, and the likelihood ratio against an entry that does not care, which must outweigh the number of entries tried
+    # log odds, and the likelihood ratio against an entry that does not care, held against the number of entries of its kind tried
+    kind = F.substring("entry", -1, 1)
+    tried = {r["kind"]: r["count"] for r in counts.filter("toxic > 1").groupBy(kind.alias("kind")).count().collect()}  # a few kinds
+    bar = F.create_map(*[F.lit(v) for k, n in (tried or {"": 0}).items() for v in (k, math.log(n + 1) - LEEWAY)])
     share, df = n1 / (n1 + n0), F.col("toxic") + F.col("clean")
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1))
     ratio = F.col("toxic") * F.log(F.col("toxic") / (df * share)) + F.when(
         F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (df * (1 - share)))).otherwise(0)
-    strong = counts.withColumns({"odds": odds, "ratio": ratio}).filter((F.col("toxic") > 0) & (F.col("odds") >= ODDS) & (F.col("ratio") >= math.log(tried + 1) + 1))
+    strong = counts.filter("toxic > 1").withColumns({"odds": odds, "ratio": ratio}).filter((F.col("odds") >= ODDS) & (F.col("ratio") >= F.try_element_at(bar, kind)))
     top = strong.orderBy(F.desc("ratio"), "entry").limit(4 * most).toPandas()
     kept: list[str] = []
-    # of nested entries only the strongest, and of equally strong ones the widest
+    # of nested entries of a kind only the strongest, and of equally strong ones the widest
     for _, e in sorted(zip(-top["ratio"].round(6), top["entry"]), key=lambda r: (r[0], len(r[1]), r[1])):
-        word = e.rstrip("$")
-        if not any(word.startswith(k.rstrip("$")) or k.startswith(word) for k in kept):
+        word, same = e.rstrip("$|123"), [k for k in kept if k[-1] == e[-1]]
+        if not any(word.startswith(k.rstrip("$|123")) or k.startswith(word) for k in same):
             kept.append(e)
     return kept[:most]
 
@@ -112,30 +112,43 @@ def distinct_rows(rows: DataFrame) -> DataFrame:
 
 
 class Voters:
-    """Lexicon lists and patterns over whole texts; built once for a task."""
+    """Lexicon lists, repeated beginnings, rates and patterns over whole texts; built once for a task."""
 
     def __init__(self, lexicon: list[str]):
         self.lexicon = lexicon
         self.trie = ahocorasick.Automaton()
+        whole = {e[:-1]: i for i, e in enumerate(lexicon) if e.endswith("$")}
+        doses: dict[str, list[tuple[int, int]]] = {}
         for i, e in enumerate(lexicon):
-            self.trie.add_word(e.rstrip("$"), (i, len(e.rstrip("$")), e.endswith("$")))
+            if not e.endswith("$"):
+                doses.setdefault(e[:-2], []).append((int(e[-1]), i))
+        for word in whole.keys() | doses.keys():
+            self.trie.add_word(word, (len(word), whole.get(word), doses.get(word, [])))
         if lexicon:
             self.trie.make_automaton()
 
     @property
     def names(self) -> list[str]:
-        return [f"list{i}" for i in range(LISTS)] + ["two_entries", "dense", *PATTERNS]
+        return [f"list{i}" for i in range(LISTS)] + ["twice", "thrice", "two_entries", "dense", *PATTERNS]
 
     def found(self, text: str) -> tuple[Counter, int]:
-        """Times that each lexicon entry occurs at the start of a word, and about how many words there are."""
+        """Times that each lexicon entry is met at the start of a word, and about how many words there are."""
         low, hits = text.lower(), Counter()
+        words: dict[int, tuple[list, Counter]] = {}
         if self.lexicon:
-            for end, (i, n, whole) in self.trie.iter(low):
+            for end, (n, whole, doses) in self.trie.iter(low):
                 if end >= n and low[end - n].isalpha():
                     continue
-                if whole and end + 1 < len(low) and low[end + 1].isalpha():
-                    continue
-                hits[i] += 1
+                word = WORDS.match(low, end - n + 1)
+                word = word.group() if word else ""
+                if whole is not None and len(word) == n:
+                    hits[whole] += 1
+                if doses:
+                    words.setdefault(id(doses), (doses, Counter()))[1][word] += 1
+        for doses, met in words.values():
+            for dose, i in doses:
+                if len(met) >= dose:
+                    hits[i] += sum(met.values())
         return hits, text.count(" ") + 1
 
     def row(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -144,10 +157,10 @@ class Voters:
         votes = np.zeros(len(self.names))
         for i in hits:
             votes[i % LISTS] = 1
-        votes[LISTS] = len(hits) > 1
-        votes[LISTS + 1] = 50 * sum(hits.values()) >= n
+        kinds = {self.lexicon[i][-2:] for i in hits}
+        votes[LISTS : LISTS + 4] = "|2" in kinds, "|3" in kinds, len(hits) > 1, 50 * sum(hits.values()) >= n
         for k, p in enumerate(PATTERNS.values()):
-            votes[LISTS + 2 + k] = p.search(text) is not None
+            votes[LISTS + 4 + k] = p.search(text) is not None
         x = np.zeros(len(self.lexicon) + len(self.names) + 2)
         for i in hits:
             x[i] = 1
@@ -219,7 +232,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
     score; null texts count as empty; labels other than 0 and 1 and repeated label rows
     are ignored; without training rows of both classes every score is the share of
     toxic ones among the labels (0 without any).  Same-named input columns are replaced; repeated rows
-    stay repeated."""
+    stay repeated and equal texts tie; a very long text is read whole, in memory of a few times
+    its size; no documents give none."""
     train = ~is_held_out(F.col("doc_id"))
     known = {r["toxic"]: r["count"] for r in labels.filter(train & F.col("toxic").isin(0, 1)).groupBy("toxic").count().collect()}
     out = docs.withColumn("held_out", is_held_out(F.col("doc_id")))
