@@ -50,8 +50,8 @@ def test_components(spark):
 
 def cosine_links(vectors):
     ok = [v is not None and len(v) > 0 and all(x is not None and math.isfinite(x) for x in v) and any(v) for v in vectors]
-    near = [[ok[i] and ok[j] and i != j and len(vectors[i]) == len(vectors[j]) and embedding_dedup.cosine(
-        np.array(vectors[i], float), np.array(vectors[j], float)) >= 0.9 for j in range(len(vectors))] for i in range(len(vectors))]
+    near = [[ok[i] and ok[j] and i != j and len(vectors[i]) == len(vectors[j]) and embedding_dedup.cosines(
+        np.array([vectors[i]], float), np.array([vectors[j]], float))[0] >= 0.9 for j in range(len(vectors))] for i in range(len(vectors))]
     return near
 
 
@@ -88,7 +88,7 @@ def test_large_crowd_is_counted_block_by_block(spark, monkeypatch):
 def test_boundaries_between_ranges_are_compared(spark):
     rng = np.random.default_rng(5)
     same = np.packbits(rng.integers(0, 2, 256)).tobytes()
-    df = spark.createDataFrame([(0, 16, 0, i, same) for i in range(60)], "pass int, dim int, key long, entry long, sketch binary")
+    df = spark.createDataFrame([(0, 16, 0, i, 0.85, same) for i in range(60)], "pass int, dim int, key long, entry long, same float, sketch binary")
     pairs = {(r.a, r.b) for r in embedding_dedup._candidates(df, 4, 0).collect()}
     assert pairs == {(i, j) for i in range(60) for j in range(i + 1, min(60, i + 5))}
 
@@ -116,6 +116,13 @@ def test_pairs_within_a_dense_group_are_found(spark):
     assert not wrong
 
 
+def test_links_at_the_threshold_are_told_alike(spark):
+    """A pair exactly at the threshold is a link in every way of counting, whatever block it meets in."""
+    x = np.array([[1.0, 0.0, 0.0]] * 3 + [[0.9, math.sqrt(1 - 0.81), 0.0]] * 2)
+    alone = embedding_dedup.cosines(x[:1], x[3:4])[0] >= 0.9
+    assert (embedding_dedup.linked(x[:3], x[3:], 0.9) == alone).all()
+
+
 def word_set(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall("[^\x20\x09-\x0d]+", low)

@@ -5,10 +5,12 @@ its own to a key, orders all vectors by their keys, and compares every vector wi
 a bounded window of neighbours; sketches that agree enough are verified on the vectors
 themselves.  Verified pairs of all passes are joined to components.
 
-The windows bound the work, so in a crowd they meet only some pairs.  How deep a window
-reaches is measured for every vector in every pass; vectors whose windows do not meet
-their neighbours with the wanted probability are compared with each other exactly, block
-by block.  The links within each component are counted exactly, block by block too."""
+The hyperplanes of the keys go through the mean of the vectors, so that a direction
+that all share does not crowd them together.  How deep a window reaches is measured for
+every vector in every pass.  Vectors whose windows do not meet their neighbours with the
+wanted probability go through further passes among themselves, around a mean of their own;
+what is left after these is compared with each other exactly, in blocks of fixed size.  The
+links within each component are counted exactly, block by block too."""
 
 from __future__ import annotations
 
@@ -31,8 +33,10 @@ BITS, KEY_BITS, WINDOW = 256, 62, 16
 RECALL = 0.97
 #: Vectors in a block of exact counting, and rows counted by a task.
 BLOCK, TASK = 2048, 20_000
-#: Blocks of crowded vectors at most; beyond it they grow, so that each vector is sent this many times at most.
-CROWD_BLOCKS = 64
+#: Rounds of passes, each with twice the passes of the one before, and vectors that a mean is taken of.
+ROUNDS, MEAN_ROWS = 3, 4096
+#: How close to the threshold a cosine of a matrix product is taken pair by pair again.
+CLOSE = 1e-9
 
 
 def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL) -> int:
@@ -55,20 +59,53 @@ def _planes(dim: int, bits: int, turn: int = 0) -> np.ndarray:
     return np.random.default_rng((1000 + dim, turn)).standard_normal((dim, bits))
 
 
-def _sketched(entries: DataFrame, passes: int) -> DataFrame:
-    """(pass, dim, key, entry, sketch): every entry once for each pass."""
+def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Cosine of each row of ``x`` with the same row of ``y``."""
+    x, y = (v / np.abs(v).max(axis=1, keepdims=True) for v in (x, y))
+    return np.einsum("ij,ij->i", x, y) / np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y))
+
+
+def linked(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows of ``x`` link with which of ``y``, as ``cosines`` tells."""
+    a, b = (v / np.sqrt((v * v).sum(axis=1, keepdims=True)) for v in (x, y))
+    near = a @ b.T
+    hit = near >= threshold
+    i, j = np.nonzero(np.abs(near - threshold) < CLOSE)
+    if len(i):
+        hit[i, j] = cosines(x[i], y[j]) >= threshold
+    return hit
+
+
+def _means(entries: DataFrame) -> dict[int, np.ndarray]:
+    """Mean direction of the vectors of each width, from the ``MEAN_ROWS`` rows with the smallest hash of their vector."""
+    some = entries.select("dim", "v", "h1").orderBy("h1").limit(MEAN_ROWS).toPandas()
+    out = {}
+    for dim, rows in some.groupby("dim"):
+        v = _scaled(rows["v"].tolist())
+        out[int(dim)] = (v / np.linalg.norm(v, axis=1, keepdims=True)).mean(axis=0)
+    return out
+
+
+def _sketched(entries: DataFrame, passes: int, first: int = 0, threshold: float = THRESHOLD) -> DataFrame:
+    """(pass, dim, key, entry, same, sketch): every entry once for each pass; ``same`` is the share of key signs that a neighbour at the threshold has in common with it."""
+    means = entries.sparkSession.sparkContext.broadcast(_means(entries))  # MEAN_ROWS vectors at most
+    apart = math.sqrt(2 - 2 * threshold)
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights = 1 << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64)
         for b in batches:
             for dim, rows in b.groupby("dim"):
                 v = _scaled(rows["v"].tolist())
+                v /= np.linalg.norm(v, axis=1, keepdims=True)
                 packed = [r.tobytes() for r in np.packbits(v @ _planes(int(dim), BITS) >= 0, axis=1)]
-                for p in range(passes):
+                v -= means.value.get(int(dim), 0.0)
+                angle = 2 * np.arcsin(np.minimum(1.0, apart / 2 / np.maximum(np.linalg.norm(v, axis=1), 1e-12)))
+                for p in range(first, first + passes):
                     own = v @ _planes(int(dim), KEY_BITS, p + 1) >= 0
-                    yield pd.DataFrame({"pass": p, "dim": int(dim), "key": own @ weights, "entry": rows["entry"].to_numpy(), "sketch": packed})
+                    yield pd.DataFrame({
+                        "pass": p, "dim": int(dim), "key": own @ weights, "entry": rows["entry"].to_numpy(), "same": (1 - angle / math.pi).astype(np.float32), "sketch": packed})
 
-    return entries.select("entry", "dim", "v").mapInPandas(sketch, "pass int, dim int, key long, entry long, sketch binary")
+    return entries.select("entry", "dim", "v").mapInPandas(sketch, "pass int, dim int, key long, entry long, same float, sketch binary")
 
 
 def _near(entry: np.ndarray, group: np.ndarray, sketch: np.ndarray, rank: np.ndarray, window: int, differ: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +120,7 @@ def _near(entry: np.ndarray, group: np.ndarray, sketch: np.ndarray, rank: np.nda
     return (np.concatenate(a), np.concatenate(b)) if a else (entry[:0], entry[:0])
 
 
-def _reach(key: np.ndarray, group: np.ndarray, window: int, same: float) -> np.ndarray:
+def _reach(key: np.ndarray, group: np.ndarray, window: int, same: np.ndarray) -> np.ndarray:
     """For each row of an ordered range -log of the probability that the pass does not meet a neighbour at the threshold.
 
     Rows that share more leading signs with it than the rows at the window's ends do are
@@ -96,21 +133,20 @@ def _reach(key: np.ndarray, group: np.ndarray, window: int, same: float) -> np.n
     def shared(end: np.ndarray) -> np.ndarray:
         return np.where(end == at, 0, KEY_BITS - np.frexp((key ^ key[end]).astype(np.float64))[1])
 
-    return -np.log1p(-(same ** (np.maximum(shared(low), shared(high)) + 0.5)))
+    return -np.log1p(-np.minimum(same ** (np.maximum(shared(low), shared(high)) + 0.5), 1 - 1e-9))
 
 
 def _candidates(sketched: DataFrame, window: int, differ: int) -> DataFrame:
     return _pairs(_swept(sketched, window, differ), window, differ)
 
 
-def _swept(sketched: DataFrame, window: int, differ: int, threshold: float = THRESHOLD) -> DataFrame:
+def _swept(sketched: DataFrame, window: int, differ: int) -> DataFrame:
     """(kind, ...): 0 pairs within ranges, 1 rows at the ends of ranges, 2 the reach of each row's window in millionths.
 
     Each range of the order sweeps its own rows and leaves its first and last
     ``window`` rows behind; those few rows of all ranges are then swept across the
     boundaries between ranges."""
     fields = "kind int, a long, b long, pass int, dim int, range int, place long, size long, sketch binary"
-    same = 1 - math.acos(threshold) / math.pi
 
     def border(b: pd.DataFrame, place: np.ndarray, size: int) -> pd.DataFrame:
         own = TaskContext.get().partitionId()
@@ -118,16 +154,16 @@ def _swept(sketched: DataFrame, window: int, differ: int, threshold: float = THR
 
     def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         head, last, n = [], None, 0
-        order: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        order: list[tuple[np.ndarray, ...]] = []
         for b in batches:
-            key = b["key"].to_numpy(dtype=np.int64)
+            key, same = b["key"].to_numpy(dtype=np.int64), b["same"].to_numpy(dtype=np.float64)
             b = b[["entry", "pass", "dim", "sketch"]]
             if n < window:
                 head.append(b.iloc[: window - n])
             both = b if last is None else pd.concat([last, b], ignore_index=True)
             old = 0 if last is None else len(last)
             entry, group, sketch = _rows_of(both)
-            order.append((entry[old:], group[old:], key))
+            order.append((entry[old:], group[old:], key, same))
             x, y = _near(entry, group, sketch, np.arange(len(both)), window, differ)
             yield pd.DataFrame({"kind": 0, "a": np.minimum(x, y), "b": np.maximum(x, y), "pass": 0, "dim": 0, "range": 0, "place": 0, "size": 0, "sketch": None}).drop_duplicates(["a", "b"])
             n += len(b)
@@ -138,7 +174,7 @@ def _swept(sketched: DataFrame, window: int, differ: int, threshold: float = THR
             tail = places >= len(first)
             yield border(first, np.arange(len(first)), n)
             yield border(last[tail], places[tail], n)
-            entry, group, key = (np.concatenate(c) for c in zip(*order))
+            entry, group, key, same = (np.concatenate(c) for c in zip(*order))
             reach = np.round(_reach(key, group, window, same) * 1e6).astype(np.int64)
             for lo in range(0, n, 100_000):
                 part = slice(lo, lo + 100_000)
@@ -177,22 +213,39 @@ def _verified(pairs: DataFrame, entries: DataFrame, threshold: float) -> DataFra
     @F.pandas_udf("boolean")
     def close(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for x, y in batches:
-            yield pd.Series([cosine(p, q) >= threshold for p, q in zip(x, y)], dtype=bool)
+            hit, width = np.zeros(len(x), dtype=bool), x.map(len).to_numpy()
+            for w in np.unique(width):  # both of a pair are of one width
+                at = np.flatnonzero(width == w)
+                for lo in range(0, len(at), 4096):
+                    own = at[lo : lo + 4096]
+                    hit[own] = cosines(np.vstack(x.iloc[own]), np.vstack(y.iloc[own])) >= threshold
+            yield pd.Series(hit)
 
     a = entries.select(F.col("entry").alias("a"), F.col("v").alias("va"))
     b = entries.select(F.col("entry").alias("b"), F.col("v").alias("vb"))
     return pairs.join(a, "a").join(b, "b").filter(close("va", "vb")).select("a", "b")
 
 
-def cosine(x: np.ndarray, y: np.ndarray) -> float:
-    x, y = x / np.abs(x).max(), y / np.abs(y).max()
-    return float(np.dot(x, y) / math.sqrt(np.dot(x, x) * np.dot(y, y)))
-
-
-def _crowded(swept: DataFrame, recall: float) -> DataFrame:
-    """(entry): vectors whose windows together miss a neighbour at the threshold with more than the allowed probability."""
-    return swept.filter("kind = 2").groupBy(F.col("a").alias("entry")).agg(F.sum("place").alias("reach")).filter(
-        F.col("reach") < -1e6 * math.log(1 - recall)).select("entry")
+def _found_by_passes(entries: DataFrame, passes: int, differ: int, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """(pairs that the passes put next to each other, entries whose windows may still miss a neighbour).
+
+    All vectors go through the first round; those whose windows together miss a neighbour
+    at the threshold with more than the allowed probability go through the next one with
+    twice the passes.  A pair is sought until one of its two vectors is done."""
+    rows, pairs, reached, first = entries, None, None, 0
+    for k in range(ROUNDS):
+        swept = _swept(_sketched(rows, passes << k, first, threshold), WINDOW, differ)
+        first += passes << k
+        met = _pairs(swept, WINDOW, differ)
+        pairs = met if pairs is None else pairs.unionByName(met)
+        reach = swept.filter("kind = 2").select(F.col("a").alias("entry"), F.col("place").alias("reach"))
+        reach = reach if reached is None else reach.unionByName(reached)
+        reach = reach.groupBy("entry").agg(F.sum("reach").alias("reach"))
+        reached = stored(reach.filter(F.col("reach") < -1e6 * math.log(1 - recall)), "crowded")
+        if reached.limit(BLOCK).count() < BLOCK:
+            break  # one block, compared exactly
+        rows = stored(entries.join(reached.select("entry"), "entry"), "crowded-vectors")
+    return pairs.distinct(), reached.select("entry")
 
 
 def _crowd_links(entries: DataFrame, crowded: DataFrame, threshold: float) -> DataFrame:
@@ -201,7 +254,7 @@ def _crowd_links(entries: DataFrame, crowded: DataFrame, threshold: float) -> Da
     A pair is left out only if the links of its task join it already, so a task sends fewer
     links than it has vectors."""
     rows = stored(entries.join(crowded, "entry").select("dim", "entry", "v"), "crowded")
-    sizes = rows.groupBy("dim").agg(F.least(F.floor(F.count(F.lit(1)) / BLOCK) + 1, F.lit(CROWD_BLOCKS)).alias("blocks"))
+    sizes = rows.groupBy("dim").agg((F.floor(F.count(F.lit(1)) / BLOCK) + 1).alias("blocks"))
     tasks = sizes.agg(F.sum(F.col("blocks") * (F.col("blocks") + 1) / 2)).first()[0] or 1
     rows = rows.join(F.broadcast(sizes), "dim").withColumn("own", F.pmod(F.xxhash64("entry"), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
@@ -210,13 +263,12 @@ def _crowd_links(entries: DataFrame, crowded: DataFrame, threshold: float) -> Da
     def link(b: pd.DataFrame) -> pd.DataFrame:
         i, j = b["i"].iloc[0], b["j"].iloc[0]
         v = _scaled(b["v"].tolist())
-        v /= np.sqrt((v * v).sum(axis=1, keepdims=True))
         own, entry = b["own"].to_numpy(), b["entry"].to_numpy()
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         label, out = np.arange(len(b)), []
         for lo in range(0, len(left), 512):
             rows = left[lo : lo + 512]
-            hit = v[rows] @ v[right].T >= threshold
+            hit = linked(v[rows], v[right], threshold)
             for r in np.flatnonzero(hit.any(axis=1)):
                 to = right[hit[r]]
                 to = to[label[to] != label[rows[r]]]
@@ -248,14 +300,13 @@ def _link_counts(entries: DataFrame, found: DataFrame, threshold: float) -> Data
         out = []
         for (_, i, j), g in b.groupby(["component", "i", "j"]):
             v = _scaled(g["v"].tolist())
-            norm = np.sqrt((v * v).sum(axis=1))
             own, w, entry = g["own"].to_numpy(), g["copies"].to_numpy(), g["entry"].to_numpy()
             left = np.flatnonzero(own == i)
             right = np.flatnonzero(own == j)
             sums = np.zeros(len(g), dtype=np.int64)
             for lo in range(0, len(left), 512):
                 rows = left[lo : lo + 512]
-                hit = (v[rows] @ v[right].T) / (norm[rows][:, None] * norm[right]) >= threshold
+                hit = linked(v[rows], v[right], threshold)
                 hit &= entry[rows][:, None] != entry[right]
                 sums[rows] += hit @ w[right]
                 if i != j:
@@ -285,10 +336,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     passes = passes_for(entries.count(), threshold, recall=(1 + recall) / 2)
     spread = BITS * math.acos(threshold) / math.pi
     differ = math.ceil(spread + 4.5 * math.sqrt(spread * (1 - spread / BITS)))
-    swept = _swept(_sketched(entries, passes), WINDOW, differ, threshold)
-    pairs = stored(_pairs(swept, WINDOW, differ), "candidates")
-    crowd = _crowd_links(entries, _crowded(swept, recall), threshold)
-    links = stored(_verified(pairs, entries, threshold).unionByName(crowd), "verified")
+    pairs, left = _found_by_passes(entries, passes, differ, threshold, recall)
+    links = stored(_verified(stored(pairs, "candidates"), entries, threshold).unionByName(_crowd_links(entries, left, threshold)), "verified")
     found = components(links)
     counted = _link_counts(entries, found, threshold)
     per_entry = entries.select("entry", "h1", "h2", "copies", "least").join(found.withColumnRenamed("node", "entry"), "entry", "left").withColumn(
