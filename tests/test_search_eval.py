@@ -156,3 +156,26 @@ def test_empty_query_vectors_rank_by_id(spark):
     qs = spark.createDataFrame([(1, [])], "qid int, embedding array<float>")
     got = [(r["rank"], r.chunk_id, r.score) for r in R.knn_exact(qs, corpus, 2).orderBy("rank").collect()]
     assert got == [(1, "a", 0.0), (2, "b", 0.0)]
+
+
+@pytest.mark.parametrize("n", [500, 2000, 12000])
+def test_inverted_file_recall_at_sizes(spark, n):
+    from tidemark.operators import ann
+
+    rng = np.random.default_rng(n)
+    v = rng.standard_normal((n, 64))
+    v[n // 2 : n // 2 + 400] = v[n // 2]  # a group of copies larger than what is scored exactly
+    rows = [(i, x) for i, x in enumerate(v.tolist())] + [(n, None), (n + 1, [0.0] * 64)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4).cache()
+    q = e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), "embedding")
+    index = ann.build(e)
+    assert index.codes.count() == index.rows == n + 2 and index.codes.select("vec_id").distinct().count() == n + 2
+    exact = R.knn_exact(q, e, 10, id_col="vec_id").withColumnRenamed("vec_id", "id")
+    found = ann.knn_ivf(q, index, 10)
+    assert {r["count"] for r in found.groupBy("qid").count().collect()} == {10}
+    rec = ann.recall_report(found, exact, index.rows).agg(F.avg("recall"), F.max("share_scored")).first()
+    assert rec[0] >= 0.9 and (n < 12000 or rec[1] <= 0.2)
+    # every cell visited and every code scored exactly: the exact result
+    whole = ann.knn_ivf(q.limit(3), index, 10, visits=len(index.books.centroids), rescored=n).select("qid", "rank", "score", "id")
+    want = exact.join(q.limit(3).select("qid"), "qid", "left_semi").select("qid", "rank", "score", "id")
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, want.collect()))

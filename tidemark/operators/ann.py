@@ -186,7 +186,10 @@ def knn_ivf(
                 tables = books.tables(_unit(own["qv"].tolist(), books.dim))
                 for qid, t in zip(own["qid"], tables):
                     near = t[np.arange(codes.shape[1]), codes].sum(axis=1)
-                    top = np.argpartition(-near, best - 1)[:best] if len(near) > best else np.arange(len(near))
+                    top = np.arange(len(near))
+                    if len(near) > best:  # of rows with equal codes those with the smallest ids
+                        top = np.flatnonzero(near >= np.partition(near, len(near) - best)[len(near) - best])
+                        top = top[np.lexsort((ids[top], -near[top]))[:best]]
                     first = np.zeros(len(top), dtype=np.int64)
                     first[:1] = len(near)  # how many codes were read, told once
                     out.append(pd.DataFrame({"qid": qid, "id": ids[top], "near": near[top].astype(float), "read": first}))
