@@ -56,7 +56,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
     an occurrence of an item window covers it; a document is contaminated when hit
     words are at least a twentieth of its words.  Null and empty texts have no words and
     are never contaminated; null item ids are ignored; repeated rows stay repeated and
-    each gets the same result; with no items every count is 0.
+    each gets the same result; with no items every count is 0; no documents give no rows.
+    A very long text is one array of words in one task, with some 200 bytes a word.
 
     Candidates are sought in upper case, which Unicode maps letter by letter, so equal
     words in any A-Z case stay equal; occurrences are then compared on exact words."""

@@ -113,7 +113,9 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", percent: int = PERC
     included.  Texts that are null or hold no words have an empty set, link with
     nothing and keep their own doc_id.  Rows that share a doc_id are one document, so
     their links join; a row without doc_id gets the doc_id of its group, else null.
-    Repeated rows stay repeated; an empty table gives an empty one."""
+    Repeated rows stay repeated; an empty table gives an empty one.  doc_id is a whole
+    number (or text of one); other columns are ignored, whatever their names.  A very long
+    text is hashed in blocks, with 8 bytes for each of its shingles."""
     id_type = docs.schema["doc_id"].dataType
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col(text_col).alias("text")).withColumn("tk", text_key(F.col("text")))
     profiles = _profiles(texts, percent, cells)

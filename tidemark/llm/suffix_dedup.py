@@ -313,7 +313,9 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     A byte goes when some string of ``length`` bytes over it also starts elsewhere in
     any text, the same one included.  Null texts count as empty and texts shorter than
     ``length`` bytes keep everything; every repeated row is a text of its own, so equal
-    texts of ``length`` bytes or more lose all; same-named input columns are replaced."""
+    texts of ``length`` bytes or more lose all; same-named input columns are replaced.  A very
+    long text is cut into working pieces, and is held once, with its spans, by the task that
+    removes them; an empty table gives an empty one."""
     docs = docs.drop("n_bytes", "n_removed", "n_spans", "spans", "kept").withColumn("__tk", text_key(F.col(text_col)))
     found = stored(repeated_spans(docs, text_col, length).withColumnRenamed("tk", "__tk").withColumnRenamed("spans", "__spans"), "spans")
     joined = docs.join(sized(found), "__tk", "left")

@@ -59,7 +59,8 @@ def url_verdicts(urls: DataFrame, rules: DataFrame, url_col: str = "url", defaul
     path starts with the rule's; the longest rule text wins, of equal ones the
     longer host, and of one rule with both verdicts ``block``.  Null urls and urls
     without ``://`` have an empty host and path and get ``default``, as does every
-    url that no rule fits; rules with a null part are ignored; repeated rows stay."""
+    url that no rule fits; rules with a null part are ignored; repeated rows stay; very long
+    urls are taken whole.  No urls give no rows, and without rules all get ``default``."""
     rules = rules.dropna(subset=["host", "path", "verdict"]).select(lower_az(F.col("host")).alias("host"), "path", "verdict").distinct()
     stacks = _stacks(rules)
     urls = urls.withColumns({"host": url_host(F.col(url_col)), "path": url_path(F.col(url_col))})
