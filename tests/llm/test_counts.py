@@ -202,7 +202,7 @@ def test_alignment_query(spark, sf, tokenizers_):
 def test_ranks_give_the_tokens_of_the_file(text):
     aligner = token_alignment._aligner((None, None))
     plain = [t.encode("utf-8", "ignore").decode() for t in ("<|endoftext|>" + text, text)]
-    assert aligner.encode_a(plain) == WHOLE.setdefault("file", aligner._whole())(plain)
+    assert [x.tolist() for x in aligner.encode_a(plain)] == [x.tolist() for x in WHOLE.setdefault("file", aligner._whole())(plain)]
 
 
 def test_large_groups_are_counted(tokenizers_):

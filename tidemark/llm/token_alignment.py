@@ -4,10 +4,11 @@ Texts are encoded whole by both.  The byte offsets where tokens of both end cut
 a text into groups; all pairs of a group are linked.  The texts of a slice are aligned
 together, by arrays of their tokens' ends.
 
-Counts of id pairs live in dense vectors.  A first pass finds the distinct pairs and
-numbers them by a minimal perfect hash; then each task counts the documents of each number
-in a vector, and the vectors are added up by a tree.  The last pass aligns the
-documents again and looks the counts up, comparing the key kept at each number."""
+Counts of id pairs live in dense vectors.  A first pass finds the pairs of each task with
+the number of its documents that hold them.  The distinct pairs are numbered by a minimal
+perfect hash, and the tasks' counts are laid into vectors by that number and added up by a
+tree.  A second pass aligns the documents again and looks the counts up, comparing the
+key kept at each number."""
 
 from __future__ import annotations
 
@@ -28,13 +29,19 @@ from .perfect_hash import PerfectHash
 
 #: Pairs whose counts are held at once; beyond it the pairs are counted and looked up in rounds, by ranges of their first id.
 ROUND = 1 << 21
-#: Links of a group from which its ids are counted before they are paired.
-LARGE = 1 << 12
+#: Characters aligned at once, and links of a group from which its ids are counted before they are paired.
+SLICE, LARGE = 1 << 19, 1 << 12
 
 U = np.uint64
 COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
 
+def _table(of_id: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all ids behind each other, where those of each begin, and how many they are."""
+    sizes = np.array([len(t) for t in of_id], dtype=np.int64)
+    return np.frombuffer(b"".join(of_id), dtype=np.uint8), np.cumsum(sizes) - sizes, sizes
+
+
 class Aligner:
     """Ids of texts by a byte-level file of the tokenizers library (A) and a sentencepiece model (B), and the bytes of each id."""
 
@@ -55,18 +62,20 @@ class Aligner:
             self.bytes_a[i] = of_token[t]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.sizes_a, self.sizes_b = (np.array([len(t) for t in own], dtype=np.int64) for own in (self.bytes_a, self.bytes_b))
+        self.table_a, self.table_b = _table(self.bytes_a), _table(self.bytes_b)
         self.encode_a = self._ranked(file, vocab, of_token) or self._whole()
 
-    def gives_back(self, raw: list[bytes], a: list[list[int]], b: list[list[int]]) -> bool:
+    def gives_back(self, raw: list[bytes], a: list[np.ndarray], b: list[list[int]]) -> bool:
         """Whether the ids of each text, of both sides, are its bytes."""
-        whole, length = b"".join(raw), np.array([len(r) for r in raw])
-        for ids, own, sizes in ((a, self.bytes_a, self.sizes_a), (b, self.bytes_b, self.sizes_b)):
-            flat = list(chain.from_iterable(ids))
-            if b"".join(map(own.__getitem__, flat)) != whole:
+        whole, ends = np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([len(r) for r in raw])
+        for ids, (table, start, sizes) in ((a, self.table_a), (b, self.table_b)):
+            flat = np.fromiter(chain.from_iterable(ids), dtype=np.int64) if ids is b else np.concatenate(ids)
+            at, n = np.cumsum([len(i) for i in ids]) - 1, sizes[flat]
+            until = np.cumsum(n)
+            if (at < 0).any() or (until[at] != ends).any():
                 return False
-            ends = np.cumsum(sizes[np.array(flat, dtype=np.int64)])
-            if (ends[np.cumsum([len(i) for i in ids]) - 1] != np.cumsum(length)).any():
+            place = np.repeat(start[flat] - (until - n), n) + np.arange(len(whole))
+            if (table[place] != whole).any():
                 return False
         return True
 
@@ -84,7 +93,7 @@ class Aligner:
         special = {t["content"] for t in file.get("added_tokens", [])}
         ranks = {of_token[t]: i for t, i in vocab.items() if t not in special}
         encoding = tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return lambda texts: [encoding.encode_ordinary(t) for t in texts]
+        return lambda texts: [encoding.encode_to_numpy(t) for t in texts]
 
     def _whole(self):
         """Encoding by the file itself."""
@@ -92,7 +101,7 @@ class Aligner:
 
         tokenizer = Tokenizer.from_file(self.path_a)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        return lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return lambda texts: [np.array(e.ids, dtype=np.uint32) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 def _aligner(paths: tuple[str | None, str | None]) -> Aligner:
@@ -117,12 +126,13 @@ class Slice:
         a, b = aligner.encode_a(spaced), aligner.b.encode([texts[k] for k in some], num_threads=1)
         whole = list(zip(some, a, b))
         raw = [t.encode() for t in spaced]
-        if not aligner.gives_back(raw, a, b):
+        if some and not aligner.gives_back(raw, a, b):
             whole = [w for w, r in zip(whole, raw) if aligner.gives_back([r], [w[1]], [w[2]])]
         # all texts behind each other: both sides end together at the end of each text
-        self.a, self.b = (np.fromiter(chain.from_iterable(w[side] for w in whole), dtype=np.int64) for side in (1, 2))
+        self.a = np.concatenate([w[1] for w in whole] or [np.zeros(0)]).astype(np.int64)
+        self.b = np.fromiter(chain.from_iterable(w[2] for w in whole), dtype=np.int64)
         self.doc_a, self.doc_b = (np.repeat([w[0] for w in whole], [len(w[side]) for w in whole]).astype(np.int64) for side in (1, 2))
-        end_a, end_b = np.cumsum(aligner.sizes_a[self.a]), np.cumsum(aligner.sizes_b[self.b])
+        end_a, end_b = np.cumsum(aligner.table_a[2][self.a]), np.cumsum(aligner.table_b[2][self.b])
         at = np.searchsorted(end_b, end_a)
         both_a = end_b[at] == end_a if len(end_a) else np.zeros(0, dtype=bool)
         both_b = np.zeros(len(end_b), dtype=bool)
@@ -164,17 +174,24 @@ class Slice:
         tokens = (np.bincount(own, minlength=self.n) for own in (self.doc_a, self.doc_b, self.doc))
         return dict(zip(COLUMNS, [*tokens, self.total(self.doc, self.size_a * self.size_b)]))
 
-    def once(self, number: np.ndarray) -> np.ndarray:
-        """``number`` (one for each different pair) once for each text that holds it."""
-        width = int(number.max(initial=0)) + 1
-        return np.unique(self.of * width + number[self.which]) % width
+    def documents(self) -> np.ndarray:
+        """How many texts hold each different pair."""
+        held = np.unique(self.of * len(self.pairs) + self.which) % max(len(self.pairs), 1)
+        return np.bincount(held, minlength=len(self.pairs))
 
     def shown(self) -> list[str]:
         """Of each text its groups as ``a1,a2|b1;a3|b2,b3``."""
-        a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
-        parts = [
-            (a[i] if n == 1 else ",".join(a[i : i + n])) + "|" + (b[j] if m == 1 else ",".join(b[j : j + m]))
-            for i, n, j, m in zip(self.from_a.tolist(), self.size_a.tolist(), self.from_b.tolist(), self.size_b.tolist())]
+        parts = np.empty(self.groups, dtype=object)
+        alone = (self.size_a == 1) & (self.size_b == 1)
+        a, b = self.a[self.from_a[alone]], self.b[self.from_b[alone]]
+        # groups of two single tokens are few different ones
+        pair, which = np.unique(a * (int(b.max(initial=0)) + 1) + b, return_inverse=True)
+        own = np.zeros(len(pair), dtype=np.int64)
+        own[which] = np.arange(len(a))
+        parts[alone] = np.array([f"{x}|{y}" for x, y in zip(a[own].tolist(), b[own].tolist())], dtype=object)[which]
+        a, b, more = self.a.tolist(), self.b.tolist(), np.flatnonzero(~alone)
+        places = (own[more].tolist() for own in (self.from_a, self.size_a, self.from_b, self.size_b))
+        parts[more] = np.array([",".join(map(str, a[i : i + n])) + "|" + ",".join(map(str, b[j : j + m])) for i, n, j, m in zip(*places)], dtype=object)
         cut = np.searchsorted(self.doc, np.arange(self.n + 1))
         return [";".join(parts[i:j]) for i, j in zip(cut[:-1], cut[1:])]
 
@@ -182,24 +199,43 @@ class Slice:
 def _over(batches: Iterator[pd.DataFrame], paths: tuple) -> Iterator[tuple[pd.DataFrame, int, int, Slice]]:
     for b in batches:
         texts = b["text"].tolist()
-        for lo, hi in in_slices(texts):
+        for lo, hi in in_slices(texts, SLICE):
             yield b, lo, hi, Slice(texts[lo:hi], _aligner(paths))
 
 
-def distinct_pairs(texts: DataFrame, paths: tuple[str | None, str | None]) -> DataFrame:
-    """(pair): distinct id pairs, a * size of B + b, that any text links."""
+def task_counts(texts: DataFrame, paths: tuple[str | None, str | None], most: int) -> DataFrame:
+    """(pairs, counts): packed arrays of different pairs, a * size of B + b, in order, and how many documents of a task hold each.
+
+    A task sends what it holds whenever that is over ``most`` pairs, so a pair may come several times."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, sums = np.zeros(0, U), np.zeros(0, np.int64)
+
+        def sent() -> pd.DataFrame:
+            return pd.DataFrame({"pairs": [keys.astype("<u8").tobytes()], "counts": [sums.astype("<u4").tobytes()]})
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = np.zeros(0, U)
         for _, _, _, s in _over(batches, paths):
-            held = np.union1d(held, s.pairs)
-            if len(held) > ROUND:
-                yield pd.DataFrame({"pair": held.astype(np.int64)})
-                held = np.zeros(0, U)
-        yield pd.DataFrame({"pair": held.astype(np.int64)})
+            both, which = np.unique(np.concatenate((keys, s.pairs)), return_inverse=True)
+            sums = np.bincount(which, np.concatenate((sums, s.documents())), len(both)).astype(np.int64)
+            keys = both
+            if len(keys) > most:
+                yield sent()
+                keys, sums = keys[:0], sums[:0]
+        yield sent()
         give_back()
 
-    return texts.select("text").mapInPandas(find, "pair long").distinct()
+    return stored(texts.select("text").mapInPandas(count, "pairs binary, counts binary"), "pairs-of-tasks")
+
+
+def distinct_pairs(counts: DataFrame) -> DataFrame:
+    """(pair): the different pairs of all tasks."""
+
+    def out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for raw in b["pairs"]:
+                yield pd.DataFrame({"pair": np.frombuffer(raw, "<i8")})
+
+    return stored(counts.select("pairs").mapInPandas(out, "pair long").distinct(), "distinct-pairs")
 
 
 def rounds_of(pairs: DataFrame, width: int, most: int = ROUND) -> list[int]:
@@ -225,22 +261,23 @@ def _hashes(pairs: DataFrame, starts: list[int], width: int) -> DataFrame:
     return stored(pairs.withColumn("round", number).groupBy("round").applyInPandas(build, "round int, hash binary"), "pair-hashes")
 
 
-def _document_counts(texts: DataFrame, made: PerfectHash, paths: tuple) -> np.ndarray:
-    """How many documents hold each numbered pair."""
-    shared = texts.sparkSession.sparkContext.broadcast(made)  # bounded by ROUND
+def _summed(counts: DataFrame, made: PerfectHash) -> np.ndarray:
+    """How many documents hold each numbered pair: the tasks' counts laid into vectors by number, added up by a tree."""
+    shared = counts.sparkSession.sparkContext.broadcast(made)  # bounded by ROUND
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(len(shared.value), dtype=np.uint32)
-        for _, _, _, s in _over(batches, paths):
-            at = s.once(shared.value.find(s.pairs) + 1)
-            np.add.at(total, at[at > 0] - 1, 1)
+    def lay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(len(shared.value), dtype=np.uint64)
+        for b in batches:
+            for raw, n in zip(b["pairs"], b["counts"]):
+                at = shared.value.find(np.frombuffer(raw, "<u8"))
+                total[at[at >= 0]] += np.frombuffer(n, "<u4")[at >= 0]  # a pair is once in each row
         rows = list(sliced(total))
         yield pd.DataFrame({"slice": [k for k, _ in rows], "counts": [c for _, c in rows]})
         del total, rows
         give_back()
 
     out = np.zeros(len(made), dtype=np.int64)
-    for r in tree_sum(texts.select("text").mapInPandas(count, "slice int, counts binary"), "pair-counts").collect():  # ROUND numbers at most
+    for r in tree_sum(counts.mapInPandas(lay, "slice int, counts binary"), "pair-counts").collect():  # ROUND numbers at most
         part = out[r["slice"] * WIDTH : (r["slice"] + 1) * WIDTH]
         part += added([r["counts"]])[: len(part)].astype(np.int64)
     shared.destroy()
@@ -260,7 +297,8 @@ def pair_counts(docs: DataFrame, text_col: str = "text", path_a: str | None = No
 
 def _rounds(texts: DataFrame, paths: tuple, width: int, most: int) -> tuple[int, Iterator[tuple[PerfectHash, np.ndarray, np.ndarray]]]:
     """The number of rounds, and of each (hash, documents of each pair, whether no pair of the same id A has more)."""
-    pairs = stored(distinct_pairs(texts, paths), "distinct-pairs")
+    of_tasks = task_counts(texts, paths, most)
+    pairs = distinct_pairs(of_tasks)
     starts = rounds_of(pairs, width, most)
     hashes = _hashes(pairs, starts, width)
 
@@ -268,7 +306,7 @@ def _rounds(texts: DataFrame, paths: tuple, width: int, most: int) -> tuple[int,
         for k in range(len(starts)):
             blob = hashes.filter(F.col("round") == k).select("hash").collect()
             made = PerfectHash.from_bytes(blob[0]["hash"]) if blob else PerfectHash(np.zeros(0, U))
-            counts = _document_counts(texts, made, paths)
+            counts = _summed(of_tasks, made)
             a = (made.keys // U(width)).astype(np.int64)
             best = np.zeros(int(a.max(initial=0)) + 1, dtype=np.int64)
             np.maximum.at(best, a, counts)  # all pairs of an id are in one round
