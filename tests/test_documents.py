@@ -1,5 +1,8 @@
 """Document assembly, markdown conversion, export numbering, incremental index."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import chunks as K
@@ -136,3 +139,21 @@ def test_markdown_and_text_paths_yield_same_documents(spark, sf):
     md = sorted(r.file_path for r in M.markdown_documents(latest, inp.domains).select("file_path").collect())
     txt = sorted(r.file_path for r in D.pages_to_documents(latest, inp.domains).select("file_path").collect())
     assert md == txt and len(md) > 0
+
+
+def test_model_is_made_once_a_worker(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def factory():
+        with open(f"{folder}/made", "a") as f:
+            f.write(f"{os.getpid()}\n")
+        return lambda texts: [[float(len(t)), float(os.getpid())] for t in texts]
+
+    rows = [(f"d{i}#0", f"d{i}", "x" * i) for i in range(40)]
+    chunks = spark.createDataFrame(rows, "chunk_id string, file_path string, text string").repartition(12)
+    got = K.embed_with(chunks, factory=factory, batch_rows=2).collect()
+    made = open(f"{folder}/made").read().split()
+    assert len(made) == len(set(made)) < 12 and {str(int(r.embedding[1])) for r in got} <= set(made)
+    assert sorted(r.embedding[0] for r in got) == [float(i) for i in range(40)]
+    with pytest.raises(ValueError, match="either"):
+        K.embed_with(chunks)

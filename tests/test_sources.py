@@ -48,3 +48,15 @@ def test_json_map_and_list(spark):
     m = {r.key: r.value for r in TB.read_json_map(spark, os.path.join(d, "ts.json")).collect()}
     assert m == {"uni.example/en.html": "2025-04-10T10:56:48", "b.ch/x.html": None}
     assert sorted(r.file_path for r in TB.read_json_list(spark, os.path.join(d, "done.json")).collect()) == ["a.md", "b.md"]
+
+
+def test_shared_table_follows_its_files(spark, tmp_path):
+    from tidemark.session import shared_table
+
+    path = str(tmp_path / "in")
+    build = lambda: spark.read.parquet(path + "/t.parquet")
+    spark.range(3).coalesce(1).write.parquet(path + "/t.parquet")
+    first = shared_table(spark, ("test-shared",), path, build)
+    assert first.count() == 3 and shared_table(spark, ("test-shared",), path, build) is first
+    spark.range(5).coalesce(1).write.mode("overwrite").parquet(path + "/t.parquet")
+    assert shared_table(spark, ("test-shared",), path, build).count() == 5

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import uuid
 from typing import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -94,28 +96,52 @@ def adaptive_embed(fn: Callable[[list[str]], Sequence[Sequence[float]]], texts:
     return sums  # type: ignore[return-value]
 
 
-def embed_with(chunks: DataFrame, fn: Callable[[list[str]], Sequence[Sequence[float]]],
+def once_a_worker(factory: Callable[[], Callable]) -> Callable[[], Callable]:
+    """A function that gives what ``factory()`` made, which runs once in each Python worker whatever the number of its tasks.
+
+    The model stays beside the interpreter's own state: a module's globals may be shipped with every task."""
+    key = uuid.uuid4().hex
+
+    def model() -> Callable:
+        made = vars(sys).setdefault("_tidemark_models", {})
+        if key not in made:
+            made[key] = factory()
+        return made[key]
+
+    return model
+
+
+def embed_with(chunks: DataFrame, fn: Callable[[list[str]], Sequence[Sequence[float]]] | None = None,
                id_col: str = "chunk_id", text_col: str = "text", group_col: str = "file_path",
-               out_col: str = "embedding", batch_rows: int = 256) -> DataFrame:
+               out_col: str = "embedding", batch_rows: int = 256,
+               factory: Callable[[], Callable[[list[str]], Sequence[Sequence[float]]]] | None = None, profile=None) -> DataFrame:
     """Embed with a user function on Arrow batches (``mapInPandas``).
 
-    ``fn(list[str]) -> list[vector]`` is created/called per batch on the
-    executors; size errors are handled by :func:`adaptive_embed`.  A chunk that
+    ``fn(list[str]) -> list[vector]`` is called per batch on the executors; a model that
+    is costly to load comes from ``factory()`` instead, which runs once a Python worker.
+    ``profile`` is the ``pyspark.resource.ResourceProfile`` of the embedding stage (such as one
+    that asks for a GPU), for clusters that allocate executors dynamically.
+    Size errors are handled by :func:`adaptive_embed`.  A chunk that
     still fails gets ``error`` set; :func:`drop_failed_documents` then removes
     the whole document so the next incremental run retries it.
     """
+    if (fn is None) == (factory is None):
+        raise ValueError("give either fn or factory")
+    model = once_a_worker(factory) if factory is not None else lambda: fn
+
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        embed = model()
         for pdf in it:
             for start in range(0, len(pdf), batch_rows):
                 part = pdf.iloc[start:start + batch_rows]
                 texts = part[text_col].fillna("").tolist()
                 try:
-                    vecs, errs = adaptive_embed(fn, texts), [None] * len(texts)
+                    vecs, errs = adaptive_embed(embed, texts), [None] * len(texts)
                 except Exception:  # noqa: BLE001 - isolate failures per text
                     vecs, errs = [], []
                     for t in texts:
                         try:
-                            vecs.append(adaptive_embed(fn, [t])[0])
+                            vecs.append(adaptive_embed(embed, [t])[0])
                             errs.append(None)
                         except Exception as e:  # noqa: BLE001
                             vecs.append(None)
@@ -124,7 +150,7 @@ def embed_with(chunks: DataFrame, fn: Callable[[list[str]], Sequence[Sequence[fl
                                     out_col: vecs, "error": errs})
 
     schema = f"`{id_col}` string, `{group_col}` string, `{out_col}` array<float>, error string"
-    return chunks.select(id_col, group_col, text_col).mapInPandas(run, schema)
+    return chunks.select(id_col, group_col, text_col).mapInPandas(run, schema, profile=profile)
 
 
 def drop_failed_documents(chunks: DataFrame, vectors: DataFrame, id_col: str = "chunk_id",

@@ -305,7 +305,7 @@ def q_expanded_queries(spark, sf):
 def _hits(spark, sf):
     """The search results of all scenarios, written once and read by every evaluation query."""
     qs, rel, ex, inp = _questions(spark, sf)
-    hits = shared_table(spark, ("hits", sf, EVAL_K), lambda: R.batch_search(qs, ex, I.page_chunks(spark, sf, inp), EVAL_K))
+    hits = shared_table(spark, ("hits", EVAL_K), sf, lambda: R.batch_search(qs, ex, I.page_chunks(spark, sf, inp), EVAL_K))
     return hits, qs, rel
 
 

@@ -52,12 +52,12 @@ def page_documents(spark: SparkSession, sf_dir: str, inp: Inputs | None = None,
     """Documents of the newest pages; those of the default conversion are written once and read by all that need them."""
     inp = inp or inputs(spark, sf_dir)
     build = lambda: D.pages_to_documents(latest_pages(spark, sf_dir, inp), inp.domains, text_fn=text_fn)
-    return build() if text_fn else shared_table(spark, ("page-documents", sf_dir), build)
+    return build() if text_fn else shared_table(spark, ("page-documents",), sf_dir, build)
 
 
 def page_chunks(spark: SparkSession, sf_dir: str, inp: Inputs | None = None) -> DataFrame:
     """Cleaned, chunked, embedded page documents: the search corpus, written once and read by all searches."""
-    return shared_table(spark, ("page-chunks", sf_dir), lambda: K.embed_default(K.chunk_tokens(K.clean_documents(page_documents(spark, sf_dir, inp)))))
+    return shared_table(spark, ("page-chunks",), sf_dir, lambda: K.embed_default(K.chunk_tokens(K.clean_documents(page_documents(spark, sf_dir, inp)))))
 
 
 def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

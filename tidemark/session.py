@@ -89,15 +89,31 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-_SHARED: dict[tuple, DataFrame] = {}
+_SHARED: dict[tuple, tuple[str, DataFrame]] = {}
 
 
-def shared_table(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """The table ``build()`` makes, written once for each session and key and read by every query that needs it."""
-    own = (spark.sparkContext.applicationId, *key)
-    if own not in _SHARED:
-        _SHARED[own] = materialise(build(), key[0])
-    return _SHARED[own]
+def folder_state(spark: SparkSession, path: str) -> str:
+    """What the entries of a folder are now: name, bytes, number of files and time of each, as one digest."""
+    import hashlib
+
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    seen = []
+    for entry in fs.listStatus(folder):
+        held = fs.getContentSummary(entry.getPath())
+        seen.append((entry.getPath().getName(), held.getLength(), held.getFileCount(), entry.getModificationTime()))
+    return hashlib.sha256(repr(sorted(seen)).encode()).hexdigest()
+
+
+def shared_table(spark: SparkSession, key: tuple, inputs: str, build) -> DataFrame:
+    """The table ``build()`` makes from the tables in the folder ``inputs``, written once for each session and key and read by every query that needs it.
+
+    A folder that has changed since gives a new table."""
+    own, now = (spark.sparkContext.applicationId, *key, inputs), folder_state(spark, inputs)
+    had = _SHARED.get(own)
+    if had is None or had[0] != now:
+        _SHARED[own] = now, materialise(build(), key[0])
+    return _SHARED[own][1]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import urls as U
 from tidemark.operators import captures as C
+from tidemark.session import materialise
 
 CRAWLS = [0, 1, 2]
 
@@ -84,7 +85,9 @@ def capture_keys(records: DataFrame, bucket_width: int = 4096) -> DataFrame:
     slim = records.select(
         "archive", "seq", "target_uri", "http_status", "media_type", "content_encoding", size.alias("size"),
         C.fingerprint(F.col("body").cast("binary"), size).alias("fingerprint"))
-    numbered = C.number_collisions(C.with_archive_path(slim), ["archive", "domain"], "rel_path", "seq", bucket_width)
+    # numbering reads its input twice: the keys are written, so that records are read and hashed once
+    slim = materialise(C.with_archive_path(slim), "capture-keys")
+    numbered = C.number_collisions(slim, ["archive", "domain"], "rel_path", "seq", bucket_width)
     return numbered.select(
         "archive", "seq", "domain", "rel_path", C.capture_ts("archive").alias("capture_ts"),
         "media_type", "content_encoding", "size", "http_status", "fingerprint")
