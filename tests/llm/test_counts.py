@@ -209,15 +209,15 @@ def test_large_groups_are_counted(tokenizers_):
     """Groups whose ids are counted first give the links of those that are paired one by one."""
     texts = ["\u4e2d\u6587" * 40 + "\U0001f600" * 50, "zz " * 30]
     aligner = token_alignment._aligner((None, None))
-    one = token_alignment.Slice(texts, aligner)
+    one = token_alignment.Slice.of(texts, aligner)
     large, token_alignment.LARGE = token_alignment.LARGE, 1
     try:
-        two = token_alignment.Slice(texts, aligner)
+        two = token_alignment.Slice.of(texts, aligner)
     finally:
         token_alignment.LARGE = large
     sums = [Counter() for _ in range(2)]
     for s, c in zip((one, two), sums):
-        for doc, pair, n in zip(s.of.tolist(), s.pairs[s.which].tolist(), s.links.tolist()):
+        for doc, pair, n in zip(s.text.tolist(), s.pairs[s.which].tolist(), s.links.tolist()):
             c[doc, pair] += n
     assert sums[0] == sums[1]
 

@@ -4,11 +4,11 @@ Texts are encoded whole by both.  The byte offsets where tokens of both end cut
 a text into groups; all pairs of a group are linked.  The texts of a slice are aligned
 together, by arrays of their tokens' ends.
 
-Counts of id pairs live in dense vectors.  A first pass finds the pairs of each task with
-the number of its documents that hold them.  The distinct pairs are numbered by a minimal
-perfect hash, and the tasks' counts are laid into vectors by that number and added up by a
-tree.  A second pass aligns the documents again and looks the counts up, comparing the
-key kept at each number."""
+Counts of id pairs live in dense vectors.  A first pass encodes the documents, keeps their ids
+and finds the pairs of each task with the number of its documents that hold them.  The
+distinct pairs are numbered by a minimal perfect hash, and the tasks' counts are laid into
+vectors by that number and added up by a tree.  A second pass aligns the kept ids again
+and looks the counts up, comparing the key kept at each number."""
 
 from __future__ import annotations
 
@@ -65,6 +65,19 @@ class Aligner:
         self.table_a, self.table_b = _table(self.bytes_a), _table(self.bytes_b)
         self.encode_a = self._ranked(file, vocab, of_token) or self._whole()
 
+    def ids(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of each text by A and by B; none for empty texts and those that either side doesn't give back byte for byte."""
+        some = [k for k, t in enumerate(texts) if t]
+        spaced = [" " + texts[k] for k in some]
+        a, b = self.encode_a(spaced), self.b.encode([texts[k] for k in some], num_threads=1)
+        raw = [t.encode() for t in spaced]
+        whole = not some or self.gives_back(raw, a, b)
+        out = [np.zeros(0, np.uint32)] * len(texts), [np.zeros(0, np.uint32)] * len(texts)
+        for k, r, x, y in zip(some, raw, a, b):
+            if whole or self.gives_back([r], [x], [y]):
+                out[0][k], out[1][k] = x, np.array(y, dtype=np.uint32)
+        return out
+
     def gives_back(self, raw: list[bytes], a: list[np.ndarray], b: list[list[int]]) -> bool:
         """Whether the ids of each text, of both sides, are its bytes."""
         whole, ends = np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([len(r) for r in raw])
@@ -119,19 +132,12 @@ def _width(path_b: str | None) -> int:
 class Slice:
     """The aligned tokens of some texts: their groups, and for each link the text and the number of its different pair."""
 
-    def __init__(self, texts: list[str | None], aligner: Aligner):
-        self.n = len(texts)
-        some = [k for k, t in enumerate(texts) if t]
-        spaced = [" " + texts[k] for k in some]
-        a, b = aligner.encode_a(spaced), aligner.b.encode([texts[k] for k in some], num_threads=1)
-        whole = list(zip(some, a, b))
-        raw = [t.encode() for t in spaced]
-        if some and not aligner.gives_back(raw, a, b):
-            whole = [w for w, r in zip(whole, raw) if aligner.gives_back([r], [w[1]], [w[2]])]
+    def __init__(self, a: list[np.ndarray], b: list[np.ndarray], aligner: Aligner):
+        """Of the ids of each text by A and by B; a text without tokens has none of either."""
+        self.n, sizes = len(a), [np.array([len(x) for x in own], dtype=np.int64) for own in (a, b)]
         # all texts behind each other: both sides end together at the end of each text
-        self.a = np.concatenate([w[1] for w in whole] or [np.zeros(0)]).astype(np.int64)
-        self.b = np.fromiter(chain.from_iterable(w[2] for w in whole), dtype=np.int64)
-        self.doc_a, self.doc_b = (np.repeat([w[0] for w in whole], [len(w[side]) for w in whole]).astype(np.int64) for side in (1, 2))
+        self.a, self.b = (np.concatenate([np.zeros(0, np.int64), *own]).astype(np.int64) for own in (a, b))
+        self.doc_a, self.doc_b = (np.repeat(np.arange(self.n), own) for own in sizes)
         end_a, end_b = np.cumsum(aligner.table_a[2][self.a]), np.cumsum(aligner.table_b[2][self.b])
         at = np.searchsorted(end_b, end_a)
         both_a = end_b[at] == end_a if len(end_a) else np.zeros(0, dtype=bool)
@@ -144,8 +150,12 @@ class Slice:
         self.doc = self.doc_a[self.from_a]
         self._pair(len(aligner.bytes_b))
 
+    @classmethod
+    def of(cls, texts: list[str | None], aligner: Aligner) -> Slice:
+        return cls(*aligner.ids(texts), aligner)
+
     def _pair(self, width: int) -> None:
-        """``pairs``: the different ones; of each entry ``which`` pair it is, its text ``of`` and how many ``links`` it stands for."""
+        """``pairs``: the different ones; of each entry ``which`` pair it is, its ``text`` and how many ``links`` it stands for."""
         n = self.size_a * self.size_b
         small = np.flatnonzero(n < LARGE)
         ends = np.cumsum(n[small])
@@ -160,7 +170,7 @@ class Slice:
             pairs.append((x[:, None] * width + y).ravel())
             links.append((many_x[:, None] * many_y).ravel())
             of.append(np.full(len(pairs[-1]), self.doc[g]))
-        self.of, self.links = np.concatenate(of), np.concatenate(links)
+        self.text, self.links = np.concatenate(of), np.concatenate(links)
         different, self.which = np.unique(np.concatenate(pairs), return_inverse=True)
         self.pairs = different.astype(U)
 
@@ -176,7 +186,7 @@ class Slice:
 
     def documents(self) -> np.ndarray:
         """How many texts hold each different pair."""
-        held = np.unique(self.of * len(self.pairs) + self.which) % max(len(self.pairs), 1)
+        held = np.unique(self.text * len(self.pairs) + self.which) % max(len(self.pairs), 1)
         return np.bincount(held, minlength=len(self.pairs))
 
     def shown(self) -> list[str]:
@@ -196,35 +206,46 @@ class Slice:
         return [";".join(parts[i:j]) for i, j in zip(cut[:-1], cut[1:])]
 
 
-def _over(batches: Iterator[pd.DataFrame], paths: tuple) -> Iterator[tuple[pd.DataFrame, int, int, Slice]]:
-    for b in batches:
-        texts = b["text"].tolist()
-        for lo, hi in in_slices(texts, SLICE):
-            yield b, lo, hi, Slice(texts[lo:hi], _aligner(paths))
-
+def kept_tokens(texts: DataFrame, paths: tuple[str | None, str | None], most: int) -> DataFrame:
+    """Rows of two kinds, written once.  Of each text (doc_id, a, b): its ids as packed arrays.  Of each task (pairs, counts): the
+    different pairs, a * size of B + b, in order, and how many documents of the task hold each.
 
-def task_counts(texts: DataFrame, paths: tuple[str | None, str | None], most: int) -> DataFrame:
-    """(pairs, counts): packed arrays of different pairs, a * size of B + b, in order, and how many documents of a task hold each.
+    A task sends pairs whenever it holds over ``most``, so a pair may come several times."""
 
-    A task sends what it holds whenever that is over ``most`` pairs, so a pair may come several times."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, sums = np.zeros(0, U), np.zeros(0, np.int64)
 
         def sent() -> pd.DataFrame:
-            return pd.DataFrame({"pairs": [keys.astype("<u8").tobytes()], "counts": [sums.astype("<u4").tobytes()]})
-
-        for _, _, _, s in _over(batches, paths):
-            both, which = np.unique(np.concatenate((keys, s.pairs)), return_inverse=True)
-            sums = np.bincount(which, np.concatenate((sums, s.documents())), len(both)).astype(np.int64)
-            keys = both
-            if len(keys) > most:
-                yield sent()
-                keys, sums = keys[:0], sums[:0]
+            return pd.DataFrame({"doc_id": [None], "a": [None], "b": [None], "pairs": [keys.astype("<u8").tobytes()], "counts": [sums.astype("<u4").tobytes()]})
+
+        for batch in batches:
+            texts = batch["text"].tolist()
+            for lo, hi in in_slices(texts, SLICE):
+                aligner = _aligner(paths)
+                a, b = aligner.ids(texts[lo:hi])
+                yield pd.DataFrame({
+                    "doc_id": batch["doc_id"].iloc[lo:hi].to_numpy(), "a": [_packed(x, aligner.bytes_a) for x in a], "b": [_packed(x, aligner.bytes_b) for x in b],
+                    "pairs": None, "counts": None})
+                s = Slice(a, b, aligner)
+                both, which = np.unique(np.concatenate((keys, s.pairs)), return_inverse=True)
+                sums = np.bincount(which, np.concatenate((sums, s.documents())), len(both)).astype(np.int64)
+                keys = both
+                if len(keys) > most:
+                    yield sent()
+                    keys, sums = keys[:0], sums[:0]
         yield sent()
         give_back()
 
-    return stored(texts.select("text").mapInPandas(count, "pairs binary, counts binary"), "pairs-of-tasks")
+    kept = texts.select("doc_id", "text").mapInPandas(look, "doc_id string, a binary, b binary, pairs binary, counts binary")
+    return stored(kept.withColumn("row", F.monotonically_increasing_id()), "tokens")
+
+
+def _width_of(vocabulary: list) -> str:
+    return "<u2" if len(vocabulary) <= 1 << 16 else "<u4"
+
+
+def _packed(ids: np.ndarray, vocabulary: list) -> bytes:
+    return ids.astype(_width_of(vocabulary)).tobytes()
 
 
 def distinct_pairs(counts: DataFrame) -> DataFrame:
@@ -286,18 +307,17 @@ def _summed(counts: DataFrame, made: PerfectHash) -> np.ndarray:
 
 def pair_counts(docs: DataFrame, text_col: str = "text", path_a: str | None = None, path_b: str | None = None, most: int = ROUND) -> DataFrame:
     """(a, b, documents): how many documents link each pair of ids."""
-    texts, paths = docs.select(F.col(text_col).alias("text")), (path_a, path_b)
-    width, out = _width(path_b), None
-    for made, counts, _ in _rounds(texts, paths, width, most)[1]:
+    texts, width, out = docs.select(F.lit(None).cast("string").alias("doc_id"), F.col(text_col).alias("text")), _width(path_b), None
+    for made, counts, _ in _rounds(kept_tokens(texts, (path_a, path_b), most), width, most)[1]:
         a, b = np.divmod(made.keys.astype(np.int64), width)
         own = docs.sparkSession.createDataFrame(pd.DataFrame({"a": a, "b": b, "documents": counts}), "a long, b long, documents long")
         out = own if out is None else out.unionByName(own)
     return out
 
 
-def _rounds(texts: DataFrame, paths: tuple, width: int, most: int) -> tuple[int, Iterator[tuple[PerfectHash, np.ndarray, np.ndarray]]]:
+def _rounds(kept: DataFrame, width: int, most: int) -> tuple[int, Iterator[tuple[PerfectHash, np.ndarray, np.ndarray]]]:
     """The number of rounds, and of each (hash, documents of each pair, whether no pair of the same id A has more)."""
-    of_tasks = task_counts(texts, paths, most)
+    of_tasks = kept.filter("pairs is not null").select("pairs", "counts")
     pairs = distinct_pairs(of_tasks)
     starts = rounds_of(pairs, width, most)
     hashes = _hashes(pairs, starts, width)
@@ -330,10 +350,9 @@ def align_documents(
     paths = (path_a, path_b)
     kind = docs.schema["doc_id"].dataType
     texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-    rounds, each = _rounds(texts, paths, _width(path_b), most)
-    rows = texts.withColumn("row", F.monotonically_increasing_id())
-    if rounds > 1:  # rows meet again by their number, which must not change
-        rows = stored(rows, "aligned-rows")
+    kept = kept_tokens(texts, paths, most)
+    rounds, each = _rounds(kept, _width(path_b), most)
+    rows = kept.filter("pairs is null").select("row", "doc_id", "a", "b")
     out = more = None
     for made, counts, best in each:
         held = docs.sparkSession.sparkContext.broadcast((made, counts, best))  # bounded by ROUND
@@ -359,19 +378,22 @@ def _looked_up(held, paths: tuple, first: bool):
     """The task of the last pass: counts of the links of each text; the first round also tells the tokens and groups."""
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b, lo, hi, s in _over(batches, paths):
-            made, counts, best = held.value
-            at = made.find(s.pairs)
-            documents = np.where(at >= 0, counts[at], 0) if len(counts) else np.zeros(len(at), np.int64)
-            first_of_a = np.where(at >= 0, best[at], False) if len(best) else np.zeros(len(at), bool)
-            out = {"row": b["row"].iloc[lo:hi].to_numpy()}
-            if first:
-                out |= {"doc_id": b["doc_id"].iloc[lo:hi].to_numpy(), **s.counts()}
-            out["n_best"] = s.total(s.of, s.links * first_of_a[s.which])
-            out["count_sum"] = s.total(s.of, s.links * documents[s.which])
-            if first:
-                out["groups"] = s.shown()
-            yield pd.DataFrame(out)
+        made, counts, best = held.value
+        for batch in batches:
+            for lo, hi in in_slices(batch["a"].tolist(), SLICE):
+                aligner, own = _aligner(paths), batch.iloc[lo:hi]
+                s = Slice(*([np.frombuffer(x, _width_of(v)) for x in own[c]] for c, v in (("a", aligner.bytes_a), ("b", aligner.bytes_b))), aligner)
+                at = made.find(s.pairs)
+                documents = np.where(at >= 0, counts[at], 0) if len(counts) else np.zeros(len(at), np.int64)
+                first_of_a = np.where(at >= 0, best[at], False) if len(best) else np.zeros(len(at), bool)
+                out = {"row": own["row"].to_numpy()}
+                if first:
+                    out |= {"doc_id": own["doc_id"].to_numpy(), **s.counts()}
+                out["n_best"] = s.total(s.text, s.links * first_of_a[s.which])
+                out["count_sum"] = s.total(s.text, s.links * documents[s.which])
+                if first:
+                    out["groups"] = s.shown()
+                yield pd.DataFrame(out)
         give_back()
 
     return look
