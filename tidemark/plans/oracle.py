@@ -529,7 +529,8 @@ recs AS (SELECT archive, seq * 2 AS "offset", 'request' AS warc_type, target_uri
     q["records"] = _with(recs) + (
         f" SELECT{read}, reason AS http_reason, command AS http_command, media_type, coalesce(octet_length(body), 0)::BIGINT AS body_bytes, NULL::VARCHAR AS error FROM recs")
     q["ingest_stream"] = _with(recs) + " SELECT archive, warc_type, target_uri FROM recs"
-    q["ingest_summary"] = _with(recs) + " SELECT true AS ok, count(DISTINCT archive) AS archives FROM recs"
+    q["ingest_summary"] = _with(recs) + " SELECT true AS ok, count(DISTINCT archive) AS archives FROM recs UNION ALL SELECT false, 1 WHERE EXISTS (SELECT 1 FROM recs)"
+    q["record_errors"] = _with(recs) + " SELECT 'DAMAGED-00000.warc.gz' AS archive, true AS told, true AS read_before WHERE EXISTS (SELECT 1 FROM recs)"
     q["records_filtered"] = q["header_filter"].replace("SELECT archive, \"offset\", target_uri FROM recs", f"SELECT{read} FROM recs")
     html_caps = PATHS[PATHS.index("caps AS ("):].replace("caps AS (", "hcaps AS (", 1).replace("FROM paths)", "FROM paths WHERE media_type = 'text/html')")
     q["archive_captures"] = _with(RECORDS, PATHS, html_caps) + " SELECT archive, domain, rel_path, capture_ts, size, content_encoding FROM hcaps"
