@@ -134,9 +134,9 @@ t AS (
   FROM g),
 line AS (
   SELECT r, size, floor(target)::BIGINT AS words,
-         coalesce(sum(size) OVER (PARTITION BY rank ORDER BY turn, md5('11:' || turn || ':' || key), r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at
+         coalesce(sum(size) OVER (PARTITION BY rank ORDER BY turn, md5('11:' || turn || ':' || key), r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source CROSS JOIN (VALUES (1), (2)) AS v(turn)),
-k AS (SELECT r, sum(greatest(0, least(at + size, words) - at))::BIGINT AS taken FROM line GROUP BY r)
+k AS (SELECT r, sum(greatest(0, least(pos + size, words) - pos))::BIGINT AS taken FROM line GROUP BY r)
 SELECT doc_id, size::BIGINT AS size, source_size, target, taken FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source JOIN k USING (r)""",
     "op3_url_filter": f"""
 WITH u AS (SELECT page_id, {_HOST} AS host, regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
