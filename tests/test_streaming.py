@@ -187,3 +187,16 @@ def test_batch_index_runs_are_incremental(spark):
     assert (r1.files_indexed, r2.files_indexed, r2.files_already_indexed) == (2, 3, 2)
     assert r2.files_skipped == 1          # k0 has no text: never stored, retried each run
     assert (r3.chunks, r3.files_indexed, r3.files_already_indexed) == (0, 0, 5)
+
+
+@pytest.mark.parametrize("folder", [False, True])
+def test_index_stream_query_reads_a_table_of_one_file_or_of_many(spark, folder):
+    from tidemark.plans.extra import q_index_stream
+
+    sf = tempfile.mkdtemp(prefix="stream-query-")
+    rows = spark.createDataFrame([(1, "one two", "s"), (2, "three", "t"), (3, None, "t")], "doc_id long, text string, source string")
+    if folder:
+        rows.repartition(2).write.parquet(f"{sf}/documents.parquet")
+    else:
+        rows.toPandas().to_parquet(f"{sf}/documents.parquet")
+    assert sorted(r.chunk_id for r in q_index_stream(spark, sf).collect()) == ["s/1.md#0", "t/2.md#0"]

@@ -172,7 +172,7 @@ def q_lookup_export(spark, sf):
 
 
 def q_index_stream(spark, sf):
-    """Two incremental runs over the documents file: the second finds nothing new."""
+    """Two incremental runs over the files of the documents table: the second finds nothing new."""
     base = scratch_path(spark, "index")
     table_path, ckpt = f"{base}/chunks", f"{base}/_checkpoint"
     schema = table(spark, sf, "documents").schema
@@ -183,8 +183,10 @@ def q_index_stream(spark, sf):
             F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"),
             F.col("source").alias("domain"), "text")
 
+    # the table is one file or a folder of files: a stream takes both by a pattern
+    files = f"{sf.rstrip('/')}/{{documents.parquet}}"
     for _ in range(2):
-        store = ST.index_stream(spark, sf, "documents.parquet", table_path, ckpt, schema, to_docs)
+        store = ST.index_stream(spark, files, "*", table_path, ckpt, schema, to_docs)
     return store.read(ST.CHUNKS).select("chunk_id", "file_path", "pos", "domain")
 
 
