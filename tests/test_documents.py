@@ -157,3 +157,20 @@ def test_model_is_made_once_a_worker(spark, tmp_path):
     assert sorted(r.embedding[0] for r in got) == [float(i) for i in range(40)]
     with pytest.raises(ValueError, match="either"):
         K.embed_with(chunks)
+
+
+def test_only_selected_pages_are_converted_and_each_once(spark):
+    records = spark.createDataFrame([("a", i, f"page {i}") for i in range(20)], "archive string, seq long, body string")
+    chosen = spark.createDataFrame([("a", 3, "d", "x.html", "200"), ("a", 5, "d", "y.html", "200")], "archive string, seq long, domain string, rel_path string, http_status string")
+    latest = chosen.join(records, ["archive", "seq"]).withColumn("capture_ts", F.lit(None).cast("timestamp_ntz"))
+    domains = spark.createDataFrame([("d", "http://d")], "domain string, base_url string")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(body):
+        seen.add(1)
+        return body.upper() if body != "page 5" else "Redirecting"
+
+    docs = D.pages_to_documents(latest, domains, text_fn=text).collect()
+    assert [(r.file_path, r.text) for r in docs] == [("d/x.md", "PAGE 3")]
+    assert seen.value == 2

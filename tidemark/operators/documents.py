@@ -103,9 +103,11 @@ def html_documents(pages_latest: DataFrame, domains: DataFrame, sites: DataFrame
         df = df.join(s, F.col("domain") == F.col("_site"), "left_semi")
     text_fn = text_fn or T.html_text
     body = F.col("body").cast("string")
+    # the text comes out of a generator, so that no later filter on it is pushed below the join
+    # with the bodies, where every capture that was not selected would be converted too
     conv = df.select(
         "domain", "rel_path", "capture_ts", "archive",
-        text_fn(body).alias("text"),
+        F.explode(F.array(text_fn(body))).alias("text"),
     )
     conv = conv.withColumn("status", convert_status(F.col("text")))
     return conv
