@@ -426,3 +426,25 @@ def test_toxicity_is_seen_in_every_language(spark):
         own = [r.predicted for r in toxic if langs[r.doc_id] == lang]
         assert sum(own) >= 0.9 * len(own), lang
     assert sum(t.score > c.score for t in toxic for c in clean) >= 0.95 * len(toxic) * len(clean)
+
+
+def test_quality_weights_every_pair_of_training_rows(spark):
+    """The scores are those of a fit over all good-bad pairs, none of them drawn."""
+    from tidemark.llm.fits import logistic
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(400):
+        y = rng.random() < 0.5
+        words = [rng.choice(["alpha", "beta.", "Gamma", "x", "12", "#", "delta,", "epsilon"][: 8 if y else 6]) for _ in range(rng.randint(3, 60))]
+        rows.append((i, " ".join(words), int(y if rng.random() < 0.85 else not y)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    train = [(t, y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 5]
+    x, y = np.array([quality.features(t) for t, _ in train]), np.array([y for _, y in train])
+    scale = x.std(axis=0) + 1e-6
+    d = (x[y == 1][:, None] - x[y == 0][None]).reshape(-1, x.shape[1]) / scale
+    strength = np.array([quality.features(t) for _, t, _ in rows]) / scale @ logistic(d, np.ones(len(d)), np.full(x.shape[1], quality.L2))
+    got = {r.doc_id: r.score for r in quality.score_quality(docs, docs, labels).collect()}
+    logit = np.array([np.log(got[i] / (1 - got[i])) for i, _, _ in rows])
+    assert np.abs((logit - logit.mean()) - (strength - strength.mean())).max() < 5e-3
