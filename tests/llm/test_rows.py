@@ -7,9 +7,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, packing, quality, secret_scan, toxicity, url_filter, warc_revisits
-from tidemark.llm.common import sorted_carry
+from tidemark.llm.common import sorted_carry, stored
 from tidemark.llm.queries import URL_RULES
 
 
@@ -448,3 +449,22 @@ def test_quality_weights_every_pair_of_training_rows(spark):
     got = {r.doc_id: r.score for r in quality.score_quality(docs, docs, labels).collect()}
     logit = np.array([np.log(got[i] / (1 - got[i])) for i, _, _ in rows])
     assert np.abs((logit - logit.mean()) - (strength - strength.mean())).max() < 5e-3
+
+
+def test_quality_texts_are_not_shuffled(spark):
+    """Labels too many to broadcast meet the features of the texts, not the texts."""
+    own = spark.range(20).select("id", F.concat(F.lit("Word "), F.col("id").cast("string")).alias("text"))
+    docs, labels = own.withColumnRenamed("id", "doc_id"), own.select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    seen = []
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(quality, "stored", lambda df, name: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or stored(df, name))
+            got = quality.score_quality(docs, docs, labels).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    assert len(got) == 20
+    joined = next(line for line in seen[0].split("\n") if "Join" in line)
+    below = seen[0].split(joined)[1]
+    assert "ArrowEvalPython" in below and "ArrowEvalPython" not in seen[0].split(joined)[0]

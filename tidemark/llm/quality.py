@@ -201,8 +201,9 @@ def score_quality(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> Da
     input columns are replaced; repeated rows stay repeated, and equal texts tie.  A very long
     text is read whole, in memory of a few times its size; no documents give none."""
     own = training_labels(labels, "quality", ~is_held_out(F.col("doc_id")))
-    rows = labelled.select("doc_id", "text").join(own, "doc_id")
-    model = fit_pairs(stored(rows.select("y", _features("text").alias("x")), "quality-features"))
+    # features before the join: texts are never shuffled, whatever the size of the labels
+    rows = labelled.select("doc_id", _features("text").alias("x")).join(own, "doc_id")
+    model = fit_pairs(stored(rows.select("y", "x"), "quality-features"))
     mean, scale, w = (np.array(model[k]) for k in ("mean", "scale", "w"))
     cut, at = model["cut"], model["at"]
 
