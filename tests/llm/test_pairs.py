@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from tidemark.llm import embedding_dedup, jaccard_join, suffix_dedup
+from tidemark.llm import common, embedding_dedup, jaccard_join, suffix_dedup
 from tidemark.llm.components import components
 from tidemark.llm.shingles import overlap, shingle_sets
 
@@ -176,6 +176,24 @@ def test_jaccard_join_against_brute_force(spark, monkeypatch, part):
         assert (got[i].n_shingles, got[i].component_id) == (len(s), want[i])
 
 
+def test_jaccard_join_without_broadcast(spark, monkeypatch):
+    """Meetings too many to broadcast: texts that take part in none stay out of the shuffle, with the same groups."""
+    asked = []
+    monkeypatch.setattr(jaccard_join, "sized", lambda df: df)
+    monkeypatch.setattr(jaccard_join, "among", lambda df, n, bits: asked.append(1) or common.among(df, n, bits))
+    texts = corpus()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    _, want = jaccard_roots(list(range(len(texts))), texts)
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(df, cells=10).collect()}
+    assert [got[i] for i in range(len(texts))] == [want[i] for i in range(len(texts))] and asked
+
+
+def test_bytes_of_shared_tokens_come_back():
+    for kind in ("<u2", "<u4", np.uint64, np.int64):
+        x = np.array([0, 1, 255, 256, 65535], dtype=kind)
+        assert (jaccard_join._from_planes(jaccard_join._planes(x), kind) == x).all()
+
+
 def test_jaccard_join_odd_rows(spark):
     rng = random.Random(6)
     a, b, c = prose(rng, 40), prose(rng, 40), prose(rng, 40)

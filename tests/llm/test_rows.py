@@ -468,3 +468,35 @@ def test_quality_texts_are_not_shuffled(spark):
     joined = next(line for line in seen[0].split("\n") if "Join" in line)
     below = seen[0].split(joined)[1]
     assert "ArrowEvalPython" in below and "ArrowEvalPython" not in seen[0].split(joined)[0]
+
+
+def test_rows_are_found_by_bits(spark):
+    """Numbers of several partitions, the last of a row of bits and the first of the next, with and without a broadcast."""
+    from tidemark.llm import common
+
+    rng = random.Random(8)
+    every = [0, 1, 7, 8, 32767, 32768, 65535, 1 << 33, (1 << 33) + 32767, (5 << 33) + 9] + [rng.randrange(1 << 40) for _ in range(50)]
+    some = set(every[1:20:2] + every[40:])
+    df = spark.createDataFrame([(n, f"t{n}") for n in every * 2], "n long, text string")
+    bits = common.stored(common.bits_of(spark.createDataFrame([(n,) for n in some], "n long")), "bits")
+    for rows in (8192, 2):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(common, "BITS_ROWS", rows)
+            got = common.among(df, F.col("n"), bits)
+            assert got.columns == ["n", "text"] and sorted(r.n for r in got.collect()) == sorted(n for n in every * 2 if n in some)
+
+
+def test_texts_of_kept_rows_are_not_shuffled(spark):
+    """The last step of the near-copy stage brings the chosen rows' numbers to the texts."""
+    from tidemark.llm.stages import one_of_each_group
+
+    df = spark.createDataFrame([(i, f"word{i} " * 3 + "the end of it") for i in range(30)] + [(40, "word3 " * 3 + "the end of it")], "doc_id long, text string")
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = one_of_each_group(spark, df, "")
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert sorted(r.doc_id for r in out.collect()) == list(range(30))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, in_slices, sized, stored, text_key
+from .common import among, bits_of, give_back, in_slices, sized, stored, text_key
 from .components import components
 from .shingles import mix, overlap, shingle_sets
 
@@ -32,6 +32,8 @@ CELLS = 24
 MIN_HASHES = 3
 #: Shingles in a part of a group, and entries that meet one copy of a part.
 PART, MEETING = 20_000, 200
+#: Places, as a power of two, by which texts that meet others are told apart before a shuffle: 16 MB of bits at most.
+PLACES = 27
 #: Shingles compared, and prefix tokens paired, by a task at once.
 TASK, TOKENS = 1_500_000, 500_000
 
@@ -122,10 +124,9 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", percent: int = PERC
     some = profiles.filter("n > 0")
     # equal sets are one entry; pick is the row whose text stands for it
     entries = stored(
-        some.groupBy("k1", "k2", "n").agg(F.min("doc").alias("doc"), F.min(F.struct("doc", "tk")).alias("pick"))
+        some.groupBy("k1", "k2", "n").agg(F.min("doc").alias("doc"), F.min(F.struct("doc", "tk", "row")).alias("pick"), F.first("mins").alias("mins"))
         .withColumn("entry", F.monotonically_increasing_id()), "entries")
-    chosen = some.join(entries.select("entry", "pick"), (F.col("doc").eqNullSafe(F.col("pick.doc"))) & (F.col("tk") == F.col("pick.tk"))).drop("pick")
-    chosen = stored(chosen.select("entry", "n", "prefix", "mins").dropDuplicates(["entry"]), "chosen")
+    chosen = entries.select("entry", "n", "mins")
 
     found = _grouping(chosen, entries, texts, percent)
     shared = None
@@ -134,7 +135,9 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", percent: int = PERC
         members = chosen.select("entry", "n").join(components(found).withColumnRenamed("node", "entry"), "entry", "left")
         members = stored(members.select("entry", "n", F.coalesce("component", "entry").alias("group")), "groups")
         if shared is None:
-            with_group = chosen.select("entry", "prefix", "n").join(members.select("entry", "group"), "entry")
+            # the one time that prefixes are shuffled
+            rows = entries.select("entry", F.col("pick.row").alias("row")).join(members.select("entry", "group"), "entry").select("row", "group")
+            with_group = some.select("row", "prefix", "n").join(rows, "row")
             shared = _shared_tokens(with_group.select("group", "prefix", "n"), percent)
         else:
             shared = _regrouped(shared, members)
@@ -156,7 +159,7 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", percent: int = PERC
 
 
 def _profiles(texts: DataFrame, percent: int, cells: int) -> DataFrame:
-    """Of each row: size, 126-bit digest, prefix tokens and min-hashes of its shingle set."""
+    """Of each row: its number, size, 126-bit digest, prefix tokens and min-hashes of its shingle set."""
     level = texts.sparkSession.sparkContext.broadcast(rarity(texts.select("text"), cells))  # 2**cells two-byte numbers
     low = (1 << 63) - 1
 
@@ -182,7 +185,7 @@ def _profiles(texts: DataFrame, percent: int, cells: int) -> DataFrame:
     # as text, ids of any size and null pass through Python unchanged
     schema = "doc string, tk binary, n long, k1 long, k2 long, prefix binary, mins array<long>"
     found = texts.select(F.col("doc").cast("string").alias("doc"), "tk", "text").mapInPandas(profile, schema)
-    profiles = stored(found.withColumn("doc", F.col("doc").cast("long")), "profiles")
+    profiles = stored(found.withColumns({"doc": F.col("doc").cast("long"), "row": F.monotonically_increasing_id()}), "profiles")
     level.destroy()
     return profiles
 
@@ -240,6 +243,16 @@ def needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (a + b) // (100 + percent))
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers as bytes, the lowest byte of all first, so that the shuffle's compression sees the bytes that hardly differ side by side."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def _from_planes(raw: bytes, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
+
+
 def _shared_tokens(prefixes: DataFrame, percent: int) -> DataFrame:
     """(token, group, rest, size) of prefix tokens that several groups share where a link is possible; ``prefixes`` has group, prefix, n.
 
@@ -269,8 +282,8 @@ def _shared_tokens(prefixes: DataFrame, percent: int) -> DataFrame:
             full = [(k, slice(cut[k], cut[k + 1])) for k in range(ranges) if cut[k + 1] > cut[k]]
             width = 2 if size.max() < 1 << 16 and rest.max() < 1 << 16 else 4
             return pd.DataFrame({
-                "range": [k for k, _ in full], "width": width, "tokens": [t[c].tobytes() for _, c in full], "groups": [g[c].tobytes() for _, c in full],
-                "rests": [rest[c].astype(f"<u{width}").tobytes() for _, c in full], "sizes": [size[c].astype(f"<u{width}").tobytes() for _, c in full],
+                "range": [k for k, _ in full], "width": width, "tokens": [_planes(t[c]) for _, c in full], "groups": [_planes(g[c]) for _, c in full],
+                "rests": [_planes(rest[c].astype(f"<u{width}")) for _, c in full], "sizes": [_planes(size[c].astype(f"<u{width}")) for _, c in full],
             })
 
         for b in batches:
@@ -289,10 +302,10 @@ def _shared_tokens(prefixes: DataFrame, percent: int) -> DataFrame:
     def shared(batch: pd.DataFrame) -> pd.DataFrame:
         kinds = [f"<u{w}" for w in batch["width"]]
         t, g, rest, size = once(
-            np.concatenate([np.frombuffer(x, dtype=U) for x in batch["tokens"]]),
-            np.concatenate([np.frombuffer(x, dtype=np.int64) for x in batch["groups"]]),
-            np.concatenate([np.frombuffer(x, dtype=k) for x, k in zip(batch["rests"], kinds)]).astype(np.int64),
-            np.concatenate([np.frombuffer(x, dtype=k) for x, k in zip(batch["sizes"], kinds)]).astype(np.int64))
+            np.concatenate([_from_planes(x, U) for x in batch["tokens"]]),
+            np.concatenate([_from_planes(x, np.int64) for x in batch["groups"]]),
+            np.concatenate([_from_planes(x, k) for x, k in zip(batch["rests"], kinds)]).astype(np.int64),
+            np.concatenate([_from_planes(x, k) for x, k in zip(batch["sizes"], kinds)]).astype(np.int64))
         for _ in range(2):  # again, as the smallest partner may have gone
             if not len(t):
                 break
@@ -320,7 +333,12 @@ def _meet(holders: DataFrame, queries: DataFrame, chosen: DataFrame, entries: Da
     rows = stored(rows, "meetings")
     total = rows.agg(F.sum("n")).first()[0] or 0
     tasks = max(1, math.ceil(total / TASK))
-    dealt = sized(rows.withColumn("task", F.pmod(F.xxhash64("part", "copy"), F.lit(tasks))))
+    dealt = rows.withColumn("task", F.pmod(F.xxhash64("part", "copy"), F.lit(tasks)))
+    few = sized(dealt)
+    if few is dealt:  # most texts that meet no other are left out before the shuffle
+        place = lambda tk: F.pmod(F.xxhash64(tk), F.lit(1 << PLACES))
+        texts = among(texts, place("tk"), stored(bits_of(rows.select(place("pick.tk").alias("place"))), "met-texts"))
+    dealt = few
     with_text = texts.join(dealt, F.col("tk").eqNullSafe(F.col("pick.tk")) & F.col("doc").eqNullSafe(F.col("pick.doc"))).select(
         "task", "part", "copy", "holds", "entry", "text")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table, text_key
+from .common import among, bits_of, stored, table, text_key
 
 
 def _beside(docs: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
@@ -47,7 +47,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     order = F.struct(doc_id.isNull(), doc_id, text_key(text), F.col("__order"), F.col("__at"))
     ranked = told.select("__at", order.alias("order")).join(groups.select(F.col("doc_id").alias("__at"), "component_id"), "__at")
     first = ranked.groupBy("component_id").agg(F.min("order").alias("first")).select(F.col("first.__at").alias("__at"))
-    return told.join(first, "__at", "left_semi").select("row.*")
+    # the numbers of the rows that stay go to the rows as bits, so the texts are not shuffled
+    return among(told, F.col("__at"), stored(bits_of(first), "first-rows")).select("row.*")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
