@@ -179,3 +179,31 @@ def test_inverted_file_recall_at_sizes(spark, n):
     whole = ann.knn_ivf(q.limit(3), index, 10, visits=len(index.books.centroids), rescored=n).select("qid", "rank", "score", "id")
     want = exact.join(q.limit(3).select("qid"), "qid", "left_semi").select("qid", "rank", "score", "id")
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, want.collect()))
+
+
+def _by_sql(rows):
+    return sorted(map(tuple, rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+
+
+def _same_hits(spark, rows, path):
+    """The hits of ``knn_exact`` over ``rows``, after they were found equal to its SQL's."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3).write.parquet(f"{path}/embeddings.parquet")
+    got = _by_sql(entry.queries()["knn_exact"](spark, str(path)).select("qid", "rank", "vec_id", "score").collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{path}/embeddings.parquet/*.parquet')")
+    want = _by_sql(con.execute(f"SELECT qid, rank, vec_id, score FROM ({entry.oracle_sql()['knn_exact']})").fetchall())
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=2e-6)
+    return got
+
+
+def test_knn_exact_query_searches_for_every_row(spark, tmp_path):
+    v = np.random.default_rng(5).standard_normal((130, 8)).astype("float32").tolist()
+    v[40:70] = [v[40]] * 30  # more copies than hits
+    rows = [(1000 + i, x) for i, x in enumerate(v)] + [(7, [0.0] * 8), (8, None)]  # two of these ids are divisible by 100
+    got = _same_hits(spark, rows, tmp_path)
+    assert {r[0] for r in got} == {r[0] for r in rows} and len(got) == 10 * len(rows)
