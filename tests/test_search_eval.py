@@ -207,3 +207,34 @@ def test_knn_exact_query_searches_for_every_row(spark, tmp_path):
     rows = [(1000 + i, x) for i, x in enumerate(v)] + [(7, [0.0] * 8), (8, None)]  # two of these ids are divisible by 100
     got = _same_hits(spark, rows, tmp_path)
     assert {r[0] for r in got} == {r[0] for r in rows} and len(got) == 10 * len(rows)
+
+
+def test_knn_exact_query_keeps_wide_and_null_ids(spark, tmp_path):
+    v = np.random.default_rng(6).standard_normal((40, 8)).astype("float32").tolist()
+    rows = [(i, x) for i, x in enumerate(v)] + [(3, v[7])]  # an id that comes twice
+    rows += [(2**60 + 1, v[5]), (2**60 + 3, v[5]), (None, v[5]), (None, v[9])]
+    got = _same_hits(spark, rows, tmp_path)
+    assert {r[0] for r in got} == {r[0] for r in rows}
+
+
+@pytest.mark.parametrize("kind", ["float32", "float64"])
+def test_best_rows_are_those_of_plain_scores(kind):
+    rng = np.random.default_rng(8)
+    for turn in range(24):
+        n, width, k = int(rng.integers(1, 900)), int(rng.integers(1, 40)), int(rng.integers(1, 15))
+        C, Q = rng.standard_normal((n, width)), rng.standard_normal((50, width))
+        if turn % 2:
+            C[: n // 2] = C[0]  # copies
+        if turn % 3 == 1:
+            C[n // 3 :] = C[0] + 1e-6 * rng.standard_normal((n - n // 3, width))  # near copies
+            Q[::2] = C[0]
+        if turn % 4 == 2:
+            C *= 10.0 ** rng.integers(-30, 30, (n, 1)) if kind == "float32" else 10.0 ** rng.integers(-90, 90, (n, 1))
+        C[::7], Q[::5] = 0, 0
+        C, Q, order = C.astype(kind), Q.astype(kind), rng.permutation(n)
+        query, row, score = R._best(Q, C, order, k)
+        assert sorted(set(query.tolist())) == list(range(len(Q)))
+        for i in range(len(Q)):
+            plain = R.row_cosines(np.repeat(Q[i : i + 1].astype(float), n, axis=0), C.astype(float))
+            by = np.lexsort((order, -plain))[:k]
+            assert row[query == i].tolist() == by.tolist() and score[query == i].tolist() == plain[by].tolist()

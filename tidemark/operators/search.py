@@ -2,7 +2,7 @@
 
 Exact top-k (``knn_exact``) never forms query x corpus pairs as rows.  Queries and corpus
 are dealt into blocks of bounded size by a hash of their ids, and every pair of blocks
-meets in one group: a task scores it with one matrix product and passes on the best k of each
+meets in one group: a task scores it with matrix products and passes on the best k of each
 query, which a window merges.  Neither side passes through the driver, and a task
 holds two blocks whatever the sizes.  ``knn_lsh`` and ``operators.ann`` are the approximate
 alternatives.
@@ -15,6 +15,8 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,8 +26,13 @@ from tidemark.session import materialise
 
 SCORE_DECIMALS = 6
 MAX_SCORE_CELLS = 4_000_000  # scores held at once (rows x queries)
+MAX_SCORE_VALUES = 4_000_000  # vector values that are scored pair by pair at once
 #: Queries and corpus rows in a block; a task of the exact search holds one of each.
-QUERY_BLOCK, CORPUS_BLOCK = 4096, 16_384
+QUERY_BLOCK, CORPUS_BLOCK = 16_384, 16_384
+#: Groups of rows, as a multiple of k, whose best scores tell how low the k-th best of all can be.
+GROUPS = 32
+#: Rows for each query, as a multiple of k, that single precision may leave to be scored pair by pair.
+LEFT = 8
 
 
 def matrix(vectors, width: int) -> np.ndarray:
@@ -49,22 +56,110 @@ def row_cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _ratios(np.einsum("ij,ij->i", a, b), np.einsum("ij,ij->i", a, a) * np.einsum("ij,ij->i", b, b))
 
 
-def _best(C: np.ndarray, Q: np.ndarray, order: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, query, score) of the ``k`` best rows of each query; of equal scores those first in ``order`` (the rank of each row's id).
+def _block(vectors: pa.ChunkedArray, width: int) -> np.ndarray:
+    """Vectors as :func:`matrix` has them, in the type they come in and without a copy where all are there."""
+    own = vectors.combine_chunks()
+    sizes = pc.fill_null(pc.list_value_length(own), 0).to_numpy(zero_copy_only=False)
+    other = sizes[(sizes > 0) & (sizes != width)]
+    if len(other):
+        raise ValueError(f"vector of width {other[0]} among vectors of width {width}")
+    values = own.flatten()
+    if values.type not in (pa.float32(), pa.float64()):
+        values = values.cast(pa.float64())
+    held = values.to_numpy(zero_copy_only=False).reshape(int((sizes > 0).sum()), width)
+    if len(held) == len(sizes):
+        return held
+    out = np.zeros((len(sizes), width), dtype=held.dtype)
+    out[sizes > 0] = held
+    return out
+
+
+def _dots(A: np.ndarray, a, B: np.ndarray, b) -> np.ndarray:
+    """Dot products of the rows ``a`` of ``A`` with the rows ``b`` of ``B``, each summed alike whatever the others are."""
+    out, step = np.empty(len(a)), max(1, MAX_SCORE_VALUES // max(1, A.shape[1]))
+    for lo in range(0, len(a), step):
+        some = slice(lo, lo + step)
+        out[some] = np.einsum("ij,ij->i", A[a[some]].astype(np.float64), B[b[some]].astype(np.float64))
+    return out
+
+
+def _squares(X: np.ndarray) -> np.ndarray:
+    every = np.arange(len(X))
+    return _dots(X, every, X, every)
+
+
+def _few_of_each(X: np.ndarray, order: np.ndarray, k: int) -> np.ndarray:
+    """Rows without those that have ``k`` equal rows before them in ``order``, which can be no query's hits."""
+    bits = np.ascontiguousarray(X).view(np.uint8).reshape(len(X), -1)
+    if not bits.shape[1]:
+        return np.sort(np.argsort(order)[:k])
+    words = X.view(np.uint32 if X.dtype == np.float32 else np.uint64)
+    odd = np.random.default_rng(7).integers(1, 2**63, X.shape[1], dtype=np.uint64) | np.uint64(1)
+    digest = np.zeros(len(X), dtype=np.uint64)
+    for j in range(X.shape[1]):
+        digest += words[:, j] * odd[j]
+    by = np.lexsort((order, digest))
+    first = np.searchsorted(digest[by], digest[by])
+    late = np.arange(len(by)) - first >= k
+    keep = np.ones(len(X), dtype=bool)
+    for at in np.unique(first[late]):  # a digest that more than k rows share
+        run = by[at : np.searchsorted(first, at, side="right")]
+        keep[run[k:]] = (bits[run] != bits[run[0]]).any()
+    return np.flatnonzero(keep)
+
+
+def _units(X: np.ndarray, xx: np.ndarray) -> np.ndarray:
+    """Rows of length one; those without a length are zero."""
+    scale = np.zeros(len(X))
+    np.divide(1.0, np.sqrt(xx), out=scale, where=xx > 0)
+    out = X.astype(np.float32) * scale.astype(np.float32)[:, None]
+    out[~(xx > 0)] = 0
+    return out
+
 
-    One matrix product finds the rows that can be among them; their scores are then taken
-    pair by pair, so that a pair scores the same in whatever block it meets."""
-    rough = _ratios(C @ Q.T, np.einsum("ij,ij->i", C, C)[:, None] * np.einsum("ij,ij->i", Q, Q)[None, :])
-    if len(rough) > k:
-        kth = np.partition(rough, len(rough) - k, axis=0)[len(rough) - k]
-        row, query = np.nonzero(rough >= kth[None, :] - 1e-9)
-    else:
-        row, query = (x.ravel() for x in np.indices(rough.shape))
-    score = row_cosines(C[row], Q[query])
-    by = np.lexsort((order[row], -score, query))
-    row, query, score = row[by], query[by], score[by]
-    place = np.arange(len(query)) - np.searchsorted(query, query)
-    return row[place < k], query[place < k], score[place < k]
+def _candidates(rough: np.ndarray, k: int, slack: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) of all scores of a queries x rows matrix that are less than ``slack`` below the ``k`` best of their query.
+
+    The k-th of the best scores of separate groups of rows is at most the k-th best score."""
+    n = rough.shape[1]
+    if n <= k:
+        return tuple(x.ravel() for x in np.indices(rough.shape))
+    groups = min(n, GROUPS * k)
+    tops = rough[:, : n - n % groups].reshape(len(rough), -1, groups).max(axis=1)
+    least = np.partition(tops, groups - k, axis=1)[:, groups - k]
+    return np.divmod(np.flatnonzero(rough >= (least - slack)[:, None]), n)
+
+
+def _best(Q: np.ndarray, C: np.ndarray, order: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) of the ``k`` best rows of each query; of equal scores those first in ``order`` (the rank of each row's id).
+
+    Matrix products find the rows that can be among them; their scores are then taken
+    pair by pair, so that a pair scores the same in whatever block it meets.  The products
+    are of unit vectors in single precision, and the slack is more than their error.  Double
+    precision is for what that leaves too much of, and for squares that may leave its range."""
+    kept = _few_of_each(C, order, k)
+    if len(kept) < len(C):
+        C, order = C[kept], order[kept]
+    qq, cc = _squares(Q), _squares(C)
+    plain = all(np.all((x == 0) | np.isnan(x) | ((x > 1e-60) & (x < 1e60))) for x in (qq, cc))
+    q, c = (_units(Q, qq), _units(C, cc)) if plain else (None, None)
+    step = max(1, min(len(Q), MAX_SCORE_CELLS // len(C)))
+    room = np.empty((step, len(C)), dtype=np.float32)
+    found = []
+    for lo in range(0, len(Q), step):
+        own = np.arange(lo, min(lo + step, len(Q)))
+        if plain:
+            query, row = _candidates(np.matmul(q[own], c.T, out=room[: len(own)]), k, (Q.shape[1] + 16) * 2.0**-23)
+        if not plain or len(query) > LEFT * max(k, 16) * len(own):
+            rough = _ratios(Q[own].astype(np.float64) @ C.astype(np.float64).T, qq[own, None] * cc[None, :])
+            query, row = _candidates(np.nan_to_num(rough, nan=np.inf), k, (Q.shape[1] + 16) * 2.0**-50)
+        query = own[query]
+        score = _ratios(_dots(Q, query, C, row), qq[query] * cc[row])
+        by = np.lexsort((order[row], -score, query))
+        query, row, score = query[by], row[by], score[by]
+        top = np.arange(len(query)) - np.searchsorted(query, query) < k
+        found.append((query[top], kept[row[top]], score[top]))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _blocks(df: DataFrame, key: str, size: int) -> int:
@@ -74,7 +169,7 @@ def _blocks(df: DataFrame, key: str, size: int) -> int:
 def knn_exact(queries: DataFrame, corpus: DataFrame, k: int, qid_col: str = "qid", qvec_col: str = "embedding",
               id_col: str = "chunk_id", vec_col: str = "embedding", payload: list[str] | None = None,
               query_block: int = QUERY_BLOCK, corpus_block: int = CORPUS_BLOCK) -> DataFrame:
-    """Top-k corpus rows per query by cosine score, ties broken by ``id_col``.
+    """Top-k corpus rows per query by cosine score, ties broken by ``id_col`` (null last).
 
     Output: ``qid, rank, score, id_col, *payload``.  ``rank`` is 1-based.  Every row goes
     once to each block of the other side, so the shuffle holds
@@ -90,25 +185,22 @@ def knn_exact(queries: DataFrame, corpus: DataFrame, k: int, qid_col: str = "qid
         df = df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(blocks)))
         return df.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long"))))
 
-    def meet(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        found = []
+    def meet(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        query = row = np.empty(0, dtype=np.int64)
+        score = np.empty(0)
         if len(asked) and len(rows):
-            width = max(max((len(v) for v in side if v is not None), default=0) for side in (asked["qv"], rows["cv"]))
-            Q, C = matrix(asked["qv"], width), matrix(rows["cv"], width)
-            qids, ids = asked["qid"].to_numpy(), rows["cid"].to_numpy()
-            order = np.argsort(np.argsort(ids))
-            step = max(1, MAX_SCORE_CELLS // len(C))
-            for lo in range(0, len(Q), step):
-                row, query, score = _best(C, Q[lo:lo + step], order, k)
-                found.append(pd.DataFrame({"qid": qids[lo + query], "score": score, "cid": ids[row]}))
-        return pd.concat(found) if found else pd.DataFrame({"qid": [], "score": [], "cid": []})
+            width = max(pc.max(pc.list_value_length(side)).as_py() or 0 for side in (asked["qv"], rows["cv"]))
+            order = np.empty(len(rows), dtype=np.int64)
+            order[pc.sort_indices(rows["cid"], null_placement="at_end").to_numpy()] = np.arange(len(rows))
+            query, row, score = _best(_block(asked["qv"], width), _block(rows["cv"], width), order, k)
+        return pa.table({"qid": asked["qid"].take(pa.array(query)), "score": score, "cid": rows["cid"].take(pa.array(row))})
 
     schema = T.StructType([T.StructField("qid", q.schema["qid"].dataType), T.StructField("score", T.DoubleType()),
                            T.StructField("cid", c.schema["cid"].dataType)])
     keys = ["_qb", "_cb"]
     cands = dealt(q, "qid", "_qb", q_blocks, "_cb", c_blocks).groupBy(*keys).cogroup(
-        dealt(c, "cid", "_cb", c_blocks, "_qb", q_blocks).groupBy(*keys)).applyInPandas(meet, schema)
-    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("cid").asc())
+        dealt(c, "cid", "_cb", c_blocks, "_qb", q_blocks).groupBy(*keys)).applyInArrow(meet, schema)
+    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("cid").asc_nulls_last())
     ranked = cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     ranked = ranked.select("qid", "rank", F.round("score", SCORE_DECIMALS).alias("score"), F.col("cid").alias(id_col))
     if payload:
